@@ -1,0 +1,110 @@
+"""Tail probabilities of the chi-square and F distributions (no SciPy needed).
+
+Small scalar numerics used on already-aggregated statistics: the regularised incomplete
+gamma function (series / continued fraction) and the regularised incomplete beta
+function (Lentz continued fraction).
+"""
+
+from __future__ import annotations
+
+import math
+
+_EPS = 1e-15
+_TINY = 1e-300
+
+
+def _gamma_series(a: float, x: float) -> float:
+    term = total = 1.0 / a
+    n = a
+    for _ in range(10_000):
+        n += 1.0
+        term *= x / n
+        total += term
+        if abs(term) < abs(total) * _EPS:
+            break
+    return total * math.exp(-x + a * math.log(x) - math.lgamma(a))
+
+
+def _gamma_cont_frac(a: float, x: float) -> float:
+    b = x + 1.0 - a
+    c = 1.0 / _TINY
+    d = 1.0 / b
+    h = d
+    for i in range(1, 10_000):
+        an = -i * (i - a)
+        b += 2.0
+        d = an * d + b
+        d = _TINY if abs(d) < _TINY else d
+        c = b + an / c
+        c = _TINY if abs(c) < _TINY else c
+        d = 1.0 / d
+        step = d * c
+        h *= step
+        if abs(step - 1.0) < _EPS:
+            break
+    return math.exp(-x + a * math.log(x) - math.lgamma(a)) * h
+
+
+def gamma_q(a: float, x: float) -> float:
+    """Upper regularised incomplete gamma Q(a, x)."""
+    if x is None or a is None or math.isnan(x) or x < 0 or a <= 0:
+        return float("nan")
+    if x == 0:
+        return 1.0
+    if x < a + 1.0:
+        return max(0.0, 1.0 - _gamma_series(a, x))
+    return min(1.0, _gamma_cont_frac(a, x))
+
+
+def chi2_sf(stat: float, dof: float) -> float:
+    """P(X >= stat) for X ~ chi-square(dof)."""
+    return gamma_q(dof / 2.0, stat / 2.0)
+
+
+def _beta_cont_frac(a: float, b: float, x: float) -> float:
+    qab, qap, qam = a + b, a + 1.0, a - 1.0
+    c, d = 1.0, 1.0 - qab * x / qap
+    d = _TINY if abs(d) < _TINY else d
+    d = 1.0 / d
+    h = d
+    for m in range(1, 10_000):
+        m2 = 2 * m
+        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
+        d = 1.0 + aa * d
+        d = _TINY if abs(d) < _TINY else d
+        c = 1.0 + aa / c
+        c = _TINY if abs(c) < _TINY else c
+        d = 1.0 / d
+        h *= d * c
+        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
+        d = 1.0 + aa * d
+        d = _TINY if abs(d) < _TINY else d
+        c = 1.0 + aa / c
+        c = _TINY if abs(c) < _TINY else c
+        d = 1.0 / d
+        step = d * c
+        h *= step
+        if abs(step - 1.0) < _EPS:
+            break
+    return h
+
+
+def beta_i(a: float, b: float, x: float) -> float:
+    """Regularised incomplete beta I_x(a, b)."""
+    if x <= 0:
+        return 0.0
+    if x >= 1:
+        return 1.0
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x))
+    if x < (a + 1.0) / (a + b + 2.0):
+        return front * _beta_cont_frac(a, b, x) / a
+    return 1.0 - front * _beta_cont_frac(b, a, 1.0 - x) / b
+
+
+def f_sf(stat: float, d1: float, d2: float) -> float:
+    """P(X >= stat) for X ~ F(d1, d2)."""
+    if stat is None or math.isnan(stat) or d1 <= 0 or d2 <= 0:
+        return float("nan")
+    if stat <= 0:
+        return 1.0
+    return beta_i(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * stat))

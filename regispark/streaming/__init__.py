@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The source system publishes a monthly registry drop that is reloaded by a daily batch
+with a full overwrite; it has no stream, watermark or state. Nothing here is owed, and no
+streaming operator is invented.
+"""
