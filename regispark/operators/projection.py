@@ -34,7 +34,11 @@ def drop_cols(df: DataFrame, *names: str, compat: bool = False) -> DataFrame:
     if compat:
         return df.drop(*names)
     wanted = set(names)
-    return df.select(*[F.col(quote(c)) for c in df.columns if c not in wanted])
+    if len({c.lower() for c in df.columns}) == len(df.columns):
+        return df.select(*[F.col(quote(c)) for c in df.columns if c not in wanted])
+    # Names differing only in case: address columns by position.
+    positional = df.toDF(*[f"__c{i}" for i in range(len(df.columns))])
+    return positional.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(df.columns) if c not in wanted])
 
 
 def decimal_comma(df: DataFrame, cols, dtype: str = "double") -> DataFrame:
