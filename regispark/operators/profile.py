@@ -162,12 +162,10 @@ def dedupe_on(df: DataFrame, keys, prefer=None, ascending: bool = False) -> Data
     keys = as_list(keys)
     prefer = as_list(prefer)
     rest = [c for c in df.columns if c not in keys]
-    order = F.struct(*[_c(c).alias(f"__o{i}") for i, c in enumerate(prefer)],
-                     *[_c(c).alias(f"__t{i}") for i, c in enumerate(rest)],
-                     F.struct(*[_c(c) for c in rest]).alias("__row"))
+    order = F.struct(*[_c(c).alias(f"__o{i}") for i, c in enumerate(prefer)], *[_c(c).alias(c) for c in rest])
     pick = F.min if ascending else F.max
     g = df.groupBy(*[_c(k) for k in keys]).agg(pick(order).alias("__best"))
-    return g.select(*[_c(k) for k in keys], *[F.col("__best.__row")[c].alias(c) for c in rest]).select(*df.columns)
+    return g.select(*[_c(k) for k in keys], *[F.col("__best")[c].alias(c) for c in rest]).select(*df.columns)
 
 
 def histogram(df: DataFrame, c: str, bins: int = 20) -> DataFrame:

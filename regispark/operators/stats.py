@@ -16,7 +16,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .._util import as_list, quote
 from ._dist import chi2_sf, f_sf
@@ -146,25 +146,43 @@ def lagged(df: DataFrame, cols, order_col: str, lags: int = 1, partition_cols=()
 
     main = ranged.mapInPandas(main_pass, main_schema)
     tails = ranged.mapInPandas(tail_pass, tail_schema)
-    # Global 1-based index of every tail row, and per partition the index of the last tail
-    # row of all preceding partitions. Both windows run over the tiny tail table.
-    seq = tails.withColumn("__gi", F.row_number().over(Window.orderBy("__pid", F.desc("__back"))))
-    per_pid = seq.groupBy("__pid").agg((F.min("__gi") - 1).alias("__before"))
-    wanted = per_pid.select("__pid", "__before", F.explode(F.sequence(F.lit(0), F.lit(lags - 1))).alias("__pos")) \
-        .select("__pid", "__pos", "__before", F.explode(F.sequence(F.col("__pos") + 1, F.lit(lags))).alias("__k")) \
-        .withColumn("__gi", F.col("__before") - (F.col("__k") - F.col("__pos") - 1))
-    ref = wanted.join(seq.drop("__pid", "__back"), "__gi", "inner")
-    stitch = ref.groupBy("__pid", "__pos").agg(
-        *[F.max(F.when(F.col("__k") == k, F.col(quote(c)))).alias(f"__s{k}_{c}") for (k, c) in lag_names],
-        *[F.max(F.when(F.col("__k") == k, F.struct(*[F.col(quote(p)) for p in part]) if part else F.lit(True)))
-          .alias(f"__g{k}") for k in range(1, lags + 1)])
-    stitch = stitch.withColumn("__pos", F.col("__pos").cast("long"))
-    # <= lags x partitions rows by construction: the broadcast is bounded.
+
+    # The stitch table: for each partition and head position p < lags, the value k rows
+    # back for every k > p, taken from the concatenated tails of the preceding partitions.
+    # Its input and output hold at most lags x partitions rows, so one small task builds it
+    # and the result is broadcast.
+    stitch_fields = [T.StructField("__pid", T.IntegerType(), False), T.StructField("__pos", T.LongType(), False)]
+    for k in range(1, lags + 1):
+        stitch_fields.append(T.StructField(f"__m{k}", T.BooleanType(), True))
+        stitch_fields += [T.StructField(f"__s{k}_{c}", base[c].dataType, True) for c in cols]
+        stitch_fields += [T.StructField(f"__g{k}_{g}", base[g].dataType, True) for g in part]
+    stitch_schema = T.StructType(stitch_fields)
+
+    def build_stitch(pdf):
+        pdf = pdf.sort_values(["__pid", "__back"], ascending=[True, False]).reset_index(drop=True)
+        starts = pdf.reset_index().groupby("__pid")["index"].min()
+        out = []
+        for pid, start in starts.items():
+            for pos in range(lags):
+                rec = {"__pid": int(pid), "__pos": pos}
+                for k in range(pos + 1, lags + 1):
+                    gi = int(start) - (k - pos)
+                    if gi >= 0:
+                        rec[f"__m{k}"] = True
+                        for c in cols:
+                            rec[f"__s{k}_{c}"] = pdf.at[gi, c]
+                        for g in part:
+                            rec[f"__g{k}_{g}"] = pdf.at[gi, g]
+                out.append(rec)
+        return pd.DataFrame(out, columns=[f.name for f in stitch_fields])
+
+    stitch = tails.groupBy(F.lit(0).alias("__one")).applyInPandas(build_stitch, stitch_schema)
     j = main.join(F.broadcast(stitch), ["__pid", "__pos"], "left")
     fixes = {}
     for (k, c), name in lag_names.items():
-        same_group = F.col(f"__g{k}").eqNullSafe(F.struct(*[F.col(quote(p)) for p in part])) if part \
-            else F.col(f"__g{k}").isNotNull()
+        same_group = F.col(f"__m{k}").eqNullSafe(True)
+        for g in part:
+            same_group = same_group & F.col(f"__g{k}_{g}").eqNullSafe(F.col(quote(g)))
         fixes[name] = F.coalesce(F.col(quote(name)), F.when(same_group, F.col(f"__s{k}_{c}")))
     j = j.withColumns(fixes)
     return j.select(*[F.col(quote(x)) for x in df.columns], *[F.col(quote(x)) for x in lag_names.values()])
