@@ -176,3 +176,20 @@ def vector_slice(df: DataFrame, indices, vector_col: str = "features", out: str
     if bad:
         raise IndexError(f"slot indices out of range: {bad}")
     return VectorSlicer(inputCol=vector_col, outputCol=out, indices=list(indices)).transform(df)
+
+
+def kfold_rmse(df: DataFrame, formula: str, folds: int = 3, seed: int = 42, reg_params=(0.0,),
+               parallelism: int = 1) -> DataFrame:
+    """L15 (k-fold): cross-validated RMSE of a linear model over a small grid of regParam."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.regression import LinearRegression
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    data = rformula(df, formula)
+    lr = LinearRegression(featuresCol="features", labelCol="label")
+    grid = ParamGridBuilder().addGrid(lr.regParam, list(reg_params)).build()
+    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=RegressionEvaluator(metricName="rmse"),
+                        numFolds=folds, seed=seed, parallelism=parallelism)
+    model = cv.fit(data)
+    rows = [(float(p[lr.regParam]), float(m)) for p, m in zip(grid, model.avgMetrics)]
+    return df.sparkSession.createDataFrame(rows, "reg_param double, rmse double")

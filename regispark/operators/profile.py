@@ -226,3 +226,10 @@ def variance(df: DataFrame, cols) -> DataFrame:
 def union_all(dfs) -> DataFrame:
     """Concatenate shards by column name (no dedupe)."""
     return reduce(lambda a, b: a.unionByName(b), list(dfs))
+
+
+def matrix_long(df: DataFrame, row_col: str, value_name: str = "value", col_name: str = "column") -> DataFrame:
+    """K7: a wide matrix (one row per ``row_col``, one column per entry) as long form
+    (row, column, value), ready for any writer."""
+    values = [c for c in df.columns if c != row_col]
+    return df.unpivot([row_col], values, col_name, value_name)

@@ -889,6 +889,192 @@ def variance_selector(spark, d):
     return L.variance_select(_model_frame(spark, d), ["l_quantity", "l_discount", "l_tax", "l_extendedprice"], 0.5)
 
 
+@register("kfold_rmse")
+def kfold_rmse(spark, d):
+    return L.kfold_rmse(_model_frame(spark, d), "l_extendedprice ~ l_quantity + l_discount + l_tax", folds=3,
+                        reg_params=(0.0, 0.1))
+
+
+@register("linear_diagnostics")
+def linear_diagnostics(spark, d):
+    return T.linear_diagnostics(_model_frame(spark, d), "l_extendedprice", ["l_quantity", "l_discount", "l_tax"])
+
+
 @register("ks_normal")
 def ks_normal(spark, d):
     return T.ks_normal(table(spark, d, "events"), "value")
+
+
+# ---------------------------------------------------------------------------
+# Registry flows end to end (Q1, Q4) on registry-shaped rows derived from the test tables
+# ---------------------------------------------------------------------------
+# Test-data e-mail domains (typos and clean names) cycled over orders.
+EMAIL_DOMAINS = ["gmail", "gmial", "g-mail", "hotmial", "hotmail", "yaho", "outlok", "uol", "icloud",
+                 "mail5.example", "terra", "bol"]
+FLOW_PROVIDERS = ["GMAIL", "HOTMAIL", "YAHOO", "OUTLOOK", "UOL", "BOL", "ICLOUD", "TERRA"]
+
+
+def flow_provider_map() -> dict:
+    return X.typo_dictionary(FLOW_PROVIDERS, extra={"G-MAIL": "GMAIL"})
+
+
+def _dict_values_sql(mapping: dict) -> str:
+    return ", ".join(f"('{k}', '{v}')" for k, v in sorted(mapping.items()))
+
+
+def establishment_rows(spark, d) -> DataFrame:
+    """Establishment-shaped rows: one per order, its customer as the company."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey",
+                                           "c_mktsegment")
+    x = J.lookup(o, c, "o_custkey", drop_key=False)
+    local = F.lower(F.regexp_replace("c_name", "#", "."))
+    domain = F.element_at(F.array(*[F.lit(v) for v in EMAIL_DOMAINS]),
+                          (F.col("o_orderkey") % len(EMAIL_DOMAINS) + 1).cast("int"))
+    email = (F.when(F.col("o_orderkey") % 11 == 0, local)
+             .when(F.col("o_orderkey") % 13 == 0, F.lit(None).cast("string"))
+             .otherwise(F.concat(local, F.lit("@"), domain, F.lit(".com"))))
+    day = F.date_format("o_orderdate", "yyyyMMdd")
+    return x.select(
+        F.lpad(F.col("o_custkey").cast("string"), 8, "0").alias("CNPJ_BASICO"),
+        F.lpad(F.col("o_orderkey").cast("string"), 10, "0").alias("CNPJ_ORDEM"),
+        F.when(F.col("o_orderkey") % 3 == 0, "2").otherwise("1").alias("MATRIZ_FILIAL"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("SIT_CADASTRAL"),
+        F.when(F.col("o_orderkey") % 97 == 0, "00000000").otherwise(day).alias("DT_SIT_CADASTRAL"),
+        (F.col("o_custkey") % 5).cast("string").alias("MOTIVO_CADASTRAL"),
+        (F.col("c_nationkey") % 5).cast("string").alias("PAIS"),
+        day.alias("DT_INICIO_ATIVIDADE"),
+        (F.col("o_custkey") % 30).cast("string").alias("CNAE_1"),
+        F.nullif("c_mktsegment", F.lit("BUILDING")).alias("TIPO_LOUGRADOURO"),
+        F.col("c_name").alias("LOGRADOURO"),
+        F.nullif((F.col("o_orderkey") % 1000).cast("int"), F.lit(0)).alias("NUMERO"),
+        F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("UF"),
+        F.col("c_nationkey").cast("string").alias("MUNICIPIO"),
+        email.alias("EMAIL"),
+        F.lit(None).cast("string").alias("DT_SIT_ESPECIAL"))
+
+
+ESTAB_OUT = ["CNPJ_BASICO", "CNPJ_ORDEM", "NM_SIT_CADASTRAL", "NM_MATRIZ_FILIAL", "DT_SIT_CADASTRAL",
+             "DT_INICIO_ATIVIDADE", "ano_cadastro", "mes_cadastro", "ano_sit_cadastral", "mes_sit_cadastral", "NM_MOTIVO",
+             "CNAE", "MUNICIPIO", "NM_PAIS", "ENDERECO_COMPLETO", "PROVEDOR", "EMAIL", "VALID_EMAIL"]
+
+
+@register("establishments_flow", f"""
+WITH dict(k, v) AS (VALUES {_dict_values_sql(flow_provider_map())}),
+x AS (SELECT o.o_orderkey, o.o_custkey, o.o_orderdate, o.o_orderpriority, c.c_name, c.c_nationkey, c.c_mktsegment
+      FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey),
+e AS (SELECT lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS CNPJ_BASICO, lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS CNPJ_ORDEM,
+        CASE WHEN o_orderkey % 3 = 0 THEN '2' ELSE '1' END AS MATRIZ_FILIAL,
+        CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS SIT_CADASTRAL,
+        CASE WHEN o_orderkey % 97 = 0 THEN '00000000' ELSE strftime(o_orderdate, '%Y%m%d') END AS DT_SIT_RAW,
+        CAST(o_custkey % 5 AS VARCHAR) AS COD_MOTIVO, CAST(c_nationkey % 5 AS VARCHAR) AS COD_PAIS,
+        strftime(o_orderdate, '%Y%m%d') AS DT_INI_RAW, CAST(o_custkey % 30 AS VARCHAR) AS COD_CNAE,
+        nullif(c_mktsegment, 'BUILDING') AS TIPO_LOUGRADOURO, c_name AS LOGRADOURO,
+        nullif(CAST(o_orderkey % 1000 AS INTEGER), 0) AS NUMERO, lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS UF,
+        CAST(c_nationkey AS VARCHAR) AS ID_MUNICPIO,
+        CASE WHEN o_orderkey % 11 = 0 THEN lower(replace(c_name, '#', '.')) WHEN o_orderkey % 13 = 0 THEN NULL
+             ELSE lower(replace(c_name, '#', '.')) || '@' || {EMAIL_DOMAINS}[CAST(o_orderkey % {len(EMAIL_DOMAINS)} AS INTEGER) + 1] || '.com' END AS EMAIL_RAW
+      FROM x),
+j AS (SELECT e.*, mo.r_name AS NM_MOTIVO, 'CNAE ' || cn.n_name AS CNAE, mu.n_name AS MUNICIPIO, pa.r_name AS NM_PAIS,
+        CAST(try_strptime(DT_SIT_RAW, '%Y%m%d') AS DATE) AS DT_SIT_CADASTRAL, CAST(try_strptime(DT_INI_RAW, '%Y%m%d') AS DATE) AS DT_INICIO_ATIVIDADE,
+        upper(regexp_extract(EMAIL_RAW, '@([^.]+)\\.', 1)) AS PROV0, lower(EMAIL_RAW) AS EMAIL,
+        regexp_extract(lower(EMAIL_RAW), '^\\S+@\\S+\\.\\S+$', 0) AS VALID0
+      FROM e LEFT JOIN (SELECT * FROM region WHERE r_regionkey < 3) mo ON e.COD_MOTIVO = CAST(mo.r_regionkey AS VARCHAR)
+      LEFT JOIN nation cn ON e.COD_CNAE = CAST(cn.n_nationkey AS VARCHAR)
+      LEFT JOIN nation mu ON e.ID_MUNICPIO = CAST(mu.n_nationkey AS VARCHAR)
+      LEFT JOIN region pa ON e.COD_PAIS = CAST(pa.r_regionkey AS VARCHAR))
+SELECT j.CNPJ_BASICO, j.CNPJ_ORDEM,
+       CASE SIT_CADASTRAL WHEN 1 THEN 'NULA' WHEN 2 THEN 'ATIVA' WHEN 3 THEN 'SUSPENSA' WHEN 4 THEN 'INAPTA' WHEN 8 THEN 'BAIXADA' END AS NM_SIT_CADASTRAL,
+       CASE TRY_CAST(MATRIZ_FILIAL AS INTEGER) WHEN 1 THEN 'MATRIZ' WHEN 2 THEN 'FILIAL' END AS NM_MATRIZ_FILIAL,
+       DT_SIT_CADASTRAL, DT_INICIO_ATIVIDADE, year(DT_INICIO_ATIVIDADE) AS ano_cadastro, month(DT_INICIO_ATIVIDADE) AS mes_cadastro,
+       year(DT_SIT_CADASTRAL) AS ano_sit_cadastral, month(DT_SIT_CADASTRAL) AS mes_sit_cadastral, NM_MOTIVO, CNAE, MUNICIPIO, NM_PAIS,
+       concat_ws(', ', TIPO_LOUGRADOURO || ' ' || LOGRADOURO, CAST(NUMERO AS VARCHAR), concat_ws(' - ', MUNICIPIO, UF)) AS ENDERECO_COMPLETO,
+       COALESCE(d1.v, PROV0) AS PROVEDOR, EMAIL,
+       CASE WHEN regexp_matches(VALID0, '^([^@]*@)([^.@]+)(\\..*)$')
+            THEN regexp_extract(VALID0, '^([^@]*@)([^.@]+)(\\..*)$', 1) || COALESCE(lower(d2.v), regexp_extract(VALID0, '^([^@]*@)([^.@]+)(\\..*)$', 2))
+                 || regexp_extract(VALID0, '^([^@]*@)([^.@]+)(\\..*)$', 3)
+            ELSE VALID0 END AS VALID_EMAIL
+FROM j LEFT JOIN dict d1 ON d1.k = PROV0
+LEFT JOIN dict d2 ON d2.k = upper(regexp_extract(VALID0, '^([^@]*@)([^.@]+)(\\..*)$', 2))
+""")
+def establishments_flow(spark, d):
+    rows = establishment_rows(spark, d)
+    region, nation = table(spark, d, "region"), table(spark, d, "nation")
+    motivos = region.filter(F.col("r_regionkey") < 3).select(F.col("r_regionkey").cast("string").alias("COD_MOTIVO"),
+                                                             F.col("r_name").alias("NM_MOTIVO"))
+    cnaes = nation.select(F.col("n_nationkey").cast("string").alias("COD_CNAE"),
+                          F.concat(F.lit("CNAE "), "n_name").alias("CNAE"))
+    municipios = nation.select(F.col("n_nationkey").cast("string").alias("ID_MUNICPIO"), F.col("n_name").alias("MUNICIPIO"))
+    paises = region.select(F.col("r_regionkey").cast("string").alias("COD_PAIS"), F.col("r_name").alias("NM_PAIS"))
+    from .registry import process_establishments
+
+    out = process_establishments(rows, motivos, cnaes, municipios, paises, flow_provider_map())
+    return out.select(*ESTAB_OUT)
+
+
+def company_rows(spark, d) -> DataFrame:
+    """Company-shaped rows: one per customer; names from its part, an id-like digit run of
+    11, 14 or 8 digits."""
+    c = table(spark, d, "customer")
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("c_custkey"), "p_name")
+    x = J.lookup(c, p, "c_custkey", drop_key=False)
+    width = F.when(F.col("c_custkey") % 3 == 0, 11).when(F.col("c_custkey") % 3 == 1, 14).otherwise(8)
+    return x.select(
+        F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("CNPJ"),
+        F.concat(F.coalesce(F.upper("p_name"), F.lit("SEM NOME")), F.lit(" "),
+                 F.lpad(F.col("c_custkey").cast("string"), width, F.lit("0"))).alias("NOME_EMPRESA"),
+        (F.col("c_nationkey") % 5).cast("string").alias("COD_NAT_JURICA"),
+        F.col("c_nationkey").cast("string").alias("QUALIF_RESPONVAVEL"),
+        F.regexp_replace(F.format_string("%.2f", "c_acctbal"), r"\.", ",").alias("CAP_SOCIAL"),
+        F.lpad((F.col("c_nationkey") % 10).cast("string"), 2, "0").alias("PORTE"),
+        F.col("c_mktsegment").alias("ENTE_FEDERATIVO"))
+
+
+def name_rows(spark, d) -> DataFrame:
+    """First-name dictionary shaped rows from part names (adjective = name, noun = alias)."""
+    p = table(spark, d, "part")
+    first = F.upper(F.split_part("p_name", F.lit(" "), F.lit(1)))
+    second = F.upper(F.split_part("p_name", F.lit(" "), F.lit(2)))
+    return p.select(first.alias("first_name"),
+                    F.when(F.col("p_partkey") % 7 == 0, F.lit(None).cast("string"))
+                    .otherwise(F.concat(first, F.lit("|"), second)).alias("alternative_names"),
+                    first.alias("group_name"), (F.col("p_retailprice") / 2000.0).alias("ratio"),
+                    F.when(F.col("p_size") % 2 == 0, "F").otherwise("M").alias("classification"))
+
+
+@register("sole_traders_flow", f"""
+WITH emp AS (SELECT lpad(CAST(c.c_custkey AS VARCHAR), 8, '0') AS CNPJ,
+        COALESCE(upper(p.p_name), 'SEM NOME') || ' ' || lpad(CAST(c.c_custkey AS VARCHAR), CASE c.c_custkey % 3 WHEN 0 THEN 11 WHEN 1 THEN 14 ELSE 8 END, '0') AS NOME_EMPRESA,
+        CAST(c.c_nationkey % 5 AS VARCHAR) AS COD_NAT_JURICA, CAST(c.c_nationkey AS VARCHAR) AS COD_QUALIFICACAO,
+        replace(printf('%.2f', c.c_acctbal), '.', ',') AS CAP_SOCIAL, lpad(CAST(c.c_nationkey % 10 AS VARCHAR), 2, '0') AS PORTE,
+        c.c_mktsegment AS ENTE_FEDERATIVO
+      FROM customer c LEFT JOIN part p ON c.c_custkey = p.p_partkey),
+comp AS (SELECT e.*, r.r_name AS NAT_JURICA, n.n_name AS NM_QUALIFICACAO, nullif(regexp_replace(NOME_EMPRESA, '[^0-9]', '', 'g'), '') AS CPF
+      FROM emp e LEFT JOIN region r ON e.COD_NAT_JURICA = CAST(r.r_regionkey AS VARCHAR)
+      LEFT JOIN nation n ON e.COD_QUALIFICACAO = CAST(n.n_nationkey AS VARCHAR)),
+c2 AS (SELECT *, length(CPF) AS CPF_LEN,
+        CASE TRY_CAST(PORTE AS INTEGER) WHEN 0 THEN 'NÃO INFORMADO' WHEN 1 THEN 'MICRO EMPRESA' WHEN 3 THEN 'EMPRESA DE PEQUENO PORTE'
+             WHEN 5 THEN 'DEMAIS' WHEN 8 THEN 'BAIXADA' END AS NM_PORTE,
+        CASE WHEN length(CPF) = 11 THEN 'SIM' ELSE 'NAO' END AS PROBABILIDADE_DE_SER_CPF,
+        CASE WHEN CPF IS NOT NULL THEN sha256('{TOKEN_KEY}' || CPF) END AS CPF_CRIPTOGRAFADO FROM comp),
+mei AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY CPF_CRIPTOGRAFADO, NOME_EMPRESA
+        ORDER BY CNPJ DESC, CAP_SOCIAL DESC, ENTE_FEDERATIVO DESC) AS rn FROM c2 WHERE PROBABILIDADE_DE_SER_CPF = 'SIM') WHERE rn = 1),
+names AS (SELECT upper(split_part(p_name, ' ', 1)) AS first_name,
+        CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE upper(split_part(p_name, ' ', 1)) || '|' || upper(split_part(p_name, ' ', 2)) END AS alternative_names,
+        upper(split_part(p_name, ' ', 1)) AS group_name, p_retailprice / 2000.0 AS ratio,
+        CASE WHEN p_size % 2 = 0 THEN 'F' ELSE 'M' END AS classification FROM part),
+alts AS (SELECT unnest(string_split(COALESCE(alternative_names, first_name), '|')) AS alt, group_name, ratio, classification FROM names),
+dict AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY alt ORDER BY ratio DESC, group_name DESC, classification DESC) AS rn FROM alts) WHERE rn = 1)
+SELECT DISTINCT m.CNPJ, m.NOME_EMPRESA, m.CAP_SOCIAL, m.NM_PORTE, m.NAT_JURICA, m.ENTE_FEDERATIVO, m.NM_QUALIFICACAO, m.CPF_CRIPTOGRAFADO,
+       m.CPF_LEN, m.PROBABILIDADE_DE_SER_CPF, split_part(m.NOME_EMPRESA, ' ', 1) AS PRIMEIRO_NOME, d.group_name AS GRUPO_NOME,
+       d.ratio AS PROBABILIDADE_CLASSIFICACAO, d.classification AS CLASSIFICACAO
+FROM mei m LEFT JOIN dict d ON split_part(m.NOME_EMPRESA, ' ', 1) = d.alt
+""")
+def sole_traders_flow(spark, d):
+    from .registry import process_sole_traders
+
+    region, nation = table(spark, d, "region"), table(spark, d, "nation")
+    naturezas = region.select(F.col("r_regionkey").cast("string").alias("COD_NAT_JURICA"), F.col("r_name").alias("NAT_JURICA"))
+    qualificacoes = nation.select(F.col("n_nationkey").cast("string").alias("COD_QUALIFICACAO"),
+                                  F.col("n_name").alias("NM_QUALIFICACAO"))
+    return process_sole_traders(company_rows(spark, d), naturezas, qualificacoes, name_rows(spark, d), TOKEN_KEY, "sha2")

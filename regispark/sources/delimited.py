@@ -81,3 +81,9 @@ def read_header_csv(spark: SparkSession, path: str, sep: str = ",", encoding: st
 def local_files(pattern: str) -> list[str]:
     """Expand a local glob (driver-side listing only; contents are read by executors)."""
     return sorted(_glob.glob(pattern))
+
+
+def read_parquet(spark: SparkSession, path: str, columns=None) -> DataFrame:
+    """Parquet scan; a column list becomes the scan's ReadSchema (pruned at the source)."""
+    df = spark.read.parquet(path)
+    return df.select(*columns) if columns else df
