@@ -8,9 +8,10 @@ join). Results are long-form DataFrames; nothing is collected inside an operator
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .._util import as_list, fresh, quote
 
@@ -32,6 +33,54 @@ def _c(name: str) -> Column:
     return F.col(quote(name))
 
 
+_LOCAL_BITS = 33  # monotonically_increasing_id = partition index << 33 | row index in partition
+
+
+def exact_quantiles_long(df: DataFrame, by, c: str, probs, num_partitions: int | None = None) -> DataFrame:
+    """Exact discrete quantiles (inverted CDF: the ceil(p * n)-th smallest value, as SQL
+    ``percentile_disc``/``quantile_disc``) per group, as rows (by..., prob, value).
+
+    Distributed and skew-safe: rows are range-partitioned on (group, value) and sorted, so a
+    hot group spreads over many partitions; a row's rank inside its group is its position
+    in the partition plus the counts of the group's rows in earlier partitions (a small
+    aggregate with one row per group and partition). The target rows are picked by an
+    equi-join on (group, position). Nothing is collected; no value list is held per group.
+    """
+    keys = as_list(by)
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = df.select(*[_c(k) for k in keys], _c(c).alias("__v")).filter(F.col("__v").isNotNull())
+    order = [F.col(quote(k)) for k in keys] + [F.col("__v")]
+    s = base.repartitionByRange(n, *order).sortWithinPartitions(*order) \
+        .withColumn("__mid", F.monotonically_increasing_id())
+    s = s.withColumns({"__pid": F.shiftright("__mid", _LOCAL_BITS),
+                       "__li": F.col("__mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))})
+    stats = s.groupBy(*[_c(k) for k in keys], "__pid").agg(F.count(F.lit(1)).alias("__cnt"), F.min("__li").alias("__lo"))
+    grp = Window.partitionBy(*[_c(k) for k in keys])
+    stats = stats.withColumns({
+        "__before": F.coalesce(F.sum("__cnt").over(grp.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
+                               F.lit(0)),
+        "__n": F.sum("__cnt").over(grp)})
+    pv = F.array(*[F.lit(Decimal(str(p))).cast("decimal(20,18)") for p in probs])
+    t = stats.withColumn("__p", F.explode(pv))
+    t = t.withColumn("__r", F.greatest(F.ceil(F.col("__p") * F.col("__n")).cast("long"), F.lit(1)))
+    t = t.filter((F.col("__r") > F.col("__before")) & (F.col("__r") <= F.col("__before") + F.col("__cnt")))
+    t = t.select(*[_c(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__p",
+                 (F.shiftleft("__pid", _LOCAL_BITS) + F.col("__lo") + F.col("__r") - F.col("__before") - 1).alias("__tmid"))
+    from .joins import maybe_broadcast
+
+    cond = F.col("__mid") == F.col("__tmid")
+    for i, k in enumerate(keys):
+        cond = cond & _c(k).eqNullSafe(F.col(f"__k{i}"))
+    out = s.join(maybe_broadcast(t), cond, "inner")
+    return out.select(*[_c(k) for k in keys], F.col("__p").cast("double").alias("prob"), F.col("__v").alias("value"))
+
+
+def _wide_quantiles(long: DataFrame, keys: list, probs) -> DataFrame:
+    return long.groupBy(*[_c(k) for k in keys]).agg(
+        *[F.max(F.when(F.col("prob") == float(p), F.col("value"))).alias(pct_name(p)) for p in probs])
+
+
 def pct_name(p: float) -> str:
     return f"p{int(round(p * 100)):02d}"
 
@@ -67,9 +116,28 @@ def top_k(df: DataFrame, order, k: int, ascending: bool = False) -> DataFrame:
     return df.orderBy(*cols).limit(k)
 
 
-def group_profile(df: DataFrame, by, c: str, probs=PROFILE_PROBS, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """A3: per group count, mean, min, percentiles, max — one aggregate, one sketch per group."""
+def group_profile(df: DataFrame, by, c: str, probs=PROFILE_PROBS, accuracy: int = DEFAULT_ACCURACY,
+                  exact: bool = False) -> DataFrame:
+    """A3: per group count, mean, min, percentiles, max.
+
+    Default: one aggregate with a bounded-memory ``percentile_approx`` sketch per group
+    (relative rank error 1/accuracy). ``exact=True``: exact discrete percentiles through
+    :func:`exact_quantiles_long` (one range sort), joined to the plain aggregate."""
     keys = as_list(by)
+    if exact:
+        basic = df.groupBy(*[_c(k) for k in keys]).agg(
+            F.count(_c(c)).alias("n"), F.avg(_c(c)).alias("mean"), F.min(_c(c)).alias("min"), F.max(_c(c)).alias("max"))
+        wide = _wide_quantiles(exact_quantiles_long(df, keys, c, probs), keys, probs)
+        if keys:
+            cond = None
+            for k in keys:
+                term = basic[k].eqNullSafe(wide[k])
+                cond = term if cond is None else cond & term
+            j = basic.join(wide, cond, "left")
+            return j.select(*[basic[k] for k in keys], "n", "mean", "min", *[pct_name(p) for p in probs], "max")
+        # one global row: the percentiles come in as scalar subqueries
+        return basic.select("n", "mean", "min", *[wide.select(pct_name(p)).scalar().alias(pct_name(p)) for p in probs],
+                            "max")
     q = fresh(df.columns, "__q")
     agg = df.groupBy(*[_c(k) for k in keys]).agg(
         F.count(_c(c)).alias("n"),
@@ -82,11 +150,14 @@ def group_profile(df: DataFrame, by, c: str, probs=PROFILE_PROBS, accuracy: int
                       *[F.col(q)[i].alias(pct_name(p)) for i, p in enumerate(probs)], "max")
 
 
-def quantiles(df: DataFrame, c: str, probs, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """A4: global quantiles as (prob, value) rows; one distributed sketch aggregate.
+def quantiles(df: DataFrame, c: str, probs, accuracy: int = DEFAULT_ACCURACY, exact: bool = False) -> DataFrame:
+    """A4: global quantiles as (prob, value) rows.
 
-    With ``accuracy`` above the row count the sketch is exact (relative error 0)."""
+    Default: one distributed sketch aggregate. ``exact=True`` (relative error 0): exact
+    discrete quantiles by a distributed range sort (no collect)."""
     probs = list(probs)
+    if exact:
+        return exact_quantiles_long(df, [], c, probs)
     q = df.agg(F.percentile_approx(_c(c), _probs(probs), accuracy).alias("q"))
     return q.select(F.posexplode("q").alias("i", "value")).select(
         F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1).alias("prob"), "value")
@@ -97,9 +168,19 @@ def filtered_mean(df: DataFrame, c: str, lo, hi, digits: int = 2) -> DataFrame:
     return df.filter((_c(c) > lo) & (_c(c) < hi)).agg(F.round(F.avg(_c(c)), digits).alias("mean"))
 
 
-def summary_long(df: DataFrame, cols, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Count, mean, stddev, min, 25/50/75 %, max per column — one aggregate, long form."""
+def summary_long(df: DataFrame, cols, accuracy: int = DEFAULT_ACCURACY, exact: bool = False) -> DataFrame:
+    """Count, mean, stddev, min, 25/50/75 %, max per column, long form.
+
+    Default: one aggregate with sketches. ``exact=True``: quartiles from an exact
+    distributed range sort per column (then joined to the one-pass moments)."""
     cols = as_list(cols)
+    if exact:
+        moments = describe_long(df, cols)
+        qs = union_all([exact_quantiles_long(df, [], c, [0.25, 0.5, 0.75]).withColumn("column", F.lit(c)) for c in cols])
+        wide = qs.groupBy("column").agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).cast("double").alias(n)
+                                          for p, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
+        return moments.join(wide, "column", "left").select("column", "count", "mean", "stddev", "min", "p25", "p50",
+                                                           "p75", "max")
     aggs = []
     for i, c in enumerate(cols):
         aggs += [F.count(_c(c)).alias(f"n{i}"), F.avg(_c(c)).alias(f"m{i}"), F.stddev_samp(_c(c)).alias(f"s{i}"),

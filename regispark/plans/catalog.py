@@ -68,7 +68,7 @@ def flagship_profile(spark, d):
     x = J.lookup(x, nation, "n_nationkey")
     x = J.lookup(x, region, "r_regionkey")
     x = x.withColumn("status", X.decode("o_orderstatus", ORDER_STATUS))
-    prof = A.group_profile(x, ["r_name", "status"], "o_totalprice", FLAGSHIP_PROBS)
+    prof = A.group_profile(x, ["r_name", "status"], "o_totalprice", FLAGSHIP_PROBS, exact=True)
     return prof.withColumn("mean", _r("mean", 4))
 
 
@@ -565,7 +565,7 @@ SELECT o_orderpriority, count(o_totalprice) AS n, round(avg(o_totalprice), 4) AS
 FROM orders GROUP BY 1
 """)
 def group_percentiles(spark, d):
-    prof = A.group_profile(table(spark, d, "orders"), "o_orderpriority", "o_totalprice", accuracy=1_000_000)
+    prof = A.group_profile(table(spark, d, "orders"), "o_orderpriority", "o_totalprice", exact=True)
     return prof.withColumn("mean", _r("mean", 4))
 
 
@@ -575,7 +575,7 @@ GLOBAL_PROBS = [0.01, 0.05, 0.1, 0.2, 0.25, 0.3, 0.4, 0.5, 0.6, 0.7, 0.75, 0.8,
 @register("global_quantiles", " UNION ALL ".join(
     f"SELECT {p} AS prob, quantile_disc(l_extendedprice, {p}) AS value FROM lineitem" for p in GLOBAL_PROBS))
 def global_quantiles(spark, d):
-    return A.quantiles(table(spark, d, "lineitem"), "l_extendedprice", GLOBAL_PROBS, accuracy=1_000_000)
+    return A.quantiles(table(spark, d, "lineitem"), "l_extendedprice", GLOBAL_PROBS, exact=True)
 
 
 _NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -586,7 +586,7 @@ _NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     CAST(min({c}) AS DOUBLE) AS min, CAST(quantile_disc({c}, 0.25) AS DOUBLE) AS p25, CAST(quantile_disc({c}, 0.5) AS DOUBLE) AS p50,
     CAST(quantile_disc({c}, 0.75) AS DOUBLE) AS p75, CAST(max({c}) AS DOUBLE) AS max FROM lineitem""" for c in _NUM))
 def summary_long(spark, d):
-    s = A.summary_long(table(spark, d, "lineitem"), _NUM, accuracy=1_000_000)
+    s = A.summary_long(table(spark, d, "lineitem"), _NUM, exact=True)
     return s.withColumns({"mean": _r("mean"), "stddev": _r("stddev")})
 
 

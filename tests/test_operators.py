@@ -133,3 +133,25 @@ def test_hash_split_is_layout_independent(spark):
     tr1, _ = FL.split_train_test(df, 0.75, 7, by=["id"])
     tr2, _ = FL.split_train_test(df.repartition(13), 0.75, 7, by=["id"])
     assert sorted(r[0] for r in tr1.collect()) == sorted(r[0] for r in tr2.collect())
+
+
+def test_exact_quantiles_hot_group_matches_brute_force(spark):
+    import random
+
+    rnd = random.Random(11)
+    data = [("hot", float(rnd.randint(0, 500))) for _ in range(3000)] + \
+           [(g, float(rnd.randint(0, 50))) for g in ("a", "b", None) for _ in range(rnd.randint(1, 40))] + [("a", None)]
+    df = spark.createDataFrame(data, "g string, x double")
+    probs = [0.0, 0.05, 0.33, 0.5, 0.55, 0.99, 1.0]
+    got = {(r.g, r.prob): r.value for r in A.exact_quantiles_long(df, "g", "x", probs, num_partitions=13).collect()}
+    for g in ("hot", "a", "b", None):
+        vals = sorted(x for k, x in data if k == g and x is not None)
+        for p in probs:
+            from decimal import Decimal
+            k = max(1, math.ceil(Decimal(str(p)) * len(vals)))
+            assert got[(g, p)] == vals[k - 1], (g, p)
+    glob = {r.prob: r.value for r in A.quantiles(df, "x", probs, exact=True).collect()}
+    allv = sorted(x for _, x in data if x is not None)
+    assert glob[0.5] == allv[math.ceil(0.5 * len(allv)) - 1]
+    prof = A.group_profile(df, "g", "x", [0.5], exact=True).collect()
+    assert {r.g: r.p50 for r in prof}["hot"] == got[("hot", 0.5)]
