@@ -36,44 +36,57 @@ def _c(name: str) -> Column:
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition index << 33 | row index in partition
 
 
-def exact_quantiles_long(df: DataFrame, by, c: str, probs, num_partitions: int | None = None) -> DataFrame:
-    """Exact discrete quantiles (inverted CDF: the ceil(p * n)-th smallest value, as SQL
-    ``percentile_disc``/``quantile_disc``) per group, as rows (by..., prob, value).
-
-    Distributed and skew-safe: rows are range-partitioned on (group, value) and sorted, so a
-    hot group spreads over many partitions; a row's rank inside its group is its position
-    in the partition plus the counts of the group's rows in earlier partitions (a small
-    aggregate with one row per group and partition). The target rows are picked by an
-    equi-join on (group, position). Nothing is collected; no value list is held per group.
-    """
-    keys = as_list(by)
+def _exact_core(df: DataFrame, keys: list, c: str, probs, num_partitions: int | None = None):
+    """(long quantile rows, per-group stats n/sum/min/max) from ONE range-sorted pass."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = df.select(*[_c(k) for k in keys], _c(c).alias("__v")).filter(F.col("__v").isNotNull())
-    order = [F.col(quote(k)) for k in keys] + [F.col("__v")]
+    base = df.select(*[_c(k) for k in keys], _c(c).alias("__v"))
+    order = [F.col(quote(k)) for k in keys] + [F.col("__v")]  # ascending, NULLs first
     s = base.repartitionByRange(n, *order).sortWithinPartitions(*order) \
         .withColumn("__mid", F.monotonically_increasing_id())
     s = s.withColumns({"__pid": F.shiftright("__mid", _LOCAL_BITS),
                        "__li": F.col("__mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))})
-    stats = s.groupBy(*[_c(k) for k in keys], "__pid").agg(F.count(F.lit(1)).alias("__cnt"), F.min("__li").alias("__lo"))
+    stats = s.groupBy(*[_c(k) for k in keys], "__pid").agg(
+        F.count(F.lit(1)).alias("__cnt"), F.count("__v").alias("__nn"), F.min("__li").alias("__lo"),
+        F.sum("__v").alias("__sum"), F.min("__v").alias("__min"), F.max("__v").alias("__max"))
     grp = Window.partitionBy(*[_c(k) for k in keys])
     stats = stats.withColumns({
         "__before": F.coalesce(F.sum("__cnt").over(grp.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
                                F.lit(0)),
-        "__n": F.sum("__cnt").over(grp)})
+        "__n": F.sum("__nn").over(grp),
+        "__nulls": F.sum(F.col("__cnt") - F.col("__nn")).over(grp)})
+    group_stats = stats.groupBy(*[_c(k) for k in keys]).agg(
+        F.sum("__nn").alias("n"), F.sum("__sum").alias("__s"), F.min("__min").alias("min"), F.max("__max").alias("max"))
+    group_stats = group_stats.withColumn("mean", F.when(F.col("n") > 0, F.col("__s") / F.col("n"))).drop("__s")
     pv = F.array(*[F.lit(Decimal(str(p))).cast("decimal(20,18)") for p in probs])
-    t = stats.withColumn("__p", F.explode(pv))
-    t = t.withColumn("__r", F.greatest(F.ceil(F.col("__p") * F.col("__n")).cast("long"), F.lit(1)))
+    t = stats.filter(F.col("__n") > 0).withColumn("__p", F.explode(pv))
+    # position inside the group's sorted slice: NULLs first, then the ceil(p * n)-th value
+    t = t.withColumn("__r", F.col("__nulls") + F.greatest(F.ceil(F.col("__p") * F.col("__n")).cast("long"), F.lit(1)))
     t = t.filter((F.col("__r") > F.col("__before")) & (F.col("__r") <= F.col("__before") + F.col("__cnt")))
     t = t.select(*[_c(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__p",
                  (F.shiftleft("__pid", _LOCAL_BITS) + F.col("__lo") + F.col("__r") - F.col("__before") - 1).alias("__tmid"))
-    from .joins import maybe_broadcast
-
     cond = F.col("__mid") == F.col("__tmid")
     for i, k in enumerate(keys):
         cond = cond & _c(k).eqNullSafe(F.col(f"__k{i}"))
-    out = s.join(maybe_broadcast(t), cond, "inner")
-    return out.select(*[_c(k) for k in keys], F.col("__p").cast("double").alias("prob"), F.col("__v").alias("value"))
+    # Without groups the target table has at most len(probs) rows: broadcast is proven safe.
+    # With groups it has up to groups x probs rows; probing it would run the whole sort, so
+    # AQE's runtime size check picks broadcast or shuffle join once the table exists.
+    out = s.join(F.broadcast(t) if not keys else t, cond, "inner")
+    long = out.select(*[_c(k) for k in keys], F.col("__p").cast("double").alias("prob"), F.col("__v").alias("value"))
+    return long, group_stats
+
+
+def exact_quantiles_long(df: DataFrame, by, c: str, probs, num_partitions: int | None = None) -> DataFrame:
+    """Exact discrete quantiles (inverted CDF: the ceil(p * n)-th smallest non-NULL value, as
+    SQL ``percentile_disc``/``quantile_disc``) per group, as rows (by..., prob, value).
+
+    Distributed and skew-safe: rows are range-partitioned on (group, value) and sorted, so a
+    hot group spreads over many partitions; a row's rank inside its group is its position
+    in the partition plus the counts of the group's rows in earlier partitions (a small
+    aggregate with one row per group and partition). The target rows are picked by an
+    equi-join on (group, position). Nothing is collected; no value list is held per group.
+    """
+    return _exact_core(df, as_list(by), c, probs, num_partitions)[0]
 
 
 def _wide_quantiles(long: DataFrame, keys: list, probs) -> DataFrame:
@@ -125,18 +138,17 @@ def group_profile(df: DataFrame, by, c: str, probs=PROFILE_PROBS, accuracy: int
     :func:`exact_quantiles_long` (one range sort), joined to the plain aggregate."""
     keys = as_list(by)
     if exact:
-        basic = df.groupBy(*[_c(k) for k in keys]).agg(
-            F.count(_c(c)).alias("n"), F.avg(_c(c)).alias("mean"), F.min(_c(c)).alias("min"), F.max(_c(c)).alias("max"))
-        wide = _wide_quantiles(exact_quantiles_long(df, keys, c, probs), keys, probs)
+        long, stats = _exact_core(df, keys, c, probs)
+        wide = _wide_quantiles(long, keys, probs)
         if keys:
             cond = None
             for k in keys:
-                term = basic[k].eqNullSafe(wide[k])
+                term = stats[k].eqNullSafe(wide[k])
                 cond = term if cond is None else cond & term
-            j = basic.join(wide, cond, "left")
-            return j.select(*[basic[k] for k in keys], "n", "mean", "min", *[pct_name(p) for p in probs], "max")
+            j = stats.join(wide, cond, "left")
+            return j.select(*[stats[k] for k in keys], "n", "mean", "min", *[pct_name(p) for p in probs], "max")
         # one global row: the percentiles come in as scalar subqueries
-        return basic.select("n", "mean", "min", *[wide.select(pct_name(p)).scalar().alias(pct_name(p)) for p in probs],
+        return stats.select("n", "mean", "min", *[wide.select(pct_name(p)).scalar().alias(pct_name(p)) for p in probs],
                             "max")
     q = fresh(df.columns, "__q")
     agg = df.groupBy(*[_c(k) for k in keys]).agg(
@@ -176,7 +188,9 @@ def summary_long(df: DataFrame, cols, accuracy: int = DEFAULT_ACCURACY, exact: b
     cols = as_list(cols)
     if exact:
         moments = describe_long(df, cols)
-        qs = union_all([exact_quantiles_long(df, [], c, [0.25, 0.5, 0.75]).withColumn("column", F.lit(c)) for c in cols])
+        long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), _c(c).cast("double").alias("value"))
+                                            for c in cols])))
+        qs = exact_quantiles_long(long, "column", "value", [0.25, 0.5, 0.75])
         wide = qs.groupBy("column").agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).cast("double").alias(n)
                                           for p, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
         return moments.join(wide, "column", "left").select("column", "count", "mean", "stddev", "min", "p25", "p50",
