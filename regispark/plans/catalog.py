@@ -1078,3 +1078,186 @@ def sole_traders_flow(spark, d):
     qualificacoes = nation.select(F.col("n_nationkey").cast("string").alias("COD_QUALIFICACAO"),
                                   F.col("n_name").alias("NM_QUALIFICACAO"))
     return process_sole_traders(company_rows(spark, d), naturezas, qualificacoes, name_rows(spark, d), TOKEN_KEY, "sha2")
+
+
+def partner_rows(spark, d) -> DataFrame:
+    """Partner-shaped rows: one per supplier, named after its part, coded from its keys."""
+    s = table(spark, d, "supplier")
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("s_suppkey"), "p_name")
+    x = J.lookup(s, p, "s_suppkey", drop_key=False)
+    return x.select(
+        F.lpad((F.col("s_suppkey") % 500).cast("string"), 8, "0").alias("CNPJ_BASICO"),
+        (F.col("s_suppkey") % 4).cast("int").alias("IDENTIFICADOR_SOCIO"),
+        F.concat(F.coalesce(F.upper("p_name"), F.lit("SEM NOME")), F.lit(" "), F.col("s_name")).alias("NOME_SOCIO_RAZAO_SOCIAL"),
+        F.lpad(F.col("s_suppkey").cast("string"), 11, "0").alias("CNPJ_CPF_SOCIO"),
+        F.col("s_nationkey").cast("string").alias("QUALIFICAÇAO_SOCIO"),
+        F.when(F.col("s_suppkey") % 9 == 0, "0").otherwise(F.concat(F.lit("2015"), F.lpad(((F.col("s_suppkey") % 12) + 1)
+               .cast("string"), 2, "0"), F.lit("15"))).alias("DATA_ENTRADA_SOCIEDADE"),
+        (F.col("s_nationkey") % 5).cast("string").alias("PAIS"),
+        F.lit("***").alias("REPRESENTANTE_LEGAL"),
+        F.lit(None).cast("string").alias("NOME_REPRESENTANTE"),
+        ((F.col("s_nationkey") + 1) % 25).cast("string").alias("QUALIFICACAO_REPRESENTANTE_LEGAL"),
+        (F.col("s_suppkey") % 11).cast("string").alias("FAIXA_ETARIA"))
+
+
+_AGE_SQL = " ".join(f"WHEN {k} THEN '{v}'" for k, v in X.AGE_BAND.items())
+_PARTNER_TYPE_SQL = " ".join(f"WHEN {k} THEN '{v}'" for k, v in X.PARTNER_TYPE.items())
+
+
+@register("partners_flow", f"""
+WITH sp AS (SELECT s.*, p.p_name FROM supplier s LEFT JOIN part p ON s.s_suppkey = p.p_partkey),
+so AS (SELECT lpad(CAST(s_suppkey % 500 AS VARCHAR), 8, '0') AS CNPJ_BASICO, CAST(s_suppkey % 4 AS INTEGER) AS IDENTIFICADOR_SOCIO,
+        COALESCE(upper(p_name), 'SEM NOME') || ' ' || s_name AS NOME_SOCIO_RAZAO_SOCIAL, lpad(CAST(s_suppkey AS VARCHAR), 11, '0') AS CNPJ_CPF_SOCIO,
+        CAST(s_nationkey AS VARCHAR) AS QUALIFICACAO_SOCIO,
+        CASE WHEN s_suppkey % 9 = 0 THEN '0' ELSE '2015' || lpad(CAST(s_suppkey % 12 + 1 AS VARCHAR), 2, '0') || '15' END AS DATA_ENTRADA_SOCIEDADE,
+        CAST(s_nationkey % 5 AS VARCHAR) AS PAIS, '***' AS REPRESENTANTE_LEGAL, CAST(NULL AS VARCHAR) AS NOME_REPRESENTANTE,
+        CAST((s_nationkey + 1) % 25 AS VARCHAR) AS QUALIFICACAO_REPRESENTANTE_LEGAL, CAST(s_suppkey % 11 AS VARCHAR) AS FAIXA_ETARIA FROM sp),
+names AS (SELECT upper(split_part(p_name, ' ', 1)) AS first_name,
+        CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE upper(split_part(p_name, ' ', 1)) || '|' || upper(split_part(p_name, ' ', 2)) END AS alternative_names,
+        upper(split_part(p_name, ' ', 1)) AS group_name, p_retailprice / 2000.0 AS ratio,
+        CASE WHEN p_size % 2 = 0 THEN 'F' ELSE 'M' END AS classification FROM part),
+alts AS (SELECT unnest(string_split(alternative_names, '|')) AS alt, group_name, ratio, classification FROM names WHERE alternative_names IS NOT NULL),
+dict AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY alt ORDER BY ratio DESC, group_name DESC, classification DESC) AS rn FROM alts) WHERE rn = 1)
+SELECT DISTINCT so.CNPJ_BASICO, so.NOME_SOCIO_RAZAO_SOCIAL, so.CNPJ_CPF_SOCIO, so.REPRESENTANTE_LEGAL, so.NOME_REPRESENTANTE,
+       pa.r_name AS NM_PAIS, CASE TRY_CAST(so.FAIXA_ETARIA AS INTEGER) {_AGE_SQL} END AS NM_FAIXA_ETARIA,
+       CASE so.IDENTIFICADOR_SOCIO {_PARTNER_TYPE_SQL} END AS NM_IDENTIFICADOR_SOCIO,
+       ql.n_name AS NM_QUALIFICACAO_REPRESENTANTE_LEGAL, qs.n_name AS "NM_QUALIFICAÇAO_SOCIO",
+       CAST(try_strptime(so.DATA_ENTRADA_SOCIEDADE, '%Y%m%d') AS DATE) AS DT_ENTRADA_SOCIEDADE,
+       split_part(so.NOME_SOCIO_RAZAO_SOCIAL, ' ', 1) AS PRIMEIRO_NOME, d.ratio AS PROBABILIDADE_CLASSIFICACAO, d.classification AS CLASSIFICACAO
+FROM so LEFT JOIN region pa ON so.PAIS = CAST(pa.r_regionkey AS VARCHAR)
+LEFT JOIN nation ql ON so.QUALIFICACAO_REPRESENTANTE_LEGAL = CAST(ql.n_nationkey AS VARCHAR)
+LEFT JOIN nation qs ON so.QUALIFICACAO_SOCIO = CAST(qs.n_nationkey AS VARCHAR)
+LEFT JOIN dict d ON split_part(so.NOME_SOCIO_RAZAO_SOCIAL, ' ', 1) = d.alt
+""")
+def partners_flow(spark, d):
+    from .registry import process_partners
+
+    region, nation = table(spark, d, "region"), table(spark, d, "nation")
+    paises = region.select(F.col("r_regionkey").cast("string").alias("COD_PAIS"), F.col("r_name").alias("NM_PAIS"))
+    qualificacoes = nation.select(F.col("n_nationkey").cast("string").alias("COD_QUALIFICACAO"),
+                                  F.col("n_name").alias("NM_QUALIFICACAO"))
+    return process_partners(partner_rows(spark, d), paises, qualificacoes, name_rows(spark, d))
+
+
+def phone_rows(spark, d) -> DataFrame:
+    """Final-table-shaped rows (one per customer) with formatted, partly broken phones."""
+    c = table(spark, d, "customer")
+    ddd = F.lpad(F.col("c_nationkey").cast("string"), 2, "0")
+    tel8 = F.concat(F.lpad(F.floor(F.abs("c_acctbal")).cast("bigint").cast("string"), 4, "0"),
+                    F.lpad((F.col("c_custkey") % 10000).cast("string"), 4, "0"))
+    day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("c_custkey") % 365).cast("int"))
+    return c.select(
+        F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("CNPJ"),
+        F.col("c_name").alias("NOME_EMPRESA"),
+        F.sha2(F.concat(F.lit(TOKEN_KEY), F.lpad(F.col("c_custkey").cast("string"), 11, "0")), 256).alias("CPF_CRIPTOGRAFADO"),
+        ddd.alias("UF"),
+        F.when(F.col("c_custkey") % 17 == 0, F.concat(F.lit("("), ddd, F.lit(")"))).otherwise(ddd).alias("DDD1"),
+        F.when(F.col("c_custkey") % 19 == 0, F.lit(None).cast("string"))
+        .when(F.col("c_custkey") % 23 == 0, F.concat(tel8, F.lit("9")))
+        .otherwise(F.concat(F.substring(tel8, 1, 4), F.lit("-"), F.substring(tel8, 5, 4))).alias("TEL1"),
+        day.alias("DT_SIT_CADASTRAL"), F.year(day).alias("ano_sit_cadastral"),
+        (F.lit(2000) + F.col("c_custkey") % 20).cast("int").alias("ano_cadastro"))
+
+
+def operator_rows(spark) -> DataFrame:
+    """Operator table (5-digit mobile prefixes, float-rendered) built from the range seed."""
+    r = expand_ranges(spark)
+    return r.select(F.lit("11").alias("DDD"), F.upper("operadora").alias("OPERADORA"),
+                    F.concat(F.lit("9"), F.col("faixa").cast("string"), F.lit(".0")).alias("faixa"),
+                    F.col("uf").alias("UF"), F.concat(F.lit("REGIAO "), F.col("uf")).alias("CIDADES_REGIOES_PRINCIPAIS"))
+
+
+@register("phones_flow", f"""
+WITH f AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS CNPJ, c_name AS NOME_EMPRESA,
+        sha256('{TOKEN_KEY}' || lpad(CAST(c_custkey AS VARCHAR), 11, '0')) AS CPF_CRIPTOGRAFADO,
+        CASE WHEN c_custkey % 17 = 0 THEN '(' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || ')'
+             ELSE lpad(CAST(c_nationkey AS VARCHAR), 2, '0') END AS DDD1,
+        CASE WHEN c_custkey % 19 = 0 THEN NULL
+             WHEN c_custkey % 23 = 0 THEN lpad(CAST(CAST(floor(abs(c_acctbal)) AS BIGINT) AS VARCHAR), 4, '0') || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') || '9'
+             ELSE lpad(CAST(CAST(floor(abs(c_acctbal)) AS BIGINT) AS VARCHAR), 4, '0') || '-' || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') END AS TEL1,
+        CAST(DATE '2020-01-01' + CAST(c_custkey % 365 AS INTEGER) AS DATE) AS DT_SIT_CADASTRAL,
+        year(CAST(DATE '2020-01-01' + CAST(c_custkey % 365 AS INTEGER) AS DATE)) AS ano_sit_cadastral,
+        CAST(2000 + c_custkey % 20 AS INTEGER) AS ano_cadastro
+      FROM customer),
+r AS ({_RANGES_SQL}),
+ops AS (SELECT '11' AS DDD, upper(operadora) AS OPERADORA, '9' || CAST(faixa AS VARCHAR) || '.0' AS faixa, uf AS UF,
+        'REGIAO ' || uf AS CIDADES_REGIOES_PRINCIPAIS FROM r),
+t AS (SELECT CPF_CRIPTOGRAFADO, DDD1, regexp_replace(TEL1, '[^0-9]', '', 'g') AS tel, regexp_replace(DDD1, '[^0-9]', '', 'g') AS ddd
+      FROM f WHERE TEL1 IS NOT NULL AND TEL1 <> 'null'),
+k AS (SELECT *, {_PHONE_SQL} AS cls FROM t WHERE length(ddd) = 2 AND length(tel) = 8),
+m AS (SELECT k.*, CASE WHEN cls = 'VALIDACAO_ESPECIAL' AND r.faixa IS NULL THEN 'TELEFONE FIXO'
+                       WHEN cls = 'VALIDACAO_ESPECIAL' AND r.faixa IS NOT NULL THEN 'TELEFONE CELULAR' ELSE cls END AS final
+      FROM k LEFT JOIN r ON TRY_CAST(k.ddd AS INTEGER) = r.ddd AND TRY_CAST(substr(k.tel, 1, 4) AS INTEGER) = r.faixa),
+h AS (SELECT m.CPF_CRIPTOGRAFADO, m.tel AS TEL1, m.ddd AS DDD1, m.final AS TIPO_TELEFONE, o.OPERADORA,
+             regexp_replace(o.faixa, '\\.0$', '') AS FAIXA_CEL, o.UF, o.CIDADES_REGIOES_PRINCIPAIS
+      FROM m LEFT JOIN ops o ON (CASE WHEN m.final = 'TELEFONE CELULAR' THEN '9' || substr(m.tel, 1, 4) ELSE 'TELEFONE FIXO' END)
+           = regexp_replace(o.faixa, '\\.0$', '') AND m.DDD1 = o.DDD),
+b AS (SELECT DISTINCT CNPJ, NOME_EMPRESA, CPF_CRIPTOGRAFADO, DT_SIT_CADASTRAL, ano_sit_cadastral, ano_cadastro FROM f)
+SELECT b.*, h.TEL1, h.DDD1, h.TIPO_TELEFONE, h.OPERADORA, h.FAIXA_CEL, h.UF, h.CIDADES_REGIOES_PRINCIPAIS
+FROM b LEFT JOIN h ON b.CPF_CRIPTOGRAFADO = h.CPF_CRIPTOGRAFADO
+""")
+def phones_flow(spark, d):
+    from .phones import treat_phones
+
+    return treat_phones(phone_rows(spark, d), operator_rows(spark))
+
+
+SQL_MODEL_OUT = ["CNPJ_ORDEM", "PROVEDOR", "EMAIL_LOWER", "MUNICIPIO_NOME", "NM_PAIS", "CNAE", "NM_MOTIVO",
+                 "NM_SIT_CADASTRAL", "DT_SIT_CADASTRAL_DATE", "DT_INICIO_ATIVIDADE_DATE", "ENDERECO_COMPLETO",
+                 "ANO_SIT_CADASTRAL", "MES_SIT_CADASTRAL", "PROVEDOR_VALIDO"]
+
+
+@register("sql_model", f"""
+WITH e0 AS (SELECT lpad(CAST(o.o_orderkey AS VARCHAR), 10, '0') AS CNPJ_ORDEM, CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS SIT_CADASTRAL,
+        CASE WHEN o.o_orderkey % 97 = 0 THEN '00000000' ELSE strftime(o.o_orderdate, '%Y%m%d') END AS DT_SIT_CADASTRAL,
+        strftime(o.o_orderdate, '%Y%m%d') AS DT_INICIO_ATIVIDADE, CAST(o.o_custkey % 5 AS VARCHAR) AS MOTIVO_CADASTRAL,
+        CAST(c.c_nationkey % 5 AS VARCHAR) AS PAIS, CAST(o.o_custkey % 30 AS VARCHAR) AS CNAE_1,
+        nullif(c.c_mktsegment, 'BUILDING') AS TIPO_LOUGRADOURO, c.c_name AS LOGRADOURO,
+        nullif(CAST(o.o_orderkey % 1000 AS INTEGER), 0) AS NUMERO, lpad(CAST(c.c_nationkey AS VARCHAR), 2, '0') AS UF,
+        CAST(c.c_nationkey AS VARCHAR) AS MUNICIPIO,
+        CASE WHEN o.o_orderkey % 11 = 0 THEN lower(replace(c.c_name, '#', '.')) WHEN o.o_orderkey % 13 = 0 THEN NULL
+             ELSE lower(replace(c.c_name, '#', '.')) || '@' || {EMAIL_DOMAINS}[CAST(o.o_orderkey % {len(EMAIL_DOMAINS)} AS INTEGER) + 1] || '.com' END AS EMAIL
+      FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey),
+es AS (SELECT e.*, string_split(string_split(upper(e.EMAIL), '@')[2], '.')[1] AS PROVEDOR, lower(e.EMAIL) AS EMAIL_LOWER,
+        m.n_name AS MUNICIPIO_NOME, p.r_name AS NM_PAIS, 'CNAE ' || cn.n_name AS CNAE, mo.r_name AS NM_MOTIVO,
+        CASE WHEN SIT_CADASTRAL = 1 THEN 'NULA' WHEN SIT_CADASTRAL = 2 THEN 'ATIVA' WHEN SIT_CADASTRAL = 3 THEN 'SUSPENSA'
+             WHEN SIT_CADASTRAL = 4 THEN 'INAPTA' WHEN SIT_CADASTRAL = 8 THEN 'BAIXADA' ELSE 'OUTRO' END AS NM_SIT_CADASTRAL,
+        CAST(try_strptime(e.DT_SIT_CADASTRAL, '%Y%m%d') AS DATE) AS DT_SIT_CADASTRAL_DATE,
+        CAST(try_strptime(e.DT_INICIO_ATIVIDADE, '%Y%m%d') AS DATE) AS DT_INICIO_ATIVIDADE_DATE
+      FROM e0 e LEFT JOIN nation m ON e.MUNICIPIO = CAST(m.n_nationkey AS VARCHAR)
+      LEFT JOIN region p ON e.PAIS = CAST(p.r_regionkey AS VARCHAR)
+      LEFT JOIN nation cn ON e.CNAE_1 = CAST(cn.n_nationkey AS VARCHAR)
+      LEFT JOIN (SELECT * FROM region WHERE r_regionkey < 3) mo ON e.MOTIVO_CADASTRAL = CAST(mo.r_regionkey AS VARCHAR)),
+dp AS (SELECT unnest({[p for p in FLOW_PROVIDERS]}) AS PROVEDOR_VALIDO)
+SELECT CNPJ_ORDEM, es.PROVEDOR, EMAIL_LOWER, MUNICIPIO_NOME, NM_PAIS, CNAE, NM_MOTIVO, NM_SIT_CADASTRAL, DT_SIT_CADASTRAL_DATE,
+       DT_INICIO_ATIVIDADE_DATE,
+       TIPO_LOUGRADOURO || ' ' || LOGRADOURO || ', ' || CAST(NUMERO AS VARCHAR) || ' - ' || MUNICIPIO_NOME || ', ' || UF AS ENDERECO_COMPLETO,
+       CAST(EXTRACT(YEAR FROM DT_SIT_CADASTRAL_DATE) AS INTEGER) AS ANO_SIT_CADASTRAL,
+       CAST(EXTRACT(MONTH FROM DT_SIT_CADASTRAL_DATE) AS INTEGER) AS MES_SIT_CADASTRAL, dp.PROVEDOR_VALIDO
+FROM es LEFT JOIN dp ON es.PROVEDOR = dp.PROVEDOR_VALIDO
+""")
+def sql_model(spark, d):
+    """Q9 + Q10: the SQL establishment model run by spark.sql over temp views, then read
+    through the pass-through model."""
+    from .sql_models import passthrough, sql_establishments
+
+    region, nation = table(spark, d, "region"), table(spark, d, "nation")
+    views = {
+        "estabelecimentos": establishment_rows(spark, d),
+        "municipios": nation.select(F.col("n_nationkey").cast("string").alias("ID_MUNICPIO"),
+                                    F.col("n_name").alias("MUNICIPIO")),
+        "paises": region.select(F.col("r_regionkey").cast("string").alias("COD_PAIS"), F.col("r_name").alias("NM_PAIS")),
+        "cnaes": nation.select(F.col("n_nationkey").cast("string").alias("COD_CNAE"),
+                               F.concat(F.lit("CNAE "), "n_name").alias("CNAE")),
+        "motivos": region.filter(F.col("r_regionkey") < 3).select(F.col("r_regionkey").cast("string").alias("COD_MOTIVO"),
+                                                                  F.col("r_name").alias("NM_MOTIVO")),
+        "dicionario_provedores": spark.createDataFrame([(p,) for p in FLOW_PROVIDERS], "PROVEDOR_VALIDO string"),
+    }
+    names = {}
+    for name, frame in views.items():
+        names[name] = f"rs_q9_{name}"
+        frame.createOrReplaceTempView(names[name])
+    sql_establishments(spark, names).createOrReplaceTempView("rs_q9_model")
+    return passthrough(spark, "rs_q9_model").select(*SQL_MODEL_OUT) \
+        .withColumns({"ANO_SIT_CADASTRAL": F.col("ANO_SIT_CADASTRAL").cast("int"),
+                      "MES_SIT_CADASTRAL": F.col("MES_SIT_CADASTRAL").cast("int")})
