@@ -34,3 +34,11 @@ def fresh(existing: Iterable[str], base: str) -> str:
         i += 1
         name = f"{base}_{i}"
     return name
+
+
+def spread_for_iterations(df):
+    """Before an iterative fit (tens of passes over the same rows): if the input has fewer
+    partitions than the cluster has cores, redistribute it once. Inputs that are already
+    wide (any real large table) are returned unchanged, so no shuffle is added at scale."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df

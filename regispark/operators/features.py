@@ -13,7 +13,7 @@ from pyspark.ml.feature import (ChiSqSelector, RFormula, StringIndexer, Univaria
                                 VarianceThresholdSelector, VectorAssembler, VectorSlicer)
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .._util import as_list, quote
+from .._util import as_list, quote, spread_for_iterations
 from .projection import split_columns
 
 
@@ -54,10 +54,12 @@ def rank_features(df: DataFrame, names, scores, threshold: float | None = 0.05,
 
 
 def _prepared(df: DataFrame, label: str, categorical=None, numeric=None, handle_invalid: str = "keep",
-              index_label: bool = False):
+              index_label: bool = False, spread: bool = False):
     if categorical is None and numeric is None:
         categorical, numeric = split_columns(df, label)
-    data = index_assemble(df, categorical, numeric, label if index_label else None, handle_invalid)
+    # Tree ensembles make many heavy passes: spread a narrow input once (no-op at scale).
+    data = index_assemble(spread_for_iterations(df) if spread else df, categorical, numeric,
+                          label if index_label else None, handle_invalid)
     if not index_label:
         data = data.withColumn("label", F.col(quote(label)).cast("double"))
     return data.filter(F.col("label").isNotNull()), vector_names(data)
@@ -94,7 +96,7 @@ def rf_importance(df: DataFrame, label: str, categorical=None, numeric=None, tas
     from pyspark.ml.regression import RandomForestRegressor
 
     cls = task == "classification"
-    data, names = _prepared(df, label, categorical, numeric, index_label=cls)
+    data, names = _prepared(df, label, categorical, numeric, index_label=cls, spread=True)
     est = (RandomForestClassifier if cls else RandomForestRegressor)(
         featuresCol="features", labelCol="label", numTrees=num_trees, maxBins=max_bins, seed=seed)
     model = est.fit(data)
@@ -152,6 +154,10 @@ def rformula(df: DataFrame, formula: str, handle_invalid: str = "keep") -> DataF
     return RFormula(formula=formula, handleInvalid=handle_invalid).fit(df).transform(df)
 
 
+def _rformula_for_fit(df: DataFrame, formula: str) -> DataFrame:
+    return rformula(spread_for_iterations(df), formula)
+
+
 def rformula_rf_rmse(df: DataFrame, formula: str, train_fraction: float = 0.75, seed: int = 1234,
                      num_trees: int = 20, max_bins: int = 32, split_by=None) -> DataFrame:
     """RFormula + random forest; test RMSE and per-slot importances (names from metadata)."""
@@ -160,7 +166,7 @@ def rformula_rf_rmse(df: DataFrame, formula: str, train_fraction: float = 0.75,
 
     from .filters import split_train_test
 
-    data = rformula(df, formula)
+    data = _rformula_for_fit(df, formula)
     names = vector_names(data)
     train, test = split_train_test(data, train_fraction, seed, split_by)
     model = RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=num_trees, maxBins=max_bins,
