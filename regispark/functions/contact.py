@@ -7,13 +7,7 @@ from pyspark.sql import Column, functions as F
 from .._util import ColumnOrName, col
 from .decode import literal_map
 
-# Patterns and labels of the contact clean-up.
-PROVIDER_PATTERN = r"(?<=@)[^.]+(?=\.)"
-EMAIL_PATTERN = r"^\S+@\S+\.\S+$"
-LANDLINE = "TELEFONE FIXO"
-MOBILE = "TELEFONE CELULAR"
-SPECIAL = "VALIDACAO_ESPECIAL"
-HOME_AREA = "11"
+from ..fixed_values import EMAIL_PATTERN, HOME_AREA, LANDLINE, MOBILE, PROVIDER_PATTERN, SPECIAL  # noqa: F401
 
 
 def email_provider(c: ColumnOrName, mode: str = "regex") -> Column:

@@ -13,42 +13,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .._util import ColumnOrName, col, fresh
 
-# ---------------------------------------------------------------------------
-# Registry code tables (must equal the published meanings).
-# ---------------------------------------------------------------------------
-REGISTRATION_STATUS = {1: "NULA", 2: "ATIVA", 3: "SUSPENSA", 4: "INAPTA", 8: "BAIXADA"}
-BRANCH_TYPE = {1: "MATRIZ", 2: "FILIAL"}
-COMPANY_SIZE = {0: "NÃO INFORMADO", 1: "MICRO EMPRESA", 3: "EMPRESA DE PEQUENO PORTE", 5: "DEMAIS", 8: "BAIXADA"}
-# The first registry class wrote code 3 with a leading blank; kept for callers that join on it.
-COMPANY_SIZE_COMPAT = {**COMPANY_SIZE, 3: " EMPRESA DE PEQUENO PORTE"}
-AGE_BAND = {1: "0 a 12 anos", 2: "13 a 20 anos", 3: "21 a 30 anos", 4: "31 a 40 anos", 5: "41 a 50 anos",
-            6: "51 a 60 anos", 7: "61 a 70 anos", 8: "71 a 80 anos", 9: "maiores de 80 anos", 0: "NA"}
-PARTNER_TYPE = {1: "PESSOA JURIDICA", 2: "PESSOA FISICA", 3: "ESTRANGEIRO"}
-STATE_NAME_TO_CODE = {
-    "Rondônia": "RO", "Acre": "AC", "Amazonas": "AM", "Roraima": "RR", "Pará": "PA",
-    "Amapá": "AP", "Tocantins": "TO", "Maranhão": "MA", "Piauí": "PI", "Ceará": "CE",
-    "Rio Grande do Norte": "RN", "Paraíba": "PB", "Pernambuco": "PE", "Alagoas": "AL",
-    "Sergipe": "SE", "Bahia": "BA", "Minas Gerais": "MG", "Espírito Santo": "ES",
-    "Rio de Janeiro": "RJ", "São Paulo": "SP", "Paraná": "PR", "Santa Catarina": "SC",
-    "Rio Grande do Sul": "RS", "Mato Grosso do Sul": "MS", "Mato Grosso": "MT",
-    "Goiás": "GO", "Distrito Federal": "DF",
-}
-# The 20 e-mail providers kept by the modelling table, and its 50 street types.
-MODEL_PROVIDERS = [
-    "GMAIL", "HOTMAIL", "NAO_CADASTRADO", "YAHOO", "OUTLOOK", "BOL", "IG", "LIVE",
-    "UOL", "TERRA", "ICLOUD", "OI", "GLOBO", "MSN", "YMAIL", "R7",
-    "IBEST", "BRTURBO", "GLOBOMAIL", "NETSITE",
-]
-STREET_TYPES = [
-    "RUA", "AVENIDA", "TRAVESSA", "ESTRADA", "QUADRA", "RODOVIA",
-    "PRACA", "ALAMEDA", "SITIO", "PASSAGEM", "AREA", "VILA", "CONJUNTO", "SERVIDAO", "FAZENDA",
-    "LOTEAMENTO", "CAMINHO", "BECO", "RESIDENCIAL", "SETOR", "COMUNIDADE", "CONDOMINIO", "DISTRITO", "VIA",
-    "ACESSO", "CHACARA", "ESTRADA MUNICIPAL",
-    "LADEIRA", "VIELA", "CORREGO", "ACESSO LOCAL", "CONJUNTO RESIDENCIAL", "LARGO", "COLONIA", "CAIS", "PRAIA",
-    "NUCLEO RURAL", "ESTRADA VELHA", "BLOCO",
-    "ENTRADA", "RAMAL", "AVENIDA PERIMETRAL", "RUA PROJETADA", "JARDIM", "CONJUNTO HABITACIONA", "AREA ESPECIAL",
-    "COND. RESIDENCIAL", "PARQUE", "CONDOMINIO RESIDENCI", "CAMPO",
-]
+from ..fixed_values import (AGE_BAND, BRANCH_TYPE, COMPANY_SIZE, COMPANY_SIZE_COMPAT, MODEL_PROVIDERS,  # noqa: F401
+                            PARTNER_TYPE, REGISTRATION_STATUS, STATE_NAME_TO_CODE, STREET_TYPES)
 
 # Dictionaries up to this size are inlined as a literal map; larger ones become a
 # broadcast lookup table (their size is bounded by the driver-side dict itself).

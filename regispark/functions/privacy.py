@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 
 from .._util import ColumnOrName, col
 
-PERSON_ID_DIGITS = 11  # individual tax ids have 11 digits; company ids have 14
+from ..fixed_values import PERSON_ID_DIGITS
 
 
 def person_id_flag(length_col: ColumnOrName) -> Column:

@@ -5,14 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .._util import ColumnOrName, col
+from ..fixed_values import (ACCENTED, COMPAT_ACCENT_CLASSES, FOLDED, STREET_TYPE_EXACT, STREET_TYPE_GARBLED,
+                            STREET_TYPE_PATTERNS)
 from .decode import STREET_TYPES, whitelist
 
-# Accent folding table (upper-case letters -> ASCII).
-ACCENTED = "ÁÀÃÂÄÉÈÊËÍÌÎÏÓÒÕÔÖÚÙÛÜÇ"
-FOLDED = "AAAAAEEEEIIIIOOOOOUUUUC"
-# The six character classes of the original municipality clean-up, in order.
-COMPAT_ACCENT_CLASSES = [("[ÁÀÃÂ]", "A"), ("[ÉÈÊ]", "E"), ("[ÍÌÎ]", "I"), ("[ÓÒÕÔö]", "O"), ("[ÚÙÛü]", "U"), ("[çÇ]", "C")]
-
 
 def digits(c: ColumnOrName) -> Column:
     """Keep digits only; an empty result is NULL."""
@@ -50,22 +46,16 @@ def fold_accents(c: ColumnOrName, compat: bool = False) -> Column:
 
 
 def street_type(c: ColumnOrName, whitelist_values=STREET_TYPES, other: str = "OUTROS") -> Column:
-    """X12 then X11: normalise the street-type label and keep only known types.
-
-    Fixed values: the ordered rewrite rules of the modelling table.
-    """
+    """X12 then X11: normalise the street-type label (ordered rules in ``fixed_values``) and
+    keep only known types."""
     c = col(c)
-    normalised = (
-        F.when(c.rlike(r"^\d{1,2}A RUA$"), "RUA")
-        .when(c.rlike(r"^\d{1,2}A AVENIDA$"), "AVENIDA")
-        .when(c.rlike(r"^\d{1,2}A TRAVESSA$"), "TRAVESSA")
-        .when(c == "RUA PRINCIPAL", "RUA")
-        .when(c == "RUA DE PEDESTRE", "RUA")
-        .when(c == "PRAÇA", "PRACA")
-        .when(c == "RUA DE LIGACAO", "RUA")
-        .when(c == "1A VILA", "VILA")
-        .otherwise(F.regexp_replace(c, "PRA�A", "PRACA"))
-    )
+    normalised = None
+    for pattern, label in STREET_TYPE_PATTERNS:
+        normalised = F.when(c.rlike(pattern), label) if normalised is None else normalised.when(c.rlike(pattern), label)
+    for text, label in STREET_TYPE_EXACT:
+        normalised = normalised.when(c == text, label)
+    garbled, fixed = STREET_TYPE_GARBLED
+    normalised = normalised.otherwise(F.regexp_replace(c, garbled, fixed))
     if whitelist_values is None:
         return normalised
     return whitelist(normalised, whitelist_values, other)

@@ -1,13 +1,15 @@
 """Explicit schemas of the ten registry datasets (headerless, all columns nullable).
 
-Fixed values: column names, order and types of the published layout, including its
-spellings. Ids and codes stay strings (leading zeros); a few counters are ints.
+Column names, order and types come from ``fixed_values.DATASET_COLUMNS`` (including the
+published spellings). Ids and codes stay strings (leading zeros); a few counters are ints.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from .fixed_values import DATASET_COLUMNS, ENCODING, PREFIX, SHARDED  # noqa: F401
+
 
 def _schema(spec: str) -> T.StructType:
     fields = []
@@ -17,42 +19,7 @@ def _schema(spec: str) -> T.StructType:
     return T.StructType(fields)
 
 
-REGISTRY = {
-    "estabelecimentos": _schema(
-        "CNPJ_BASICO, CNPJ_ORDEM, CNPJ_DV, MATRIZ_FILIAL, NOME_FANTASIA, SIT_CADASTRAL int, DT_SIT_CADASTRAL, "
-        "MOTIVO_CADASTRAL, NOME_CIDADE_EXTERIOR, PAIS, DT_INICIO_ATIVIDADE, CNAE_1, CNAE_2, TIPO_LOUGRADOURO, "
-        "LOGRADOURO, NUMERO int, COMPLEMENTO, BAIRRO, CEP int, UF, MUNICIPIO, DDD1, TEL1, DDD2, TEL2, DDD_FAX int, "
-        "FAX int, EMAIL, SIT_ESPECIAL, DT_SIT_ESPECIAL"),
-    "empresas": _schema("CNPJ, NOME_EMPRESA, COD_NAT_JURICA, QUALIF_RESPONVAVEL, CAP_SOCIAL, PORTE, ENTE_FEDERATIVO"),
-    "municipios": _schema("ID_MUNICPIO, MUNICIPIO"),
-    "cnaes": _schema("COD_CNAE, CNAE"),
-    "paises": _schema("COD_PAIS, NM_PAIS"),
-    "qualificacoes": _schema("COD_QUALIFICACAO, NM_QUALIFICACAO"),
-    "socios": _schema(
-        "CNPJ_BASICO, IDENTIFICADOR_SOCIO int, NOME_SOCIO_RAZAO_SOCIAL, CNPJ_CPF_SOCIO, QUALIFICAÇAO_SOCIO, "
-        "DATA_ENTRADA_SOCIEDADE, PAIS, REPRESENTANTE_LEGAL, NOME_REPRESENTANTE, QUALIFICACAO_REPRESENTANTE_LEGAL, "
-        "FAIXA_ETARIA"),
-    "simples": _schema(
-        "CNPJ_BASICO, OPCAO_PELO_SIMPLES, DATA_OPCAO_PELO_SIMPLES, DATA_EXCLUSAO_SIMPLES, OPÇAO_PELO_MEI, "
-        "DATA_OPCAO_PELO_MEI, DATA_EXCLUSAO_MEI"),
-    "naturezas": _schema("COD_NAT_JURICA, NAT_JURICA"),
-    "motivos": _schema("COD_MOTIVO, NM_MOTIVO"),
-}
-
-# File-name prefix of each dataset in a drop; the three large ones come in
-# ten numbered shards, the others as one file.
-PREFIX = {
-    "estabelecimentos": "Estabelecimentos", "empresas": "Empresas", "socios": "Socios", "simples": "Simples",
-    "municipios": "Municipios", "cnaes": "Cnaes", "paises": "Paises", "qualificacoes": "Qualificacoes",
-    "naturezas": "Naturezas", "motivos": "Motivos",
-}
-SHARDED = {"estabelecimentos", "empresas", "socios"}
-# Declared encoding per dataset (Latin-1 for the text dictionaries).
-ENCODING = {
-    "estabelecimentos": "US-ASCII", "empresas": "US-ASCII", "socios": "ISO-8859-1", "simples": "US-ASCII",
-    "municipios": "US-ASCII", "cnaes": "ISO-8859-1", "paises": "ISO-8859-1", "qualificacoes": "ISO-8859-1",
-    "naturezas": "ISO-8859-1", "motivos": "US-ASCII",
-}
+REGISTRY = {name: _schema(spec) for name, spec in DATASET_COLUMNS.items()}
 
 # Header CSV of first names: first_name, alternative_names ('|'-separated), group_name, ratio, classification.
 NAMES = T.StructType([

@@ -4,23 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# Mobile prefix ranges of the home area code as (area code, operator,
-# first prefix, end prefix exclusive, state). Expanded they give one row per prefix (123 rows).
-HOME_AREA_MOBILE_RANGES = [
-    (11, "oi", 5700, 5768, "SP"),
-    (11, "tim", 5787, 5799, "SP"),
-    (11, "tim", 5475, 5499, "SP"),
-    (11, "vivo", 5472, 5474, "SP"),
-    (11, "vivo", 5769, 5786, "SP"),
-]
-
-# The 67 valid two-digit area codes, in the order the modelling table lists them.
-VALID_AREA_CODES = [
-    "68", "96", "92", "97", "91", "93", "94", "69", "95", "63", "82", "71", "73", "74", "75", "77", "85", "88", "98", "99",
-    "83", "81", "87", "86", "89", "84", "79", "61", "62", "64", "65", "66", "67", "27", "28", "31", "32", "33", "34", "35",
-    "37", "38", "21", "22", "24", "11", "12", "13", "14", "15", "16", "17", "18", "19", "41", "42", "43", "44", "45", "46",
-    "51", "53", "54", "55", "47", "48", "49",
-]
+from ..fixed_values import HOME_AREA_MOBILE_RANGES, VALID_AREA_CODES  # noqa: F401
 
 SEED_SCHEMAS = {
     "DDD_UF": "DDD int, UF string",
