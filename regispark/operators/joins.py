@@ -29,15 +29,51 @@ def maybe_broadcast(dim: DataFrame, broadcast: bool | None = None, max_rows: int
     return F.broadcast(dim) if broadcast else dim
 
 
+NULL_SPREAD_BUCKETS = 1024
+
+
+def spread_null_left_join(df: DataFrame, right: DataFrame, keys: list, buckets: int = NULL_SPREAD_BUCKETS) -> DataFrame:
+    """Left equi-join on same-named ``keys`` (USING semantics) for a shuffle join.
+
+    NULL keys never match, but a hash shuffle sends every NULL-key row to ONE task. Each
+    left row gets a salt: 0 when its keys are all present, a row hash otherwise; the right
+    side has salt 0. Joining on (keys, salt) spreads NULL-key rows over ``buckets`` tasks
+    and leaves the result unchanged, with a single scan of ``df``.
+    """
+    salt = fresh(df.columns + right.columns, "__null_salt")
+
+    def any_null():
+        cond = None
+        for k in keys:
+            term = F.col(quote(k)).isNull()
+            cond = term if cond is None else cond | term
+        return cond
+
+    left = df.withColumn(salt, F.when(any_null(), F.pmod(F.xxhash64(*[F.col(quote(c)) for c in df.columns]),
+                                                         F.lit(buckets)) + 1).otherwise(F.lit(0)).cast("long"))
+    # Right salt: 0 for real keys, -1 for NULL keys (which never match). It must depend on
+    # the row: a literal 0 would be folded into a filter and drop out of the shuffle keys.
+    r = right.withColumn(salt, F.when(any_null(), F.lit(-1)).otherwise(F.lit(0)).cast("long"))
+    return left.join(r, keys + [salt], "left").drop(salt)
+
+
 def lookup(df: DataFrame, dim: DataFrame, key, drop_key: bool = True, how: str = "left",
            broadcast: bool | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Equi-join a dimension on code column(s) of the same name, then drop the code.
 
     Codes are matched exactly as strings (leading zeros matter). With a unique dimension
-    key a left lookup keeps the fact's row count.
+    key a left lookup keeps the fact's row count. A dimension above the broadcast bound is
+    joined by shuffle with NULL codes spread (:func:`spread_null_left_join`).
     """
     keys = as_list(key)
-    out = df.join(maybe_broadcast(dim, broadcast, max_rows), keys, how)
+    if broadcast is None:
+        broadcast = fits_broadcast(dim, max_rows)
+    if broadcast:
+        out = df.join(F.broadcast(dim), keys, how)
+    elif how == "left":
+        out = spread_null_left_join(df, dim, keys)
+    else:
+        out = df.join(dim, keys, how)
     return out.drop(*keys) if drop_key else out
 
 
@@ -94,12 +130,13 @@ def lookup_ranges(df: DataFrame, ranges: DataFrame, fact_keys: list, range_keys:
 
 
 def attach(df: DataFrame, extra: DataFrame, key: str, assert_unique: bool = False) -> DataFrame:
-    """Left-join derived columns back by key; ``assert_unique`` refuses fan-out."""
+    """Left-join derived columns back by key (fact-to-fact, shuffle join with NULL keys
+    spread over many tasks); ``assert_unique`` refuses fan-out."""
     if assert_unique:
         dup = extra.groupBy(key).count().filter(F.col("count") > 1).limit(1).count()
         if dup:
             raise ValueError(f"key {key!r} repeats in the attached table")
-    return df.join(extra, key, "left")
+    return spread_null_left_join(df, extra, [key])
 
 
 def ratio_to_reference(counts: DataFrame, ref: DataFrame, key: str, num: str, den: str, out: str = "ratio",

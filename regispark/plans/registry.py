@@ -93,10 +93,13 @@ def name_dictionary(names: DataFrame, fallback: bool = True, key: str = "alterna
 def classify_name(df: DataFrame, names: DataFrame, name_col: str, fallback: bool = True,
                   out_col: str = "PRIMEIRO_NOME") -> DataFrame:
     """First token of ``name_col`` looked up in the name dictionary (left join)."""
-    key = "__alt_name"
-    d = name_dictionary(names, fallback, key)
+    d = name_dictionary(names, fallback, out_col)
     df = df.withColumn(out_col, X.first_token(name_col))
-    return df.join(J.maybe_broadcast(d), F.col(out_col) == F.col(key), "left").drop(key)
+    if J.fits_broadcast(d):
+        return df.join(F.broadcast(d), out_col, "left")
+    # A dictionary above the broadcast bound: shuffle join with NULL names spread (hot
+    # non-NULL names are split by AQE's skew-join rule on the left side).
+    return J.spread_null_left_join(df, d, [out_col])
 
 
 MEI_COLUMNS = ["CNPJ", "NOME_EMPRESA", "CAP_SOCIAL", "NM_PORTE", "NAT_JURICA", "ENTE_FEDERATIVO", "NM_QUALIFICACAO",

@@ -155,3 +155,29 @@ def test_exact_quantiles_hot_group_matches_brute_force(spark):
     assert glob[0.5] == allv[math.ceil(0.5 * len(allv)) - 1]
     prof = A.group_profile(df, "g", "x", [0.5], exact=True).collect()
     assert {r.g: r.p50 for r in prof}["hot"] == got[("hot", 0.5)]
+
+
+def test_null_keys_are_spread_and_never_match(spark):
+    fact = spark.createDataFrame([(None, i) for i in range(200)] + [("a", 1000), ("b", 1001)], "k string, v int")
+    extra = spark.createDataFrame([("a", "x"), (None, "never")], "k string, w string")
+    out = J.attach(fact, extra, "k")
+    assert out.count() == 202
+    got = {r.v: r.w for r in out.collect()}
+    assert got[1000] == "x" and got[1001] is None and all(got[i] is None for i in range(200))
+    # With a real shuffle join (no auto-broadcast, no AQE coalescing), NULL-key rows land in
+    # many partitions instead of one.
+    from pyspark.sql import functions as F
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        j = J.spread_null_left_join(fact, extra, ["k"])
+        assert "SortMergeJoin" in j._jdf.queryExecution().executedPlan().toString()
+        parts = j.filter(F.col("k").isNull()).select(F.spark_partition_id().alias("p")).distinct().count()
+        assert parts > 4
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    dim = spark.createDataFrame([("a", "A")], "k string, label string")
+    shuffled = J.lookup(fact, dim, "k", broadcast=False)
+    assert shuffled.count() == 202 and "k" not in shuffled.columns
