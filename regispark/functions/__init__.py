@@ -6,6 +6,7 @@ from .dates import safe_date, year_month
 from .decode import (AGE_BAND, BRANCH_TYPE, COMPANY_SIZE, MODEL_PROVIDERS, PARTNER_TYPE, REGISTRATION_STATUS,
                      STATE_NAME_TO_CODE, STREET_TYPES, decode, literal_map, map_table, replace_values,
                      typo_dictionary, whitelist)
+from .nulls import fallback, fill_constants, override_when
 from .privacy import person_id_flag, tokenize_id
 from .text import (address_concat, address_ws, digits, explode_alternatives, first_token, fold_accents, prefix,
                    street_type, strip_decimal)

@@ -494,7 +494,7 @@ SELECT o.o_orderkey, COALESCE(c.c_name, 'UNKNOWN#' || CAST(o.o_custkey AS VARCHA
 """)
 def null_fallback(spark, d):
     x = _orders_segment(spark, d)
-    return x.select("o_orderkey", F.coalesce("c_name", F.concat(F.lit("UNKNOWN#"), F.col("o_custkey").cast("string")))
+    return x.select("o_orderkey", X.fallback("c_name", F.concat(F.lit("UNKNOWN#"), F.col("o_custkey").cast("string")))
                     .alias("customer_name"))
 
 
@@ -503,7 +503,7 @@ SELECT o.o_orderkey, COALESCE(c.c_mktsegment, 'SI') AS c_mktsegment, COALESCE(c.
 """)
 def fill_constants(spark, d):
     x = _orders_segment(spark, d).select("o_orderkey", "c_mktsegment", "c_acctbal")
-    return x.fillna({"c_mktsegment": "SI", "c_acctbal": 0.0})
+    return X.fill_constants(x, {"c_mktsegment": "SI", "c_acctbal": 0.0})
 
 
 @register("conditional_override", f"""
@@ -511,9 +511,9 @@ SELECT o.o_orderkey, CASE WHEN o.o_orderstatus = 'F' AND c.c_mktsegment = 'AUTOM
 {_MISS_SQL}
 """)
 def conditional_override(spark, d):
-    x = _orders_segment(spark, d)
-    cond = (F.col("o_orderstatus") == "F") & (F.col("c_mktsegment") == "AUTOMOBILE")
-    return x.select("o_orderkey", F.when(cond.eqNullSafe(True), "AUTO-F").otherwise(F.col("o_orderstatus")).alias("state"))
+    x = _orders_segment(spark, d).withColumnRenamed("o_orderstatus", "state")
+    cond = (F.col("state") == "F") & (F.col("c_mktsegment") == "AUTOMOBILE")
+    return X.override_when(x, cond, "state", "AUTO-F").select("o_orderkey", "state")
 
 
 @register("decimal_comma", """

@@ -142,7 +142,7 @@ def process_partners(df: DataFrame, paises: DataFrame, qualificacoes: DataFrame,
 def override_classification(df: DataFrame, name: str = "JOSE", from_class: str = "F", to_class: str = "M") -> DataFrame:
     """A known-ambiguous first name recorded with the wrong class is corrected."""
     cond = (F.col("PRIMEIRO_NOME") == name) & (F.col("CLASSIFICACAO") == from_class)
-    return df.withColumn("CLASSIFICACAO", F.when(cond.eqNullSafe(True), to_class).otherwise(F.col("CLASSIFICACAO")))
+    return X.override_when(df, cond, "CLASSIFICACAO", to_class)
 
 
 def final_table(sole_traders: DataFrame, establishments: DataFrame, salt_buckets: int | None = None) -> DataFrame:

@@ -125,3 +125,15 @@ def test_typo_dictionary_rule():
     d = typo_dictionary(["GMAIL", "MAIL"], extra={"GMA": "GMAIL"})
     assert d["GMIAL"] == "GMAIL" and d["GMAILL"] == "GMAIL" and d["GMAL"] == "GMAIL"
     assert d["MAIL"] == "MAIL" and d["GMAIL"] == "GMAIL" and d["GMA"] == "GMAIL"
+
+
+def test_null_helpers(spark):
+    df = spark.createDataFrame([(None, "1,5", None, 1), (2.0, "x", "a", None)], "a double, b string, s string, n int")
+    got = [r[0] for r in df.select(X.fallback("a", F.regexp_replace("b", ",", "."), "double")).collect()]
+    assert got == [1.5, 2.0]
+    filled = X.fill_constants(df, {"s": "SI", "n": 0, "a": "text-ignored"})
+    assert [(r.s, r.n, r.a) for r in filled.collect()] == [("SI", 1, None), ("a", 0, 2.0)]
+    with pytest.raises(TypeError):
+        X.fill_constants(df, {"a": "text"}, strict=True)
+    out = X.override_when(df, F.col("s") == "a", "n", 9)
+    assert [r.n for r in out.collect()] == [1, 9]
