@@ -36,8 +36,11 @@ def _c(name: str) -> Column:
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition index << 33 | row index in partition
 
 
-def _exact_core(df: DataFrame, keys: list, c: str, probs, num_partitions: int | None = None):
-    """(long quantile rows, per-group stats n/sum/min/max) from ONE range-sorted pass."""
+def _exact_core(df: DataFrame, keys: list, c: str, probs, num_partitions: int | None = None) -> DataFrame:
+    """Rows (keys..., prob, value, n, sum, min, max) from ONE range-sorted pass.
+
+    ``prob`` is NULL on one carrier row per group (its first row), so groups whose values
+    are all NULL still appear; group statistics ride along on every row of the group."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = df.select(*[_c(k) for k in keys], _c(c).alias("__v"))
@@ -54,26 +57,29 @@ def _exact_core(df: DataFrame, keys: list, c: str, probs, num_partitions: int |
         "__before": F.coalesce(F.sum("__cnt").over(grp.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
                                F.lit(0)),
         "__n": F.sum("__nn").over(grp),
-        "__nulls": F.sum(F.col("__cnt") - F.col("__nn")).over(grp)})
-    group_stats = stats.groupBy(*[_c(k) for k in keys]).agg(
-        F.sum("__nn").alias("n"), F.sum("__sum").alias("__s"), F.min("__min").alias("min"), F.max("__max").alias("max"))
-    group_stats = group_stats.withColumn("mean", F.when(F.col("n") > 0, F.col("__s") / F.col("n"))).drop("__s")
-    pv = F.array(*[F.lit(Decimal(str(p))).cast("decimal(20,18)") for p in probs])
-    t = stats.filter(F.col("__n") > 0).withColumn("__p", F.explode(pv))
-    # position inside the group's sorted slice: NULLs first, then the ceil(p * n)-th value
-    t = t.withColumn("__r", F.col("__nulls") + F.greatest(F.ceil(F.col("__p") * F.col("__n")).cast("long"), F.lit(1)))
+        "__nulls": F.sum(F.col("__cnt") - F.col("__nn")).over(grp),
+        "__gsum": F.sum("__sum").over(grp), "__gmin": F.min("__min").over(grp), "__gmax": F.max("__max").over(grp)})
+    pv = F.array(*[F.lit(Decimal(str(p))).cast("decimal(20,18)") for p in probs], F.lit(None).cast("decimal(20,18)"))
+    t = stats.withColumn("__p", F.explode(pv))
+    # position inside the group's sorted slice (1-based): NULLs first, then the ceil(p * n)-th
+    # value; the carrier (NULL prob) takes the group's first row.
+    rank = F.when(F.col("__p").isNull(), F.lit(1)) \
+        .when(F.col("__n") > 0, F.col("__nulls") + F.greatest(F.ceil(F.col("__p") * F.col("__n")).cast("long"), F.lit(1))) \
+        .otherwise(F.lit(-1))
+    t = t.withColumn("__r", rank)
     t = t.filter((F.col("__r") > F.col("__before")) & (F.col("__r") <= F.col("__before") + F.col("__cnt")))
-    t = t.select(*[_c(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__p",
+    t = t.select(*[_c(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__p", "__n", "__gsum", "__gmin", "__gmax",
                  (F.shiftleft("__pid", _LOCAL_BITS) + F.col("__lo") + F.col("__r") - F.col("__before") - 1).alias("__tmid"))
     cond = F.col("__mid") == F.col("__tmid")
     for i, k in enumerate(keys):
         cond = cond & _c(k).eqNullSafe(F.col(f"__k{i}"))
-    # Without groups the target table has at most len(probs) rows: broadcast is proven safe.
-    # With groups it has up to groups x probs rows; probing it would run the whole sort, so
-    # AQE's runtime size check picks broadcast or shuffle join once the table exists.
+    # Without groups the target table has at most len(probs) + 1 rows: broadcast is proven
+    # safe. With groups it has up to groups x (probs + 1) rows; probing it would run the
+    # whole sort, so AQE's runtime size check picks broadcast or shuffle join.
     out = s.join(F.broadcast(t) if not keys else t, cond, "inner")
-    long = out.select(*[_c(k) for k in keys], F.col("__p").cast("double").alias("prob"), F.col("__v").alias("value"))
-    return long, group_stats
+    return out.select(*[_c(k) for k in keys], F.col("__p").cast("double").alias("prob"), F.col("__v").alias("value"),
+                      F.col("__n").alias("n"), F.col("__gsum").alias("sum"), F.col("__gmin").alias("min"),
+                      F.col("__gmax").alias("max"))
 
 
 def exact_quantiles_long(df: DataFrame, by, c: str, probs, num_partitions: int | None = None) -> DataFrame:
@@ -86,7 +92,9 @@ def exact_quantiles_long(df: DataFrame, by, c: str, probs, num_partitions: int |
     aggregate with one row per group and partition). The target rows are picked by an
     equi-join on (group, position). Nothing is collected; no value list is held per group.
     """
-    return _exact_core(df, as_list(by), c, probs, num_partitions)[0]
+    keys = as_list(by)
+    rows = _exact_core(df, keys, c, probs, num_partitions)
+    return rows.filter(F.col("prob").isNotNull()).select(*[_c(k) for k in keys], "prob", "value")
 
 
 def _wide_quantiles(long: DataFrame, keys: list, probs) -> DataFrame:
@@ -138,18 +146,12 @@ def group_profile(df: DataFrame, by, c: str, probs=PROFILE_PROBS, accuracy: int
     :func:`exact_quantiles_long` (one range sort), joined to the plain aggregate."""
     keys = as_list(by)
     if exact:
-        long, stats = _exact_core(df, keys, c, probs)
-        wide = _wide_quantiles(long, keys, probs)
-        if keys:
-            cond = None
-            for k in keys:
-                term = stats[k].eqNullSafe(wide[k])
-                cond = term if cond is None else cond & term
-            j = stats.join(wide, cond, "left")
-            return j.select(*[stats[k] for k in keys], "n", "mean", "min", *[pct_name(p) for p in probs], "max")
-        # one global row: the percentiles come in as scalar subqueries
-        return stats.select("n", "mean", "min", *[wide.select(pct_name(p)).scalar().alias(pct_name(p)) for p in probs],
-                            "max")
+        rows = _exact_core(df, keys, c, probs)
+        out = rows.groupBy(*[_c(k) for k in keys]).agg(
+            F.max("n").alias("n"), F.max("sum").alias("__sum"), F.max("min").alias("min"), F.max("max").alias("max"),
+            *[F.max(F.when(F.col("prob") == float(p), F.col("value"))).alias(pct_name(p)) for p in probs])
+        out = out.withColumn("mean", F.when(F.col("n") > 0, F.col("__sum") / F.col("n")))
+        return out.select(*[_c(k) for k in keys], "n", "mean", "min", *[pct_name(p) for p in probs], "max")
     q = fresh(df.columns, "__q")
     agg = df.groupBy(*[_c(k) for k in keys]).agg(
         F.count(_c(c)).alias("n"),

@@ -181,3 +181,12 @@ def test_null_keys_are_spread_and_never_match(spark):
     dim = spark.createDataFrame([("a", "A")], "k string, label string")
     shuffled = J.lookup(fact, dim, "k", broadcast=False)
     assert shuffled.count() == 202 and "k" not in shuffled.columns
+
+
+def test_exact_profile_keeps_all_null_groups(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("z", None), ("z", None)], "g string, x double")
+    got = {r.g: r for r in A.group_profile(df, "g", "x", [0.5], exact=True).collect()}
+    assert got["a"].n == 2 and got["a"].mean == 2.0 and got["a"].p50 == 1.0 and got["a"].max == 3.0
+    assert got["z"].n == 0 and got["z"].mean is None and got["z"].p50 is None
+    approx = {r.g: r for r in A.group_profile(df, "g", "x", [0.5]).collect()}
+    assert approx["z"].n == 0 and approx["a"].p50 == 1.0
