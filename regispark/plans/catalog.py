@@ -1261,3 +1261,92 @@ def sql_model(spark, d):
     return passthrough(spark, "rs_q9_model").select(*SQL_MODEL_OUT) \
         .withColumns({"ANO_SIT_CADASTRAL": F.col("ANO_SIT_CADASTRAL").cast("int"),
                       "MES_SIT_CADASTRAL": F.col("MES_SIT_CADASTRAL").cast("int")})
+
+
+# ---------------------------------------------------------------------------
+# Operators on the remaining test tables (labels, embeddings, pages, conversations)
+# ---------------------------------------------------------------------------
+_DL_COLS = ["doc_id", "lang", "source", "quality", "toxic"]
+
+
+@register("labels_missing", " UNION ALL ".join(
+    f"SELECT '{c}' AS column, count(*) FILTER (WHERE {c} IS NULL) AS missing, "
+    f"round(100.0 * count(*) FILTER (WHERE {c} IS NULL) / count(*), 2) AS pct "
+    f"FROM (SELECT d.doc_id, d.lang, d.source, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"
+    for c in _DL_COLS))
+def labels_missing(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source")
+    lab = table(spark, d, "labels").select("doc_id", "quality", "toxic")
+    return A.missing_table(J.lookup(docs, lab, "doc_id", drop_key=False).select(*_DL_COLS))
+
+
+@register("labels_chi_square", """
+WITH t AS (SELECT CAST(toxic AS VARCHAR) AS a, CAST(quality AS VARCHAR) AS b, count(*) AS o FROM labels GROUP BY 1, 2),
+ra AS (SELECT a, sum(o) AS na FROM t GROUP BY 1), rb AS (SELECT b, sum(o) AS nb FROM t GROUP BY 1),
+n AS (SELECT sum(o) AS n FROM t),
+g AS (SELECT ra.a, rb.b, ra.na * rb.nb / n.n AS e, COALESCE(t.o, 0) AS o FROM ra, rb, n LEFT JOIN t ON t.a = ra.a AND t.b = rb.b)
+SELECT 'toxic_index' AS feature, round(sum((o - e) * (o - e) / e), 6) AS statistic,
+       ((SELECT count(*) FROM ra) - 1) * ((SELECT count(*) FROM rb) - 1) AS dof FROM g
+""")
+def labels_chi_square(spark, d):
+    lab = table(spark, d, "labels").select(F.col("toxic").cast("string").alias("toxic"),
+                                          F.col("quality").cast("string").alias("quality"))
+    r = L.chi_square_test(lab, "quality", ["toxic"])
+    return r.select("feature", _r("statistic").alias("statistic"), F.col("dof").cast("long").alias("dof"))
+
+
+_EMB = [f"e{i}" for i in range(4)]
+
+
+@register("embedding_corr", " UNION ALL ".join(
+    (f"SELECT '{a}' AS column_a, '{b}' AS column_b, 1.0 AS corr" if a == b else
+     f"SELECT '{a}' AS column_a, '{b}' AS column_b, round(corr(CAST(embedding[{int(a[1:]) + 1}] AS DOUBLE), "
+     f"CAST(embedding[{int(b[1:]) + 1}] AS DOUBLE)), 6) AS corr FROM embeddings")
+    for a in _EMB for b in _EMB))
+def embedding_corr(spark, d):
+    e = table(spark, d, "embeddings")
+    dims = e.select(*[F.get("embedding", i).cast("double").alias(f"e{i}") for i in range(len(_EMB))])
+    return A.corr_matrix(dims, _EMB).withColumn("corr", _r("corr"))
+
+
+@register("pages_host_freq", """
+SELECT regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1) AS host, count(*) AS count FROM pages GROUP BY 1
+""")
+def pages_host_freq(spark, d):
+    p = table(spark, d, "pages").select(F.regexp_extract("url", r"^[a-z]+://([^/:?#]+)", 1).alias("host"))
+    return A.freq(p, "host")
+
+
+@register("conversation_role_share", """
+SELECT role, count(*) AS count, round(100.0 * count(*) / (SELECT count(*) FROM conversations), 2) AS pct
+FROM conversations GROUP BY 1
+""")
+def conversation_role_share(spark, d):
+    return A.share(table(spark, d, "conversations"), "role")
+
+
+# ---------------------------------------------------------------------------
+# EDA questions (Q11) on the derived registry flows
+# ---------------------------------------------------------------------------
+@register("eda_status_by_year", f"""
+WITH est AS ({ORACLE_SQL["establishments_flow"]})
+SELECT ano_cadastro, NM_SIT_CADASTRAL, count(*) AS count FROM est GROUP BY 1, 2
+""")
+def eda_status_by_year(spark, d):
+    return A.freq(establishments_flow(spark, d), ["ano_cadastro", "NM_SIT_CADASTRAL"])
+
+
+_CAP_PROBS = [0.05, 0.25, 0.5, 0.75, 0.95]
+
+
+@register("eda_capital_by_size", f"""
+WITH m AS ({ORACLE_SQL["sole_traders_flow"]}),
+c AS (SELECT NM_PORTE, TRY_CAST(replace(CAP_SOCIAL, ',', '.') AS DOUBLE) AS cap FROM m)
+SELECT NM_PORTE, count(cap) AS n, round(avg(cap), 4) AS mean, min(cap) AS min,
+       {", ".join(f"quantile_disc(cap, {p}) AS {A.pct_name(p)}" for p in _CAP_PROBS)}, max(cap) AS max
+FROM c GROUP BY 1
+""")
+def eda_capital_by_size(spark, d):
+    m = P.decimal_comma(sole_traders_flow(spark, d), ["CAP_SOCIAL"])
+    prof = A.group_profile(m, "NM_PORTE", "CAP_SOCIAL", _CAP_PROBS, exact=True)
+    return prof.withColumn("mean", _r("mean", 4))
