@@ -104,16 +104,46 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     return b.join(s, cond, how).drop(b[salt]).drop(s[salt])
 
 
+def hot_keys(df: DataFrame, key: str, min_share: float = 0.01, max_keys: int = 100) -> list:
+    """Keys holding at least ``min_share`` of the rows (at most ``max_keys``, so the list
+    brought back is bounded). One aggregate with partial aggregation + a top-k."""
+    total = df.select(F.count(F.lit(1))).scalar()
+    top = df.filter(F.col(quote(key)).isNotNull()).groupBy(quote(key)).agg(F.count(F.lit(1)).alias("__n")) \
+        .filter(F.col("__n") >= total * F.lit(min_share)).orderBy(F.desc("__n")).limit(max_keys)
+    return [r[0] for r in top.select(quote(key)).collect()]
+
+
+def skew_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, how: str = "inner",
+              salt_buckets: int = 16, keys=None, min_share: float = 0.01) -> DataFrame:
+    """Equi-join that splits only the hot keys of ``big`` over ``salt_buckets`` tasks.
+
+    Hot keys (given, or found by :func:`hot_keys`) get a row-hash salt on ``big`` and their
+    ``small`` rows are replicated once per salt; all other keys keep salt 0 and are joined
+    as usual, so replication is limited to the few hot keys' partner rows."""
+    hot = list(keys) if keys is not None else hot_keys(big, big_key, min_share)
+    salt = fresh(big.columns + small.columns, "__salt")
+    is_hot_b = F.col(quote(big_key)).isin(hot) if hot else F.lit(False)
+    is_hot_s = F.col(quote(small_key)).isin(hot) if hot else F.lit(False)
+    b = big.withColumn(salt, F.when(is_hot_b, F.pmod(F.xxhash64(*[F.col(quote(c)) for c in big.columns]),
+                                                     F.lit(salt_buckets))).otherwise(F.lit(0)).cast("long"))
+    s = small.withColumn(salt, F.explode(F.when(is_hot_s, F.sequence(F.lit(0).cast("long"),
+                                                                     F.lit(salt_buckets - 1).cast("long")))
+                                         .otherwise(F.array(F.lit(0).cast("long")))))
+    cond = (b[big_key] == s[small_key]) & (b[salt] == s[salt])
+    return b.join(s, cond, how).drop(b[salt]).drop(s[salt])
+
+
 def join_companies(companies: DataFrame, establishments: DataFrame, company_key: str = "CNPJ",
                    establishment_key: str = "CNPJ_BASICO", how: str = "inner",
                    salt_buckets: int | None = None) -> DataFrame:
     """Company (one row per key) x establishments (1:N), keeping both keys.
 
-    Default is a shuffle join left to AQE (skew splitting on); ``salt_buckets`` salts the
-    establishment side explicitly for a known hot company key.
+    Default is a shuffle join left to AQE (skew splitting on). ``salt_buckets`` splits the
+    hot company keys (those holding >= 1 % of establishments) explicitly over that many
+    tasks, replicating only those companies' rows.
     """
     if salt_buckets:
-        return salted_join(establishments, companies, establishment_key, company_key, how, salt_buckets) \
+        return skew_join(establishments, companies, establishment_key, company_key, how, salt_buckets) \
             .select(*companies.columns, *establishments.columns)
     return companies.join(establishments, companies[company_key] == establishments[establishment_key], how)
 

@@ -190,3 +190,14 @@ def test_exact_profile_keeps_all_null_groups(spark):
     assert got["z"].n == 0 and got["z"].mean is None and got["z"].p50 is None
     approx = {r.g: r for r in A.group_profile(df, "g", "x", [0.5]).collect()}
     assert approx["z"].n == 0 and approx["a"].p50 == 1.0
+
+
+def test_skew_join_splits_only_hot_keys(spark):
+    big = spark.createDataFrame([(1, i) for i in range(300)] + [(k, 1000 + k) for k in range(2, 40)], "k int, i int")
+    small = spark.createDataFrame([(k, f"s{k}") for k in range(1, 45)], "k2 int, s string")
+    assert J.hot_keys(big, "k", min_share=0.2) == [1]
+    a = sorted(rows(J.skew_join(big, small, "k", "k2", "inner", 8, min_share=0.2), "k", "i", "s"))
+    b = sorted(rows(big.join(small, big.k == small.k2), "k", "i", "s"))
+    assert a == b and len(a) == 338
+    left = J.skew_join(big, small, "k", "k2", "left", 8, keys=[1])
+    assert left.count() == big.count()
