@@ -2,7 +2,9 @@
 
 Dimension lookups broadcast the dimension only after checking its size with a bounded
 probe (``limit(max_rows + 1).count()`` reads at most ``max_rows + 1`` rows); a larger
-dimension falls back to a shuffle join that AQE may still convert at runtime. Fact-fact
+dimension falls back to a shuffle join that AQE may still convert at runtime. The probe
+is meant for dimension *scans*: for a derived dimension (an aggregate) pass
+``broadcast=False`` so it is computed once and AQE's runtime size check decides. Fact-fact
 joins shuffle on the key; hot keys are split by AQE's skew-join rule, or explicitly by
 salting (``salt_buckets``) when one key may hold a large share of the rows.
 """

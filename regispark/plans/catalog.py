@@ -180,7 +180,8 @@ def ratio_to_reference(spark, d):
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation"))
     counts = o.join(c, "o_custkey").groupBy("nation").agg(F.count(F.lit(1)).alias("n_orders"))
     ref = c.groupBy("nation").agg(F.count(F.lit(1)).alias("n_customers"))
-    return J.ratio_to_reference(counts, ref, "nation", "n_orders", "n_customers", "ratio", 2)
+    # ref is an aggregate: no probe (it would compute it twice); AQE sizes it at runtime
+    return J.ratio_to_reference(counts, ref, "nation", "n_orders", "n_customers", "ratio", 2, broadcast=False)
 
 
 @register("geo_fallback", """
@@ -207,7 +208,7 @@ def geo_fallback_q(spark, d):
                                           (-F.col("n_regionkey") * 10.0).alias("lon"))
     out = geo_fallback(c, [("order", l1, "c_custkey", "o_custkey", "lat", "lon"),
                            ("supplier", l2, "c_nationkey", "s_nationkey", "lat", "lon"),
-                           ("nation", l3, "c_nationkey", "n_nationkey", "lat", "lon")])
+                           ("nation", l3, "c_nationkey", "n_nationkey", "lat", "lon")], broadcast=False)
     return out.select("c_custkey", _r("LAT").alias("LAT"), _r("LON").alias("LON"), "GEO_LEVEL")
 
 
