@@ -12,7 +12,6 @@ partition boundaries with a table of at most ``lags`` rows per partition.
 
 from __future__ import annotations
 
-import math
 
 import numpy as np
 import pandas as pd
