@@ -1351,3 +1351,20 @@ def eda_capital_by_size(spark, d):
     m = P.decimal_comma(sole_traders_flow(spark, d), ["CAP_SOCIAL"])
     prof = A.group_profile(m, "NM_PORTE", "CAP_SOCIAL", _CAP_PROBS, exact=True)
     return prof.withColumn("mean", _r("mean", 4))
+
+
+@register("final_table_flow", f"""
+WITH m AS ({ORACLE_SQL["sole_traders_flow"]}), e AS ({ORACLE_SQL["establishments_flow"]})
+SELECT m.CNPJ, m.NOME_EMPRESA, m.NM_PORTE, m.CPF_CRIPTOGRAFADO, m.PRIMEIRO_NOME,
+       CASE WHEN m.PRIMEIRO_NOME = 'JOSE' AND m.CLASSIFICACAO = 'F' THEN 'M' ELSE m.CLASSIFICACAO END AS CLASSIFICACAO,
+       e.CNPJ_BASICO, e.CNPJ_ORDEM, e.NM_SIT_CADASTRAL, e.NM_MATRIZ_FILIAL, e.MUNICIPIO, e.PROVEDOR, e.VALID_EMAIL
+FROM m JOIN e ON m.CNPJ = e.CNPJ_BASICO
+""")
+def final_table_flow(spark, d):
+    """Q6: sole traders x their establishments (hot companies split by the skew join)."""
+    from .registry import final_table
+
+    f = final_table(sole_traders_flow(spark, d), establishments_flow(spark, d), salt_buckets=8)
+    return f.select("CNPJ", "NOME_EMPRESA", "NM_PORTE", "CPF_CRIPTOGRAFADO", "PRIMEIRO_NOME", "CLASSIFICACAO",
+                    "CNPJ_BASICO", "CNPJ_ORDEM", "NM_SIT_CADASTRAL", "NM_MATRIZ_FILIAL", "MUNICIPIO", "PROVEDOR",
+                    "VALID_EMAIL")
