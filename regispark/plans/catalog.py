@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import functions as X
 from ..operators import features as L, joins as J, profile as A, projection as P, quality as D, stats as T
 from ..operators.filters import phone_shape
+from ..fixed_values import STREET_TYPE_EXACT, STREET_TYPE_PATTERNS, VALID_AREA_CODES
 from ..sources.seeds import HOME_AREA_MOBILE_RANGES, expand_ranges
 from .geocode import geo_fallback
 
@@ -1368,3 +1369,134 @@ def final_table_flow(spark, d):
     return f.select("CNPJ", "NOME_EMPRESA", "NM_PORTE", "CPF_CRIPTOGRAFADO", "PRIMEIRO_NOME", "CLASSIFICACAO",
                     "CNPJ_BASICO", "CNPJ_ORDEM", "NM_SIT_CADASTRAL", "NM_MATRIZ_FILIAL", "MUNICIPIO", "PROVEDOR",
                     "VALID_EMAIL")
+
+
+# ---------------------------------------------------------------------------
+# Q8: modelling-table treatment on customer-derived rows
+# ---------------------------------------------------------------------------
+_STATE_NAMES = list(X.STATE_NAME_TO_CODE)
+_STATE_CODES = list(X.STATE_NAME_TO_CODE.values())
+_MODEL_PROV = ["gmial", "hotmail", "", None, "otlook", "xyz"]
+_MODEL_STREET = ["1A RUA", "RUA PRINCIPAL", "PRA�A", "AVENIDA", "XYZ", None]
+MODEL_OUT = ["NOME_EMPRESA", "CNAE", "UF", "MUNICIPIO", "DDD1", "CAP_SOCIAL", "renda_per_capita", "LAT", "LON",
+             "IDHM_2010", "PRODUTO_INTERNO_BRUTO_A_PREOS_CORRENTES_R_1000", "TIPO_TELEFONE_FINAL", "OPERADORA",
+             "PROVEDOR", "TIPO_LOUGRADOURO", "SEXO_PROB"]
+
+
+def model_provider_map() -> dict:
+    return X.typo_dictionary(FLOW_PROVIDERS, extra={"G-MAIL": "GMAIL", "OTLOOK": "AUTLOOK"})
+
+
+def _pick(values, idx):
+    return F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), (idx % len(values) + 1).cast("int"))
+
+
+def model_rows(spark, d) -> DataFrame:
+    c = table(spark, d, "customer")
+    k = F.col("c_custkey")
+    comma = lambda e, fmt: F.regexp_replace(F.format_string(fmt, e), r"\.", ",")
+    nat = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    x = J.lookup(c, nat, "c_nationkey", drop_key=False)
+    return x.select(
+        F.col("c_name").alias("NOME_EMPRESA"), F.col("c_mktsegment").alias("CNAE"),
+        F.when(k % 4 == 0, "Sócio").otherwise("Empresário").alias("NM_QUALIFICACAO"),
+        F.lit("Empresário (Individual)").alias("NAT_JURICA"),
+        F.when(k % 5 == 0, "FILIAL").otherwise("MATRIZ").alias("NM_MATRIZ_FILIAL"),
+        comma(F.col("c_acctbal"), "%.2f").alias("CAP_SOCIAL"),
+        _pick(_STATE_CODES, F.col("c_nationkey")).alias("UF"),
+        F.col("n_name").alias("MUNICIPIO"),
+        F.lpad((F.col("c_nationkey") + 11).cast("string"), 2, "0").alias("DDD1"),
+        F.when(k % 2 == 0, "TELEFONE FIXO").otherwise("TELEFONE CELULAR").alias("TIPO_TELEFONE_FINAL"),
+        F.when(k % 7 == 0, F.lit(None).cast("string")).otherwise(F.lit("VIVO")).alias("OPERADORA"),
+        F.when(k % 6 == 0, F.lit(None).cast("string")).otherwise(comma(F.col("c_acctbal") * 2, "%.2f"))
+        .alias("renda_per_capita"),
+        F.lit("1234,5").alias("RENDA_PERCAPTA_MUN"),
+        F.when(k % 3 == 0, F.lit(None).cast("string")).otherwise(comma(F.col("c_acctbal"), "%.2f")).alias("LAT"),
+        F.when(k % 3 == 0, F.lit(None).cast("string")).otherwise(comma(-F.col("c_acctbal"), "%.2f")).alias("LON"),
+        F.lit("0,7").alias("IDHM_2010"),
+        F.when(k % 9 == 0, F.lit(None).cast("string")).otherwise(F.lit("100,5"))
+        .alias("PRODUTO_INTERNO_BRUTO_A_PREOS_CORRENTES_R_1000"),
+        F.lit("10,25").alias("PRODUTO_INTERNO_BRUTO_PER_CAPITA_A_PREOS_CORRENTES_R_100"),
+        (F.lit(2000) + k % 20).cast("int").alias("ano_cadastro"), k.cast("int").alias("CEP"),
+        _pick(_MODEL_PROV, k).alias("PROVEDOR"), _pick(_MODEL_STREET, k).alias("TIPO_LOUGRADOURO"),
+        F.when(k % 8 == 0, F.lit(None).cast("string")).otherwise(F.lit("F")).alias("SEXO_PROB"))
+
+
+def municipality_rows(spark, d) -> DataFrame:
+    """Municipality attributes: state by name, accented municipality names, coordinates."""
+    n = table(spark, d, "nation").filter(F.col("n_nationkey") < 20)
+    return n.select(_pick(_STATE_NAMES, F.col("n_nationkey")).alias("UF"),
+                    F.regexp_replace("n_name", "A", "Á").alias("NOME_MUNICIPIO"),
+                    (-F.col("n_nationkey")).cast("string").alias("LATITUDE"),
+                    (F.col("n_regionkey") * 10).cast("string").alias("LONGITUDE"))
+
+
+def _sql_list(values) -> str:
+    return "[" + ", ".join("NULL" if v is None else "'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+_STATE_CASE = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in X.STATE_NAME_TO_CODE.items())
+_STREET_SQL = ("CASE " + " ".join(f"WHEN regexp_matches(t, '{p}') THEN '{lab}'" for p, lab in STREET_TYPE_PATTERNS)
+               + " " + " ".join(f"WHEN t = '{a}' THEN '{b}'" for a, b in STREET_TYPE_EXACT)
+               + " ELSE replace(t, 'PRA' || chr(65533) || 'A', 'PRACA') END")
+
+
+@register("modelling_flow", f"""
+WITH dict(k, v) AS (VALUES {_dict_values_sql(model_provider_map())}),
+base AS (SELECT c.c_name AS NOME_EMPRESA, c.c_mktsegment AS CNAE,
+        CASE WHEN c.c_custkey % 4 = 0 THEN 'Sócio' ELSE 'Empresário' END AS NM_QUALIFICACAO,
+        'Empresário (Individual)' AS NAT_JURICA,
+        CASE WHEN c.c_custkey % 5 = 0 THEN 'FILIAL' ELSE 'MATRIZ' END AS NM_MATRIZ_FILIAL,
+        replace(printf('%.2f', c.c_acctbal), '.', ',') AS CAP_SOCIAL,
+        {_sql_list(_STATE_CODES)}[CAST(c.c_nationkey % {len(_STATE_CODES)} AS INTEGER) + 1] AS UF,
+        n.n_name AS MUNICIPIO, lpad(CAST(c.c_nationkey + 11 AS VARCHAR), 2, '0') AS DDD1,
+        CASE WHEN c.c_custkey % 2 = 0 THEN 'TELEFONE FIXO' ELSE 'TELEFONE CELULAR' END AS TIPO_TELEFONE_FINAL,
+        CASE WHEN c.c_custkey % 7 = 0 THEN NULL ELSE 'VIVO' END AS OPERADORA,
+        CASE WHEN c.c_custkey % 6 = 0 THEN NULL ELSE replace(printf('%.2f', c.c_acctbal * 2), '.', ',') END AS renda_per_capita,
+        '1234,5' AS RENDA_PERCAPTA_MUN,
+        CASE WHEN c.c_custkey % 3 = 0 THEN NULL ELSE replace(printf('%.2f', c.c_acctbal), '.', ',') END AS LAT,
+        CASE WHEN c.c_custkey % 3 = 0 THEN NULL ELSE replace(printf('%.2f', -c.c_acctbal), '.', ',') END AS LON,
+        '0,7' AS IDHM_2010,
+        CASE WHEN c.c_custkey % 9 = 0 THEN NULL ELSE '100,5' END AS PIB1, '10,25' AS PIB2,
+        CAST(2000 + c.c_custkey % 20 AS INTEGER) AS ano_cadastro, CAST(c.c_custkey AS INTEGER) AS CEP,
+        {_sql_list(_MODEL_PROV)}[CAST(c.c_custkey % {len(_MODEL_PROV)} AS INTEGER) + 1] AS PROVEDOR,
+        {_sql_list(_MODEL_STREET)}[CAST(c.c_custkey % {len(_MODEL_STREET)} AS INTEGER) + 1] AS TIPO_LOUGRADOURO,
+        CASE WHEN c.c_custkey % 8 = 0 THEN NULL ELSE 'F' END AS SEXO_PROB
+      FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey),
+s2 AS (SELECT NOME_EMPRESA, CNAE, UF, MUNICIPIO, DDD1, ano_cadastro, CEP, PROVEDOR, TIPO_LOUGRADOURO, SEXO_PROB,
+        TIPO_TELEFONE_FINAL, CASE WHEN TIPO_TELEFONE_FINAL = 'TELEFONE FIXO' THEN TIPO_TELEFONE_FINAL ELSE OPERADORA END AS OPERADORA,
+        TRY_CAST(replace(CAP_SOCIAL, ',', '.') AS FLOAT) AS CAP_SOCIAL,
+        TRY_CAST(replace(COALESCE(renda_per_capita, RENDA_PERCAPTA_MUN), ',', '.') AS FLOAT) AS renda_per_capita,
+        TRY_CAST(replace(LAT, ',', '.') AS FLOAT) AS LAT, TRY_CAST(replace(LON, ',', '.') AS FLOAT) AS LON,
+        TRY_CAST(replace(IDHM_2010, ',', '.') AS FLOAT) AS IDHM_2010, TRY_CAST(replace(PIB1, ',', '.') AS FLOAT) AS PIB1,
+        NM_QUALIFICACAO, NAT_JURICA, NM_MATRIZ_FILIAL FROM base),
+s3 AS (SELECT * FROM s2 WHERE CAP_SOCIAL > 0 AND NM_QUALIFICACAO = 'Empresário' AND NAT_JURICA = 'Empresário (Individual)'
+        AND NM_MATRIZ_FILIAL = 'MATRIZ'),
+mun AS (SELECT COALESCE(CASE UF {_STATE_CASE} END, UF) AS M_UF,
+        translate(upper(NOME_MUNICIPIO), 'ÁÀÃÂÄÉÈÊËÍÌÎÏÓÒÕÔÖÚÙÛÜÇ', 'AAAAAEEEEIIIIOOOOOUUUUC') AS M_NAME,
+        TRY_CAST(LATITUDE AS FLOAT) AS M_LAT, TRY_CAST(LONGITUDE AS FLOAT) AS M_LON
+      FROM (SELECT {_sql_list(_STATE_NAMES)}[CAST(n_nationkey % {len(_STATE_NAMES)} AS INTEGER) + 1] AS UF,
+                   replace(n_name, 'A', 'Á') AS NOME_MUNICIPIO, CAST(-n_nationkey AS VARCHAR) AS LATITUDE,
+                   CAST(n_regionkey * 10 AS VARCHAR) AS LONGITUDE FROM nation WHERE n_nationkey < 20)),
+s4 AS (SELECT s3.* EXCLUDE (LAT, LON), COALESCE(s3.LAT, mun.M_LAT) AS LAT, COALESCE(s3.LON, mun.M_LON) AS LON
+       FROM s3 LEFT JOIN mun ON s3.UF = mun.M_UF AND s3.MUNICIPIO = mun.M_NAME),
+s5 AS (SELECT * FROM s4 WHERE DDD1 IN ({", ".join(f"'{a}'" for a in VALID_AREA_CODES)})
+        AND NOME_EMPRESA IS NOT NULL AND CNAE IS NOT NULL AND ano_cadastro IS NOT NULL AND DDD1 IS NOT NULL
+        AND IDHM_2010 IS NOT NULL AND CEP IS NOT NULL AND renda_per_capita IS NOT NULL AND LON IS NOT NULL AND LAT IS NOT NULL),
+s6 AS (SELECT NOME_EMPRESA, CNAE, COALESCE(UF, 'SI') AS UF, COALESCE(MUNICIPIO, 'SI') AS MUNICIPIO, DDD1, CAP_SOCIAL,
+        renda_per_capita, LAT, LON, IDHM_2010, COALESCE(PIB1, 0) AS PRODUTO_INTERNO_BRUTO_A_PREOS_CORRENTES_R_1000,
+        COALESCE(TIPO_TELEFONE_FINAL, 'SI') AS TIPO_TELEFONE_FINAL, COALESCE(OPERADORA, 'SI') AS OPERADORA,
+        upper(COALESCE(PROVEDOR, 'NAO_CADASTRADO')) AS P0, COALESCE(TIPO_LOUGRADOURO, 'SI') AS t,
+        COALESCE(SEXO_PROB, 'SI') AS SEXO_PROB FROM s5)
+SELECT NOME_EMPRESA, CNAE, UF, MUNICIPIO, DDD1, CAP_SOCIAL, renda_per_capita, LAT, LON, IDHM_2010,
+       PRODUTO_INTERNO_BRUTO_A_PREOS_CORRENTES_R_1000, TIPO_TELEFONE_FINAL, OPERADORA,
+       CASE WHEN COALESCE(d.v, P0) IN ({", ".join(f"'{p}'" for p in X.MODEL_PROVIDERS)}) THEN COALESCE(d.v, P0) ELSE 'OUTROS' END AS PROVEDOR,
+       CASE WHEN ({_STREET_SQL}) IN ({", ".join("'" + p + "'" for p in X.STREET_TYPES)}) THEN ({_STREET_SQL}) ELSE 'OUTROS' END AS TIPO_LOUGRADOURO,
+       SEXO_PROB
+FROM s6 LEFT JOIN dict d ON d.k = P0
+""")
+def modelling_flow(spark, d):
+    from .modelling import treat_modelling_table
+
+    out = treat_modelling_table(model_rows(spark, d), municipality_rows(spark, d), model_provider_map())
+    return out.select(*MODEL_OUT)
