@@ -186,9 +186,9 @@ def ratio_to_reference(spark, d):
 
 
 @register("geo_fallback", """
-WITH l1 AS (SELECT o_custkey AS k, max(o_totalprice) / 10000.0 AS lat, count(*) * 1.0 AS lon FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
-     l2 AS (SELECT s_nationkey AS k, min(s_acctbal) / 100.0 AS lat, count(*) * 1.0 AS lon FROM supplier GROUP BY 1),
-     l3 AS (SELECT n_nationkey AS k, n_regionkey * 10.0 AS lat, -n_regionkey * 10.0 AS lon FROM nation)
+WITH l1 AS (SELECT o_custkey AS k, max(o_totalprice) / 10000.0 AS lat, CAST(count(*) AS DOUBLE) AS lon FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
+     l2 AS (SELECT s_nationkey AS k, min(s_acctbal) / 100.0 AS lat, CAST(count(*) AS DOUBLE) AS lon FROM supplier GROUP BY 1),
+     l3 AS (SELECT n_nationkey AS k, CAST(n_regionkey * 10 AS DOUBLE) AS lat, CAST(-n_regionkey * 10 AS DOUBLE) AS lon FROM nation)
 SELECT c.c_custkey,
        round(CASE WHEN l1.lat IS NOT NULL AND l1.lon IS NOT NULL THEN l1.lat WHEN l2.lat IS NOT NULL AND l2.lon IS NOT NULL THEN l2.lat
             WHEN l3.lat IS NOT NULL AND l3.lon IS NOT NULL THEN l3.lat END, 6) AS LAT,
@@ -364,7 +364,7 @@ def accent_fold(spark, d):
 
 @register("digits_only", """
 SELECT c_custkey, nullif(regexp_replace(c_name, '[^0-9]', '', 'g'), '') AS digits,
-       length(nullif(regexp_replace(c_name, '[^0-9]', '', 'g'), '')) AS n_digits
+       CAST(length(nullif(regexp_replace(c_name, '[^0-9]', '', 'g'), '')) AS INTEGER) AS n_digits
 FROM customer
 """)
 def digits_only(spark, d):
@@ -373,7 +373,7 @@ def digits_only(spark, d):
 
 
 @register("person_id_flag", """
-WITH t AS (SELECT doc_id, length(nullif(regexp_replace(text, '[^0-9]', '', 'g'), '')) AS n_digits FROM documents)
+WITH t AS (SELECT doc_id, CAST(length(nullif(regexp_replace(text, '[^0-9]', '', 'g'), '')) AS INTEGER) AS n_digits FROM documents)
 SELECT doc_id, n_digits, CASE WHEN n_digits = 11 THEN 'SIM' ELSE 'NAO' END AS person_id FROM t
 """)
 def person_id_flag(spark, d):
@@ -432,7 +432,7 @@ _BROKEN_DATE = """CASE WHEN o_orderkey % 97 = 0 THEN '00000000' WHEN o_orderkey
 @register("safe_date_parts", f"""
 WITH s AS (SELECT o_orderkey, {_BROKEN_DATE.format(fmt="strftime(o_orderdate, '%Y%m%d')")} AS raw FROM orders),
 t AS (SELECT o_orderkey, raw, CAST(try_strptime(raw, '%Y%m%d') AS DATE) AS dt FROM s)
-SELECT o_orderkey, raw, dt, year(dt) AS yr, month(dt) AS mo FROM t
+SELECT o_orderkey, raw, dt, CAST(year(dt) AS INTEGER) AS yr, CAST(month(dt) AS INTEGER) AS mo FROM t
 """)
 def safe_date_parts(spark, d):
     o = table(spark, d, "orders")
@@ -575,7 +575,7 @@ GLOBAL_PROBS = [0.01, 0.05, 0.1, 0.2, 0.25, 0.3, 0.4, 0.5, 0.6, 0.7, 0.75, 0.8,
 
 
 @register("global_quantiles", " UNION ALL ".join(
-    f"SELECT {p} AS prob, quantile_disc(l_extendedprice, {p}) AS value FROM lineitem" for p in GLOBAL_PROBS))
+    f"SELECT CAST({p} AS DOUBLE) AS prob, quantile_disc(l_extendedprice, {p}) AS value FROM lineitem" for p in GLOBAL_PROBS))
 def global_quantiles(spark, d):
     return A.quantiles(table(spark, d, "lineitem"), "l_extendedprice", GLOBAL_PROBS, exact=True)
 
@@ -628,7 +628,7 @@ def missing_table(spark, d):
 
 
 @register("duplicate_audit", """
-SELECT sum(n) AS rows, count(*) AS distinct_rows, sum(n) - count(*) AS duplicate_rows
+SELECT CAST(sum(n) AS BIGINT) AS rows, count(*) AS distinct_rows, CAST(sum(n) - count(*) AS BIGINT) AS duplicate_rows
 FROM (SELECT text, lang, count(*) AS n FROM documents GROUP BY ALL)
 """)
 def duplicate_audit(spark, d):
@@ -833,7 +833,7 @@ def quality_not_null(spark, d):
     return D.check_not_null(_customer_orders(spark, d), "o_orderkey").select("c_custkey", "c_name")
 
 
-@register("domain_audit", "SELECT length(text) AS value, count(*) AS count FROM conversations GROUP BY 1")
+@register("domain_audit", "SELECT CAST(length(text) AS INTEGER) AS value, count(*) AS count FROM conversations GROUP BY 1")
 def domain_audit(spark, d):
     return D.domain_audit(table(spark, d, "conversations"), F.length("text"))
 
@@ -988,8 +988,9 @@ j AS (SELECT e.*, mo.r_name AS NM_MOTIVO, 'CNAE ' || cn.n_name AS CNAE, mu.n_nam
 SELECT j.CNPJ_BASICO, j.CNPJ_ORDEM,
        CASE SIT_CADASTRAL WHEN 1 THEN 'NULA' WHEN 2 THEN 'ATIVA' WHEN 3 THEN 'SUSPENSA' WHEN 4 THEN 'INAPTA' WHEN 8 THEN 'BAIXADA' END AS NM_SIT_CADASTRAL,
        CASE TRY_CAST(MATRIZ_FILIAL AS INTEGER) WHEN 1 THEN 'MATRIZ' WHEN 2 THEN 'FILIAL' END AS NM_MATRIZ_FILIAL,
-       DT_SIT_CADASTRAL, DT_INICIO_ATIVIDADE, year(DT_INICIO_ATIVIDADE) AS ano_cadastro, month(DT_INICIO_ATIVIDADE) AS mes_cadastro,
-       year(DT_SIT_CADASTRAL) AS ano_sit_cadastral, month(DT_SIT_CADASTRAL) AS mes_sit_cadastral, NM_MOTIVO, CNAE, MUNICIPIO, NM_PAIS,
+       DT_SIT_CADASTRAL, DT_INICIO_ATIVIDADE, CAST(year(DT_INICIO_ATIVIDADE) AS INTEGER) AS ano_cadastro,
+       CAST(month(DT_INICIO_ATIVIDADE) AS INTEGER) AS mes_cadastro, CAST(year(DT_SIT_CADASTRAL) AS INTEGER) AS ano_sit_cadastral,
+       CAST(month(DT_SIT_CADASTRAL) AS INTEGER) AS mes_sit_cadastral, NM_MOTIVO, CNAE, MUNICIPIO, NM_PAIS,
        concat_ws(', ', TIPO_LOUGRADOURO || ' ' || LOGRADOURO, CAST(NUMERO AS VARCHAR), concat_ws(' - ', MUNICIPIO, UF)) AS ENDERECO_COMPLETO,
        COALESCE(d1.v, PROV0) AS PROVEDOR, EMAIL,
        CASE WHEN regexp_matches(VALID0, '^([^@]*@)([^.@]+)(\\..*)$')
@@ -1054,7 +1055,7 @@ WITH emp AS (SELECT lpad(CAST(c.c_custkey AS VARCHAR), 8, '0') AS CNPJ,
 comp AS (SELECT e.*, r.r_name AS NAT_JURICA, n.n_name AS NM_QUALIFICACAO, nullif(regexp_replace(NOME_EMPRESA, '[^0-9]', '', 'g'), '') AS CPF
       FROM emp e LEFT JOIN region r ON e.COD_NAT_JURICA = CAST(r.r_regionkey AS VARCHAR)
       LEFT JOIN nation n ON e.COD_QUALIFICACAO = CAST(n.n_nationkey AS VARCHAR)),
-c2 AS (SELECT *, length(CPF) AS CPF_LEN,
+c2 AS (SELECT *, CAST(length(CPF) AS INTEGER) AS CPF_LEN,
         CASE TRY_CAST(PORTE AS INTEGER) WHEN 0 THEN 'NÃO INFORMADO' WHEN 1 THEN 'MICRO EMPRESA' WHEN 3 THEN 'EMPRESA DE PEQUENO PORTE'
              WHEN 5 THEN 'DEMAIS' WHEN 8 THEN 'BAIXADA' END AS NM_PORTE,
         CASE WHEN length(CPF) = 11 THEN 'SIM' ELSE 'NAO' END AS PROBABILIDADE_DE_SER_CPF,
@@ -1178,7 +1179,7 @@ WITH f AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS CNPJ, c_name AS NO
              WHEN c_custkey % 23 = 0 THEN lpad(CAST(CAST(floor(abs(c_acctbal)) AS BIGINT) AS VARCHAR), 4, '0') || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') || '9'
              ELSE lpad(CAST(CAST(floor(abs(c_acctbal)) AS BIGINT) AS VARCHAR), 4, '0') || '-' || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') END AS TEL1,
         CAST(DATE '2020-01-01' + CAST(c_custkey % 365 AS INTEGER) AS DATE) AS DT_SIT_CADASTRAL,
-        year(CAST(DATE '2020-01-01' + CAST(c_custkey % 365 AS INTEGER) AS DATE)) AS ano_sit_cadastral,
+        CAST(year(CAST(DATE '2020-01-01' + CAST(c_custkey % 365 AS INTEGER) AS DATE)) AS INTEGER) AS ano_sit_cadastral,
         CAST(2000 + c_custkey % 20 AS INTEGER) AS ano_cadastro
       FROM customer),
 r AS ({_RANGES_SQL}),

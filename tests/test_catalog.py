@@ -9,7 +9,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
-from oracle_check import digest  # noqa: E402
+from oracle_check import digest, type_diff  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -40,6 +40,7 @@ def test_query_matches_oracle(spark, duck, name):
     cur = duck.execute(E.oracle_sql()[name])
     orows, ocols = cur.fetchall(), [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(ocols)
+    assert type_diff(df.schema, cur.description) == []
     assert len(rows) == len(orows)
     assert digest(rows, df.columns)[0] == digest(orows, ocols)[0]
 
