@@ -98,3 +98,18 @@ def test_materialize_and_pinned(spark):
     assert v.first().x == 1
     with sinks.pinned(spark.range(5)) as p:
         assert p.count() == 5
+
+
+def test_extract_first_matching_member_only(spark, tmp_path):
+    import zipfile
+
+    arc = str(tmp_path / "Simples.zip")
+    with zipfile.ZipFile(arc, "w") as zf:
+        zf.writestr("notes.txt", "x\n")
+        zf.writestr("F.K03200$W.SIMPLES.CSV.D40113", '"11111111";"S";"20200101";"";"N";"";""\n')
+        zf.writestr("F.K03200$W.SIMPLES.CSV.D40114", '"22222222";"S";"20200101";"";"N";"";""\n')
+    man = archives.extract_archives(spark, [arc], str(tmp_path / "out"), member_filter=r"SIMPLES\.CSV",
+                                    first_only=True, rename=True).collect()
+    assert [(r.status, r.target.split("/")[-1]) for r in man] == [("ok", "Simples.csv")]
+    df = delimited.read_dataset(spark, "simples", paths=str(tmp_path / "out" / "Simples.csv"))
+    assert [r.CNPJ_BASICO for r in df.collect()] == ["11111111"]
