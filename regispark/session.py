@@ -38,15 +38,18 @@ def get_session(master: str | None = None, app: str = "regispark", shuffle_parti
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the checkpoint directory, setting a local scratch one only when unset.
+    """Return the checkpoint directory, setting a scratch one only when unset in local mode.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is left untouched.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is left untouched; if a
+    cluster session has none, this raises instead of using a machine-local folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not fallback and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: configure a shared folder for checkpoints")
     path = fallback or tempfile.mkdtemp(prefix="regispark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

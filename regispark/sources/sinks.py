@@ -20,6 +20,9 @@ def save_data(df: DataFrame, path: str, num_partitions: int | None = None, fmt:
     on a cluster), so the overwrite cannot delete its own input mid-job.
     """
     if overwrite_source:
+        from ..session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
     if num_partitions:
         current = df.rdd.getNumPartitions()
