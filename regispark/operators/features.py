@@ -8,6 +8,9 @@ Feature names are read from the ``ml_attr`` metadata that ``VectorAssembler`` /
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import (ChiSqSelector, RFormula, StringIndexer, UnivariateFeatureSelector,
                                 VarianceThresholdSelector, VectorAssembler, VectorSlicer)
@@ -40,6 +43,17 @@ def index_assemble(df: DataFrame, categorical, numeric, label: str | None = None
     return Pipeline(stages=stages).fit(df).transform(df)
 
 
+@contextmanager
+def iterative_input(data: DataFrame):
+    """Training rows for an iterative fit (tens of passes): spread once if narrow, kept
+    (memory, then disk) for the duration of the fit and released afterwards."""
+    data = spread_for_iterations(data).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield data
+    finally:
+        data.unpersist()
+
+
 def _scores(df: DataFrame, names, scores, threshold: float | None, col: str) -> DataFrame:
     rows = [(n, float(s)) for n, s in zip(names, scores)]
     out = df.sparkSession.createDataFrame(rows, f"feature string, {col} double")
@@ -54,12 +68,10 @@ def rank_features(df: DataFrame, names, scores, threshold: float | None = 0.05,
 
 
 def _prepared(df: DataFrame, label: str, categorical=None, numeric=None, handle_invalid: str = "keep",
-              index_label: bool = False, spread: bool = False):
+              index_label: bool = False):
     if categorical is None and numeric is None:
         categorical, numeric = split_columns(df, label)
-    # Tree ensembles make many heavy passes: spread a narrow input once (no-op at scale).
-    data = index_assemble(spread_for_iterations(df) if spread else df, categorical, numeric,
-                          label if index_label else None, handle_invalid)
+    data = index_assemble(df, categorical, numeric, label if index_label else None, handle_invalid)
     if not index_label:
         data = data.withColumn("label", F.col(quote(label)).cast("double"))
     return data.filter(F.col("label").isNotNull()), vector_names(data)
@@ -83,8 +95,9 @@ def logistic_importance(df: DataFrame, label: str, categorical=None, numeric=Non
     from pyspark.ml.classification import LogisticRegression
 
     data, names = _prepared(df, label, categorical, numeric, index_label=True)
-    model = LogisticRegression(featuresCol="features", labelCol="label", regParam=reg_param,
-                               elasticNetParam=elastic_net).fit(data)
+    with iterative_input(data) as rows:
+        model = LogisticRegression(featuresCol="features", labelCol="label", regParam=reg_param,
+                                   elasticNetParam=elastic_net).fit(rows)
     m = model.coefficientMatrix.toArray()
     return _scores(df, names, abs(m).max(axis=0), threshold, "coefficient")
 
@@ -96,10 +109,11 @@ def rf_importance(df: DataFrame, label: str, categorical=None, numeric=None, tas
     from pyspark.ml.regression import RandomForestRegressor
 
     cls = task == "classification"
-    data, names = _prepared(df, label, categorical, numeric, index_label=cls, spread=True)
+    data, names = _prepared(df, label, categorical, numeric, index_label=cls)
     est = (RandomForestClassifier if cls else RandomForestRegressor)(
         featuresCol="features", labelCol="label", numTrees=num_trees, maxBins=max_bins, seed=seed)
-    model = est.fit(data)
+    with iterative_input(data) as rows:
+        model = est.fit(rows)
     return _scores(df, names, model.featureImportances.toArray(), threshold, "importance")
 
 
@@ -154,9 +168,6 @@ def rformula(df: DataFrame, formula: str, handle_invalid: str = "keep") -> DataF
     return RFormula(formula=formula, handleInvalid=handle_invalid).fit(df).transform(df)
 
 
-def _rformula_for_fit(df: DataFrame, formula: str) -> DataFrame:
-    return rformula(spread_for_iterations(df), formula)
-
 
 def rformula_rf_rmse(df: DataFrame, formula: str, train_fraction: float = 0.75, seed: int = 1234,
                      num_trees: int = 20, max_bins: int = 32, split_by=None) -> DataFrame:
@@ -166,11 +177,12 @@ def rformula_rf_rmse(df: DataFrame, formula: str, train_fraction: float = 0.75,
 
     from .filters import split_train_test
 
-    data = _rformula_for_fit(df, formula)
+    data = rformula(df, formula)
     names = vector_names(data)
     train, test = split_train_test(data, train_fraction, seed, split_by)
-    model = RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=num_trees, maxBins=max_bins,
-                                  seed=seed).fit(train)
+    with iterative_input(train) as rows:
+        model = RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=num_trees, maxBins=max_bins,
+                                      seed=seed).fit(rows)
     rmse = RegressionEvaluator(metricName="rmse", labelCol="label").evaluate(model.transform(test))
     return _scores(df, names, model.featureImportances.toArray(), None, "importance").withColumn("rmse", F.lit(rmse))
 
