@@ -1501,3 +1501,12 @@ def modelling_flow(spark, d):
 
     out = treat_modelling_table(model_rows(spark, d), municipality_rows(spark, d), model_provider_map())
     return out.select(*MODEL_OUT)
+
+
+@register("global_row_number", """
+SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY o_orderkey) AS row_number FROM orders
+""")
+def global_row_number(spark, d):
+    """Contiguous row numbers in key order without a single-partition window."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    return P.global_row_number(o, "o_orderkey", "row_number")

@@ -201,3 +201,14 @@ def test_skew_join_splits_only_hot_keys(spark):
     assert a == b and len(a) == 338
     left = J.skew_join(big, small, "k", "k2", "left", 8, keys=[1])
     assert left.count() == big.count()
+
+
+def test_global_row_number_matches_window(spark):
+    import random
+    from pyspark.sql import Window
+
+    rnd = random.Random(4)
+    df = spark.createDataFrame([(k, rnd.random()) for k in rnd.sample(range(100000), 2000)], "k long, x double")
+    got = {r.k: r.rn for r in P.global_row_number(df, "k", "rn", num_partitions=13).collect()}
+    exp = {r.k: r.rn for r in df.withColumn("rn", F.row_number().over(Window.orderBy("k"))).collect()}
+    assert got == exp and sorted(got.values()) == list(range(1, 2001))
