@@ -33,49 +33,51 @@ def _c(name: str) -> Column:
     return F.col(quote(name))
 
 
-_LOCAL_BITS = 33  # monotonically_increasing_id = partition index << 33 | row index in partition
-
-
 def _exact_core(df: DataFrame, keys: list, c: str, probs, num_partitions: int | None = None) -> DataFrame:
-    """Rows (keys..., prob, value, n, sum, min, max) from ONE range-sorted pass.
+    """Rows (keys..., prob, value, n, sum, min, max) for exact discrete quantiles.
 
+    Rows are cut into deterministic range buckets over (group, value, row hash); a row's
+    rank in its group is its ``row_number`` inside (bucket, group) plus the group's counts
+    in earlier buckets. Per-(group, bucket) statistics are aggregated before any shuffle.
     ``prob`` is NULL on one carrier row per group (its first row), so groups whose values
-    are all NULL still appear; group statistics ride along on every row of the group."""
+    are all NULL still appear; group statistics ride along on every row."""
+    from .ordering import tiebreak, with_buckets
+
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = df.select(*[_c(k) for k in keys], _c(c).alias("__v"))
-    order = [F.col(quote(k)) for k in keys] + [F.col("__v")]  # ascending, NULLs first
-    s = base.repartitionByRange(n, *order).sortWithinPartitions(*order) \
-        .withColumn("__mid", F.monotonically_increasing_id())
-    s = s.withColumns({"__pid": F.shiftright("__mid", _LOCAL_BITS),
-                       "__li": F.col("__mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))})
-    stats = s.groupBy(*[_c(k) for k in keys], "__pid").agg(
-        F.count(F.lit(1)).alias("__cnt"), F.count("__v").alias("__nn"), F.min("__li").alias("__lo"),
+    base = df.select(*[_c(k) for k in keys], _c(c).alias("__v"), tiebreak(df).alias("__tb"))
+    order = [F.col(quote(k)) for k in keys] + [F.col("__v"), F.col("__tb")]  # ascending, NULLs first
+    b, nb = with_buckets(base, order, n)
+    kcols = [_c(k) for k in keys]
+    pos = F.row_number().over(Window.partitionBy("__bucket", *kcols).orderBy(F.col("__v"), F.col("__tb")))
+    s = b.repartitionByRange(nb, "__bucket").withColumn("__pos", pos)
+    stats = b.groupBy(*kcols, "__bucket").agg(
+        F.count(F.lit(1)).alias("__cnt"), F.count("__v").alias("__nn"),
         F.sum("__v").alias("__sum"), F.min("__v").alias("__min"), F.max("__v").alias("__max"))
-    grp = Window.partitionBy(*[_c(k) for k in keys])
+    grp = Window.partitionBy(*kcols)
     stats = stats.withColumns({
-        "__before": F.coalesce(F.sum("__cnt").over(grp.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
+        "__before": F.coalesce(F.sum("__cnt").over(grp.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)),
                                F.lit(0)),
         "__n": F.sum("__nn").over(grp),
         "__nulls": F.sum(F.col("__cnt") - F.col("__nn")).over(grp),
         "__gsum": F.sum("__sum").over(grp), "__gmin": F.min("__min").over(grp), "__gmax": F.max("__max").over(grp)})
     pv = F.array(*[F.lit(Decimal(str(p))).cast("decimal(20,18)") for p in probs], F.lit(None).cast("decimal(20,18)"))
     t = stats.withColumn("__p", F.explode(pv))
-    # position inside the group's sorted slice (1-based): NULLs first, then the ceil(p * n)-th
-    # value; the carrier (NULL prob) takes the group's first row.
+    # rank inside the group (1-based): NULLs first, then the ceil(p * n)-th value; the
+    # carrier (NULL prob) takes the group's first row.
     rank = F.when(F.col("__p").isNull(), F.lit(1)) \
         .when(F.col("__n") > 0, F.col("__nulls") + F.greatest(F.ceil(F.col("__p") * F.col("__n")).cast("long"), F.lit(1))) \
         .otherwise(F.lit(-1))
     t = t.withColumn("__r", rank)
     t = t.filter((F.col("__r") > F.col("__before")) & (F.col("__r") <= F.col("__before") + F.col("__cnt")))
-    t = t.select(*[_c(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__p", "__n", "__gsum", "__gmin", "__gmax",
-                 (F.shiftleft("__pid", _LOCAL_BITS) + F.col("__lo") + F.col("__r") - F.col("__before") - 1).alias("__tmid"))
-    cond = F.col("__mid") == F.col("__tmid")
+    t = t.select(*[_c(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__bucket").alias("__tb_bucket"), "__p",
+                 "__n", "__gsum", "__gmin", "__gmax", (F.col("__r") - F.col("__before")).alias("__local"))
+    cond = (F.col("__bucket") == F.col("__tb_bucket")) & (F.col("__pos") == F.col("__local"))
     for i, k in enumerate(keys):
         cond = cond & _c(k).eqNullSafe(F.col(f"__k{i}"))
     # Without groups the target table has at most len(probs) + 1 rows: broadcast is proven
-    # safe. With groups it has up to groups x (probs + 1) rows; probing it would run the
-    # whole sort, so AQE's runtime size check picks broadcast or shuffle join.
+    # safe. With groups it has up to groups x (probs + 1) rows; AQE's runtime size check
+    # picks broadcast or shuffle join once it exists.
     out = s.join(F.broadcast(t) if not keys else t, cond, "inner")
     return out.select(*[_c(k) for k in keys], F.col("__p").cast("double").alias("prob"), F.col("__v").alias("value"),
                       F.col("__n").alias("n"), F.col("__gsum").alias("sum"), F.col("__gmin").alias("min"),

@@ -88,22 +88,26 @@ def split_columns(df: DataFrame, response: str | None = None) -> tuple[list[str]
 def global_row_number(df: DataFrame, order_cols, name: str = "row_number", num_partitions: int | None = None) -> DataFrame:
     """P8 (stable, contiguous): 1-based position of each row in ``order_cols`` order — the
     result of ``row_number() over (order by ...)`` without funnelling every row into one
-    task. Rows are range-partitioned and sorted; a row's number is its position inside its
-    partition plus the row counts of the earlier partitions (a table with one row per
-    partition, broadcast). Deterministic when ``order_cols`` are unique.
+    task. Rows are cut into deterministic range buckets (see ``ordering``); a row's number
+    is its ``row_number`` inside its bucket plus the row counts of the earlier buckets (a
+    table with one row per bucket, broadcast). Ties in ``order_cols`` are broken by a row
+    hash, so the numbering is reproducible.
     """
     from pyspark.sql import Window
 
+    from .ordering import tiebreak, with_buckets
+
     cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col(quote(c)) for c in cols]
-    bits = 33  # monotonically_increasing_id = partition index << 33 | row index in partition
-    s = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("__mid", F.monotonically_increasing_id())
-    s = s.withColumn("__pid", F.shiftright("__mid", bits))
-    counts = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"), F.min("__mid").alias("__first"))
+    tb = "__tb"
+    base = df.withColumn(tb, tiebreak(df))
+    order = [F.col(quote(c)) for c in cols] + [F.col(tb)]
+    b, nb = with_buckets(base, order, n)
+    pos = F.row_number().over(Window.partitionBy("__bucket").orderBy(*order))
+    numbered = b.repartitionByRange(nb, "__bucket").withColumn("__pos", pos)
+    counts = b.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__cnt"))  # partial agg, tiny shuffle
     offsets = counts.withColumn("__before", F.coalesce(
-        F.sum("__cnt").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    # one row per partition: the broadcast is bounded by the partition count
-    j = s.join(F.broadcast(offsets.select("__pid", "__first", "__before")), "__pid")
-    out = j.withColumn(name, F.col("__before") + F.col("__mid") - F.col("__first") + 1)
-    return out.drop("__pid", "__mid", "__first", "__before")
+        F.sum("__cnt").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    # one row per bucket: the broadcast is bounded by the bucket count
+    j = numbered.join(F.broadcast(offsets.select("__bucket", "__before")), "__bucket")
+    return j.withColumn(name, F.col("__before") + F.col("__pos")).drop("__bucket", "__pos", "__before", tb)

@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .._util import as_list, quote
+from .._util import as_list, quote, require_exchange_reuse
 from ._dist import chi2_sf, f_sf
 
 
@@ -94,6 +94,7 @@ def lagged(df: DataFrame, cols, order_col: str, lags: int = 1, partition_cols=()
     cols, part = as_list(cols), as_list(partition_cols)
     keys = part + [order_col]
     spark = df.sparkSession
+    require_exchange_reuse(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *[F.col(quote(k)) for k in keys]).sortWithinPartitions(*[quote(k) for k in keys])
     lag_names = {(k, c): f"{prefix}{k}_{c}" for k in range(1, lags + 1) for c in cols}
