@@ -43,11 +43,3 @@ def spread_for_iterations(df):
     par = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(par) if df.rdd.getNumPartitions() < par else df
 
-
-def require_exchange_reuse(spark) -> None:
-    """Operators that read one range-partitioned shuffle from two plan branches (positions
-    in one, per-partition counts in the other) rely on Spark reusing that exchange: two
-    independent range exchanges may sample different bounds. Refuse to run without reuse
-    rather than return wrong numbers."""
-    if str(spark.conf.get("spark.sql.exchange.reuse", "true")).lower() == "false":
-        raise RuntimeError("this operator needs spark.sql.exchange.reuse=true (the default)")

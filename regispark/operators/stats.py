@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .._util import as_list, quote, require_exchange_reuse
+from .._util import as_list, quote
 from ._dist import chi2_sf, f_sf
 
 
@@ -86,62 +86,62 @@ def lagged(df: DataFrame, cols, order_col: str, lags: int = 1, partition_cols=()
     """Add ``{prefix}{k}_{c}`` = value of ``c`` k rows earlier in ``order_col`` order (within
     ``partition_cols``), without a single-partition window.
 
-    ``order_col`` must be unique within a group. Plan: range shuffle on (groups, order) ->
-    per-partition lags from sorted Arrow batches (carrying the last ``lags`` rows across
-    batches) -> the first ``lags`` rows of each partition are fixed from the tails of the
-    preceding partitions (a table of <= lags x partitions rows, hence broadcast).
+    ``order_col`` must be unique within a group. Plan: deterministic range buckets over
+    (groups, order) -> per-bucket lags from sorted Arrow batches (carrying the last ``lags``
+    rows across batches) -> the first ``lags`` rows of each bucket are fixed from the tails
+    of the preceding buckets (a table of <= lags x buckets rows, hence broadcast). Every
+    quantity is keyed by bucket, never by partition index, so retries and separately
+    planned exchanges agree.
     """
+    from .ordering import with_buckets
+
     cols, part = as_list(cols), as_list(partition_cols)
     keys = part + [order_col]
     spark = df.sparkSession
-    require_exchange_reuse(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *[F.col(quote(k)) for k in keys]).sortWithinPartitions(*[quote(k) for k in keys])
+    b, nb = with_buckets(df, [F.col(quote(k)) for k in keys], n)
+    ranged = b.repartitionByRange(nb, "__bucket").sortWithinPartitions("__bucket", *[quote(k) for k in keys])
     lag_names = {(k, c): f"{prefix}{k}_{c}" for k in range(1, lags + 1) for c in cols}
     base = ranged.schema
     main_schema = T.StructType(
         list(base.fields)
         + [T.StructField(name, base[c].dataType, True) for (k, c), name in lag_names.items()]
-        + [T.StructField("__pid", T.IntegerType(), False), T.StructField("__pos", T.LongType(), False)])
+        + [T.StructField("__pos", T.LongType(), False)])
+    by = ["__bucket"] + part
 
     def main_pass(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        carry, pos = None, 0
+        carry, seen = None, {}
         for pdf in batches:
             if pdf.empty:
                 continue
             nc = 0 if carry is None else len(carry)
             full = pdf if carry is None else pd.concat([carry, pdf], ignore_index=True)
-            grouped = full.groupby(part, sort=False, dropna=False) if part else None
+            grouped = full.groupby(by, sort=False, dropna=False)
             out = full.iloc[nc:].copy()
             for (k, c), name in lag_names.items():
-                shifted = grouped[c].shift(k) if part else full[c].shift(k)
-                out[name] = shifted.iloc[nc:].values
-            out["__pid"] = pid
-            out["__pos"] = np.arange(pos, pos + len(pdf), dtype="int64")
-            pos += len(pdf)
+                out[name] = grouped[c].shift(k).iloc[nc:].values
+            within = out.groupby("__bucket", sort=False).cumcount().to_numpy(dtype="int64")
+            start = out["__bucket"].map(lambda bk: seen.get(bk, 0)).to_numpy(dtype="int64")
+            out["__pos"] = start + within
+            for bk, cnt in out["__bucket"].value_counts().items():
+                seen[bk] = seen.get(bk, 0) + int(cnt)
             carry = full.iloc[-lags:].reset_index(drop=True)
             yield out
 
     tail_schema = T.StructType([base[k] for k in part] + [base[c] for c in cols]
-                               + [T.StructField("__pid", T.IntegerType(), False),
+                               + [T.StructField("__bucket", base["__bucket"].dataType, False),
                                   T.StructField("__back", T.IntegerType(), False)])
 
     def tail_pass(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
         last = None
         for pdf in batches:
             if not pdf.empty:
-                last = pdf[part + cols].iloc[-lags:] if last is None else \
-                    pd.concat([last, pdf[part + cols]], ignore_index=True).iloc[-lags:]
+                cur = pdf[part + cols + ["__bucket"]]
+                last = cur if last is None else pd.concat([last, cur], ignore_index=True)
+                last = last.groupby("__bucket", sort=False).tail(lags).reset_index(drop=True)
         if last is not None:
-            last = last.reset_index(drop=True).copy()
-            last["__pid"] = pid
-            last["__back"] = np.arange(len(last), 0, -1, dtype="int32")
+            last = last.copy()
+            last["__back"] = (last.groupby("__bucket", sort=False).cumcount(ascending=False) + 1).astype("int32")
             yield last
 
     main = ranged.mapInPandas(main_pass, main_schema)
@@ -151,7 +151,7 @@ def lagged(df: DataFrame, cols, order_col: str, lags: int = 1, partition_cols=()
     # back for every k > p, taken from the concatenated tails of the preceding partitions.
     # Its input and output hold at most lags x partitions rows, so one small task builds it
     # and the result is broadcast.
-    stitch_fields = [T.StructField("__pid", T.IntegerType(), False), T.StructField("__pos", T.LongType(), False)]
+    stitch_fields = [T.StructField("__bucket", base["__bucket"].dataType, False), T.StructField("__pos", T.LongType(), False)]
     for k in range(1, lags + 1):
         stitch_fields.append(T.StructField(f"__m{k}", T.BooleanType(), True))
         stitch_fields += [T.StructField(f"__s{k}_{c}", base[c].dataType, True) for c in cols]
@@ -159,12 +159,12 @@ def lagged(df: DataFrame, cols, order_col: str, lags: int = 1, partition_cols=()
     stitch_schema = T.StructType(stitch_fields)
 
     def build_stitch(pdf):
-        pdf = pdf.sort_values(["__pid", "__back"], ascending=[True, False]).reset_index(drop=True)
-        starts = pdf.reset_index().groupby("__pid")["index"].min()
+        pdf = pdf.sort_values(["__bucket", "__back"], ascending=[True, False]).reset_index(drop=True)
+        starts = pdf.reset_index().groupby("__bucket")["index"].min()
         out = []
-        for pid, start in starts.items():
+        for bucket, start in starts.items():
             for pos in range(lags):
-                rec = {"__pid": int(pid), "__pos": pos}
+                rec = {"__bucket": int(bucket), "__pos": pos}
                 for k in range(pos + 1, lags + 1):
                     gi = int(start) - (k - pos)
                     if gi >= 0:
@@ -177,7 +177,7 @@ def lagged(df: DataFrame, cols, order_col: str, lags: int = 1, partition_cols=()
         return pd.DataFrame(out, columns=[f.name for f in stitch_fields])
 
     stitch = tails.groupBy(F.lit(0).alias("__one")).applyInPandas(build_stitch, stitch_schema)
-    j = main.join(F.broadcast(stitch), ["__pid", "__pos"], "left")
+    j = main.join(F.broadcast(stitch), ["__bucket", "__pos"], "left")
     fixes = {}
     for (k, c), name in lag_names.items():
         same_group = F.col(f"__m{k}").eqNullSafe(True)
