@@ -48,3 +48,20 @@ def test_query_matches_oracle(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
 def test_rows_only_queries_run(spark, name):
     assert E.queries()[name](spark, SF).count() >= 0
+
+
+ORDERED = ["flagship_profile", "group_percentiles", "global_quantiles", "summary_long", "global_row_number",
+           "durbin_watson", "durbin_watson_grouped", "breusch_godfrey", "eda_capital_by_size"]
+
+
+@pytest.mark.parametrize("name", ORDERED)
+def test_ordered_queries_do_not_depend_on_exchange_reuse(spark, duck, name):
+    saved = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        df = E.queries()[name](spark, SF)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", saved)
+    cur = duck.execute(E.oracle_sql()[name])
+    assert digest(rows, df.columns)[0] == digest(cur.fetchall(), [d[0] for d in cur.description])[0]
