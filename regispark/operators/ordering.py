@@ -52,20 +52,39 @@ def sample_bounds(df: DataFrame, order: list, n: int, per_bucket: int = 20, seed
     return bounds
 
 
+TREE_MAX_BOUNDS = 127  # above this, a nested CASE tree grows too large for code generation
+
+
 def bucket_of(order: list, bounds: list, types: list) -> Column:
-    """Index of the range a row falls in: the number of boundaries <= its key (a balanced
-    comparison tree over literal boundaries, log2(n) comparisons per row)."""
+    """Index of the range a row falls in: the number of boundaries <= its key.
+
+    Up to ``TREE_MAX_BOUNDS`` boundaries: a balanced comparison tree (code-generated).
+    Beyond: a binary search written as one higher-order ``aggregate`` over log2(n) steps
+    on a literal array of boundaries, so the expression size stays constant."""
     key = F.struct(*[e.alias(f"__b{i}") for i, e in enumerate(order)])
     lits = [F.struct(*[F.lit(v).cast(t).alias(f"__b{i}") for i, (v, t) in enumerate(zip(b, types))]) for b in bounds]
-
-    def tree(lo: int, hi: int) -> Column:
-        # buckets lo..hi are separated by bounds[lo..hi-1]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(key < lits[mid - 1], tree(lo, mid - 1)).otherwise(tree(mid, hi))
-
-    return tree(0, len(bounds))
+    if len(bounds) <= TREE_MAX_BOUNDS:
+        def tree(lo: int, hi: int) -> Column:
+            # buckets lo..hi are separated by bounds[lo..hi-1]
+            if lo == hi:
+                return F.lit(lo)
+            mid = (lo + hi + 1) // 2
+            return F.when(key < lits[mid - 1], tree(lo, mid - 1)).otherwise(tree(mid, hi))
+
+        return tree(0, len(bounds))
+    arr = F.array(*lits)
+    steps = math.ceil(math.log2(len(bounds) + 1))
+
+    def step(acc, _):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = ((lo + hi + 1) / 2).cast("int")
+        left = key < F.element_at(arr, mid)  # bounds[mid - 1]; element_at is 1-based
+        active = lo < hi
+        return F.struct(F.when(active & ~left, mid).otherwise(lo).alias("lo"),
+                        F.when(active & left, mid - 1).otherwise(hi).alias("hi"))
+
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step)["lo"]
 
 
 def with_buckets(df: DataFrame, order: list, n: int, name: str = "__bucket") -> tuple[DataFrame, int]:

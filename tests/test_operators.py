@@ -212,3 +212,17 @@ def test_global_row_number_matches_window(spark):
     got = {r.k: r.rn for r in P.global_row_number(df, "k", "rn", num_partitions=13).collect()}
     exp = {r.k: r.rn for r in df.withColumn("rn", F.row_number().over(Window.orderBy("k"))).collect()}
     assert got == exp and sorted(got.values()) == list(range(1, 2001))
+
+
+def test_bucket_binary_search_matches_tree(spark):
+    from regispark.operators import ordering as O
+
+    df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("k"))
+    order = [F.col("k")]
+    bounds = O.sample_bounds(df, order, 300)
+    assert len(bounds) > O.TREE_MAX_BOUNDS
+    types = [df.schema["k"].dataType]
+    big = df.select("k", O.bucket_of(order, bounds, types).alias("b")).collect()
+    import bisect
+    flat = [b[0] for b in bounds]
+    assert all(r.b == bisect.bisect_right(flat, r.k) for r in big)
