@@ -894,7 +894,7 @@ def variance_selector(spark, d):
 @register("kfold_rmse")
 def kfold_rmse(spark, d):
     return L.kfold_rmse(_model_frame(spark, d), "l_extendedprice ~ l_quantity + l_discount + l_tax", folds=3,
-                        reg_params=(0.0, 0.1))
+                        reg_params=(0.0, 0.1), parallelism=2)
 
 
 @register("linear_diagnostics")
