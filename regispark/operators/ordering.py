@@ -17,7 +17,9 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-MAX_BUCKETS = 4096
+MAX_BUCKETS = 65_536
+MIN_ROWS_PER_BUCKET = 10_000       # small inputs get few buckets
+MAX_ROWS_PER_BUCKET = 5_000_000    # large inputs get enough buckets to keep each one-task window small
 
 
 def tiebreak(df: DataFrame) -> Column:
@@ -29,15 +31,23 @@ def _sort_key(row):
     return tuple((0, 0) if v is None else (1, v) for v in row)
 
 
-def sample_bounds(df: DataFrame, order: list, n: int, per_bucket: int = 20, seed: int = 7) -> list:
-    """Up to ``n - 1`` ascending boundary tuples of ``order`` (columns), from a fixed-seed
-    sample of about ``n * per_bucket`` rows."""
-    n = max(1, min(n, MAX_BUCKETS))
-    if n == 1:
-        return []
+def bucket_count(total: int, n: int) -> int:
+    """Buckets for ``total`` rows: about ``n`` (the shuffle width), but no bucket below
+    MIN_ROWS_PER_BUCKET rows and none above MAX_ROWS_PER_BUCKET rows, capped at MAX_BUCKETS."""
+    want = min(n, math.ceil(total / MIN_ROWS_PER_BUCKET))
+    want = max(want, math.ceil(total / MAX_ROWS_PER_BUCKET))
+    return max(1, min(MAX_BUCKETS, want))
+
+
+def sample_bounds(df: DataFrame, order: list, n: int, per_bucket: int | None = None, seed: int = 7) -> list:
+    """Ascending boundary tuples of ``order`` (columns) for :func:`bucket_count` buckets,
+    from a fixed-seed sample of about ``buckets * per_bucket`` rows (about 20 keys per
+    bucket, 8 beyond 4096 buckets, so the collected sample stays near a million keys)."""
     total = df.count()
-    if total == 0:
+    n = bucket_count(total, n)
+    if n == 1 or total == 0:
         return []
+    per_bucket = per_bucket or (20 if n <= 4096 else 8)
     fraction = min(1.0, per_bucket * n / total)
     keys = df.select(*[e.alias(f"__b{i}") for i, e in enumerate(order)])
     sample = keys.sample(False, fraction, seed) if fraction < 1.0 else keys

@@ -174,7 +174,12 @@ def lagged(df: DataFrame, cols, order_col: str, lags: int = 1, partition_cols=()
                         for g in part:
                             rec[f"__g{k}_{g}"] = pdf.at[gi, g]
                 out.append(rec)
-        return pd.DataFrame(out, columns=[f.name for f in stitch_fields])
+        frame = pd.DataFrame(out, columns=[f.name for f in stitch_fields])
+        # columns with no stitched value at all (e.g. a single bucket) must be NULLs of the
+        # declared type, not a float NaN column
+        for f in stitch_fields[2:]:
+            frame[f.name] = frame[f.name].astype(object).where(frame[f.name].notna(), None)
+        return frame
 
     stitch = tails.groupBy(F.lit(0).alias("__one")).applyInPandas(build_stitch, stitch_schema)
     j = main.join(F.broadcast(stitch), ["__bucket", "__pos"], "left")

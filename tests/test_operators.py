@@ -135,9 +135,13 @@ def test_hash_split_is_layout_independent(spark):
     assert sorted(r[0] for r in tr1.collect()) == sorted(r[0] for r in tr2.collect())
 
 
-def test_exact_quantiles_hot_group_matches_brute_force(spark):
+def test_exact_quantiles_hot_group_matches_brute_force(spark, monkeypatch):
     import random
 
+    from regispark.operators import ordering as O
+
+    monkeypatch.setattr(O, "MIN_ROWS_PER_BUCKET", 1)  # many buckets: the hot group spans several
+
     rnd = random.Random(11)
     data = [("hot", float(rnd.randint(0, 500))) for _ in range(3000)] + \
            [(g, float(rnd.randint(0, 50))) for g in ("a", "b", None) for _ in range(rnd.randint(1, 40))] + [("a", None)]
@@ -203,10 +207,14 @@ def test_skew_join_splits_only_hot_keys(spark):
     assert left.count() == big.count()
 
 
-def test_global_row_number_matches_window(spark):
+def test_global_row_number_matches_window(spark, monkeypatch):
     import random
     from pyspark.sql import Window
 
+    from regispark.operators import ordering as O
+
+    monkeypatch.setattr(O, "MIN_ROWS_PER_BUCKET", 1)
+
     rnd = random.Random(4)
     df = spark.createDataFrame([(k, rnd.random()) for k in rnd.sample(range(100000), 2000)], "k long, x double")
     got = {r.k: r.rn for r in P.global_row_number(df, "k", "rn", num_partitions=13).collect()}
@@ -214,9 +222,10 @@ def test_global_row_number_matches_window(spark):
     assert got == exp and sorted(got.values()) == list(range(1, 2001))
 
 
-def test_bucket_binary_search_matches_tree(spark):
+def test_bucket_binary_search_matches_tree(spark, monkeypatch):
     from regispark.operators import ordering as O
 
+    monkeypatch.setattr(O, "MIN_ROWS_PER_BUCKET", 1)
     df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("k"))
     order = [F.col("k")]
     bounds = O.sample_bounds(df, order, 300)

@@ -70,3 +70,19 @@ def test_anova_and_f_regression(spark):
     r = T.anova_f(spark.createDataFrame(data, "g string, x double"), "g", ["x"]).first()
     assert abs(r["f_value"] - 13.5) < 1e-9 and r["df1"] == 1 and r["df2"] == 4
     assert 0 < r["p_value"] < 0.05
+
+
+def test_lagged_many_buckets(spark, monkeypatch):
+    """Small data forced into many buckets: bucket heads are stitched from earlier buckets."""
+    from regispark.operators import ordering as O
+
+    monkeypatch.setattr(O, "MIN_ROWS_PER_BUCKET", 1)
+    rnd = random.Random(21)
+    data = [(i, rnd.choice("ab"), rnd.random()) for i in rnd.sample(range(10_000), 500)]
+    df = spark.createDataFrame(data, "t long, g string, x double")
+    out = T.lagged(df, "x", "t", 2, ["g"], num_partitions=40).toPandas().sort_values("t").reset_index(drop=True)
+    exp = pd.DataFrame(data, columns=["t", "g", "x"]).sort_values("t").reset_index(drop=True)
+    for k in (1, 2):
+        e = exp.groupby("g")["x"].shift(k).to_numpy(dtype=float)
+        a = out[f"lag{k}_x"].to_numpy(dtype=float)
+        assert np.array_equal(np.isnan(a), np.isnan(e)) and np.allclose(a[~np.isnan(a)], e[~np.isnan(e)])
