@@ -113,3 +113,19 @@ def test_extract_first_matching_member_only(spark, tmp_path):
     assert [(r.status, r.target.split("/")[-1]) for r in man] == [("ok", "Simples.csv")]
     df = delimited.read_dataset(spark, "simples", paths=str(tmp_path / "out" / "Simples.csv"))
     assert [r.CNPJ_BASICO for r in df.collect()] == ["11111111"]
+
+
+def test_write_table_format_passthrough(spark, tmp_path):
+    out = str(tmp_path / "tbl")
+    sinks.write_table(spark.range(7), "ignored_name", fmt="parquet", options={"path": out})
+    assert spark.read.parquet(out).count() == 7
+    sinks.write_table(spark.range(3), "ignored_name", fmt="parquet", options={"path": out})  # overwrite
+    assert spark.read.parquet(out).count() == 3
+
+
+def test_save_data_partitioned_and_grown(spark, tmp_path):
+    p = str(tmp_path / "parts")
+    df = spark.range(40).withColumn("g", (F.col("id") % 2).cast("string"))
+    sinks.save_data(df, p, num_partitions=4, partition_by=["g"])
+    assert sorted(os.listdir(p))[:2] == ["_SUCCESS", "g=0"] or "g=0" in os.listdir(p)
+    assert spark.read.parquet(p).count() == 40
