@@ -35,8 +35,11 @@ def canonical_name(archive: str, member: str) -> str:
 
 
 def read_zip(spark: SparkSession, pattern: str, schema: T.StructType, encoding: str = "US-ASCII",
-             sep: str = ";", member_regex: str | None = None) -> DataFrame:
-    """Every member of every archive matching ``pattern`` as typed rows (+ archive, member)."""
+             sep: str = ";", member_regex: str | None = None, with_errors: bool = False) -> DataFrame:
+    """Every member of every archive matching ``pattern`` as typed rows (+ archive, member).
+
+    A corrupt archive is skipped, and the others are still read; ``with_errors=True`` adds an
+    ``error`` column and one row per corrupt archive (data columns NULL) so it is visible."""
     enc = spark_charset(encoding)
     raw = spark.read.format("binaryFile").load(pattern).select("path", "content")
 
@@ -46,7 +49,10 @@ def read_zip(spark: SparkSession, pattern: str, schema: T.StructType, encoding:
             for path, content in zip(pdf["path"], pdf["content"]):
                 try:
                     zf = zipfile.ZipFile(io.BytesIO(content))
-                except zipfile.BadZipFile:
+                except zipfile.BadZipFile as exc:
+                    if with_errors:
+                        yield pd.DataFrame({"archive": [path], "member": [None], "line": [None],
+                                            "error": [f"BadZipFile: {exc}"]})
                     continue
                 for info in zf.infolist():
                     if info.is_dir() or (rx and not rx.search(info.filename)):
@@ -59,16 +65,18 @@ def read_zip(spark: SparkSession, pattern: str, schema: T.StructType, encoding:
                             if line:
                                 buf.append(line)
                             if len(buf) >= 10_000:
-                                yield pd.DataFrame({"archive": path, "member": info.filename, "line": buf})
+                                yield pd.DataFrame({"archive": path, "member": info.filename, "line": buf,
+                                                    "error": None})
                                 buf = []
                         if buf:
-                            yield pd.DataFrame({"archive": path, "member": info.filename, "line": buf})
+                            yield pd.DataFrame({"archive": path, "member": info.filename, "line": buf, "error": None})
 
-    lines = raw.mapInPandas(inflate, "archive string, member string, line string")
+    lines = raw.mapInPandas(inflate, "archive string, member string, line string, error string")
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    parsed = lines.select("archive", "member", F.from_csv("line", ddl, {"sep": sep, "quote": '"', "escape": '"'})
-                          .alias("__r"))
-    return parsed.select(*[F.col("__r")[f.name].alias(f.name) for f in schema.fields], "archive", "member")
+    parsed = lines.select("archive", "member", "error",
+                          F.from_csv("line", ddl, {"sep": sep, "quote": '"', "escape": '"'}).alias("__r"))
+    out = parsed.select(*[F.col("__r")[f.name].alias(f.name) for f in schema.fields], "archive", "member", "error")
+    return out if with_errors else out.drop("error")
 
 
 def extract_archives(spark: SparkSession, paths, target: str, member_filter: str | None = None,

@@ -62,6 +62,11 @@ def test_zip_read_and_extract(spark, tmp_path):
     df = archives.read_zip(spark, str(tmp_path / "zips" / "*.zip"), dataset_schema("empresas"),
                            member_regex=r"EMPRECSV$")
     assert df.count() == 4 and df.filter(F.col("CNPJ") == "33333333").count() == 1
+    errs = archives.read_zip(spark, str(tmp_path / "zips" / "*.zip"), dataset_schema("empresas"),
+                             member_regex=r"EMPRECSV$", with_errors=True)
+    bad = errs.filter(F.col("error").isNotNull()).collect()
+    assert len(bad) == 1 and bad[0].archive.endswith("Empresas2.zip") and bad[0].CNPJ is None
+    assert errs.filter(F.col("error").isNull()).count() == 4
     man = archives.extract_archives(spark, zips, str(tmp_path / "out"), member_filter=r"CSV$", rename=True)
     status = {(r.archive.split("/")[-1], r.status) for r in man.collect()}
     assert ("Empresas2.zip", "error") in status and ("Empresas0.zip", "ok") in status
