@@ -21,6 +21,7 @@ import zipfile
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ._fs import move, open_output, open_random_access
 from .delimited import spark_charset
 
 MANIFEST = "archive string, member string, target string, bytes long, status string, error string"
@@ -85,7 +86,8 @@ def extract_archives(spark: SparkSession, paths, target: str, member_filter: str
 
     ``member_filter``: regex a member name must match; ``first_only``: stop after the
     first matching member per archive; ``rename``: canonical ``{prefix}{digits}.csv`` names.
-    ``target`` must be a directory every executor can write (a shared mount on a cluster).
+    ``target`` must be a directory every executor can write: a shared mount or a filesystem
+    URI (``hdfs://``, ``s3://``, ``gs://``, ``file://``), never a machine-local folder on a cluster.
     """
     paths = list(paths)
     df = spark.createDataFrame([(p,) for p in paths], "archive string")
@@ -97,7 +99,7 @@ def extract_archives(spark: SparkSession, paths, target: str, member_filter: str
             rows = []
             for archive in pdf["archive"]:
                 try:
-                    with zipfile.ZipFile(archive) as zf:
+                    with open_random_access(archive) as raw_fh, zipfile.ZipFile(raw_fh) as zf:
                         members = [m for m in zf.infolist() if not m.is_dir() and (rx is None or rx.search(m.filename))]
                         if first_only:
                             members = members[:1]
@@ -105,12 +107,11 @@ def extract_archives(spark: SparkSession, paths, target: str, member_filter: str
                             rows.append((archive, None, None, 0, "no_member", None))
                         for m in members:
                             name = canonical_name(archive, m.filename) if rename else os.path.basename(m.filename)
-                            out = os.path.join(target, name)
-                            os.makedirs(target, exist_ok=True)
+                            out = target.rstrip("/") + "/" + name
                             tmp = out + ".part"
-                            with zf.open(m) as src, open(tmp, "wb") as dst:
+                            with zf.open(m) as src, open_output(tmp) as dst:
                                 shutil.copyfileobj(src, dst, CHUNK)
-                            os.replace(tmp, out)
+                            move(tmp, out)
                             rows.append((archive, m.filename, out, int(m.file_size), "ok", None))
                 except (zipfile.BadZipFile, OSError) as exc:
                     rows.append((archive, None, None, 0, "error", f"{type(exc).__name__}: {exc}"))

@@ -1,7 +1,8 @@
 """S3: per-file encoding detection as a Spark job.
 
 A DataFrame of paths is spread over tasks; each task reads only the first ``head_bytes``
-of its files and classifies them. Only charsets Spark's CSV reader accepts are emitted.
+of its files (local/mounted paths or filesystem URIs) and classifies them. Only charsets
+Spark's CSV reader accepts are emitted.
 """
 
 from __future__ import annotations
@@ -9,6 +10,8 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
+from ._fs import read_head
+
 
 def classify_bytes(head: bytes) -> str:
     """``US-ASCII`` if 7-bit, ``UTF-8`` if it decodes as UTF-8 (a multi-byte char cut at
@@ -35,9 +38,8 @@ def detect_encodings(spark: SparkSession, paths, head_bytes: int = 10_000, tasks
             out = []
             for p in pdf["path"]:
                 try:
-                    with open(p, "rb") as fh:
-                        out.append((p, classify_bytes(fh.read(head_bytes)), None))
-                except OSError as exc:
+                    out.append((p, classify_bytes(read_head(p, head_bytes)), None))
+                except (OSError, ValueError) as exc:
                     out.append((p, None, str(exc)))
             yield pd.DataFrame(out, columns=["path", "encoding", "error"])
 

@@ -134,3 +134,13 @@ def test_save_data_partitioned_and_grown(spark, tmp_path):
     sinks.save_data(df, p, num_partitions=4, partition_by=["g"])
     assert sorted(os.listdir(p))[:2] == ["_SUCCESS", "g=0"] or "g=0" in os.listdir(p)
     assert spark.read.parquet(p).count() == 40
+
+
+def test_uri_paths_for_encodings_and_archives(spark, tmp_path):
+    zips = build_zips(str(tmp_path / "z"))
+    uris = ["file://" + z for z in zips]
+    man = archives.extract_archives(spark, uris, "file://" + str(tmp_path / "o"), member_filter=r"CSV$", rename=True)
+    assert sorted(r.status for r in man.collect()) == ["error", "ok", "ok"]
+    assert sorted(os.listdir(tmp_path / "o")) == ["Empresas0.csv", "Empresas1.csv"]
+    enc = encoding.detect_encodings(spark, ["file://" + str(tmp_path / "o" / "Empresas0.csv")]).first()
+    assert enc.encoding == "US-ASCII"
