@@ -7,7 +7,14 @@ Layout:
   sources/    readers (typed delimited drops, mixed encodings, archives, seeds) and sinks
   plans/      composite flows (establishments, companies, partners, phones, modelling
               table, SQL models, EDA question set) and the driver query catalogue
-  streaming/  nothing: the source system is a daily full-overwrite batch
 """
 
-__version__ = "0.1.0"
+import sys
+
+from pyspark import cloudpickle
+
+__version__ = "0.2.0"
+
+# Functions that run in Spark's Python workers travel by value: the workers need no copy
+# of this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
