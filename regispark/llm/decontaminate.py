@@ -7,9 +7,9 @@ on by a random bit drawn from (j, symbol); strings at a small edit distance fall
 again and emit strings at a small Hamming distance. A repetition samples some positions
 of one walk (the first always) and its key is the symbols emitted there.
 
-Every repetition embeds the window at every word of a document, and each item at every
-phase from which its walk stays inside it, so a window of the item's size is found at any
-phase whose samples survive the edits. A window drops out as soon as its samples so far are
+Each item is embedded at every phase that begins with a word rare among the items, and
+the documents at every such word, so a window of the item's size is found at any phase
+whose samples survive the edits. A window drops out as soon as its samples so far are
 no beginning of an item's key, so most windows take two or three steps. Candidates are
 verified by the exact word edit distance of the item to the best window of the document;
 at most ``max_edits`` per word of the item counts as contaminated.
@@ -33,6 +33,9 @@ from pyspark.sql import DataFrame, functions as F
 from regispark.llm.common import Hasher, blocks, encoded, mix64, word_table, words
 
 _MASK = (1 << 22) - 1
+#: A word found in more than this share of the items starts no walk, but each item keeps
+#: at least so many phases.
+COMMON, MIN_PHASES = 0.02, 6
 
 
 class Sampler:
@@ -106,8 +109,10 @@ class Index:
             if len(h):
                 self.ids.append(item_id)
                 self.words.append(h)
-        self.levels = [np.zeros(_MASK + 1, dtype=bool) for _ in range(min(3, sampler.samples))]
-        keys, items_, phases, found = [], [], [], np.zeros(len(self.words), dtype=np.int64)
+        self.levels = [np.zeros(_MASK + 1, dtype=bool) for _ in range(sampler.samples)]
+        keys, items_, phases = [], [], []
+        self.starts = np.zeros(_MASK + 1, dtype=bool)
+        rare = self._phases()
 
         def note(level, key):
             if level < len(self.levels):
@@ -116,11 +121,11 @@ class Index:
 
         for i, w in enumerate(self.words):
             for walk in range(len(sampler.walks)):
-                start, key = sampler.keys(w, walk, note)
+                start, key = sampler.keys(w, walk, note, rare[i])
                 keys.append(key)
                 phases.append(start)
                 items_.append(np.full(len(key), i))
-                found[i] += len(key)
+            self.starts[(w[rare[i]] & np.uint64(_MASK)).astype(np.int64)] = True
         none = np.zeros(0, dtype=np.int64)
         keys = np.concatenate(keys or [none.astype(np.uint64)])
         order = np.argsort(keys, kind="stable")
@@ -129,9 +134,22 @@ class Index:
         self.whole: dict[int, dict[int, list[int]]] = {}
         longest = max(at[-1] for at, _ in sampler.walks) + 1
         for i, w in enumerate(self.words):
-            if len(w) < 2 * longest:
+            if len(w) <= longest:
                 self.whole.setdefault(len(w), {}).setdefault(int(sequence_hashes(w, len(w))[0]), []).append(i)
 
+    def _phases(self) -> list[np.ndarray]:
+        """The phases of each item: those whose first word stands in few items, and at
+        least the ``MIN_PHASES`` rarest; walks from common words would start everywhere."""
+        once = np.concatenate([np.unique(w) for w in self.words] or [np.zeros(0, dtype=np.uint64)])
+        known, df = np.unique(once, return_counts=True)
+        out = []
+        for w in self.words:
+            f = df[np.searchsorted(known, w)]
+            order = np.argsort(f, kind="stable")
+            n = max(MIN_PHASES, int((f <= max(1, COMMON * len(self.words))).sum()))
+            out.append(np.sort(order[:n]))
+        return out
+
     def alive(self, level: int, key: np.ndarray):
         if level >= len(self.levels):
             return slice(None)
@@ -141,8 +159,9 @@ class Index:
         """(item, word where it would start) for the words of a block of documents."""
         out = set()
         first = np.flatnonzero
+        rows = first(self.starts[(symbols & np.uint64(_MASK)).astype(np.int64)])
         for walk in range(len(self.sampler.walks)):
-            start, key = self.sampler.keys(symbols, walk, self.alive)
+            start, key = self.sampler.keys(symbols, walk, self.alive, rows)
             lo, hi = np.searchsorted(self.keys, key, "left"), np.searchsorted(self.keys, key, "right")
             for j in first(hi > lo):
                 for x in range(lo[j], hi[j]):
@@ -169,7 +188,8 @@ class Index:
                 tried.add((d, item, at // (slack + 1)))
                 lo, hi = int(np.searchsorted(doc, d, "left")), int(np.searchsorted(doc, d, "right"))
                 a, b = max(lo, at - 2 * slack), min(hi, at + len(w) + 3 * slack + 1)
-                if b - a < len(w) - slack:
+                # an edit removes at most one word of the item, so this many must be there
+                if b - a < len(w) - slack or int(np.isin(w, symbols[a:b]).sum()) < len(w) - slack:
                     continue
                 if at >= lo and at + len(w) <= hi and np.array_equal(symbols[at : at + len(w)], w):
                     got = (0, at - lo, at - lo + len(w))
@@ -207,7 +227,7 @@ def _indexes(benchmark: DataFrame, block_items: int, settings: dict):
         yield index()
 
 
-SETTINGS = {"repetitions": 4, "samples": 5, "steps": 10, "seed": 11, "max_edits": 0.2}
+SETTINGS = {"repetitions": 4, "samples": 7, "steps": 14, "seed": 11, "max_edits": 0.2}
 
 
 def _batches(batches: Iterator[pa.RecordBatch], index: Index):
