@@ -6,12 +6,24 @@ columns; the last returns the training sequence.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from regispark.llm import decontaminate, mixing, near_dedup
+from regispark.llm import decontaminate, language_id, mixing, near_dedup, secret_scan
 from regispark.llm.common import staged, table
 
 
+#: A document goes if no language is found (null text, no letter) or the score is below this.
+#: Two even choices score 0.25, a short clean text rarely below 0.5.
+LEAST_SCORE = 0.3
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in no recognised language go; the rest stay as they are."""
+    model = language_id.fit(docs)
+    kept = language_id.identify(docs, model).where(f"lang_pred <> 'und' and score >= {LEAST_SCORE}")
+    return kept.select(docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, the one with the least id."""
     return near_dedup.keep_one(docs)
@@ -22,12 +34,19 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are cut out of the texts, whose length is counted again; no document goes."""
+    model = secret_scan.train(spark, secret_scan.ordinary_words(docs))
+    return secret_scan.redact(docs, model).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
 def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The curriculum: every copy taken, with its position, range-sorted by position."""
     return mixing.sequence(docs)
 
 
-STAGES = [("near_duplicates", near_duplicates), ("decontamination", decontamination), ("mixing", mixing_weights)]
+STAGES = [("language", language), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
+          ("secrets", secrets), ("mixing", mixing_weights)]
 
 #: No SQL: the stages fit classifiers and follow links; the tests hold them against brute force.
 ORACLE_SQL = None

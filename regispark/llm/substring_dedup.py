@@ -25,10 +25,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from regispark.llm.common import Hasher, blocks, encoded, mix64, staged, word_table
+from regispark.llm.common import LOWER, Hasher, blocks, encoded, mix64, staged, word_table
 
 #: Bytes the rolling hash sees, candidates per 2**32 hash values, least distance of cuts.
-WINDOW, EVERY, GAP = 16, 20, 6
+WINDOW, EVERY, GAP = 16, 24, 6
+#: A-Z lowered, white space to a blank.
+_FOLDED = bytes(0x20 if b in (*range(0x09, 0x0E), 0x20) else b for b in LOWER)
 
 
 def gear_table() -> np.ndarray:
@@ -46,12 +48,19 @@ def gear_hashes(data: np.ndarray, gear: np.ndarray) -> np.ndarray:
 
 
 def cuts(texts: list[bytes], gear: np.ndarray):
-    """(bytes, first byte of each text, chunk starts, chunk ends, text index) of a block."""
-    # a run of zero bytes between texts, longer than the window, keeps them apart
+    """(bytes, chunk starts, chunk ends, text index, start and end in the text itself) of a
+    block. Chunks are cut from the A-Z-lowered bytes with white space folded to one blank, so
+    a passage set in other lines is the same passage; the last two give the original offsets."""
+    # a run of zero bytes between texts, as long as the window, keeps them apart
     pad = b"\0" * WINDOW
-    data = np.frombuffer(pad + pad.join(texts) + pad, dtype=np.uint8)
-    size = np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts))
-    first = WINDOW + np.cumsum(size + WINDOW) - size - WINDOW
+    raw = np.frombuffer((pad + pad.join(texts) + pad).translate(_FOLDED), dtype=np.uint8)
+    length = np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts))
+    begins = WINDOW + np.cumsum(length + WINDOW) - length - WINDOW
+    blank = raw == 0x20
+    kept = np.flatnonzero(~(blank & np.concatenate([[False], blank[:-1]])))
+    data = raw[kept]
+    first = np.searchsorted(kept, begins)
+    size = np.searchsorted(kept, begins + length) - first
     at = np.flatnonzero(gear_hashes(data, gear) < np.uint32((1 << 32) // EVERY)) + 1
     if len(at):
         at = at[np.concatenate([[True], np.diff(at) > GAP])]
@@ -59,12 +68,11 @@ def cuts(texts: list[bytes], gear: np.ndarray):
         at = at + ((data[np.minimum(at, len(data) - 1)] & 0xC0) == 0x80)
     owner = np.searchsorted(first, at, side="right") - 1
     inside = (owner >= 0) & (at > first[np.maximum(owner, 0)]) & (at < (first + size)[np.maximum(owner, 0)])
-    some = size > 0
-    start = np.unique(np.concatenate([first[some], at[inside]]))
+    start = np.unique(np.concatenate([first[size > 0], at[inside]]))
     text = np.searchsorted(first, start, side="right") - 1
-    end = np.append(start[1:], len(data))
-    end = np.minimum(end, (first + size)[text])
-    return data, first, start, end, text
+    # an empty text begins where the next one does
+    end = np.minimum(np.append(start[1:], len(data)), (first + size)[text])
+    return data, start, end, text, kept[start] - begins[text], kept[end - 1] + 1 - begins[text]
 
 
 def _chunker():
@@ -74,14 +82,14 @@ def _chunker():
         for batch in batches:
             texts = encoded(batch)
             for lo, hi in blocks(texts):
-                data, first, start, end, text = cuts(texts[lo:hi], gear)
+                data, start, end, text, here, there = cuts(texts[lo:hi], gear)
                 digest = hasher.ranges(hasher.prefix(data), start, end)
                 word = flags[data]
-                begins = np.zeros(len(data) + 1, dtype=np.int64)
-                np.cumsum(word & ~np.concatenate([[False], word[:-1]]), out=begins[1:])
+                begun = np.zeros(len(data) + 1, dtype=np.int64)
+                np.cumsum(word & ~np.concatenate([[False], word[:-1]]), out=begun[1:])
                 ids = batch.column("doc_id").slice(lo, hi - lo).take(pa.array(text))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(digest.view(np.int64)), ids, pa.array(start - first[text]), pa.array(end - start), pa.array(begins[end] - begins[start])],
+                    [pa.array(digest.view(np.int64)), ids, pa.array(here), pa.array(there - here), pa.array(begun[end] - begun[start])],
                     names=["digest", "doc_id", "start", "size", "words"])
 
     return chunk
