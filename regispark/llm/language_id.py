@@ -72,9 +72,9 @@ def _counter():
     return count
 
 
-def svm(x: np.ndarray, y: np.ndarray, epochs: int = 20, penalty: float = 1e-4, seed: int = 5) -> tuple[np.ndarray, float]:
-    """A linear support vector machine (weights, bias) for labels -1 and 1, both classes
-    weighing the same, by mini-batch subgradient steps with averaging of the last half."""
+def svm(x: np.ndarray, rows: np.ndarray, y: np.ndarray, epochs: int = 20, penalty: float = 1e-4, seed: int = 5) -> tuple[np.ndarray, float]:
+    """A linear support vector machine (weights, bias) for labels -1 and 1 of some rows, both
+    classes weighing the same, by mini-batch subgradient steps with averaging of the last half."""
     rng = np.random.default_rng(seed)
     share = np.where(y > 0, 0.5 / max((y > 0).mean(), 1e-9), 0.5 / max((y < 0).mean(), 1e-9))
     w, b, mean_w, mean_b, kept, t = np.zeros(x.shape[1]), 0.0, np.zeros(x.shape[1]), 0.0, 0, 0
@@ -83,10 +83,11 @@ def svm(x: np.ndarray, y: np.ndarray, epochs: int = 20, penalty: float = 1e-4, s
         order = rng.permutation(len(y))
         for lo in range(0, len(y), 64):
             i, t = order[lo : lo + 64], t + 1
-            wrong = y[i] * (x[i] @ w + b) < 1
+            part = x[rows[i]]
+            wrong = y[i] * (part @ w + b) < 1
             rate = 1.0 / (penalty * (t + 1000))
             g = (share[i] * y[i])[wrong]
-            w = (1 - rate * penalty) * w + rate / len(i) * (g @ x[i][wrong])
+            w = (1 - rate * penalty) * w + rate / len(i) * (g @ part[wrong])
             b += rate / len(i) * 0.01 * g.sum()
             if t > steps // 2:
                 mean_w, mean_b, kept = mean_w + w, mean_b + b, kept + 1
@@ -97,18 +98,20 @@ class Model:
     """The fitted machines: one column of ``weights`` each, over trigram frequencies."""
 
     def __init__(self, langs: list[str], x: np.ndarray, label: np.ndarray):
+        """``x``: a row of trigram frequencies for each label; it is scaled in place."""
         self.langs = langs
         fams = sorted({family(c) for c in langs})
         self.families = [[i for i, c in enumerate(langs) if family(c) == f] for f in fams]
-        scale = 1.0 / np.sqrt(x.mean(axis=0) + 1e-5) if len(x) else np.ones(1 << BITS)
-        x = x * scale
+        scale = 1.0 / np.sqrt(x.mean(axis=0) + np.float32(1e-5)) if len(x) else np.ones(1 << BITS)
+        x *= scale
         machines = []
         if len(fams) > 1:
-            machines += [svm(x, np.where(np.isin(label, members), 1.0, -1.0)) for members in self.families]
+            everyone = np.arange(len(x))
+            machines += [svm(x, everyone, np.where(np.isin(label, members), 1.0, -1.0)) for members in self.families]
         self.pairs = [list(combinations(members, 2)) for members in self.families]
         for i, j in (p for pairs in self.pairs for p in pairs):
-            rows = (label == i) | (label == j)
-            machines.append(svm(x[rows], np.where(label[rows] == i, 1.0, -1.0)))
+            rows = np.flatnonzero((label == i) | (label == j))
+            machines.append(svm(x, rows, np.where(label[rows] == i, 1.0, -1.0)))
         self.weights = np.array([w * scale for w, _ in machines]).T.reshape(1 << BITS, len(machines)).copy()
         self.bias = np.array([b for _, b in machines])
 
@@ -162,13 +165,15 @@ def fit(labelled: DataFrame, max_rows: int = 4000, max_langs: int = 200) -> Mode
         part = (F.col("lang") == row["lang"]) & (draw < int((1 << 30) * min(1.0, share / row["count"])))
         chosen = part if chosen is None else chosen | part
     sample = labelled.where(chosen).where(F.col("text").rlike(r"\p{L}")).orderBy(draw, "doc_id", "text").limit(max_rows)
-    rows = sample.select("lang", "text").mapInArrow(_counter(), "lang string, grams array<int>, counts array<long>").collect()
-    langs = sorted({r["lang"] for r in rows})
-    x = np.zeros((len(rows), 1 << BITS))
-    for i, r in enumerate(rows):
-        x[i, r["grams"]] = r["counts"]
-    x /= x.sum(axis=1, keepdims=True) if len(rows) else 1
-    return Model(langs, x, np.array([langs.index(r["lang"]) for r in rows], dtype=int))
+    got = sample.select("lang", "text").mapInArrow(_counter(), "lang string, grams array<int>, counts array<long>").toArrow().combine_chunks()
+    langs = sorted(set(got.column("lang").to_pylist()))
+    x = np.zeros((got.num_rows, 1 << BITS), dtype=np.float32)
+    if got.num_rows:
+        grams, counts = (got.column(c).combine_chunks() for c in ("grams", "counts"))
+        row = np.repeat(np.arange(got.num_rows), grams.value_lengths().to_numpy())
+        x[row, grams.flatten().to_numpy()] = counts.flatten().to_numpy()
+        x /= x.sum(axis=1, keepdims=True)
+    return Model(langs, x, np.array([langs.index(c) for c in got.column("lang").to_pylist()], dtype=int))
 
 
 def _predictor(shared):
