@@ -30,6 +30,14 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """At most ``rows`` rows of ``df``: those of the least hash of ``key``. A threshold keeps
+    about twice as many before the sort, so no task reads more however many rows there are."""
+    draw = F.pmod(F.xxhash64(key), F.lit(1 << 40))
+    share = min(1.0, 2 * rows / max(df.count(), 1))
+    return df.where(draw <= int((1 << 40) * share)).orderBy(draw, key).limit(rows)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from regispark.llm.common import partitions, staged
+from regispark.llm.common import bounded_sample, partitions, staged
 
 MOST = 1 << 26
 #: Leading axes whose partial sums are taken, one after the other.
@@ -125,9 +125,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, block: int = 4096,
         column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
         return got.column("vec_id").to_numpy().astype(np.int64), matrix(column, dims)
 
-    drawn = fetched(rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample))[1].astype(float)
+    drawn = fetched(bounded_sample(rows, "vec_id", sample))[1].astype(float)
     rotation = np.linalg.svd(drawn.T @ drawn)[0] if dims else np.zeros((0, 0))
-    longest = fetched(rows.orderBy(F.desc("length"), "vec_id").limit(seeds))
+    # the rows above an approximate quantile hold the longest; only those are sorted
+    share = 1.0 - min(1.0, 2 * seeds / max(rows.count(), 1))
+    cut = rows.agg(F.percentile_approx("length", share, 10_000)).first()[0] or 0.0
+    longest = fetched(rows.where(F.col("length") >= cut).orderBy(F.desc("length"), "vec_id").limit(seeds))
     found = spark.createDataFrame([], schema)
     for b in range(n_blocks):
         ids, q = fetched(asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)) == b))

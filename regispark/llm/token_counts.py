@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from regispark.llm.common import strings
+from regispark.llm.common import bounded_sample, strings
 
 #: Fixed value: the pre-token pattern of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -88,7 +88,7 @@ class Counting:
 def frequent_pieces(docs: DataFrame, path: str | None, sample_docs: int = 2000, entries: int = 50_000) -> dict[str, int]:
     """Token counts of the ``entries`` most frequent pre-tokens of ``sample_docs`` documents
     (those of the least hash); the table is at most a few MB."""
-    sample = docs.select(F.col("text").cast("string").alias("text")).where("text is not null").orderBy(F.xxhash64("text")).limit(sample_docs)
+    sample = bounded_sample(docs, "doc_id", sample_docs).select(F.col("text").cast("string").alias("text")).where("text is not null")
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counting = Counting(path, {})
