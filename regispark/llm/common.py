@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regispark.session import ensure_checkpoint_dir
 
-#: Bytes of text that one numpy step handles; bounds the temporaries of a Python worker.
-BLOCK_BYTES = 1 << 20
+#: Bytes of text that one numpy step handles, and rows of an Arrow batch taken at a time;
+#: they bound the temporaries of a Python worker.
+BLOCK_BYTES, SLICE_ROWS = 1 << 18, 256
 #: A word of the near-duplicate contract: a run without blank or \t\n\v\f\r.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -42,6 +43,13 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``rows`` rows (no copy)."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 def blocks(texts: list[bytes], limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
     """Consecutive index ranges of at most ``limit`` bytes (one longer text stands alone)."""
     start, size = 0, 0

@@ -30,9 +30,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from regispark.llm.common import Hasher, blocks, encoded, mix64, word_table, words
+from regispark.llm.common import Hasher, blocks, encoded, mix64, slices, word_table, words
 
-_MASK = (1 << 22) - 1
 #: A word found in more than this share of the items starts no walk, but each item keeps
 #: at least so many phases.
 COMMON, MIN_PHASES = 0.02, 6
@@ -109,14 +108,16 @@ class Index:
             if len(h):
                 self.ids.append(item_id)
                 self.words.append(h)
-        self.levels = [np.zeros(_MASK + 1, dtype=bool) for _ in range(sampler.samples)]
+        # flags by the low bits of a key, some 16 for every key
+        self.mask = np.uint64((1 << max(16, (16 * len(sampler.walks) * sum(map(len, self.words))).bit_length())) - 1)
+        self.levels = [np.zeros(int(self.mask) + 1, dtype=bool) for _ in range(sampler.samples)]
         keys, items_, phases = [], [], []
-        self.starts = np.zeros(_MASK + 1, dtype=bool)
+        self.starts = np.zeros(int(self.mask) + 1, dtype=bool)
         rare = self._phases()
 
         def note(level, key):
             if level < len(self.levels):
-                self.levels[level][(key & np.uint64(_MASK)).astype(np.int64)] = True
+                self.levels[level][(key & self.mask).astype(np.int64)] = True
             return slice(None)
 
         for i, w in enumerate(self.words):
@@ -125,7 +126,7 @@ class Index:
                 keys.append(key)
                 phases.append(start)
                 items_.append(np.full(len(key), i))
-            self.starts[(w[rare[i]] & np.uint64(_MASK)).astype(np.int64)] = True
+            self.starts[(w[rare[i]] & self.mask).astype(np.int64)] = True
         none = np.zeros(0, dtype=np.int64)
         keys = np.concatenate(keys or [none.astype(np.uint64)])
         order = np.argsort(keys, kind="stable")
@@ -153,13 +154,13 @@ class Index:
     def alive(self, level: int, key: np.ndarray):
         if level >= len(self.levels):
             return slice(None)
-        return self.levels[level][(key & np.uint64(_MASK)).astype(np.int64)]
+        return self.levels[level][(key & self.mask).astype(np.int64)]
 
     def candidates(self, symbols: np.ndarray) -> set[tuple[int, int]]:
         """(item, word where it would start) for the words of a block of documents."""
         out = set()
         first = np.flatnonzero
-        rows = first(self.starts[(symbols & np.uint64(_MASK)).astype(np.int64)])
+        rows = first(self.starts[(symbols & self.mask).astype(np.int64)])
         for walk in range(len(self.sampler.walks)):
             start, key = self.sampler.keys(symbols, walk, self.alive, rows)
             lo, hi = np.searchsorted(self.keys, key, "left"), np.searchsorted(self.keys, key, "right")
@@ -232,7 +233,7 @@ SETTINGS = {"repetitions": 4, "samples": 7, "steps": 14, "seed": 11, "max_edits"
 
 def _batches(batches: Iterator[pa.RecordBatch], index: Index):
     hasher, flags = Hasher(), word_table("alnum")
-    for batch in batches:
+    for batch in slices(batches):
         texts = encoded(batch)
         found = {}
         for lo, hi in blocks(texts):

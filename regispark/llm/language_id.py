@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from regispark.llm.common import blocks, strings
+from regispark.llm.common import blocks, slices, strings
 
 #: Language families by ISO 639-1 code.
 FAMILIES = {
@@ -59,7 +59,7 @@ def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _counter():
     """(lang, grams, counts) of each labelled row."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             texts = strings(batch)
             for lo, hi in blocks(texts):
@@ -179,7 +179,7 @@ def fit(labelled: DataFrame, max_rows: int = 4000, max_langs: int = 200) -> Mode
 def _predictor(shared):
     def predict(batches: Iterator[pa.RecordBatch]):
         model = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             texts = strings(batch)
             lettered = np.array(batch.column("lettered__").to_pylist(), dtype=bool)
             lang, score = np.full(len(texts), "und", dtype=object), np.zeros(len(texts))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from regispark._util import fresh
-from regispark.llm.common import Hasher, blocks, components, encoded, mix64, shingle_hashes, staged, word_table, words
+from regispark.llm.common import Hasher, blocks, components, encoded, mix64, shingle_hashes, slices, staged, word_table, words
 
 _STEP_BITS = np.uint64(57)
 
@@ -82,7 +82,7 @@ def _signer(k: int, bands: int, rows: int):
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, flags = Hasher(), word_table("space")
-        for batch in batches:
+        for batch in slices(batches):
             texts = encoded(batch)
             for lo, hi in blocks(texts):
                 doc, s = _sets(texts[lo:hi], k, hasher, flags)
@@ -108,7 +108,7 @@ def _signer(k: int, bands: int, rows: int):
 def _set_maker(k: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, flags = Hasher(), word_table("space")
-        for batch in batches:
+        for batch in slices(batches):
             texts = encoded(batch)
             for lo, hi in blocks(texts):
                 doc, s = _sets(texts[lo:hi], k, hasher, flags)

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from regispark.llm.common import LOWER, Hasher, blocks, encoded, mix64, staged, word_table
+from regispark.llm.common import LOWER, Hasher, blocks, encoded, mix64, slices, staged, word_table
 
 #: Bytes the rolling hash sees, candidates per 2**32 hash values, least distance of cuts.
 WINDOW, EVERY, GAP = 16, 24, 6
@@ -79,7 +79,7 @@ def _chunker():
     def chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, gear, flags = Hasher(), gear_table(), word_table("space")
         flags[0] = False  # the bytes between texts
-        for batch in batches:
+        for batch in slices(batches):
             texts = encoded(batch)
             for lo, hi in blocks(texts):
                 data, start, end, text, here, there = cuts(texts[lo:hi], gear)
@@ -124,7 +124,7 @@ def without_repeats(docs: DataFrame, min_words: int = 20) -> DataFrame:
     work = docs.join(spans, "doc_id", "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans__").to_pylist()):
                 if spans:

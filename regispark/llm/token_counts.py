@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from regispark.llm.common import bounded_sample, strings
+from regispark.llm.common import bounded_sample, slices, strings
 
 #: Fixed value: the pre-token pattern of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -109,7 +109,7 @@ def token_counts(docs: DataFrame, limit: int = 1024, path: str | None = None) ->
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counting = Counting(path, shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             n = [counting.count(t) for t in strings(batch)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("n_bytes"), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())],

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from regispark.llm.common import strings
+from regispark.llm.common import slices, strings
 
 Rule = tuple[str, str, str]
 RULES: list[Rule] = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -93,7 +93,7 @@ def filter_urls(pages: DataFrame, rules: list[Rule] = RULES, default: str = "all
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         root = trie.value
-        for batch in batches:
+        for batch in slices(batches):
             found = [judge(root, h, p) for h, p in zip(strings(batch, "host"), strings(batch, "path"))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([f and f[0] for f in found], pa.string()), pa.array([f[1] if f else default for f in found], pa.string())],
