@@ -57,7 +57,7 @@ def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _counter():
-    """(lang, grams, counts) of each labelled row."""
+    """(lang, grams, counts) of each labelled row, as packed 16-bit indices and 32-bit counts."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             out = []
@@ -66,8 +66,8 @@ def _counter():
                 gram, start, end = _grams(texts[lo:hi])
                 out += [np.unique(gram[s:e], return_counts=True) for s, e in zip(start, end)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("lang"), pa.array([g.tolist() for g, _ in out], pa.list_(pa.int32())), pa.array([c.tolist() for _, c in out], pa.list_(pa.int64()))],
-                names=["lang", "grams", "counts"])
+                [batch.column("lang"), pa.array([g.astype(np.uint16).tobytes() for g, _ in out], pa.binary()),
+                 pa.array([c.astype(np.float32).tobytes() for _, c in out], pa.binary())], names=["lang", "grams", "counts"])
 
     return count
 
@@ -150,7 +150,7 @@ class Model:
         return [self.langs[i] for i in lang], score
 
 
-def fit(labelled: DataFrame, max_rows: int = 4000, max_langs: int = 200) -> Model:
+def fit(labelled: DataFrame, max_rows: int = 2000, max_langs: int = 200) -> Model:
     """A model of ``labelled`` (doc_id, text, lang), fitted on at most ``max_rows`` rows of
     the ``max_langs`` most frequent languages."""
     labelled = labelled.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
@@ -165,15 +165,13 @@ def fit(labelled: DataFrame, max_rows: int = 4000, max_langs: int = 200) -> Mode
         part = (F.col("lang") == row["lang"]) & (draw < int((1 << 30) * min(1.0, share / row["count"])))
         chosen = part if chosen is None else chosen | part
     sample = labelled.where(chosen).where(F.col("text").rlike(r"\p{L}")).orderBy(draw, "doc_id", "text").limit(max_rows)
-    got = sample.select("lang", "text").mapInArrow(_counter(), "lang string, grams array<int>, counts array<long>").toArrow().combine_chunks()
-    langs = sorted(set(got.column("lang").to_pylist()))
-    x = np.zeros((got.num_rows, 1 << BITS), dtype=np.float32)
-    if got.num_rows:
-        grams, counts = (got.column(c).combine_chunks() for c in ("grams", "counts"))
-        row = np.repeat(np.arange(got.num_rows), grams.value_lengths().to_numpy())
-        x[row, grams.flatten().to_numpy()] = counts.flatten().to_numpy()
-        x /= x.sum(axis=1, keepdims=True)
-    return Model(langs, x, np.array([langs.index(c) for c in got.column("lang").to_pylist()], dtype=int))
+    rows = sample.select("lang", "text").mapInArrow(_counter(), "lang string, grams binary, counts binary").collect()
+    langs = sorted({r["lang"] for r in rows})
+    x = np.zeros((len(rows), 1 << BITS), dtype=np.float32)
+    for i, r in enumerate(rows):
+        n = np.frombuffer(r["counts"], dtype=np.float32)
+        x[i, np.frombuffer(r["grams"], dtype=np.uint16)] = n / n.sum()
+    return Model(langs, x, np.array([langs.index(r["lang"]) for r in rows], dtype=int))
 
 
 def _predictor(shared):
