@@ -13,8 +13,8 @@ from regispark.llm.common import staged, table
 
 
 #: A document goes if no language is found (null text, no letter) or the score is below this.
-#: Two even choices score 0.25, a short clean text rarely below 0.5.
-LEAST_SCORE = 0.3
+#: Two even choices score 0.25, so only a guess worse than that goes.
+LEAST_SCORE = 0.25
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
