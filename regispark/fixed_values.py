@@ -108,13 +108,29 @@ PREFIX = {
     "naturezas": "Naturezas", "motivos": "Motivos",
 }
 SHARDED = {"estabelecimentos", "empresas", "socios"}
-# Declared encoding per dataset (Latin-1 for the text dictionaries).
+# Declared encoding per dataset: Latin-1, which also reads the plain ASCII ones and keeps accents.
 ENCODING = {
-    "estabelecimentos": "US-ASCII", "empresas": "US-ASCII", "socios": "ISO-8859-1", "simples": "US-ASCII",
-    "municipios": "US-ASCII", "cnaes": "ISO-8859-1", "paises": "ISO-8859-1", "qualificacoes": "ISO-8859-1",
-    "naturezas": "ISO-8859-1", "motivos": "US-ASCII",
+    "estabelecimentos": "ISO-8859-1", "empresas": "ISO-8859-1", "socios": "ISO-8859-1", "simples": "ISO-8859-1",
+    "municipios": "ISO-8859-1", "cnaes": "ISO-8859-1", "paises": "ISO-8859-1", "qualificacoes": "ISO-8859-1",
+    "naturezas": "ISO-8859-1", "motivos": "ISO-8859-1",
 }
-# Delimited-drop format.
-CSV_SEPARATOR = ";"
-CSV_QUOTE = '"'
-DATE_FORMAT = "yyyyMMdd"
+# Columns of the final sole-trader table that stay beside its phones.
+PHONE_FINAL_COLUMNS = ["CNPJ", "NOME_EMPRESA", "CAP_SOCIAL", "NM_PORTE", "NAT_JURICA", "ENTE_FEDERATIVO", "NM_QUALIFICACAO",
+                 "CPF_CRIPTOGRAFADO", "CPF_LEN", "PROBABILIDADE_DE_SER_CPF", "PRIMEIRO_NOME", "GRUPO_NOME",
+                 "PROBABILIDADE_CLASSIFICACAO", "CLASSIFICACAO", "CNPJ_BASICO", "NM_MATRIZ_FILIAL", "NM_SIT_CADASTRAL",
+                 "DT_INICIO_ATIVIDADE", "ENDERECO_COMPLETO", "TIPO_LOUGRADOURO", "CEP", "MUNICIPIO", "DDD2", "TEL2",
+                 "valid_email", "PROVEDOR", "NM_MOTIVO", "CNAE", "NM_PAIS", "ano_cadastro", "mes_cadastro",
+                 "DT_SIT_CADASTRAL", "ano_sit_cadastral", "mes_sit_cadastral"]
+# Modelling table: decimal-comma columns, dropped and required columns, fills, row filters.
+MODEL_DECIMAL_COLUMNS = ["LON", "LAT", "renda_per_capita", "PRODUTO_INTERNO_BRUTO_A_PREOS_CORRENTES_R_1000",
+                   "PRODUTO_INTERNO_BRUTO_PER_CAPITA_A_PREOS_CORRENTES_R_100", "IDHM_2010", "CAP_SOCIAL"]
+MODEL_DROPPED = ["RENDA_PERCAPTA_MUN", "TEL1", "UF_NOME", "ENDERECO_COMPLETO", "DT_INICIO_ATIVIDADE", "DT_SIT_CADASTRAL",
+           "NM_SIT_CADASTRAL", "NM_MOTIVO", "ano_sit_cadastral", "mes_sit_cadastral", "CNPJ_BASICO"]
+MODEL_REQUIRED = ["NOME_EMPRESA", "CNAE", "ano_cadastro", "DDD1", "IDHM_2010", "CEP", "renda_per_capita", "LON", "LAT"]
+MODEL_FILL = {"TIPO_LOUGRADOURO": "SI", "MUNICIPIO": "SI", "UF": "SI", "TIPO_TELEFONE_FINAL": "SI", "OPERADORA": "SI",
+        "PROVEDOR": "NAO_CADASTRADO", "ATIVIDADE_COM_MAIOR_VALOR_ADICIONADO_BRUTO": "SI",
+        "ATIVIDADE_COM_SEGUNDO_MAIOR_VALOR_ADICIONADO_BRUTO": "SI",
+        "PRODUTO_INTERNO_BRUTO_A_PREOS_CORRENTES_R_1000": 0,
+        "PRODUTO_INTERNO_BRUTO_PER_CAPITA_A_PREOS_CORRENTES_R_100": 0, "SEXO_PROB": "SI",
+        "NOME_FANTASIA": "NAO_INFORMADO"}
+MODEL_FILTERS = {"NM_QUALIFICACAO": "Empresário", "NAT_JURICA": "Empresário (Individual)", "NM_MATRIZ_FILIAL": "MATRIZ"}

@@ -34,8 +34,8 @@ def rewrite_words(c: ColumnOrName, mapping: dict, mode: str = "domain_only") ->
     """Rewrite dictionary words inside an e-mail/free text.
 
     ``compat``: every key is applied in dictionary order as a whole-word
-    ``regexp_replace(\\bkey\\b, value)`` on the lower-cased keys/values, each step seeing
-    the previous step's output. Expressed as one higher-order ``aggregate`` fold over an
+    ``regexp_replace`` on the lower-cased keys/values, each step seeing the previous step's
+    output; a word ends where no ASCII letter, digit or underscore follows. Expressed as one higher-order ``aggregate`` fold over an
     array of (pattern, replacement) pairs, so the expression tree stays flat however long
     the dictionary is (nesting hundreds of calls overflows the analyser's stack).
     ``domain_only``: only the provider token (between ``@`` and the next ``.``) is looked up
@@ -44,7 +44,7 @@ def rewrite_words(c: ColumnOrName, mapping: dict, mode: str = "domain_only") ->
     c = col(c)
     if mode == "compat":
         pairs = F.array(*[
-            F.struct(F.lit(rf"\b{k.lower()}\b").alias("p"), F.lit(str(v).lower()).alias("r"))
+            F.struct(F.lit(rf"(?<![A-Za-z0-9_]){k.lower()}(?![A-Za-z0-9_])").alias("p"), F.lit(str(v).lower()).alias("r"))
             for k, v in mapping.items()
         ])
         return F.aggregate(pairs, c, lambda acc, x: F.regexp_replace(acc, x["p"], x["r"]))

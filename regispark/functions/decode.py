@@ -56,7 +56,8 @@ def replace_values(df: DataFrame, c: str, mapping: dict) -> DataFrame:
         return df.withColumn(c, F.coalesce(literal_map(mapping)[F.col(c)], F.col(c)))
     spark = df.sparkSession
     k, v = fresh(df.columns, "__rv_key"), fresh(df.columns, "__rv_val")
-    table = spark.createDataFrame(list(mapping.items()), f"`{k}` string, `{v}` string")
+    kind = df.schema[c].dataType.simpleString()
+    table = spark.createDataFrame(list(mapping.items()), f"`{k}` {kind}, `{v}` {kind}")
     out = df.join(F.broadcast(table), F.col(c) == F.col(k), "left")
     return out.withColumn(c, F.coalesce(F.col(v), F.col(c))).drop(k, v)
 

@@ -92,13 +92,20 @@ def lookup_roles(df: DataFrame, dim: DataFrame, dim_key: str, dim_value: str, ro
     return df
 
 
+def _check_salted(how: str) -> None:
+    if how not in ("inner", "left", "left_outer", "leftouter"):
+        raise ValueError(f"a {how!r} join cannot be salted: it would emit replicated rows as unmatched")
+
+
 def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, how: str = "inner",
                 salt_buckets: int = 16) -> DataFrame:
     """Equi-join that spreads every key of ``big`` over ``salt_buckets`` tasks.
 
     ``big`` rows get a salt from a hash of the whole row (deterministic across retries);
-    ``small`` rows are replicated once per salt. Result equals the plain join.
+    ``small`` rows are replicated once per salt. Result equals the plain join. A replicated
+    row must not appear unmatched, so only joins that keep ``big`` rows (inner, left) are possible.
     """
+    _check_salted(how)
     salt = fresh(big.columns + small.columns, "__salt")
     b = big.withColumn(salt, F.pmod(F.xxhash64(*[F.col(quote(c)) for c in big.columns]), F.lit(salt_buckets)))
     s = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
@@ -121,10 +128,12 @@ def skew_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, ho
 
     Hot keys (given, or found by :func:`hot_keys`) get a row-hash salt on ``big`` and their
     ``small`` rows are replicated once per salt; all other keys keep salt 0 and are joined
-    as usual, so replication is limited to the few hot keys' partner rows."""
+    as usual, so replication is limited to the few hot keys' partner rows. NULL keys of
+    ``big``, which match nothing, are spread too. Only inner and left joins can be salted."""
+    _check_salted(how)
     hot = list(keys) if keys is not None else hot_keys(big, big_key, min_share)
     salt = fresh(big.columns + small.columns, "__salt")
-    is_hot_b = F.col(quote(big_key)).isin(hot) if hot else F.lit(False)
+    is_hot_b = F.col(quote(big_key)).isNull() | (F.col(quote(big_key)).isin(hot) if hot else F.lit(False))
     is_hot_s = F.col(quote(small_key)).isin(hot) if hot else F.lit(False)
     b = big.withColumn(salt, F.when(is_hot_b, F.pmod(F.xxhash64(*[F.col(quote(c)) for c in big.columns]),
                                                      F.lit(salt_buckets))).otherwise(F.lit(0)).cast("long"))
@@ -145,8 +154,21 @@ def join_companies(companies: DataFrame, establishments: DataFrame, company_key:
     tasks, replicating only those companies' rows.
     """
     if salt_buckets:
-        return skew_join(establishments, companies, establishment_key, company_key, how, salt_buckets) \
-            .select(*companies.columns, *establishments.columns)
+        kinds = {"inner": (False, False), "left": (True, False), "left_outer": (True, False), "right": (False, True),
+                 "right_outer": (False, True), "full": (True, True), "outer": (True, True), "full_outer": (True, True)}
+        if how not in kinds:
+            raise ValueError(f"a {how!r} join cannot be salted")
+        keep_companies, keep_establishments = kinds[how]
+        # establishments are the salted side; companies without any come from an anti join
+        out = skew_join(establishments, companies, establishment_key, company_key,
+                        "left" if keep_establishments else "inner", salt_buckets)
+        out = out.select(*[companies[c] for c in companies.columns], *[establishments[c] for c in establishments.columns])
+        if keep_companies:
+            used = establishments.select(F.col(quote(establishment_key)).alias("__used")).distinct()
+            alone = companies.join(used, companies[company_key] == F.col("__used"), "left_anti")
+            alone = alone.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in establishments.schema.fields])
+            out = out.union(alone)
+        return out
     return companies.join(establishments, companies[company_key] == establishments[establishment_key], how)
 
 
@@ -175,5 +197,5 @@ def ratio_to_reference(counts: DataFrame, ref: DataFrame, key: str, num: str, de
                        digits: int = 2, scale: float = 1.0, broadcast: bool | None = None) -> DataFrame:
     """Join a reference (e.g. population) by key, drop unmatched, ratio desc."""
     j = counts.join(maybe_broadcast(ref, broadcast), key, "left").dropna(subset=[num, den])
-    return j.withColumn(out, F.round(F.lit(scale) * F.col(num).cast("double") / F.col(den).cast("double"), digits)) \
+    return j.withColumn(out, F.round(F.try_divide(F.lit(scale) * F.col(num).cast("double"), F.col(den).cast("double")), digits)) \
         .orderBy(F.desc(out), F.asc(key))

@@ -233,7 +233,7 @@ def missing_table(df: DataFrame, cols=None, digits: int = 2) -> DataFrame:
                   *[F.count_if(_c(c).isNull()).alias(f"m{i}") for i, c in enumerate(cols)])
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("missing")) for i, c in enumerate(cols)])
     out = wide.select("__rows", F.inline(rows))
-    out = out.withColumn("pct", F.round(F.lit(100.0) * F.col("missing") / F.col("__rows"), digits)).drop("__rows")
+    out = out.withColumn("pct", F.round(F.try_divide(F.lit(100.0) * F.col("missing"), F.col("__rows")), digits)).drop("__rows")
     return out.orderBy(F.desc("pct"), F.asc("column"))
 
 
@@ -270,12 +270,13 @@ def dedupe_on(df: DataFrame, keys, prefer=None, ascending: bool = False) -> Data
 def histogram(df: DataFrame, c: str, bins: int = 20) -> DataFrame:
     """Equal-width histogram over [min, max]; every bin listed (empty -> 0).
 
-    Bounds are scalar subqueries; the top edge falls into the last bin.
+    Bounds are scalar subqueries; the top edge falls into the last bin. A constant column is
+    all in the first one.
     """
     lo = df.select(F.min(_c(c)).cast("double")).scalar()
     hi = df.select(F.max(_c(c)).cast("double")).scalar()
     width = (hi - lo) / F.lit(float(bins))
-    idx = F.least(F.floor((_c(c).cast("double") - lo) / width), F.lit(bins - 1)).cast("int")
+    idx = F.least(F.coalesce(F.floor(F.try_divide(_c(c).cast("double") - lo, width)), F.lit(0)), F.lit(bins - 1)).cast("int")
     counts = df.filter(_c(c).isNotNull()).groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     edges = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     out = edges.join(F.broadcast(counts), "bin", "left")

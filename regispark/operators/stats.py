@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .._util import as_list, quote
 from ._dist import chi2_sf, f_sf
@@ -38,24 +38,20 @@ def f_pvalue(stat: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
 # ---------------------------------------------------------------------------
 
 def moments(df: DataFrame, c: str) -> DataFrame:
-    """n, mean and central moments m2..m4 (population) of one column, in one pass."""
+    """n, mean, population variance, skewness and excess kurtosis of one column, in one pass
+    of Spark's central moments (stable at any mean). NaN values count as missing."""
     x = F.col(quote(c)).cast("double")
-    s = df.filter(x.isNotNull()).agg(F.count(F.lit(1)).alias("n"), F.sum(x).alias("s1"), F.sum(x * x).alias("s2"),
-                                     F.sum(x * x * x).alias("s3"), F.sum(x * x * x * x).alias("s4"))
-    n, mu = F.col("n").cast("double"), F.col("s1") / F.col("n")
-    m2 = F.col("s2") / n - mu * mu
-    m3 = F.col("s3") / n - 3 * mu * F.col("s2") / n + 2 * mu * mu * mu
-    m4 = F.col("s4") / n - 4 * mu * F.col("s3") / n + 6 * mu * mu * F.col("s2") / n - 3 * mu * mu * mu * mu
-    return s.select("n", mu.alias("mean"), m2.alias("m2"), m3.alias("m3"), m4.alias("m4"))
+    return df.filter(x.isNotNull() & ~F.isnan(x)).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(x).alias("mean"), F.var_pop(x).alias("m2"),
+        F.skewness(x).alias("skewness"), F.kurtosis(x).alias("kurtosis"))
 
 
 def jarque_bera(df: DataFrame, c: str, alpha: float = 0.05) -> DataFrame:
     """JB = n/6 (S^2 + K^2/4) with population skewness S and excess kurtosis K;
-    p = exp(-JB/2) (chi-square, 2 dof, closed form). One row."""
-    m = moments(df, c)
-    skew = F.col("m3") / F.pow(F.col("m2"), 1.5)
-    kurt = F.col("m4") / (F.col("m2") * F.col("m2")) - 3.0
-    out = m.select("n", skew.alias("skewness"), kurt.alias("kurtosis"))
+    p = exp(-JB/2) (chi-square, 2 dof, closed form). One row; NULL where the column is
+    empty or constant and the statistic is not defined."""
+    defined = F.col("m2") > 0
+    out = moments(df, c).select("n", F.when(defined, F.col("skewness")).alias("skewness"), F.when(defined, F.col("kurtosis")).alias("kurtosis"))
     out = out.withColumn("jb", F.col("n") / 6.0 * (F.col("skewness") ** 2 + F.col("kurtosis") ** 2 / 4.0))
     out = out.withColumn("p_value", F.exp(-F.col("jb") / 2.0))
     return out.withColumn("normal", F.col("p_value") > alpha)
@@ -205,7 +201,7 @@ def durbin_watson(df: DataFrame, e: str, order_col: str, partition_cols=()) -> D
     agg = lg.groupBy(*[quote(p) for p in part]).agg(F.sum(d * d).alias("num"),
                                                      F.sum(F.col(quote(e)) * F.col(quote(e))).alias("den"),
                                                      F.count(F.lit(1)).alias("n"))
-    return agg.select(*part, "n", (F.col("num") / F.col("den")).alias("dw"))
+    return agg.select(*part, "n", F.try_divide(F.col("num"), F.col("den")).alias("dw"))
 
 
 def _ols(df: DataFrame, label: str, features: list, fit_intercept: bool = True):
@@ -297,28 +293,24 @@ def linear_diagnostics(df: DataFrame, label: str, features) -> DataFrame:
 def anova_f(df: DataFrame, label: str, features) -> DataFrame:
     """One-way ANOVA F of each continuous feature across the label's classes.
 
-    One grouped aggregate (count/sum/sum of squares per class) then a tiny global one."""
+    One grouped aggregate (count, mean and variance per class, Spark's stable moments), then
+    a tiny one over classes, with means taken from the least class mean so that a large
+    common mean cancels nothing."""
     features = as_list(features)
-    parts = []
+    parts, shifted, tot, rows = [], {}, [], []
     for i, c in enumerate(features):
         x = F.col(quote(c)).cast("double")
-        parts += [F.count(x).alias(f"n{i}"), F.sum(x).alias(f"s{i}"), F.sum(x * x).alias(f"q{i}")]
-    g = df.filter(F.col(quote(label)).isNotNull()).groupBy(quote(label)).agg(*parts)
-    tot = []
-    for i in range(len(features)):
-        n, s, q = F.col(f"n{i}"), F.col(f"s{i}"), F.col(f"q{i}")
-        tot += [F.sum(n).alias(f"N{i}"), F.sum(s).alias(f"S{i}"), F.sum(q).alias(f"Q{i}"),
-                F.sum(F.when(n > 0, s * s / n)).alias(f"B{i}"), F.count_if(n > 0).alias(f"K{i}")]
-    t = g.agg(*tot)
-    rows = []
-    for i, c in enumerate(features):
-        N, S, Q, B, K = (F.col(f"{p}{i}") for p in "NSQBK")
-        ssb = B - S * S / N
-        ssw = Q - B
-        rows.append(F.struct(F.lit(c).alias("feature"),
-                             ((ssb / (K - 1)) / (ssw / (N - K))).alias("f_value"),
+        parts += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"a{i}"), F.var_pop(x).alias(f"v{i}")]
+        shifted[f"d{i}"] = F.col(f"a{i}") - F.min(f"a{i}").over(Window.partitionBy())
+        n, d = F.col(f"n{i}"), F.col(f"d{i}")
+        tot += [F.sum(n).alias(f"N{i}"), F.sum(n * d).alias(f"S{i}"), F.sum(n * d * d).alias(f"B{i}"),
+                F.sum(n * F.col(f"v{i}")).alias(f"W{i}"), F.count_if(n > 0).alias(f"K{i}")]
+        N, S, B, W, K = (F.col(f"{p}{i}") for p in "NSBWK")
+        between = F.try_divide(B - F.try_divide(S * S, N), K - 1)
+        rows.append(F.struct(F.lit(c).alias("feature"), F.try_divide(between, F.try_divide(W, N - K)).alias("f_value"),
                              (K - 1).cast("double").alias("df1"), (N - K).cast("double").alias("df2")))
-    out = t.select(F.inline(F.array(*rows)))
+    g = df.filter(F.col(quote(label)).isNotNull()).groupBy(quote(label)).agg(*parts)
+    out = g.withColumns(shifted).agg(*tot).select(F.inline(F.array(*rows)))
     return out.withColumn("p_value", f_pvalue(F.col("f_value"), F.col("df1"), F.col("df2")))
 
 
@@ -333,7 +325,7 @@ def f_regression(df: DataFrame, label: str, features) -> DataFrame:
         parts += [F.corr(x, y).alias(f"r{i}"), F.count(F.when(x.isNotNull() & y.isNotNull(), 1)).alias(f"n{i}")]
     t = df.agg(*parts)
     rows = [F.struct(F.lit(c).alias("feature"),
-                     (F.col(f"r{i}") ** 2 / (1 - F.col(f"r{i}") ** 2) * (F.col(f"n{i}") - 2)).alias("f_value"),
+                     (F.try_divide(F.col(f"r{i}") ** 2, 1 - F.col(f"r{i}") ** 2) * (F.col(f"n{i}") - 2)).alias("f_value"),
                      F.lit(1.0).alias("df1"), (F.col(f"n{i}") - 2).cast("double").alias("df2"))
             for i, c in enumerate(features)]
     out = t.select(F.inline(F.array(*rows)))

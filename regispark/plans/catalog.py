@@ -313,25 +313,35 @@ def dictionary_replace_large(spark, d):
 # ---------------------------------------------------------------------------
 # Contact data and free text
 # ---------------------------------------------------------------------------
-@register("email_provider_regex", """
-SELECT doc_id, replace(upper(regexp_extract(text, '@([^.]+)\\.', 1)), 'ẞ', 'SS') AS provider FROM documents
+_ADDRESS = r"[A-Za-z0-9._%+-]*@[A-Za-z0-9.-]*"
+_ADDRESS_SQL = f"SELECT doc_id, unnest(regexp_extract_all(text, '{_ADDRESS}')) AS address FROM documents"
+
+
+def _addresses(spark, d):
+    """Every e-mail-like run of every document, one row each."""
+    docs = table(spark, d, "documents")
+    return docs.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(_ADDRESS), F.lit(0))).alias("address"))
+
+
+@register("email_provider_regex", f"""
+SELECT doc_id, upper(regexp_extract(address, '@([^.]+)\\.', 1)) AS provider FROM ({_ADDRESS_SQL})
 """)
 def email_provider_regex(spark, d):
-    return table(spark, d, "documents").select("doc_id", X.email_provider("text", "regex").alias("provider"))
+    return _addresses(spark, d).select("doc_id", X.email_provider("address", "regex").alias("provider"))
 
 
-@register("email_provider_split", """
-SELECT doc_id, replace(string_split(string_split(upper(text), '@')[2], '.')[1], 'ẞ', 'SS') AS provider FROM documents
+@register("email_provider_split", f"""
+SELECT doc_id, string_split(string_split(upper(address), '@')[2], '.')[1] AS provider FROM ({_ADDRESS_SQL})
 """)
 def email_provider_split(spark, d):
-    return table(spark, d, "documents").select("doc_id", X.email_provider("text", "split").alias("provider"))
+    return _addresses(spark, d).select("doc_id", X.email_provider("address", "split").alias("provider"))
 
 
-@register("email_valid", """
-SELECT doc_id, regexp_extract(lower(text), '^\\S+@\\S+\\.\\S+$', 0) AS valid_email FROM documents
+@register("email_valid", f"""
+SELECT doc_id, regexp_extract(lower(address), '^\\S+@\\S+\\.\\S+$', 0) AS valid_email FROM ({_ADDRESS_SQL})
 """)
 def email_valid(spark, d):
-    return table(spark, d, "documents").select("doc_id", X.email_valid("text").alias("valid_email"))
+    return _addresses(spark, d).select("doc_id", X.email_valid("address").alias("valid_email"))
 
 
 # Word rewrite dictionary for the free-text check (order matters: sequential semantics).
@@ -346,20 +356,18 @@ def _rewrite_sql(col: str) -> str:
 
 
 @register("word_rewrite", f"""
-SELECT doc_id, {_rewrite_sql('text')} AS rewritten FROM documents WHERE regexp_full_match(text, '[\\x00-\\x7F]*')
+SELECT doc_id, {_rewrite_sql('text')} AS rewritten FROM documents
 """)
 def word_rewrite(spark, d):
-    docs = table(spark, d, "documents").filter(F.col("text").rlike(r"^[\x00-\x7F]*$"))
-    return docs.select("doc_id", X.rewrite_words("text", WORD_FIX, "compat").alias("rewritten"))
+    return table(spark, d, "documents").select("doc_id", X.rewrite_words("text", WORD_FIX, "compat").alias("rewritten"))
 
 
 @register("accent_fold", """
 SELECT doc_id, translate(replace(upper(text), 'ẞ', 'SS'), 'ÁÀÃÂÄÉÈÊËÍÌÎÏÓÒÕÔÖÚÙÛÜÇ', 'AAAAAEEEEIIIIOOOOOUUUUC') AS folded
-FROM documents WHERE lang IN ('fr', 'es')
+FROM documents
 """)
 def accent_fold(spark, d):
-    docs = table(spark, d, "documents").filter(F.col("lang").isin("fr", "es"))
-    return docs.select("doc_id", X.fold_accents("text").alias("folded"))
+    return table(spark, d, "documents").select("doc_id", X.fold_accents("text").alias("folded"))
 
 
 @register("digits_only", """
@@ -398,7 +406,8 @@ def token_aes(spark, d):
 
 
 @register("phone_class", f"""
-WITH m AS (SELECT doc_id, regexp_replace(regexp_extract(text, '\\(\\d{{3}}\\) \\d{{3}}-\\d{{4}}', 0), '[^0-9]', '', 'g') AS raw FROM documents),
+WITH f AS (SELECT doc_id, unnest(regexp_extract_all(text, '\\([0-9]{{3}}\\) [0-9]{{3}}-[0-9]{{4}}')) AS phone FROM documents),
+m AS (SELECT doc_id, regexp_replace(phone, '[^0-9]', '', 'g') AS raw FROM f),
 p AS (SELECT doc_id, substr(raw, 1, 2) AS ddd, substr(raw, 3, 8) AS tel FROM m WHERE length(substr(raw, 1, 2)) = 2 AND length(substr(raw, 3, 8)) = 8),
 k AS (SELECT *, {_PHONE_SQL} AS phone_class FROM p),
 r AS ({_RANGES_SQL})
@@ -412,8 +421,9 @@ SELECT k.doc_id, k.ddd, k.tel,
 FROM k LEFT JOIN r ON TRY_CAST(k.ddd AS INTEGER) = r.ddd AND TRY_CAST(substr(k.tel, 1, 4) AS INTEGER) = r.faixa
 """)
 def phone_class(spark, d):
-    docs = table(spark, d, "documents")
-    raw = F.regexp_replace(F.regexp_extract("text", r"\(\d{3}\) \d{3}-\d{4}", 0), "[^0-9]", "")
+    found = F.explode(F.regexp_extract_all("text", F.lit(r"\([0-9]{3}\) [0-9]{3}-[0-9]{4}"), F.lit(0)))
+    docs = table(spark, d, "documents").select("doc_id", found.alias("phone"))
+    raw = F.regexp_replace("phone", "[^0-9]", "")
     p = docs.select("doc_id", F.substring(raw, 1, 2).alias("ddd"), F.substring(raw, 3, 8).alias("tel"))
     p = phone_shape(p, "ddd", "tel")
     p = p.withColumns({"phone_class": X.phone_class("ddd", "tel"), "prefix4": X.prefix("tel", 4)})
@@ -1298,18 +1308,21 @@ def labels_chi_square(spark, d):
     return r.select("feature", _r("statistic").alias("statistic"), F.col("dof").cast("long").alias("dof"))
 
 
-_EMB = [f"e{i}" for i in range(4)]
-
-
-@register("embedding_corr", " UNION ALL ".join(
-    (f"SELECT '{a}' AS column_a, '{b}' AS column_b, 1.0 AS corr" if a == b else
-     f"SELECT '{a}' AS column_a, '{b}' AS column_b, round(corr(CAST(embedding[{int(a[1:]) + 1}] AS DOUBLE), "
-     f"CAST(embedding[{int(b[1:]) + 1}] AS DOUBLE)), 6) AS corr FROM embeddings")
-    for a in _EMB for b in _EMB))
+@register("embedding_corr", """
+WITH x AS (SELECT vec_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings)
+SELECT 'e' || a.i AS column_a, 'e' || b.i AS column_b,
+       CASE WHEN a.i = b.i THEN CAST(1.0 AS DOUBLE) ELSE round(corr(CAST(a.v AS DOUBLE), CAST(b.v AS DOUBLE)), 6) END AS corr
+FROM x a JOIN x b ON a.vec_id = b.vec_id GROUP BY a.i, b.i
+""")
 def embedding_corr(spark, d):
-    e = table(spark, d, "embeddings")
-    dims = e.select(*[F.get("embedding", i).cast("double").alias(f"e{i}") for i in range(len(_EMB))])
-    return A.corr_matrix(dims, _EMB).withColumn("corr", _r("corr"))
+    """All positions: one pass over the vectors; the k x k matrix is all that comes back."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Correlation
+
+    e = table(spark, d, "embeddings").select(array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
+    m = Correlation.corr(e, "v").first()[0].toArray()
+    rows = [(f"e{i}", f"e{j}", 1.0 if i == j else float(m[i, j])) for i in range(len(m)) for j in range(len(m))]
+    return spark.createDataFrame(rows, "column_a string, column_b string, corr double").withColumn("corr", _r("corr"))
 
 
 @register("pages_host_freq", """

@@ -12,21 +12,24 @@ from ..operators.filters import known
 def eda_tables(df: DataFrame, population: DataFrame | None = None, total: int | None = None) -> dict[str, DataFrame]:
     """Every question of the exploratory notebook as one DataFrame (caller collects)."""
     base = known(df, ["NM_SIT_CADASTRAL"]) if "NM_SIT_CADASTRAL" in df.columns else df
+    paid = df.filter(F.col("CAP_SOCIAL") > 1)
     out = {
         "status_mix": A.share(base, "NM_SIT_CADASTRAL"),
         "per_state": A.share(df, "UF", total=total),
         "per_year_branch": A.freq(df, ["ano_cadastro", "NM_MATRIZ_FILIAL"]),
         "branch_mix": A.share(df, "NM_MATRIZ_FILIAL"),
         "top10_activities": A.freq(df, "CNAE", top=10),
-        "capital_quantiles": A.quantiles(df.filter(F.col("CAP_SOCIAL") > 0), "CAP_SOCIAL",
-                                         [0.01, 0.05, 0.1, 0.2, 0.25, 0.3, 0.4, 0.5, 0.6, 0.7, 0.75, 0.8, 0.9, 0.95, 0.99]),
-        "capital_mean": A.filtered_mean(df, "CAP_SOCIAL", 0, 100_000),
+        "capital_quantiles": A.quantiles(paid, "CAP_SOCIAL",
+                                         [0.05, 0.1, 0.2, 0.25, 0.3, 0.4, 0.5, 0.6, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95, 0.99]),
+        "capital_mean": A.filtered_mean(df, "CAP_SOCIAL", 1, 100_001, digits=0),
         "status_by_year": A.freq(df, ["ano_cadastro", "NM_SIT_CADASTRAL"]),
-        "capital_by_activity": A.top_k(A.group_profile(df, "CNAE", "CAP_SOCIAL"), "n", 10),
-        "closure_reasons": A.top_k(A.group_profile(df.filter(F.col("NM_SIT_CADASTRAL") == "BAIXADA"), "NM_MOTIVO",
+        "capital_by_activity": A.top_k(A.group_profile(paid, "CNAE", "CAP_SOCIAL"), "n", 10),
+        "closure_reasons": A.top_k(A.group_profile(paid.filter(F.col("NM_SIT_CADASTRAL") == "BAIXADA"), "NM_MOTIVO",
                                                    "CAP_SOCIAL"), "n", 20),
-        "capital_by_status": A.group_profile(df, "NM_SIT_CADASTRAL", "CAP_SOCIAL"),
-        "capital_histogram": A.histogram(df.filter((F.col("CAP_SOCIAL") > 0) & (F.col("CAP_SOCIAL") < 100_000)),
+        "open_reasons": A.top_k(A.group_profile(paid.filter(F.col("NM_SIT_CADASTRAL") != "BAIXADA"), "NM_MOTIVO",
+                                                "CAP_SOCIAL"), "n", 20),
+        "capital_by_status": A.group_profile(paid, "NM_SIT_CADASTRAL", "CAP_SOCIAL"),
+        "capital_histogram": A.histogram(df.filter((F.col("CAP_SOCIAL") > 1) & (F.col("CAP_SOCIAL") < 150_001)),
                                          "CAP_SOCIAL", 20),
         "gender_mix": A.share(df, "CLASSIFICACAO"),
     }
@@ -38,5 +41,5 @@ def eda_tables(df: DataFrame, population: DataFrame | None = None, total: int |
         out["operator_top25"] = A.freq(df, "OPERADORA", top=25)
     if population is not None:
         counts = df.groupBy("UF").agg(F.count(F.lit(1)).alias("n"))
-        out["state_vs_population"] = J.ratio_to_reference(counts, population, "UF", "n", "Pop", "per_1000", 2, 1000.0)
+        out["state_vs_population"] = J.ratio_to_reference(counts, population, "UF", "n", "Pop", "percent", 2, 100.0)
     return out

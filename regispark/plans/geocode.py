@@ -28,6 +28,8 @@ def geo_fallback(df: DataFrame, levels: list, lat: str = "LAT", lon: str = "LON"
         t = table.select(*[F.col(quote(k)).alias(a) for k, a in zip(table_keys, ks)],
                          F.struct(F.col(quote(t_lat)).cast("double").alias("lat"),
                                   F.col(quote(t_lon)).cast("double").alias("lon")).alias(pt))
+        # one row per key; the greatest pair, which prefers present coordinates
+        t = t.groupBy(*ks).agg(F.max(pt).alias(pt))
         cond = None
         for fk, k in zip(fact_keys, ks):
             term = F.col(quote(fk)) == F.col(k)

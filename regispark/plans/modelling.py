@@ -6,22 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .. import functions as X
+from ..fixed_values import MODEL_DECIMAL_COLUMNS, MODEL_DROPPED, MODEL_FILL, MODEL_FILTERS, MODEL_REQUIRED
 from ..operators import joins as J
 from ..operators.projection import decimal_comma, drop_cols
 from ..sources.seeds import VALID_AREA_CODES
 
-DECIMAL_COLUMNS = ["LON", "LAT", "renda_per_capita", "PRODUTO_INTERNO_BRUTO_A_PREOS_CORRENTES_R_1000",
-                   "PRODUTO_INTERNO_BRUTO_PER_CAPITA_A_PREOS_CORRENTES_R_100", "IDHM_2010", "CAP_SOCIAL"]
-DROPPED = ["RENDA_PERCAPTA_MUN", "TEL1", "UF_NOME", "ENDERECO_COMPLETO", "DT_INICIO_ATIVIDADE", "DT_SIT_CADASTRAL",
-           "NM_SIT_CADASTRAL", "NM_MOTIVO", "ano_sit_cadastral", "mes_sit_cadastral", "CNPJ_BASICO"]
-REQUIRED = ["NOME_EMPRESA", "CNAE", "ano_cadastro", "DDD1", "IDHM_2010", "CEP", "renda_per_capita", "LON", "LAT"]
-FILL = {"TIPO_LOUGRADOURO": "SI", "MUNICIPIO": "SI", "UF": "SI", "TIPO_TELEFONE_FINAL": "SI", "OPERADORA": "SI",
-        "PROVEDOR": "NAO_CADASTRADO", "ATIVIDADE_COM_MAIOR_VALOR_ADICIONADO_BRUTO": "SI",
-        "ATIVIDADE_COM_SEGUNDO_MAIOR_VALOR_ADICIONADO_BRUTO": "SI",
-        "PRODUTO_INTERNO_BRUTO_A_PREOS_CORRENTES_R_1000": 0,
-        "PRODUTO_INTERNO_BRUTO_PER_CAPITA_A_PREOS_CORRENTES_R_100": 0, "SEXO_PROB": "SI",
-        "NOME_FANTASIA": "NAO_INFORMADO"}
-FILTERS = {"NM_QUALIFICACAO": "Empresário", "NAT_JURICA": "Empresário (Individual)", "NM_MATRIZ_FILIAL": "MATRIZ"}
 
 
 def municipality_table(mun: DataFrame, compat_accents: bool = False) -> DataFrame:
@@ -34,12 +23,12 @@ def treat_modelling_table(df: DataFrame, municipalities: DataFrame, provider_map
                           compat_accents: bool = False, valid_area_codes=VALID_AREA_CODES) -> DataFrame:
     """Q8 end to end; ``provider_map`` is the caller's provider dictionary (single pass)."""
     df = df.withColumn("renda_per_capita", F.coalesce("renda_per_capita", "RENDA_PERCAPTA_MUN"))
-    df = drop_cols(df, *DROPPED)
-    df = decimal_comma(df, [c for c in DECIMAL_COLUMNS if c in df.columns], "float")
+    df = drop_cols(df, *MODEL_DROPPED)
+    df = decimal_comma(df, [c for c in MODEL_DECIMAL_COLUMNS if c in df.columns], "float")
     df = df.withColumn("OPERADORA", F.when(F.col("TIPO_TELEFONE_FINAL") == "TELEFONE FIXO", F.col("TIPO_TELEFONE_FINAL"))
                        .otherwise(F.col("OPERADORA")))
     cond = F.col("CAP_SOCIAL") > 0
-    for c, v in FILTERS.items():
+    for c, v in MODEL_FILTERS.items():
         cond = cond & (F.col(c) == v)
     df = df.filter(cond)
     mun = municipality_table(municipalities, compat_accents).select(
@@ -50,8 +39,8 @@ def treat_modelling_table(df: DataFrame, municipalities: DataFrame, provider_map
     df = df.withColumns({"LAT": F.coalesce("LAT", "__m_lat"), "LON": F.coalesce("LON", "__m_lon")}) \
         .drop("__m_uf", "__m_name", "__m_lat", "__m_lon")
     df = df.filter(F.col("DDD1").isin(list(valid_area_codes)))
-    df = df.dropna(subset=[c for c in REQUIRED if c in df.columns])
-    df = df.fillna({k: v for k, v in FILL.items() if k in df.columns})
+    df = df.dropna(subset=[c for c in MODEL_REQUIRED if c in df.columns])
+    df = df.fillna({k: v for k, v in MODEL_FILL.items() if k in df.columns})
     df = df.withColumn("PROVEDOR", F.upper("PROVEDOR"))
     df = X.replace_values(df, "PROVEDOR", provider_map)
     return df.withColumns({"PROVEDOR": X.whitelist("PROVEDOR", X.MODEL_PROVIDERS),

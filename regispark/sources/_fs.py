@@ -15,13 +15,10 @@ def _split(path: str):
     return None, path
 
 
-def read_head(path: str, n: int) -> bytes:
+def open_input(path: str):
+    """A binary stream of the whole file."""
     filesystem, inner = _split(path)
-    if filesystem is None:
-        with open(inner, "rb") as fh:
-            return fh.read(n)
-    with filesystem.open_input_stream(inner) as fh:
-        return fh.read(n)
+    return open(inner, "rb") if filesystem is None else filesystem.open_input_stream(inner)
 
 
 def open_random_access(path: str):

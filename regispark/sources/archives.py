@@ -17,6 +17,8 @@ import os
 import re
 import shutil
 import zipfile
+import zlib
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -26,6 +28,8 @@ from .delimited import spark_charset
 
 MANIFEST = "archive string, member string, target string, bytes long, status string, error string"
 CHUNK = 1 << 20
+#: What a damaged, truncated or encrypted archive, or a wrong charset, raises.
+ARCHIVE_ERRORS = (zipfile.BadZipFile, zlib.error, EOFError, OSError, RuntimeError, NotImplementedError, UnicodeDecodeError)
 
 
 def canonical_name(archive: str, member: str) -> str:
@@ -35,42 +39,45 @@ def canonical_name(archive: str, member: str) -> str:
     return f"{m.group(1)}{m.group(2)}.csv" if m else os.path.basename(member)
 
 
-def read_zip(spark: SparkSession, pattern: str, schema: T.StructType, encoding: str = "US-ASCII",
+def read_zip(spark: SparkSession, pattern: str, schema: T.StructType, encoding: str = "ISO-8859-1",
              sep: str = ";", member_regex: str | None = None, with_errors: bool = False) -> DataFrame:
     """Every member of every archive matching ``pattern`` as typed rows (+ archive, member).
 
-    A corrupt archive is skipped, and the others are still read; ``with_errors=True`` adds an
-    ``error`` column and one row per corrupt archive (data columns NULL) so it is visible."""
+    A damaged or encrypted archive, or bytes that the charset lacks, fail the job;
+    ``with_errors=True`` reads the others instead, and adds an ``error`` column with one row
+    per failure (data columns NULL)."""
     enc = spark_charset(encoding)
     raw = spark.read.format("binaryFile").load(pattern).select("path", "content")
 
+    def members(path, content, rx):
+        with zipfile.ZipFile(io.BytesIO(content)) as zf:
+            for info in zf.infolist():
+                if info.is_dir() or (rx and not rx.search(info.filename)):
+                    continue
+                with zf.open(info) as fh:
+                    buf = []
+                    for line in io.TextIOWrapper(fh, encoding=enc, newline=""):
+                        line = line.rstrip("\r\n")
+                        if line:
+                            buf.append(line)
+                        if len(buf) >= 10_000:
+                            yield info.filename, buf
+                            buf = []
+                    if buf:
+                        yield info.filename, buf
+
     def inflate(batches):
         rx = re.compile(member_regex) if member_regex else None
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
                 try:
-                    zf = zipfile.ZipFile(io.BytesIO(content))
-                except zipfile.BadZipFile as exc:
-                    if with_errors:
-                        yield pd.DataFrame({"archive": [path], "member": [None], "line": [None],
-                                            "error": [f"BadZipFile: {exc}"]})
-                    continue
-                for info in zf.infolist():
-                    if info.is_dir() or (rx and not rx.search(info.filename)):
-                        continue
-                    with zf.open(info) as fh:
-                        text = io.TextIOWrapper(fh, encoding=enc, errors="replace", newline="")
-                        buf = []
-                        for line in text:
-                            line = line.rstrip("\r\n")
-                            if line:
-                                buf.append(line)
-                            if len(buf) >= 10_000:
-                                yield pd.DataFrame({"archive": path, "member": info.filename, "line": buf,
-                                                    "error": None})
-                                buf = []
-                        if buf:
-                            yield pd.DataFrame({"archive": path, "member": info.filename, "line": buf, "error": None})
+                    for member, buf in members(path, content, rx):
+                        yield pd.DataFrame({"archive": path, "member": member, "line": buf, "error": None})
+                except ARCHIVE_ERRORS as exc:
+                    if not with_errors:
+                        raise ValueError(f"{path}: {type(exc).__name__}: {exc}") from exc
+                    yield pd.DataFrame({"archive": [path], "member": [None], "line": [None],
+                                        "error": [f"{type(exc).__name__}: {exc}"]})
 
     lines = raw.mapInPandas(inflate, "archive string, member string, line string, error string")
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
@@ -80,24 +87,48 @@ def read_zip(spark: SparkSession, pattern: str, schema: T.StructType, encoding:
     return out if with_errors else out.drop("error")
 
 
+def _slots(paths: list[str]) -> list[str]:
+    """A folder name for each archive: its stem, with a checksum of the path where stems repeat."""
+    stems = [os.path.splitext(os.path.basename(p))[0] for p in paths]
+    often = Counter(s.lower() for s in stems)
+    return [s if often[s.lower()] == 1 else f"{s}-{zlib.crc32(p.encode()):08x}" for s, p in zip(stems, paths)]
+
+
+def _member_path(name: str) -> str:
+    """The member's path inside its archive, without roots and parent steps."""
+    return "/".join(p for p in name.replace("\\", "/").split("/") if p not in ("", ".", ".."))
+
+
 def extract_archives(spark: SparkSession, paths, target: str, member_filter: str | None = None,
                      rename: bool = False, first_only: bool = False, tasks: int | None = None) -> DataFrame:
     """Extract archives (one task each) into ``target``; returns the manifest.
 
     ``member_filter``: regex a member name must match; ``first_only``: stop after the
-    first matching member per archive; ``rename``: canonical ``{prefix}{digits}.csv`` names.
-    ``target`` must be a directory every executor can write: a shared mount or a filesystem
-    URI (``hdfs://``, ``s3://``, ``gs://``, ``file://``), never a machine-local folder on a cluster.
+    first matching member per archive. Members keep their path below a folder of their
+    archive; with ``rename`` they become canonical ``{prefix}{digits}.csv`` files in ``target``
+    (``-2``, ``-3`` ... for further members of one archive). No two members share a target:
+    archives of the same name get a checksum of their path, and members of one archive whose
+    paths coincide are error rows. ``target`` must be a directory every executor can write: a shared mount or a
+    filesystem URI (``hdfs://``, ``s3://``, ``gs://``, ``file://``), never a machine-local folder on
+    a cluster. The manifest is lazy, and each action on it extracts anew: write it once.
     """
-    paths = list(paths)
-    df = spark.createDataFrame([(p,) for p in paths], "archive string")
+    paths = list(dict.fromkeys(paths))
+    df = spark.createDataFrame(list(zip(paths, _slots(paths))), "archive string, slot string")
     df = df.repartition(tasks or max(1, len(paths)))
 
+    def place(archive, slot, m, number):
+        if not rename:
+            return f"{slot}/{_member_path(m.filename)}"
+        name = canonical_name(archive, m.filename)
+        stem, ext = os.path.splitext(name)
+        mark = slot[len(os.path.splitext(os.path.basename(archive))[0]):]
+        return f"{stem}{mark}{'' if number == 1 else f'-{number}'}{ext}"
+
     def extract(batches):
         rx = re.compile(member_filter) if member_filter else None
         for pdf in batches:
             rows = []
-            for archive in pdf["archive"]:
+            for archive, slot in zip(pdf["archive"], pdf["slot"]):
                 try:
                     with open_random_access(archive) as raw_fh, zipfile.ZipFile(raw_fh) as zf:
                         members = [m for m in zf.infolist() if not m.is_dir() and (rx is None or rx.search(m.filename))]
@@ -105,15 +136,22 @@ def extract_archives(spark: SparkSession, paths, target: str, member_filter: str
                             members = members[:1]
                         if not members:
                             rows.append((archive, None, None, 0, "no_member", None))
-                        for m in members:
-                            name = canonical_name(archive, m.filename) if rename else os.path.basename(m.filename)
-                            out = target.rstrip("/") + "/" + name
+                        taken = set()
+                        for number, m in enumerate(members, 1):
+                            out = target.rstrip("/") + "/" + place(archive, slot, m, number)
+                            if out.lower() in taken:
+                                rows.append((archive, m.filename, out, 0, "error", "another member has this target"))
+                                continue
+                            taken.add(out.lower())
                             tmp = out + ".part"
-                            with zf.open(m) as src, open_output(tmp) as dst:
-                                shutil.copyfileobj(src, dst, CHUNK)
-                            move(tmp, out)
-                            rows.append((archive, m.filename, out, int(m.file_size), "ok", None))
-                except (zipfile.BadZipFile, OSError) as exc:
+                            try:
+                                with zf.open(m) as src, open_output(tmp) as dst:
+                                    shutil.copyfileobj(src, dst, CHUNK)
+                                move(tmp, out)
+                                rows.append((archive, m.filename, out, int(m.file_size), "ok", None))
+                            except ARCHIVE_ERRORS as exc:
+                                rows.append((archive, m.filename, None, 0, "error", f"{type(exc).__name__}: {exc}"))
+                except ARCHIVE_ERRORS as exc:
                     rows.append((archive, None, None, 0, "error", f"{type(exc).__name__}: {exc}"))
             yield pd.DataFrame(rows, columns=["archive", "member", "target", "bytes", "status", "error"])
 

@@ -1,33 +1,41 @@
 """S3: per-file encoding detection as a Spark job.
 
-A DataFrame of paths is spread over tasks; each task reads only the first ``head_bytes``
-of its files (local/mounted paths or filesystem URIs) and classifies them. Only charsets
-Spark's CSV reader accepts are emitted.
+A DataFrame of paths is spread over tasks; each task streams its files (local/mounted paths
+or filesystem URIs) whole, in chunks, and classifies them. Only charsets Spark's CSV reader
+accepts are emitted; plain ASCII is UTF-8.
 """
 
 from __future__ import annotations
 
+import codecs
+from collections.abc import Iterable
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from ._fs import read_head
+from ._fs import open_input
+
+CHUNK = 1 << 20
 
 
-def classify_bytes(head: bytes) -> str:
-    """``US-ASCII`` if 7-bit, ``UTF-8`` if it decodes as UTF-8 (a multi-byte char cut at
-    the end of the sample is tolerated), else ``ISO-8859-1``."""
-    if all(b < 0x80 for b in head):
-        return "US-ASCII"
+def classify(chunks: Iterable[bytes]) -> str:
+    """``UTF-8`` if all bytes decode as UTF-8 (ASCII does), else ``ISO-8859-1``."""
+    decoder = codecs.getincrementaldecoder("utf-8")()
     try:
-        head.decode("utf-8")
-        return "UTF-8"
-    except UnicodeDecodeError as exc:
-        if exc.start >= len(head) - 3 and exc.reason == "unexpected end of data":
-            return "UTF-8"
+        for chunk in chunks:
+            decoder.decode(chunk)
+        decoder.decode(b"", final=True)
+    except UnicodeDecodeError:
         return "ISO-8859-1"
+    return "UTF-8"
+
+
+def classify_file(path: str) -> str:
+    with open_input(path) as fh:
+        return classify(iter(lambda: fh.read(CHUNK), b""))
 
 
-def detect_encodings(spark: SparkSession, paths, head_bytes: int = 10_000, tasks: int | None = None) -> DataFrame:
+def detect_encodings(spark: SparkSession, paths, tasks: int | None = None) -> DataFrame:
     """(path, encoding, error) per file; unreadable files get ``encoding`` NULL and the error."""
     paths = list(paths)
     df = spark.createDataFrame([(p,) for p in paths], "path string")
@@ -38,7 +46,7 @@ def detect_encodings(spark: SparkSession, paths, head_bytes: int = 10_000, tasks
             out = []
             for p in pdf["path"]:
                 try:
-                    out.append((p, classify_bytes(read_head(p, head_bytes)), None))
+                    out.append((p, classify_file(p), None))
                 except (OSError, ValueError) as exc:
                     out.append((p, None, str(exc)))
             yield pd.DataFrame(out, columns=["path", "encoding", "error"])

@@ -36,11 +36,13 @@ def save_data(df: DataFrame, path: str, num_partitions: int | None = None, fmt:
 
 def write_table(df: DataFrame, name: str, fmt: str | None = None, options: dict | None = None,
                 mode: str = "overwrite") -> str:
-    """K3: overwrite a warehouse table (``saveAsTable``), or pass through to any connector
-    format (``fmt`` + ``options``, e.g. a warehouse connector's table/bucket options)."""
+    """K3: overwrite the warehouse table ``name`` (``saveAsTable``, as ``fmt`` if given), or pass
+    through to a connector whose ``options`` say where to write (``path``, ``table`` ...)."""
     w = df.write.mode(mode).options(**(options or {}))
     if fmt:
-        w.format(fmt).save()
+        w = w.format(fmt)
+    if fmt and {"path", "table", "dbtable"} & {k.lower() for k in options or {}}:
+        w.save()
     else:
         w.saveAsTable(name)
     return name

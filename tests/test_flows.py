@@ -90,7 +90,7 @@ def test_phone_treatment(spark, ds, estab):
     mei = registry.process_sole_traders(ds["empresas"], ds["naturezas"], ds["qualificacoes"], ds["nomes"], KEY)
     final = registry.final_table(mei, estab)
     t = {x.CPF_CRIPTOGRAFADO: x for x in phones.classify_phones(final).collect()}
-    by_tel = {x.clean_tel1: x.TIPO_TELEFONE_FINAL for x in t.values()}
+    by_tel = {x.number: x.phone_type for x in t.values()}
     assert by_tel == {"57001234": "TELEFONE CELULAR", "87001234": "TELEFONE CELULAR"}
     ops = spark.createDataFrame([("11", "OI", "95700.0", "SP", "GRANDE SP")],
                                 "DDD string, OPERADORA string, faixa string, UF string, CIDADES_REGIOES_PRINCIPAIS string")
@@ -106,7 +106,7 @@ def test_phone_special_rules(spark):
                                "CPF_CRIPTOGRAFADO string, DDD1 string, TEL1 string")
     for c in ["NOME_EMPRESA", "UF", "DT_SIT_CADASTRAL", "ano_sit_cadastral", "ano_cadastro"]:
         df = df.withColumn(c, F.lit(None).cast("string"))
-    got = {x.CPF_CRIPTOGRAFADO: x.TIPO_TELEFONE_FINAL for x in phones.classify_phones(df).collect()}
+    got = {x.CPF_CRIPTOGRAFADO: x.phone_type for x in phones.classify_phones(df).collect()}
     assert got == {"a": "TELEFONE CELULAR", "b": "TELEFONE FIXO", "c": "TELEFONE FIXO", "d": "TELEFONE FIXO"}
 
 
@@ -155,4 +155,4 @@ def test_eda_tables_build(spark, ds, estab):
     tables = eda.eda_tables(final, pop)
     for name, t in tables.items():
         t.collect()
-    assert {r.UF: r.per_1000 for r in tables["state_vs_population"].collect()} == {"SP": 1.0, "RJ": 2.0}
+    assert {r.UF: r.percent for r in tables["state_vs_population"].collect()} == {"SP": 0.1, "RJ": 0.2}

@@ -43,7 +43,7 @@ def test_encoding_detection_and_mixed_scan(spark, tmp_path):
     write(a, ['"00";"SEM MOTIVO"'])
     write(b, [LATIN1_DIM], "latin-1")
     found = {r.path: r.encoding for r in encoding.detect_encodings(spark, [a, b, str(tmp_path / "missing")]).collect()}
-    assert found[a] == "US-ASCII" and found[b] == "ISO-8859-1" and found[str(tmp_path / "missing")] is None
+    assert found[a] == "UTF-8" and found[b] == "ISO-8859-1" and found[str(tmp_path / "missing")] is None
     mixed = delimited.read_mixed(spark, "motivos", {a: found[a], b: found[b]})
     assert sorted(r.NM_MOTIVO for r in mixed.collect()) == ["PRAÇA", "SEM MOTIVO"]
     empty = delimited.read_mixed(spark, "motivos", {})
@@ -59,7 +59,9 @@ def test_names_plain_and_gzip(spark, drop):
 
 def test_zip_read_and_extract(spark, tmp_path):
     zips = build_zips(str(tmp_path / "zips"))
-    df = archives.read_zip(spark, str(tmp_path / "zips" / "*.zip"), dataset_schema("empresas"),
+    with pytest.raises(Exception, match="BadZipFile"):
+        archives.read_zip(spark, str(tmp_path / "zips" / "*.zip"), dataset_schema("empresas"), member_regex=r"EMPRECSV$").count()
+    df = archives.read_zip(spark, str(tmp_path / "zips" / "Empresas[01].zip"), dataset_schema("empresas"),
                            member_regex=r"EMPRECSV$")
     assert df.count() == 4 and df.filter(F.col("CNPJ") == "33333333").count() == 1
     errs = archives.read_zip(spark, str(tmp_path / "zips" / "*.zip"), dataset_schema("empresas"),
@@ -143,4 +145,56 @@ def test_uri_paths_for_encodings_and_archives(spark, tmp_path):
     assert sorted(r.status for r in man.collect()) == ["error", "ok", "ok"]
     assert sorted(os.listdir(tmp_path / "o")) == ["Empresas0.csv", "Empresas1.csv"]
     enc = encoding.detect_encodings(spark, ["file://" + str(tmp_path / "o" / "Empresas0.csv")]).first()
-    assert enc.encoding == "US-ASCII"
+    assert enc.encoding == "UTF-8"
+
+
+def test_encoding_is_judged_by_the_whole_file(spark, tmp_path):
+    late, wide, cut = (str(tmp_path / n) for n in ("late.csv", "wide.csv", "cut.csv"))
+    write(late, ['"00";"' + "A" * 18_000 + 'EXTINÇÃO"'], "latin-1")
+    write(wide, ['"00";"' + "A" * ((1 << 20) - 7) + 'ÇÃO"'], "utf-8")
+    with open(cut, "wb") as fh:
+        fh.write(b"abc\xc3")  # a multi-byte character cut short is no UTF-8
+    got = {r.path: r.encoding for r in encoding.detect_encodings(spark, [late, wide, cut]).collect()}
+    assert got == {late: "ISO-8859-1", wide: "UTF-8", cut: "ISO-8859-1"}
+    assert delimited.read_dataset(spark, "motivos", paths=late).first().NM_MOTIVO.endswith("EXTINÇÃO")
+
+
+def test_extraction_never_overwrites(spark, tmp_path):
+    import zipfile
+
+    arcs = []
+    for folder in ("a", "b"):
+        os.makedirs(tmp_path / folder)
+        arcs.append(str(tmp_path / folder / "Drop1.zip"))
+        with zipfile.ZipFile(arcs[-1], "w") as zf:
+            zf.writestr("data.csv", folder)
+            zf.writestr("sub/data.csv", folder + "2")
+            zf.writestr("../DATA.csv", folder + "3")
+    man = archives.extract_archives(spark, arcs, str(tmp_path / "out")).toPandas()
+    good = man[man.status == "ok"]
+    assert len(good) == 4 == good.target.nunique() and sorted(open(t).read() for t in good.target) == ["a", "a2", "b", "b2"]
+    assert list(man[man.status == "error"].member) == ["../DATA.csv"] * 2
+    named = archives.extract_archives(spark, arcs, str(tmp_path / "named"), rename=True).toPandas()
+    assert (named.status == "ok").all() and named.target.nunique() == 6
+
+
+def test_damaged_member_is_an_error_row(spark, tmp_path):
+    import zipfile
+
+    arc = str(tmp_path / "Bad1.zip")
+    with zipfile.ZipFile(arc, "w", zipfile.ZIP_DEFLATED) as zf:
+        zf.writestr("ok.csv", "1")
+        zf.writestr("bad.csv", "abc" * 2000)
+    with open(arc, "r+b") as fh:
+        body = fh.read()
+        at = body.index(b"bad.csv") + 10
+        fh.seek(at)
+        fh.write(b"\xff" * 8)
+    man = archives.extract_archives(spark, [arc], str(tmp_path / "o")).collect()
+    assert sorted(r.status for r in man) == ["error", "ok"]
+
+
+def test_write_table_uses_its_name(spark):
+    sinks.write_table(spark.range(5), "rs_named_table", fmt="parquet")
+    assert spark.table("rs_named_table").count() == 5
+    spark.sql("DROP TABLE rs_named_table")
