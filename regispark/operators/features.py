@@ -27,6 +27,12 @@ def vector_names(df: DataFrame, vector_col: str = "features") -> list[str]:
     return [name for _, name in slots]
 
 
+def most_categories(df: DataFrame, vector_col: str = "features") -> int:
+    """The largest category count among the nominal slots of an assembled vector."""
+    attrs = df.schema[vector_col].metadata.get("ml_attr", {}).get("attrs", {})
+    return max((a.get("num_vals") or len(a.get("vals", ())) for a in attrs.get("nominal", ())), default=0)
+
+
 def index_assemble(df: DataFrame, categorical, numeric, label: str | None = None, handle_invalid: str = "keep",
                    features_col: str = "features") -> DataFrame:
     """L1: StringIndexer on categoricals (+ label) and VectorAssembler over indexes and numerics."""
@@ -36,7 +42,8 @@ def index_assemble(df: DataFrame, categorical, numeric, label: str | None = None
         stages.append(StringIndexer(inputCols=categorical, outputCols=[f"{c}_index" for c in categorical],
                                     handleInvalid=handle_invalid, stringOrderType="frequencyDesc"))
     if label is not None:
-        stages.append(StringIndexer(inputCol=label, outputCol="label", handleInvalid=handle_invalid,
+        # a label's classes are its values: rows without a label are skipped, never a class
+        stages.append(StringIndexer(inputCol=label, outputCol="label", handleInvalid="skip",
                                     stringOrderType="alphabetAsc"))
     stages.append(VectorAssembler(inputCols=[f"{c}_index" for c in categorical] + numeric, outputCol=features_col,
                                   handleInvalid="skip" if handle_invalid == "skip" else "keep"))
@@ -103,13 +110,16 @@ def logistic_importance(df: DataFrame, label: str, categorical=None, numeric=Non
 
 
 def rf_importance(df: DataFrame, label: str, categorical=None, numeric=None, task: str = "regression",
-                  threshold: float | None = None, num_trees: int = 20, max_bins: int = 32, seed: int = 42) -> DataFrame:
-    """Random-forest feature importances (``max_bins`` >= largest category count)."""
+                  threshold: float | None = None, num_trees: int = 20, max_bins: int | None = None,
+                  seed: int = 42) -> DataFrame:
+    """Random-forest feature importances; ``max_bins`` is at least 32 and the largest
+    category count of the indexed features unless given."""
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.regression import RandomForestRegressor
 
     cls = task == "classification"
     data, names = _prepared(df, label, categorical, numeric, index_label=cls)
+    max_bins = max_bins or max(32, most_categories(data))
     est = (RandomForestClassifier if cls else RandomForestRegressor)(
         featuresCol="features", labelCol="label", numTrees=num_trees, maxBins=max_bins, seed=seed)
     with iterative_input(data) as rows:

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from .._util import as_list, quote
 from ._dist import chi2_sf, f_sf
@@ -80,113 +80,36 @@ def ks_normal(df: DataFrame, c: str, alpha: float = 0.05) -> DataFrame:
 def lagged(df: DataFrame, cols, order_col: str, lags: int = 1, partition_cols=(), num_partitions: int | None = None,
            prefix: str = "lag") -> DataFrame:
     """Add ``{prefix}{k}_{c}`` = value of ``c`` k rows earlier in ``order_col`` order (within
-    ``partition_cols``), without a single-partition window.
-
-    ``order_col`` must be unique within a group. Plan: deterministic range buckets over
-    (groups, order) -> per-bucket lags from sorted Arrow batches (carrying the last ``lags``
-    rows across batches) -> the first ``lags`` rows of each bucket are fixed from the tails
-    of the preceding buckets (a table of <= lags x buckets rows, hence broadcast). Every
-    quantity is keyed by bucket, never by partition index, so retries and separately
-    planned exchanges agree.
+    ``partition_cols``), without a window over all rows of a group.
+
+    ``order_col`` must be unique within a group. Rows are dealt to deterministic range
+    buckets over (groups, order) and lagged inside (bucket, group). The first ``lags`` rows of
+    each (bucket, group) get theirs from a second window over the edges only: the first and
+    last ``lags`` rows of every (bucket, group), which always hold a first row's
+    predecessors. Everything is keyed by bucket value, so retries and separately planned
+    exchanges agree. Types and NaN values pass through unchanged.
     """
     from .ordering import with_buckets
 
     cols, part = as_list(cols), as_list(partition_cols)
     keys = part + [order_col]
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    b, nb = with_buckets(df, [F.col(quote(k)) for k in keys], n)
-    ranged = b.repartitionByRange(nb, "__bucket").sortWithinPartitions("__bucket", *[quote(k) for k in keys])
-    lag_names = {(k, c): f"{prefix}{k}_{c}" for k in range(1, lags + 1) for c in cols}
-    base = ranged.schema
-    main_schema = T.StructType(
-        list(base.fields)
-        + [T.StructField(name, base[c].dataType, True) for (k, c), name in lag_names.items()]
-        + [T.StructField("__pos", T.LongType(), False)])
-    by = ["__bucket"] + part
-
-    def main_pass(batches):
-        carry, seen = None, {}
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            nc = 0 if carry is None else len(carry)
-            full = pdf if carry is None else pd.concat([carry, pdf], ignore_index=True)
-            grouped = full.groupby(by, sort=False, dropna=False)
-            out = full.iloc[nc:].copy()
-            for (k, c), name in lag_names.items():
-                out[name] = grouped[c].shift(k).iloc[nc:].values
-            within = out.groupby("__bucket", sort=False).cumcount().to_numpy(dtype="int64")
-            start = out["__bucket"].map(lambda bk: seen.get(bk, 0)).to_numpy(dtype="int64")
-            out["__pos"] = start + within
-            for bk, cnt in out["__bucket"].value_counts().items():
-                seen[bk] = seen.get(bk, 0) + int(cnt)
-            carry = full.iloc[-lags:].reset_index(drop=True)
-            yield out
-
-    tail_schema = T.StructType([base[k] for k in part] + [base[c] for c in cols]
-                               + [T.StructField("__bucket", base["__bucket"].dataType, False),
-                                  T.StructField("__back", T.IntegerType(), False)])
-
-    def tail_pass(batches):
-        last = None
-        for pdf in batches:
-            if not pdf.empty:
-                cur = pdf[part + cols + ["__bucket"]]
-                last = cur if last is None else pd.concat([last, cur], ignore_index=True)
-                last = last.groupby("__bucket", sort=False).tail(lags).reset_index(drop=True)
-        if last is not None:
-            last = last.copy()
-            last["__back"] = (last.groupby("__bucket", sort=False).cumcount(ascending=False) + 1).astype("int32")
-            yield last
-
-    main = ranged.mapInPandas(main_pass, main_schema)
-    tails = ranged.mapInPandas(tail_pass, tail_schema)
-
-    # The stitch table: for each partition and head position p < lags, the value k rows
-    # back for every k > p, taken from the concatenated tails of the preceding partitions.
-    # Its input and output hold at most lags x partitions rows, so one small task builds it
-    # and the result is broadcast.
-    stitch_fields = [T.StructField("__bucket", base["__bucket"].dataType, False), T.StructField("__pos", T.LongType(), False)]
-    for k in range(1, lags + 1):
-        stitch_fields.append(T.StructField(f"__m{k}", T.BooleanType(), True))
-        stitch_fields += [T.StructField(f"__s{k}_{c}", base[c].dataType, True) for c in cols]
-        stitch_fields += [T.StructField(f"__g{k}_{g}", base[g].dataType, True) for g in part]
-    stitch_schema = T.StructType(stitch_fields)
-
-    def build_stitch(pdf):
-        pdf = pdf.sort_values(["__bucket", "__back"], ascending=[True, False]).reset_index(drop=True)
-        starts = pdf.reset_index().groupby("__bucket")["index"].min()
-        out = []
-        for bucket, start in starts.items():
-            for pos in range(lags):
-                rec = {"__bucket": int(bucket), "__pos": pos}
-                for k in range(pos + 1, lags + 1):
-                    gi = int(start) - (k - pos)
-                    if gi >= 0:
-                        rec[f"__m{k}"] = True
-                        for c in cols:
-                            rec[f"__s{k}_{c}"] = pdf.at[gi, c]
-                        for g in part:
-                            rec[f"__g{k}_{g}"] = pdf.at[gi, g]
-                out.append(rec)
-        frame = pd.DataFrame(out, columns=[f.name for f in stitch_fields])
-        # columns with no stitched value at all (e.g. a single bucket) must be NULLs of the
-        # declared type, not a float NaN column
-        for f in stitch_fields[2:]:
-            frame[f.name] = frame[f.name].astype(object).where(frame[f.name].notna(), None)
-        return frame
-
-    stitch = tails.groupBy(F.lit(0).alias("__one")).applyInPandas(build_stitch, stitch_schema)
-    j = main.join(F.broadcast(stitch), ["__bucket", "__pos"], "left")
-    fixes = {}
-    for (k, c), name in lag_names.items():
-        same_group = F.col(f"__m{k}").eqNullSafe(True)
-        for g in part:
-            same_group = same_group & F.col(f"__g{k}_{g}").eqNullSafe(F.col(quote(g)))
-        fixes[name] = F.coalesce(F.col(quote(name)), F.when(same_group, F.col(f"__s{k}_{c}")))
-    j = j.withColumns(fixes)
-    return j.select(*[F.col(quote(x)) for x in df.columns], *[F.col(quote(x)) for x in lag_names.values()])
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    b, _ = with_buckets(df, [F.col(quote(k)) for k in keys], n)
+    groups = [quote(p) for p in part]
+    names = {f"{prefix}{k}_{c}": (k, c) for k in range(1, lags + 1) for c in cols}
+
+    def with_lags(rows, window):
+        return rows.withColumns({name: F.lag(quote(c), k).over(window) for name, (k, c) in names.items()})
+
+    inside = Window.partitionBy("__bucket", *groups)
+    ordered = inside.orderBy(quote(order_col))
+    placed = b.withColumns({"__pos": F.row_number().over(ordered), "__size": F.count(F.lit(1)).over(inside)})
+    out = [*[quote(c) for c in df.columns], *[quote(name) for name in names]]
+    body = with_lags(placed, ordered).filter(F.col("__pos") > lags).select(*out)
+    edges = placed.filter((F.col("__pos") <= lags) | (F.col("__pos") > F.col("__size") - lags))
+    across = (Window.partitionBy(*groups) if groups else Window.partitionBy()).orderBy("__bucket", quote(order_col))
+    heads = with_lags(edges, across).filter(F.col("__pos") <= lags).select(*out)
+    return body.union(heads)
 
 
 # ---------------------------------------------------------------------------

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from regispark.functions import replace_values
-from regispark.operators import joins as J, profile as A, stats as T
+from regispark.operators import features as L, joins as J, profile as A, stats as T
 from regispark.plans.geocode import geo_fallback
 
 
@@ -76,3 +76,27 @@ def test_geocoding_keeps_one_row_per_fact(spark):
     level = spark.createDataFrame([("z1", None, None), ("z1", 1.0, 2.0), ("z1", 1.0, 2.0)], "zip string, la double, lo double")
     got = {r.id: (r.LAT, r.GEO_LEVEL) for r in geo_fallback(facts, [("zip", level, "zip", "zip", "la", "lo")]).collect()}
     assert got == {1: (1.0, "zip"), 2: (None, None), 3: (None, None)}
+
+
+@pytest.mark.parametrize("lags", [1, 3])
+def test_lags_match_a_plain_window_and_keep_types(spark, lags):
+    from pyspark.sql import Window
+
+    rows = [(i % 3 if i % 5 else None, i, 9007199254740993 + i, float("nan") if i % 7 == 0 else i / 3) for i in range(400)] + [(8, 1000, 5, 1.0)]
+    df = spark.createDataFrame(rows, "g int, t int, big long, x double")
+    for part in ([], ["g"]):
+        got = T.lagged(df, ["big", "x"], "t", lags, part, num_partitions=16)
+        w = Window.partitionBy(*part).orderBy("t")
+        want = df.withColumns({f"lag{k}_{c}": F.lag(c, k).over(w) for k in range(1, lags + 1) for c in ("big", "x")})
+        assert sorted(map(str, got.select(sorted(got.columns)).collect())) == sorted(map(str, want.select(sorted(want.columns)).collect()))
+        assert [got.schema[c].dataType for c in df.columns] == [f.dataType for f in df.schema.fields]
+        assert "Python" not in got._jdf.queryExecution().toString()
+
+
+def test_labels_keep_their_classes_and_many_categories_fit(spark):
+    rows = [(f"c{i % 100}", float(i % 11), None if i % 50 == 0 else ("yes" if (i % 11) > 5 else "no")) for i in range(1000)]
+    df = spark.createDataFrame(rows, "cat string, x double, y string")
+    data = L.index_assemble(df, ["cat"], ["x"], "y")
+    assert {r.label for r in data.select("label").distinct().collect()} == {0.0, 1.0} and data.count() == 980
+    got = L.rf_importance(df, "y", ["cat"], ["x"], task="classification", num_trees=3).collect()
+    assert got[0].feature == "x" and L.most_categories(data) >= 100
