@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .._util import as_list, quote
+from .joins import maybe_broadcast
 
 
 def known(df: DataFrame, cols) -> DataFrame:
@@ -27,11 +28,11 @@ def phone_shape(df: DataFrame, ddd: str, tel: str, ddd_len: int = 2, tel_len: in
 
 def keep_in(df: DataFrame, c: str, values) -> DataFrame:
     """whitelist filter. A Python list becomes an ``InSet`` hash probe; a DataFrame of
-    allowed values becomes a broadcast left-semi join (its size is the caller's bound)."""
+    allowed values becomes a left-semi join, broadcast if a size check allows."""
     if isinstance(values, DataFrame):
         key = values.columns[0]
-        return df.join(F.broadcast(values.select(F.col(quote(key)).alias("__keep")).distinct()),
-                       F.col(quote(c)) == F.col("__keep"), "left_semi")
+        allowed = values.select(F.col(quote(key)).alias("__keep")).distinct()
+        return df.join(maybe_broadcast(allowed), F.col(quote(c)) == F.col("__keep"), "left_semi")
     return df.filter(F.col(quote(c)).isin(list(values)))
 
 

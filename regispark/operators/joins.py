@@ -17,11 +17,15 @@ from .._util import as_list, fresh, quote
 
 # Upper bound on dimension rows that may be broadcast (a few MB for code tables).
 BROADCAST_MAX_ROWS = 2_000_000
+# Upper bound on their size, as JSON text, so that wide rows count for what they weigh.
+BROADCAST_MAX_BYTES = 256 << 20
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows (bounded probe)."""
-    return dim.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``dim`` has at most ``max_rows`` rows and ``max_bytes`` bytes (bounded probe)."""
+    weight = F.octet_length(F.to_json(F.struct(*[F.col(quote(c)) for c in dim.columns])))
+    rows, size = dim.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(weight)).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
 
 
 def maybe_broadcast(dim: DataFrame, broadcast: bool | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -82,11 +86,16 @@ def lookup(df: DataFrame, dim: DataFrame, key, drop_key: bool = True, how: str =
 def lookup_roles(df: DataFrame, dim: DataFrame, dim_key: str, dim_value: str, roles: dict,
                  drop_key: bool = True, broadcast: bool | None = None) -> DataFrame:
     """The same dimension joined once per role: ``roles = {fact_code_col: output_label_col}``."""
-    small = maybe_broadcast(dim.select(dim_key, dim_value), broadcast)
+    small = dim.select(dim_key, dim_value)
+    if broadcast is None:
+        broadcast = fits_broadcast(small)
     for fact_col, out_col in roles.items():
         k = fresh(df.columns, "__role_key")
-        df = df.join(small.select(F.col(quote(dim_key)).alias(k), F.col(quote(dim_value)).alias(out_col)),
-                     F.col(quote(fact_col)) == F.col(k), "left").drop(k)
+        labels = small.select(F.col(quote(dim_key)).alias(k), F.col(quote(dim_value)).alias(out_col))
+        if broadcast:
+            df = df.join(F.broadcast(labels), F.col(quote(fact_col)) == F.col(k), "left").drop(k)
+        else:
+            df = spread_null_left_join(df.withColumn(k, F.col(quote(fact_col))), labels, [k]).drop(k)
         if drop_key:
             df = df.drop(fact_col)
     return df
@@ -175,7 +184,14 @@ def join_companies(companies: DataFrame, establishments: DataFrame, company_key:
 def lookup_ranges(df: DataFrame, ranges: DataFrame, fact_keys: list, range_keys: list, how: str = "left",
                   broadcast: bool | None = None) -> DataFrame:
     """Composite left lookup; both sides cast to int explicitly (no implicit cast)."""
-    r = maybe_broadcast(ranges, broadcast)
+    if broadcast is None:
+        broadcast = fits_broadcast(ranges)
+    if not broadcast and how == "left":
+        temps = [fresh(df.columns + ranges.columns, f"__range_key{i}") for i in range(len(fact_keys))]
+        left = df.withColumns({t: F.col(quote(k)).try_cast("int") for t, k in zip(temps, fact_keys)})
+        right = ranges.withColumns({t: F.col(quote(k)).try_cast("int") for t, k in zip(temps, range_keys)})
+        return spread_null_left_join(left, right, temps).drop(*temps)
+    r = F.broadcast(ranges) if broadcast else ranges
     cond = None
     for fk, rk in zip(fact_keys, range_keys):
         term = df[fk].try_cast("int") == r[rk].try_cast("int")

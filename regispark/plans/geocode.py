@@ -2,7 +2,7 @@
 
 The original geocoded each address with a per-row web call and fell back to the postal
 code when both coordinates were NULL. Here each level is a reference table joined by its
-key (broadcast when its size probe allows); the first level with both coordinates wins.
+key (broadcast where the caller says so); the first level with both coordinates wins.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .._util import as_list, fresh, quote
-from ..operators.joins import maybe_broadcast
+from ..operators.joins import spread_null_left_join
 
 
 def geo_fallback(df: DataFrame, levels: list, lat: str = "LAT", lon: str = "LON", level_col: str = "GEO_LEVEL",
@@ -30,11 +30,9 @@ def geo_fallback(df: DataFrame, levels: list, lat: str = "LAT", lon: str = "LON"
                                   F.col(quote(t_lon)).cast("double").alias("lon")).alias(pt))
         # one row per key; the greatest pair, which prefers present coordinates
         t = t.groupBy(*ks).agg(F.max(pt).alias(pt))
-        cond = None
-        for fk, k in zip(fact_keys, ks):
-            term = F.col(quote(fk)) == F.col(k)
-            cond = term if cond is None else cond & term
-        df = df.join(maybe_broadcast(t, broadcast), cond, "left").drop(*ks)
+        # an aggregate: not probed, AQE sizes it at run time
+        keyed = df.withColumns({k: F.col(quote(fk)) for k, fk in zip(ks, fact_keys)})
+        df = (keyed.join(F.broadcast(t), ks, "left") if broadcast else spread_null_left_join(keyed, t, ks)).drop(*ks)
         picks.append((name, pt))
     chosen = None
     for name, pt in reversed(picks):

@@ -95,10 +95,8 @@ def classify_name(df: DataFrame, names: DataFrame, name_col: str, fallback: bool
     """First token of ``name_col`` looked up in the name dictionary (left join)."""
     d = name_dictionary(names, fallback, out_col)
     df = df.withColumn(out_col, X.first_token(name_col))
-    if J.fits_broadcast(d):
-        return df.join(F.broadcast(d), out_col, "left")
-    # A dictionary above the broadcast bound: shuffle join with NULL names spread (hot
-    # non-NULL names are split by AQE's skew-join rule on the left side).
+    # The dictionary is an aggregate: built once, sized by AQE, which may broadcast it or split
+    # hot names; NULL names are spread.
     return J.spread_null_left_join(df, d, [out_col])
 
 
@@ -115,7 +113,7 @@ def process_sole_traders(df: DataFrame, naturezas: DataFrame, qualificacoes: Dat
     j = classify_name(c, names, "NOME_EMPRESA", fallback=True)
     return j.select(*MEI_COLUMNS, F.col("group_name").alias("GRUPO_NOME"),
                     F.col("ratio").alias("PROBABILIDADE_CLASSIFICACAO"),
-                    F.col("classification").alias("CLASSIFICACAO")).dropDuplicates()
+                    F.col("classification").alias("CLASSIFICACAO"))
 
 
 PARTNER_COLUMNS = ["CNPJ_BASICO", "NOME_SOCIO_RAZAO_SOCIAL", "CNPJ_CPF_SOCIO", "REPRESENTANTE_LEGAL",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -12,21 +13,20 @@ from .delimited import read_dataset
 
 def save_data(df: DataFrame, path: str, num_partitions: int | None = None, fmt: str = "parquet",
               mode: str = "overwrite", partition_by=None, overwrite_source: bool = False, options: dict | None = None):
-    """K1/K2: write a DataFrame; ``num_partitions`` sets the file count (coalesce when
-    shrinking, repartition when growing).
+    """K1/K2: write a DataFrame; ``num_partitions`` sets the file count by a repartition, which
+    leaves the stage above at its own width.
 
-    ``overwrite_source=True`` is for writing over a path the plan itself reads: lineage is
-    cut first with a reliable ``checkpoint()`` into ``spark.checkpoint.dir`` (shared storage
-    on a cluster), so the overwrite cannot delete its own input mid-job.
+    ``overwrite_source=True`` is for writing over a path the plan itself reads: the result is
+    written beside the target and swapped in when complete, so a failed job leaves the
+    source as it was.
     """
     if overwrite_source:
-        from ..session import ensure_checkpoint_dir
-
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
+        staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+        save_data(df, staging, num_partitions, fmt, "errorifexists", partition_by, False, options)
+        _swap(df.sparkSession, staging, path)
+        return path
     if num_partitions:
-        current = df.rdd.getNumPartitions()
-        df = df.coalesce(num_partitions) if num_partitions < current else df.repartition(num_partitions)
+        df = df.repartition(num_partitions)
     w = df.write.mode(mode).format(fmt).options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -34,6 +34,18 @@ def save_data(df: DataFrame, path: str, num_partitions: int | None = None, fmt:
     return path
 
 
+def _swap(spark: SparkSession, staging: str, path: str) -> None:
+    """Put ``staging`` in the place of ``path`` by renames on their file system."""
+    as_path = spark._jvm.org.apache.hadoop.fs.Path
+    new, target, old = as_path(staging), as_path(path), as_path(f"{staging}-old")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(target) and not fs.rename(target, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(new, target):
+        raise OSError(f"cannot move {staging} to {path}; the former data are in {old}")
+    fs.delete(old, True)
+
+
 def write_table(df: DataFrame, name: str, fmt: str | None = None, options: dict | None = None,
                 mode: str = "overwrite") -> str:
     """K3: overwrite the warehouse table ``name`` (``saveAsTable``, as ``fmt`` if given), or pass

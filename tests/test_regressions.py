@@ -100,3 +100,30 @@ def test_labels_keep_their_classes_and_many_categories_fit(spark):
     assert {r.label for r in data.select("label").distinct().collect()} == {0.0, 1.0} and data.count() == 980
     got = L.rf_importance(df, "y", ["cat"], ["x"], task="classification", num_trees=3).collect()
     assert got[0].feature == "x" and L.most_categories(data) >= 100
+
+
+def test_saving_runs_no_extra_job_and_survives_overwriting_its_source(spark, tmp_path):
+    from regispark.sources import sinks
+
+    p = str(tmp_path / "t")
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("g")).count()
+    context.setJobGroup("save", "")
+    sinks.save_data(df, p, num_partitions=3)
+    context.setJobGroup("other", "")
+    assert len(tracker.getJobIdsForGroup("save")) <= 3 and spark.read.parquet(p).count() == 7
+    sinks.save_data(spark.read.parquet(p).filter("g > 2"), p, overwrite_source=True)
+    assert sorted(r.g for r in spark.read.parquet(p).collect()) == [3, 4, 5, 6]
+    assert [x.name for x in tmp_path.iterdir()] == ["t"]
+
+
+def test_large_dimensions_are_joined_by_shuffle_with_nulls_spread(spark):
+    facts = spark.createDataFrame([("1", "2", 7), (None, "1", 8), ("9", None, 9)], "a string, b string, n int")
+    dim = spark.createDataFrame([("1", "one"), ("2", "two")], "code string, label string")
+    assert not J.fits_broadcast(dim, max_rows=1) and not J.fits_broadcast(dim, max_bytes=5) and J.fits_broadcast(dim)
+    small, large = (J.lookup_roles(facts, dim, "code", "label", {"a": "la", "b": "lb"}, broadcast=x) for x in (True, False))
+    assert sorted(map(str, small.collect())) == sorted(map(str, large.select(small.columns).collect()))
+    ranges = spark.createDataFrame([(1, 2, "x")], "r int, s int, v string")
+    near, far = (J.lookup_ranges(facts, ranges, ["a", "b"], ["r", "s"], broadcast=x) for x in (True, False))
+    assert sorted(map(str, near.collect())) == sorted(map(str, far.select(near.columns).collect()))
+    assert "BroadcastHashJoin" not in far._jdf.queryExecution().executedPlan().toString()
