@@ -347,7 +347,7 @@ def test_secrets_found_and_look_alikes_left(spark, awkward, empty):
     assert secret_scan.train(spark, words, own, max_findings=200).forest.score(np.zeros((1, len(secret_scan.FEATURES)))).shape == (1,)
 
 
-def test_forest_arrays_score_as_spark_does(spark):
+def test_forest_arrays_score_as_spark_does(spark, tmp_path):
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.linalg import DenseVector
 
@@ -356,7 +356,7 @@ def test_forest_arrays_score_as_spark_does(spark):
     data = [(DenseVector(v), float(v[0] + v[1] > 0)) for v in x]
     df = spark.createDataFrame(data, ["features", "label"])
     fitted = RandomForestClassifier(numTrees=5, maxDepth=4, seed=1).fit(df)
-    path = f"{common.ensure_checkpoint_dir(spark)}/test-forest-{rng.integers(1 << 40)}"
+    path = f"file://{tmp_path}/forest"
     fitted.save(path)
     nodes = spark.read.parquet(f"{path}/data")
     forest = secret_scan.Forest([(r[0], r[1]) for r in nodes.select(*nodes.columns[:2]).collect()])
