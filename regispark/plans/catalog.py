@@ -590,6 +590,14 @@ def global_quantiles(spark, d):
     return A.quantiles(table(spark, d, "lineitem"), "l_extendedprice", GLOBAL_PROBS, exact=True)
 
 
+@register("box_summary", """
+SELECT min(l_quantity) AS min, quantile_disc(l_quantity, 0.25) AS q1, quantile_disc(l_quantity, 0.5) AS median,
+       quantile_disc(l_quantity, 0.75) AS q3, max(l_quantity) AS max FROM lineitem
+""")
+def box_summary(spark, d):
+    return A.five_number(table(spark, d, "lineitem"), "l_quantity")
+
+
 _NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -862,6 +870,17 @@ def rf_importance(spark, d):
                            ["l_quantity", "l_discount", "l_tax"], num_trees=10)
 
 
+@register("rf_class_importance")
+def rf_class_importance(spark, d):
+    return L.rf_importance(_model_frame(spark, d), "l_returnflag", ["l_linestatus"], ["l_quantity", "l_discount", "l_tax"],
+                           task="classification", num_trees=10)
+
+
+@register("univariate_selector_numeric")
+def univariate_selector_numeric(spark, d):
+    return L.univariate_select(_model_frame(spark, d), "l_extendedprice", ["l_quantity", "l_discount", "l_tax"], top=2)
+
+
 @register("linear_importance")
 def linear_importance(spark, d):
     return L.linear_importance(_model_frame(spark, d), "l_extendedprice", ["l_returnflag", "l_linestatus"],
@@ -896,9 +915,13 @@ def univariate_selector(spark, d):
     return L.univariate_select(_model_frame(spark, d), "l_returnflag", ["l_quantity", "l_discount", "l_tax"], top=2)
 
 
-@register("variance_selector")
+_VARYING = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
+
+
+@register("variance_selector", "SELECT feature FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, var_samp({c}) AS v FROM lineitem" for c in _VARYING) + ") WHERE v > 0.5")
 def variance_selector(spark, d):
-    return L.variance_select(_model_frame(spark, d), ["l_quantity", "l_discount", "l_tax", "l_extendedprice"], 0.5)
+    return L.variance_select(_model_frame(spark, d), _VARYING, 0.5)
 
 
 @register("kfold_rmse")
