@@ -51,11 +51,11 @@ def cuts(texts: list[bytes], gear: np.ndarray):
     """(bytes, chunk starts, chunk ends, text index, start and end in the text itself) of a
     block. Chunks are cut from the A-Z-lowered bytes with white space folded to one blank, so
     a passage set in other lines is the same passage; the last two give the original offsets."""
-    # a run of zero bytes between texts, as long as the window, keeps them apart
-    pad = b"\0" * WINDOW
+    # zero bytes between texts, twice the window: neither a hash nor the gap rule sees a neighbour
+    pad = b"\0" * (2 * WINDOW)
     raw = np.frombuffer((pad + pad.join(texts) + pad).translate(_FOLDED), dtype=np.uint8)
     length = np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts))
-    begins = WINDOW + np.cumsum(length + WINDOW) - length - WINDOW
+    begins = np.cumsum(length + len(pad)) - length
     blank = raw == 0x20
     kept = np.flatnonzero(~(blank & np.concatenate([[False], blank[:-1]])))
     data = raw[kept]

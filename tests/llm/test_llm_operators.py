@@ -154,6 +154,15 @@ def test_chunks_cover_every_text():
         assert len(t) > 0 or not len(rows)
 
 
+def test_chunks_do_not_depend_on_neighbours():
+    gear = substring_dedup.gear_table()
+    texts = [passage(i, 5 + i).encode() for i in range(150)]
+    _, _, _, text, here, there = substring_dedup.cuts(texts, gear)
+    for i, t in enumerate(texts):
+        _, _, _, _, a, b = substring_dedup.cuts([t], gear)
+        assert a.tolist() == here[text == i].tolist() and b.tolist() == there[text == i].tolist()
+
+
 def test_repeated_passages_awkward(awkward, empty):
     got = substring_dedup.repeated_passages(awkward, min_words=10).collect()
     assert {r.doc_id for r in got} <= {4, 5} and substring_dedup.repeated_passages(empty).count() == 0
