@@ -33,77 +33,99 @@ def _c(name: str) -> Column:
     return F.col(quote(name))
 
 
-def _exact_core(df: DataFrame, keys: list, c: str, probs, num_partitions: int | None = None) -> DataFrame:
+#: Brackets of the exact quantiles: accuracy of the sketch that proposes them, and how far (in
+#: sketch errors) they reach around a wanted rank.
+BRACKET_ACCURACY, BRACKET_REACH = 10_000, 1.5
+#: Groups up to this many have their brackets broadcast (an array of 2 x probs values each).
+MAX_BROADCAST_GROUPS = 10_000
+
+
+def _same_keys(a: list[str], b: list[str]) -> Column:
+    return reduce(lambda x, y: x & y, [F.col(i).eqNullSafe(F.col(j)) for i, j in zip(a, b)])
+
+
+def _cell(lo: int, hi: int) -> Column:
+    """The number of cuts below the value, between ``lo`` and ``hi``: log2 comparisons a row."""
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(F.col("__v") > F.col("__cuts")[mid], _cell(mid + 1, hi)).otherwise(_cell(lo, mid))
+
+
+def _exact_core(df: DataFrame, keys: list, c: str, probs) -> DataFrame:
     """Rows (keys..., prob, value, n, sum, min, max) for exact discrete quantiles.
 
-    Rows are cut into deterministic range buckets over (group, value, row hash); a row's
-    rank in its group is its ``row_number`` inside (bucket, group) plus the group's counts
-    in earlier buckets. Per-(group, bucket) statistics are aggregated before any shuffle.
-    ``prob`` is NULL on one carrier row per group (its first row), so groups whose values
-    are all NULL still appear; group statistics ride along on every row."""
-    from .ordering import tiebreak, with_buckets
-
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = df.select(*[_c(k) for k in keys], _c(c).alias("__v"), tiebreak(df).alias("__tb"))
-    order = [F.col(quote(k)) for k in keys] + [F.col("__v"), F.col("__tb")]  # ascending, NULLs first
-    b, nb = with_buckets(base, order, n)
-    kcols = [_c(k) for k in keys]
-    pos = F.row_number().over(Window.partitionBy("__bucket", *kcols).orderBy(F.col("__v"), F.col("__tb")))
-    s = b.repartitionByRange(nb, "__bucket").withColumn("__pos", pos)
-    stats = b.groupBy(*kcols, "__bucket").agg(
-        F.count(F.lit(1)).alias("__cnt"), F.count("__v").alias("__nn"),
-        F.sum("__v").alias("__sum"), F.min("__v").alias("__min"), F.max("__v").alias("__max"))
-    grp = Window.partitionBy(*kcols)
-    stats = stats.withColumns({
-        "__before": F.coalesce(F.sum("__cnt").over(grp.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)),
-                               F.lit(0)),
-        "__n": F.sum("__nn").over(grp),
-        "__nulls": F.sum(F.col("__cnt") - F.col("__nn")).over(grp),
-        "__gsum": F.sum("__sum").over(grp), "__gmin": F.min("__min").over(grp), "__gmax": F.max("__max").over(grp)})
+    Bracket and refine, every pass reading the keys and the value only:
+
+    1. a sketch per group proposes two cuts around each wanted rank;
+    2. the rows of each cell between cuts are counted (one map-side aggregate of at most
+       2 x probs + 2 rows per group), which tells in which cell each rank lies and its
+       place there, whatever the error of the sketch;
+    3. only the rows of those cells are aggregated by value and numbered, about 3 in 10,000
+       rows per rank. A run of one hot value is one row by then.
+
+    No row is shuffled or sorted as such. ``prob`` is NULL on one carrier row per group, so
+    groups whose values are all NULL still appear; group statistics ride along on every row."""
+    ks = [f"__k{i}" for i in range(len(keys))]
+    base = df.select(*[_c(k).alias(a) for k, a in zip(keys, ks)], _c(c).alias("__v"))
+    reach = BRACKET_REACH / BRACKET_ACCURACY
+    at = sorted({min(1.0, max(0.0, float(p) + s * reach)) for p in probs for s in (-1, 1)})
+    sketch = F.percentile_approx("__v", at, BRACKET_ACCURACY).alias("__cuts")
+    few = True
+    if ks:
+        cuts = base.groupBy(*ks).agg(sketch)
+        rows = cuts.limit(MAX_BROADCAST_GROUPS + 1).collect()
+        few = len(rows) <= MAX_BROADCAST_GROUPS
+        if few:
+            cuts = F.broadcast(df.sparkSession.createDataFrame(rows, cuts.schema))
+        gs = [f"__g{i}" for i in range(len(ks))]
+        placed = base.join(cuts.toDF(*gs, "__cuts"), _same_keys(ks, gs)).drop(*gs)
+    else:
+        placed = base.withColumn("__cuts", base.agg(sketch).scalar())
+    cell = F.when(F.col("__v").isNotNull(), _cell(0, len(at)))
+    placed = placed.select(*ks, "__v", cell.alias("__cell"))
+
+    grp = Window.partitionBy(*(ks or [F.lit(0)]))
+    counts = placed.groupBy(*ks, "__cell").agg(
+        F.count("__v").alias("__cnt"), F.sum("__v").alias("__sum"), F.min("__v").alias("__min"), F.max("__v").alias("__max"))
+    counts = counts.withColumns({
+        "__end": F.sum("__cnt").over(grp.orderBy(F.asc_nulls_first("__cell"))), "__n": F.sum("__cnt").over(grp),
+        "__gsum": F.sum("__sum").over(grp), "__gmin": F.min("__min").over(grp), "__gmax": F.max("__max").over(grp),
+        "__first": F.row_number().over(grp.orderBy(F.asc_nulls_first("__cell")))})
     pv = F.array(*[F.lit(Decimal(str(p))).cast("decimal(20,18)") for p in probs], F.lit(None).cast("decimal(20,18)"))
-    t = stats.withColumn("__p", F.explode(pv))
-    # rank inside the group (1-based): NULLs first, then the ceil(p * n)-th value; the
-    # carrier (NULL prob) takes the group's first row.
-    rank = F.when(F.col("__p").isNull(), F.lit(1)) \
-        .when(F.col("__n") > 0, F.col("__nulls") + F.greatest(F.ceil(F.col("__p") * F.col("__n")).cast("long"), F.lit(1))) \
-        .otherwise(F.lit(-1))
-    t = t.withColumn("__r", rank)
-    t = t.filter((F.col("__r") > F.col("__before")) & (F.col("__r") <= F.col("__before") + F.col("__cnt")))
-    t = t.select(*[_c(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__bucket").alias("__tb_bucket"), "__p",
-                 "__n", "__gsum", "__gmin", "__gmax", (F.col("__r") - F.col("__before")).alias("__local"))
-    cond = (F.col("__bucket") == F.col("__tb_bucket")) & (F.col("__pos") == F.col("__local"))
-    for i, k in enumerate(keys):
-        cond = cond & _c(k).eqNullSafe(F.col(f"__k{i}"))
-    # Without groups the target table has at most len(probs) + 1 rows: broadcast is proven
-    # safe. With groups it has up to groups x (probs + 1) rows; AQE's runtime size check
-    # picks broadcast or shuffle join once it exists.
-    out = s.join(F.broadcast(t) if not keys else t, cond, "inner")
-    return out.select(*[_c(k) for k in keys], F.col("__p").cast("double").alias("prob"), F.col("__v").alias("value"),
-                      F.col("__n").alias("n"), F.col("__gsum").alias("sum"), F.col("__gmin").alias("min"),
-                      F.col("__gmax").alias("max"))
-
-
-def exact_quantiles_long(df: DataFrame, by, c: str, probs, num_partitions: int | None = None) -> DataFrame:
+    rank = F.greatest(F.ceil(F.col("__p") * F.col("__n")).cast("long"), F.lit(1))
+    targets = counts.withColumn("__p", F.explode(pv)).withColumn("__local", rank - (F.col("__end") - F.col("__cnt")))
+    stats = ["__n", "__gsum", "__gmin", "__gmax"]
+    carrier = targets.filter("__p is null and __first = 1").select(*ks, "__p", F.lit(None).cast(base.schema["__v"].dataType).alias("__v"), *stats)
+    targets = targets.filter("__p is not null and __local between 1 and __cnt").select(*ks, "__cell", "__p", "__local", *stats)
+
+    ts = [f"__t{i}" for i in range(len(ks))]
+    wanted = targets.select(*ks, "__cell").distinct().toDF(*ts, "__tcell")
+    same = _same_keys([*ks, "__cell"], [*ts, "__tcell"])
+    values = placed.join(F.broadcast(wanted) if few else wanted, same, "left_semi").groupBy(*ks, "__cell", "__v").agg(
+        F.count(F.lit(1)).alias("__cnt"))
+    last = F.sum("__cnt").over(Window.partitionBy(*ks, "__cell").orderBy("__v"))
+    values = values.withColumn("__last", last)
+    named = targets.toDF(*ts, "__tcell", *targets.columns[len(ks) + 1:])
+    found = values.join(F.broadcast(named) if few else named,
+                        same & (F.col("__local") <= F.col("__last")) & (F.col("__local") > F.col("__last") - F.col("__cnt")))
+    out = found.select(*ks, "__p", "__v", *stats).union(carrier)
+    return out.select(*[F.col(a).alias(k) for a, k in zip(ks, keys)], F.col("__p").cast("double").alias("prob"),
+                      F.col("__v").alias("value"), F.col("__n").alias("n"), F.col("__gsum").alias("sum"),
+                      F.col("__gmin").alias("min"), F.col("__gmax").alias("max"))
+
+
+def exact_quantiles_long(df: DataFrame, by, c: str, probs) -> DataFrame:
     """Exact discrete quantiles (inverted CDF: the ceil(p * n)-th smallest non-NULL value, as
-    SQL ``percentile_disc``/``quantile_disc``) per group, as rows (by..., prob, value).
-
-    Distributed and skew-safe: rows are range-partitioned on (group, value) and sorted, so a
-    hot group spreads over many partitions; a row's rank inside its group is its position
-    in the partition plus the counts of the group's rows in earlier partitions (a small
-    aggregate with one row per group and partition). The target rows are picked by an
-    equi-join on (group, position). Nothing is collected; no value list is held per group.
+    SQL ``percentile_disc``/``quantile_disc``) per group, as rows (by..., prob, value), by
+    bracket and refine (:func:`_exact_core`): no row shuffle, no value list per group, and
+    a hot group or a hot value is counted before any shuffle.
     """
     keys = as_list(by)
-    rows = _exact_core(df, keys, c, probs, num_partitions)
+    rows = _exact_core(df, keys, c, probs)
     return rows.filter(F.col("prob").isNotNull()).select(*[_c(k) for k in keys], "prob", "value")
 
 
-def _wide_quantiles(long: DataFrame, keys: list, probs) -> DataFrame:
-    return long.groupBy(*[_c(k) for k in keys]).agg(
-        *[F.max(F.when(F.col("prob") == float(p), F.col("value"))).alias(pct_name(p)) for p in probs])
-
-
 def pct_name(p: float) -> str:
     return f"p{int(round(p * 100)):02d}"
 
@@ -145,7 +167,7 @@ def group_profile(df: DataFrame, by, c: str, probs=PROFILE_PROBS, accuracy: int
 
     Default: one aggregate with a bounded-memory ``percentile_approx`` sketch per group
     (relative rank error 1/accuracy). ``exact=True``: exact discrete percentiles through
-    :func:`exact_quantiles_long` (one range sort), joined to the plain aggregate."""
+    :func:`exact_quantiles_long` (bracket and refine), with the statistics of the same pass."""
     keys = as_list(by)
     if exact:
         rows = _exact_core(df, keys, c, probs)
@@ -170,7 +192,7 @@ def quantiles(df: DataFrame, c: str, probs, accuracy: int = DEFAULT_ACCURACY, ex
     """A4: global quantiles as (prob, value) rows.
 
     Default: one distributed sketch aggregate. ``exact=True`` (relative error 0): exact
-    discrete quantiles by a distributed range sort (no collect)."""
+    discrete quantiles by bracket and refine."""
     probs = list(probs)
     if exact:
         return exact_quantiles_long(df, [], c, probs)
@@ -188,7 +210,7 @@ def summary_long(df: DataFrame, cols, accuracy: int = DEFAULT_ACCURACY, exact: b
     """Count, mean, stddev, min, 25/50/75 %, max per column, long form.
 
     Default: one aggregate with sketches. ``exact=True``: quartiles from an exact
-    distributed range sort per column (then joined to the one-pass moments)."""
+    bracket and refine per column (then joined to the one-pass moments)."""
     cols = as_list(cols)
     if exact:
         moments = describe_long(df, cols)

@@ -135,19 +135,22 @@ def test_hash_split_is_layout_independent(spark):
     assert sorted(r[0] for r in tr1.collect()) == sorted(r[0] for r in tr2.collect())
 
 
-def test_exact_quantiles_hot_group_matches_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("accuracy, groups", [(10_000, 10_000), (50, 10_000), (50, 1), (2, 10_000)])
+def test_exact_quantiles_hot_group_matches_brute_force(spark, monkeypatch, accuracy, groups):
     import random
 
-    from regispark.operators import ordering as O
-
-    monkeypatch.setattr(O, "MIN_ROWS_PER_BUCKET", 1)  # many buckets: the hot group spans several
+    # coarse brackets, brackets that miss the rank, and brackets joined instead of broadcast
+    monkeypatch.setattr(A, "BRACKET_ACCURACY", accuracy)
+    monkeypatch.setattr(A, "MAX_BROADCAST_GROUPS", groups)
+    if accuracy == 2:
+        monkeypatch.setattr(A, "BRACKET_REACH", 0.0)
 
     rnd = random.Random(11)
     data = [("hot", float(rnd.randint(0, 500))) for _ in range(3000)] + \
            [(g, float(rnd.randint(0, 50))) for g in ("a", "b", None) for _ in range(rnd.randint(1, 40))] + [("a", None)]
     df = spark.createDataFrame(data, "g string, x double")
     probs = [0.0, 0.05, 0.33, 0.5, 0.55, 0.99, 1.0]
-    got = {(r.g, r.prob): r.value for r in A.exact_quantiles_long(df, "g", "x", probs, num_partitions=13).collect()}
+    got = {(r.g, r.prob): r.value for r in A.exact_quantiles_long(df, "g", "x", probs).collect()}
     for g in ("hot", "a", "b", None):
         vals = sorted(x for k, x in data if k == g and x is not None)
         for p in probs:
@@ -161,6 +164,24 @@ def test_exact_quantiles_hot_group_matches_brute_force(spark, monkeypatch):
     assert {r.g: r.p50 for r in prof}["hot"] == got[("hot", 0.5)]
 
 
+def test_exact_quantiles_of_other_types_and_odd_values(spark):
+    import datetime
+    from decimal import Decimal
+
+    nan = float("nan")
+    rows = [(1.0, 2**53 + 1, Decimal("1.10"), datetime.date(2020, 1, 1)), (nan, 2**53, Decimal("2.20"), datetime.date(2021, 1, 1)),
+            (5.0, 2**53 + 3, None, datetime.date(2019, 1, 1)), (5.0, 7, Decimal("9.99"), None)]
+    df = spark.createDataFrame(rows, "x double, big long, d decimal(10,2), t date")
+
+    def median(c, p=0.5):
+        return A.quantiles(df, c, [p], exact=True).first().value
+
+    assert median("x") == 5.0 and math.isnan(median("x", 1.0))  # NaN sorts last
+    assert median("big", 0.75) == 2**53 + 1 and median("d") == Decimal("2.20")
+    assert A.exact_quantiles_long(df.limit(0), [], "x", [0.5]).count() == 0
+    assert A.exact_quantiles_long(df.select(F.lit(None).cast("double").alias("x")), [], "x", [0.5]).count() == 0
+
+
 def test_null_keys_are_spread_and_never_match(spark):
     fact = spark.createDataFrame([(None, i) for i in range(200)] + [("a", 1000), ("b", 1001)], "k string, v int")
     extra = spark.createDataFrame([("a", "x"), (None, "never")], "k string, w string")
