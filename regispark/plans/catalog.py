@@ -16,6 +16,7 @@ from ..operators import features as L, joins as J, profile as A, projection as P
 from ..operators.filters import phone_shape
 from ..fixed_values import STREET_TYPE_EXACT, STREET_TYPE_PATTERNS, VALID_AREA_CODES
 from ..sources.seeds import HOME_AREA_MOBILE_RANGES, expand_ranges
+from .eda import CAPITAL_PROBS, eda_tables
 from .geocode import geo_fallback
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -1391,6 +1392,152 @@ def eda_capital_by_size(spark, d):
     return prof.withColumn("mean", _r("mean", 4))
 
 
+# The exploratory questions, each through eda_tables, on rows shaped like the final table:
+# one per order with its customer and nation; capital is the order's price.
+_EDA_SQL = """
+SELECT o.o_totalprice AS CAP_SOCIAL, CAST(year(o.o_orderdate) AS INTEGER) AS ano_cadastro, n.n_name AS UF,
+       CASE substr(o.o_orderpriority, 1, 1) WHEN '2' THEN 'ATIVA' WHEN '3' THEN 'SUSPENSA' WHEN '4' THEN 'INAPTA'
+            WHEN '5' THEN 'BAIXADA' END AS NM_SIT_CADASTRAL,
+       CASE WHEN o.o_orderkey % 3 = 0 THEN 'FILIAL' ELSE 'MATRIZ' END AS NM_MATRIZ_FILIAL,
+       'CNAE ' || CAST(o.o_custkey % 30 AS VARCHAR) AS CNAE,
+       CASE WHEN c.c_mktsegment = 'BUILDING' THEN 'SEM MOTIVO' ELSE c.c_mktsegment END AS NM_MOTIVO,
+       CASE o.o_custkey % 3 WHEN 0 THEN 'F' WHEN 1 THEN 'M' END AS CLASSIFICACAO,
+       CASE o.o_custkey % 4 WHEN 0 THEN 'FIXO' WHEN 1 THEN NULL ELSE 'CELULAR' END AS TIPO_TELEFONE,
+       'PROVEDOR ' || CAST(o.o_custkey % 37 AS VARCHAR) AS PROVEDOR,
+       'OPERADORA ' || CAST(o.o_custkey % 41 AS VARCHAR) AS OPERADORA
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+"""
+
+
+def eda_rows(spark, d) -> DataFrame:
+    o = table(spark, d, "orders")
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment",
+                                           F.col("c_nationkey").alias("n_nationkey"))
+    n = table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("UF"))
+    x = J.lookup(J.lookup(o, c, "o_custkey", drop_key=False), n, "n_nationkey")
+    key = F.col("o_custkey")
+
+    def numbered(word: str, m: int):
+        return F.concat(F.lit(word + " "), (key % m).cast("string"))
+
+    status = X.decode(F.nullif(F.substring("o_orderpriority", 1, 1).cast("int"), F.lit(1)),
+                      {2: "ATIVA", 3: "SUSPENSA", 4: "INAPTA", 5: "BAIXADA"})
+    return x.select(
+        F.col("o_totalprice").alias("CAP_SOCIAL"), F.year("o_orderdate").alias("ano_cadastro"), "UF",
+        status.alias("NM_SIT_CADASTRAL"),
+        F.when(F.col("o_orderkey") % 3 == 0, "FILIAL").otherwise("MATRIZ").alias("NM_MATRIZ_FILIAL"),
+        numbered("CNAE", 30).alias("CNAE"),
+        F.when(F.col("c_mktsegment") == "BUILDING", "SEM MOTIVO").otherwise(F.col("c_mktsegment")).alias("NM_MOTIVO"),
+        F.when(key % 3 == 0, "F").when(key % 3 == 1, "M").alias("CLASSIFICACAO"),
+        F.when(key % 4 == 0, "FIXO").when(key % 4 != 1, "CELULAR").alias("TIPO_TELEFONE"),
+        numbered("PROVEDOR", 37).alias("PROVEDOR"), numbered("OPERADORA", 41).alias("OPERADORA"))
+
+
+def _eda_freq(keys: str, where: str = "", top: int | None = None) -> str:
+    order = f" ORDER BY count DESC, {keys} LIMIT {top}" if top else ""
+    return f"SELECT {keys}, count(*) AS count FROM e {where} GROUP BY ALL{order}"
+
+
+def _eda_share(key: str, where: str = "") -> str:
+    return (f"SELECT {key}, count(*) AS count, round(100.0 * count(*) / (SELECT count(*) FROM e {where}), 2) AS pct "
+            f"FROM e {where} GROUP BY ALL")
+
+
+def _eda_profile(key: str, where: str, top: int | None = None) -> str:
+    order = f" ORDER BY n DESC, {key} NULLS FIRST LIMIT {top}" if top else ""
+    return (f"SELECT {key}, count(CAP_SOCIAL) AS n, round(avg(CAP_SOCIAL), 4) AS mean, min(CAP_SOCIAL) AS min, "
+            + ", ".join(f"quantile_disc(CAP_SOCIAL, {p}) AS {A.pct_name(p)}" for p in A.PROFILE_PROBS)
+            + f", max(CAP_SOCIAL) AS max FROM e {where} GROUP BY ALL{order}")
+
+
+_EDA_POPULATION = "SELECT n_name AS UF, CAST((n_nationkey + 1) * 100000 AS BIGINT) AS Pop FROM nation"
+_EDA_WIDTH = "((hi - lo) / 20.0)"
+EDA_QUESTIONS = {
+    "status_mix": _eda_share("NM_SIT_CADASTRAL", "WHERE NM_SIT_CADASTRAL IS NOT NULL"),
+    "per_state": _eda_share("UF"),
+    "status_by_state": _eda_freq("UF, NM_SIT_CADASTRAL"),
+    "per_year_branch": _eda_freq("ano_cadastro, NM_MATRIZ_FILIAL"),
+    "branch_mix": _eda_share("NM_MATRIZ_FILIAL"),
+    "top10_activities": _eda_freq("CNAE", top=10),
+    "capital_summary": """SELECT 'CAP_SOCIAL' AS column, count(CAP_SOCIAL) AS count, round(avg(CAP_SOCIAL), 4) AS mean,
+        round(stddev_samp(CAP_SOCIAL), 4) AS stddev, min(CAP_SOCIAL) AS min, quantile_disc(CAP_SOCIAL, 0.25) AS p25,
+        quantile_disc(CAP_SOCIAL, 0.5) AS p50, quantile_disc(CAP_SOCIAL, 0.75) AS p75, max(CAP_SOCIAL) AS max
+        FROM e WHERE CAP_SOCIAL > 1""",
+    "capital_quantiles": " UNION ALL ".join(
+        f"SELECT CAST({p} AS DOUBLE) AS prob, quantile_disc(CAP_SOCIAL, {p}) AS value FROM e WHERE CAP_SOCIAL > 1"
+        for p in CAPITAL_PROBS),
+    "capital_mean": "SELECT round(avg(CAP_SOCIAL), 0) AS mean FROM e WHERE CAP_SOCIAL > 1 AND CAP_SOCIAL < 100001",
+    "capital_by_activity": _eda_profile("CNAE", "WHERE CAP_SOCIAL > 1", 10),
+    "closure_reasons": _eda_profile("NM_MOTIVO", "WHERE CAP_SOCIAL > 1 AND NM_SIT_CADASTRAL = 'BAIXADA'", 10),
+    "open_reasons": _eda_freq("NM_MOTIVO", "WHERE NM_SIT_CADASTRAL <> 'BAIXADA' AND NM_MOTIVO <> 'SEM MOTIVO'"),
+    "capital_by_status": _eda_profile("NM_SIT_CADASTRAL", "WHERE CAP_SOCIAL > 1"),
+    "capital_histogram": f"""SELECT x.bin, round(lo + x.bin * {_EDA_WIDTH}, 4) AS lo,
+        round(lo + (x.bin + 1) * {_EDA_WIDTH}, 4) AS hi, COALESCE(c.count, 0) AS count
+        FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(20)) x
+        CROSS JOIN (SELECT min(CAP_SOCIAL) AS lo, max(CAP_SOCIAL) AS hi FROM e WHERE CAP_SOCIAL > 1 AND CAP_SOCIAL < 150001) b
+        LEFT JOIN (SELECT CAST(least(floor((CAP_SOCIAL - lo) / {_EDA_WIDTH}), 19) AS INTEGER) AS bin, count(*) AS count
+                   FROM e, (SELECT min(CAP_SOCIAL) AS lo, max(CAP_SOCIAL) AS hi FROM e WHERE CAP_SOCIAL > 1 AND CAP_SOCIAL < 150001)
+                   WHERE CAP_SOCIAL > 1 AND CAP_SOCIAL < 150001 GROUP BY 1) c ON c.bin = x.bin""",
+    "gender_mix": _eda_share("CLASSIFICACAO"),
+    "phone_type": _eda_share("TIPO_TELEFONE"),
+    "provider_top20": _eda_freq("PROVEDOR", top=20),
+    "operator_top25": _eda_freq("OPERADORA", top=25),
+    "state_vs_population": f"""SELECT s.UF, s.n, p.Pop, round(100.0 * s.n / p.Pop, 2) AS percent
+        FROM (SELECT UF, count(*) AS n FROM e GROUP BY 1) s LEFT JOIN ({_EDA_POPULATION}) p ON s.UF = p.UF""",
+}
+
+
+def _eda_query(name: str):
+    def ask(spark, d):
+        population = table(spark, d, "nation").select(F.col("n_name").alias("UF"), ((F.col("n_nationkey") + 1) * 100000).cast("long").alias("Pop"))
+        out = eda_tables(eda_rows(spark, d), population, exact=True, only=[name])[name]
+        return out.withColumns({c: _r(c, 4) for c in ("mean", "stddev", "lo", "hi") if c in out.columns})
+
+    return ask
+
+
+for _name, _sql in EDA_QUESTIONS.items():
+    register(f"eda_{_name}", f"WITH e AS ({_EDA_SQL}) {_sql}")(_eda_query(_name))
+
+
+# ---------------------------------------------------------------------------
+# Tax-regime table (Q3) from customer rows: compact dates, some malformed or empty
+# ---------------------------------------------------------------------------
+#: Per date column: days after the key's day, and which keys hold what malformed text instead.
+_REGIME = {"DATA_OPCAO_PELO_MEI": (0, 7, "00000000"), "DATA_EXCLUSAO_MEI": (365, 2, ""),
+           "DATA_OPCAO_PELO_SIMPLES": (30, 11, "20101399"), "DATA_EXCLUSAO_SIMPLES": (800, 3, "0")}
+
+
+def _regime_text(days: int, every: int, bad: str):
+    made = F.date_add(F.to_date(F.lit("2009-07-01")), (F.col("c_custkey") % 4000 + days).cast("int"))
+    return F.when(F.col("c_custkey") % every == 0, bad).otherwise(F.date_format(made, "yyyyMMdd"))
+
+
+def _regime_sql(raw: str, name: str) -> str:
+    days, every, bad = _REGIME[raw]
+    text = (f"CASE WHEN c_custkey % {every} = 0 THEN '{bad}' ELSE "
+            f"strftime(DATE '2009-07-01' + CAST(c_custkey % 4000 + {days} AS INTEGER), '%Y%m%d') END")
+    return f"CAST(try_strptime({text}, '%Y%m%d') AS DATE) AS {name}"
+
+
+@register("tax_regime_flow", f"""
+SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS CNPJ_BASICO, CASE WHEN c_acctbal > 0 THEN 'S' ELSE 'N' END AS "OPÇAO_PELO_MEI",
+       {_regime_sql("DATA_OPCAO_PELO_MEI", "DT_OPCAO_MEI")}, {_regime_sql("DATA_EXCLUSAO_MEI", "DT_EXCLUSAO_MEI")},
+       CASE WHEN c_nationkey % 2 = 0 THEN 'S' ELSE 'N' END AS OPCAO_PELO_SIMPLES,
+       {_regime_sql("DATA_OPCAO_PELO_SIMPLES", "DT_OPCAO_SIMPLES")}, {_regime_sql("DATA_EXCLUSAO_SIMPLES", "DT_EXCLUSAO_SIMPLES")}
+FROM customer
+""")
+def tax_regime_flow(spark, d):
+    from .registry import process_simples
+
+    c = table(spark, d, "customer")
+    return process_simples(c.select(
+        F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("CNPJ_BASICO"),
+        F.when(F.col("c_acctbal") > 0, "S").otherwise("N").alias("OPÇAO_PELO_MEI"),
+        F.when(F.col("c_nationkey") % 2 == 0, "S").otherwise("N").alias("OPCAO_PELO_SIMPLES"),
+        *[_regime_text(*spec).alias(name) for name, spec in _REGIME.items()]))
+
+
 @register("final_table_flow", f"""
 WITH m AS ({ORACLE_SQL["sole_traders_flow"]}), e AS ({ORACLE_SQL["establishments_flow"]})
 SELECT m.CNPJ, m.NOME_EMPRESA, m.NM_PORTE, m.CPF_CRIPTOGRAFADO, m.PRIMEIRO_NOME,

@@ -155,4 +155,5 @@ def test_eda_tables_build(spark, ds, estab):
     tables = eda.eda_tables(final, pop)
     for name, t in tables.items():
         t.collect()
+    assert set(eda.eda_tables(final, only=["gender_mix"])) == {"gender_mix"}
     assert {r.UF: r.percent for r in tables["state_vs_population"].collect()} == {"SP": 0.1, "RJ": 0.2}
