@@ -197,7 +197,8 @@ def vif(df: DataFrame, cols) -> DataFrame:
 
 
 def linear_diagnostics(df: DataFrame, label: str, features) -> DataFrame:
-    """R^2, adjusted R^2, RMSE, MAE, and per-coefficient t / p values of an OLS fit."""
+    """Per-coefficient t / p values of an OLS fit; R^2, adjusted R^2, MSE, RMSE, MAE and
+    the F test that all slopes are zero (NULL where the fit leaves no residual)."""
     features = as_list(features)
     model = _ols(df, label, features)
     s = model.summary
@@ -205,8 +206,11 @@ def linear_diagnostics(df: DataFrame, label: str, features) -> DataFrame:
     coefs = list(model.coefficients) + [model.intercept]
     rows = [(n, float(b), float(t), float(p)) for n, b, t, p in zip(names, coefs, s.tValues, s.pValues)]
     out = df.sparkSession.createDataFrame(rows, "term string, coefficient double, t_value double, p_value double")
-    return out.withColumns({"r2": F.lit(float(s.r2)), "r2_adj": F.lit(float(s.r2adj)),
-                            "rmse": F.lit(float(s.rootMeanSquaredError)), "mae": F.lit(float(s.meanAbsoluteError))})
+    k, rest = len(features), int(s.numInstances) - len(features) - 1
+    out = out.withColumns({"r2": F.lit(float(s.r2)), "r2_adj": F.lit(float(s.r2adj)), "mse": F.lit(float(s.meanSquaredError)),
+                           "rmse": F.lit(float(s.rootMeanSquaredError)), "mae": F.lit(float(s.meanAbsoluteError)),
+                           "f_value": F.try_divide(F.lit(float(s.r2) / k), F.lit((1.0 - float(s.r2)) / rest))})
+    return out.withColumn("f_p_value", f_pvalue(F.col("f_value"), F.lit(k), F.lit(rest)))
 
 
 # ---------------------------------------------------------------------------

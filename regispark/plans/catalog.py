@@ -858,7 +858,7 @@ def domain_audit(spark, d):
 
 
 # ---------------------------------------------------------------------------
-# Model-based selectors (L2-L5, L9, L11-L13): rows-only checks
+# Model-based selectors (L2-L5, L9, L11-L13): forests and elastic nets are rows-only checks
 # ---------------------------------------------------------------------------
 def _model_frame(spark, d):
     li = table(spark, d, "lineitem")
@@ -877,9 +877,20 @@ def rf_class_importance(spark, d):
                            task="classification", num_trees=10)
 
 
-@register("univariate_selector_numeric")
+_SELECT_FROM = ["l_quantity", "l_discount", "l_tax"]
+
+
+def _top_features_sql(scores: str, top: int) -> str:
+    """The ``top`` best scored features, the best first."""
+    return (f"SELECT feature, CAST(row_number() OVER (ORDER BY score DESC) - 1 AS INTEGER) AS rank "
+            f"FROM ({scores}) ORDER BY score DESC LIMIT {top}")
+
+
+# every feature has the same degrees of freedom, so the order of r^2 (of F) is the order of the p-values
+@register("univariate_selector_numeric", _top_features_sql(" UNION ALL ".join(
+    f"SELECT '{c}' AS feature, power(corr({c}, l_extendedprice), 2) AS score FROM lineitem" for c in _SELECT_FROM), 2))
 def univariate_selector_numeric(spark, d):
-    return L.univariate_select(_model_frame(spark, d), "l_extendedprice", ["l_quantity", "l_discount", "l_tax"], top=2)
+    return L.univariate_select(_model_frame(spark, d), "l_extendedprice", _SELECT_FROM, top=2)
 
 
 @register("linear_importance")
@@ -900,10 +911,18 @@ def rformula_rmse(spark, d):
                               num_trees=10)
 
 
-@register("vector_slice")
+@register("vector_slice", """
+SELECT l_extendedprice AS label, l_quantity AS slot_0, l_discount AS slot_1,
+       CASE WHEN l_returnflag = (SELECT l_returnflag FROM lineitem GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+            THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS slot_3
+FROM lineitem
+""")
 def vector_slice(spark, d):
+    from pyspark.ml.functions import vector_to_array
+
     data = L.rformula(_model_frame(spark, d), "l_extendedprice ~ l_quantity + l_discount + l_tax + l_returnflag")
-    return L.vector_slice(data, [0, 1, 3]).select(F.col("label"), F.col("sliced").cast("string").alias("sliced"))
+    kept = L.vector_slice(data, [0, 1, 3]).select("label", vector_to_array("sliced").alias("v"))
+    return kept.select("label", *[F.col("v")[j].alias(f"slot_{i}") for j, i in enumerate((0, 1, 3))])
 
 
 @register("chisq_selector")
@@ -911,9 +930,12 @@ def chisq_selector(spark, d):
     return L.chisq_select(_model_frame(spark, d), "l_linestatus", ["l_returnflag"], top=1)
 
 
-@register("univariate_selector")
+@register("univariate_selector", _top_features_sql(" UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, sum(n * power(m - total, 2)) / sum(n * v) AS score
+    FROM (SELECT count(*) AS n, avg({c}) AS m, var_pop({c}) AS v, (SELECT avg({c}) FROM lineitem) AS total
+          FROM lineitem GROUP BY l_returnflag)""" for c in _SELECT_FROM), 2))
 def univariate_selector(spark, d):
-    return L.univariate_select(_model_frame(spark, d), "l_returnflag", ["l_quantity", "l_discount", "l_tax"], top=2)
+    return L.univariate_select(_model_frame(spark, d), "l_returnflag", _SELECT_FROM, top=2)
 
 
 _VARYING = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
@@ -931,9 +953,36 @@ def kfold_rmse(spark, d):
                         reg_params=(0.0, 0.1), parallelism=2)
 
 
-@register("linear_diagnostics")
+# the normal equations of three centred features, solved by the adjugate of their 3 x 3 matrix
+@register("linear_diagnostics", """
+WITH m AS (SELECT count(*) AS n, avg(l_quantity) AS m1, avg(l_discount) AS m2, avg(l_tax) AS m3, avg(l_extendedprice) AS my,
+         var_pop(l_quantity) AS s11, var_pop(l_discount) AS s22, var_pop(l_tax) AS s33, var_pop(l_extendedprice) AS syy,
+         covar_pop(l_quantity, l_discount) AS s12, covar_pop(l_quantity, l_tax) AS s13, covar_pop(l_discount, l_tax) AS s23,
+         covar_pop(l_quantity, l_extendedprice) AS s1y, covar_pop(l_discount, l_extendedprice) AS s2y,
+         covar_pop(l_tax, l_extendedprice) AS s3y FROM lineitem),
+a AS (SELECT *, s22 * s33 - s23 * s23 AS c11, s13 * s23 - s12 * s33 AS c12, s12 * s23 - s13 * s22 AS c13,
+         s11 * s33 - s13 * s13 AS c22, s12 * s13 - s11 * s23 AS c23, s11 * s22 - s12 * s12 AS c33 FROM m),
+d AS (SELECT *, s11 * c11 + s12 * c12 + s13 * c13 AS det FROM a),
+b AS (SELECT *, (c11 * s1y + c12 * s2y + c13 * s3y) / det AS b1, (c12 * s1y + c22 * s2y + c23 * s3y) / det AS b2,
+         (c13 * s1y + c23 * s2y + c33 * s3y) / det AS b3 FROM d),
+e AS (SELECT *, my - b1 * m1 - b2 * m2 - b3 * m3 AS b0, syy - b1 * s1y - b2 * s2y - b3 * s3y AS mse0,
+         (m1 * m1 * c11 + m2 * m2 * c22 + m3 * m3 * c33 + 2 * (m1 * m2 * c12 + m1 * m3 * c13 + m2 * m3 * c23)) / det AS h0 FROM b),
+f AS (SELECT *, mse0 * n / (n - 4) AS v, 1 - mse0 / syy AS r,
+         (SELECT avg(abs(l_extendedprice - e.b0 - e.b1 * l_quantity - e.b2 * l_discount - e.b3 * l_tax)) FROM lineitem, e) AS mae0 FROM e),
+t AS (SELECT 'l_quantity' AS term, b1 AS c, b1 / sqrt(v * c11 / det / n) AS t, * FROM f
+      UNION ALL SELECT 'l_discount', b2, b2 / sqrt(v * c22 / det / n), * FROM f
+      UNION ALL SELECT 'l_tax', b3, b3 / sqrt(v * c33 / det / n), * FROM f
+      UNION ALL SELECT 'intercept', b0, b0 / sqrt(v * (1 + h0) / n), * FROM f)
+SELECT term, round(c, 4) AS coefficient, round(t, 4) AS t_value, round(r, 6) AS r2, round(1 - (1 - r) * (n - 1) / (n - 4), 6) AS r2_adj,
+       round(mse0, 2) AS mse, round(sqrt(mse0), 4) AS rmse, round(mae0, 4) AS mae, round((syy - mse0) * n / 3 / v, 4) AS f_value
+FROM t
+""")
 def linear_diagnostics(spark, d):
-    return T.linear_diagnostics(_model_frame(spark, d), "l_extendedprice", ["l_quantity", "l_discount", "l_tax"])
+    """All but the tail probabilities, which DuckDB has no function for (tests/test_stats.py)."""
+    out = T.linear_diagnostics(_model_frame(spark, d), "l_extendedprice", ["l_quantity", "l_discount", "l_tax"])
+    digits = {"r2": 6, "r2_adj": 6, "mse": 2}
+    return out.drop("p_value", "f_p_value").withColumns(
+        {c: _r(c, digits.get(c, 4)) for c in ("coefficient", "t_value", "r2", "r2_adj", "mse", "rmse", "mae", "f_value")})
 
 
 @register("ks_normal")

@@ -86,3 +86,20 @@ def test_lagged_many_buckets(spark, monkeypatch):
         e = exp.groupby("g")["x"].shift(k).to_numpy(dtype=float)
         a = out[f"lag{k}_x"].to_numpy(dtype=float)
         assert np.array_equal(np.isnan(a), np.isnan(e)) and np.allclose(a[~np.isnan(a)], e[~np.isnan(e)])
+
+
+def test_linear_diagnostics_agree_with_least_squares(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(200, 2))
+    y = 3.0 + 0.5 * x[:, 0] + 0.2 * x[:, 1] + rng.normal(size=200)
+    df = spark.createDataFrame([(float(a), float(b), float(c)) for (a, b), c in zip(x, y)], "a double, b double, y double")
+    got = {r.term: r for r in T.linear_diagnostics(df, "y", ["a", "b"]).collect()}
+    full = np.column_stack([x, np.ones(200)])
+    beta = np.linalg.lstsq(full, y, rcond=None)[0]
+    sse, sst = float(((y - full @ beta) ** 2).sum()), float(((y - y.mean()) ** 2).sum())
+    row = got["a"]
+    assert [got[t].coefficient for t in ("a", "b", "intercept")] == pytest.approx(beta.tolist())
+    assert row.mse == pytest.approx(sse / 200) and row.f_value == pytest.approx((sst - sse) / 2 / (sse / 197))
+    # with one feature the F test is the square of its t test
+    one = T.linear_diagnostics(df, "y", ["b"]).filter("term = 'b'").first()
+    assert one.f_value == pytest.approx(one.t_value ** 2) and one.f_p_value == pytest.approx(one.p_value, rel=1e-6)
