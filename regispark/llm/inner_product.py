@@ -1,10 +1,10 @@
 """Exact top-k inner-product search over norm-sorted vectors.
 
-Vectors are dealt out by descending length, so each task walks down the lengths. A block
+Vectors are dealt out by descending length, so chunks hold vectors of like length. A block
 of queries is broadcast (at most about ``block`` of them, whatever their number in all) with
-a starting threshold per query: its k-th best score among the longest vectors. A task ends
-once the Cauchy-Schwarz bound |q| * |x| of its next, shorter vectors is below every
-threshold. Before that, partial sums over the leading axes of an SVD rotation plus the
+a starting threshold per query: its k-th best score among the longest vectors. A task passes
+over each chunk whose Cauchy-Schwarz bound |q| * |x| is below every threshold; it may read
+several files in any order, so it never ends at one. In the others, partial sums over the leading axes of an SVD rotation plus the
 product of the residual lengths bound each score from above; only vectors that reach the
 threshold get the exact integer product. The rotation is fitted on a bounded sample and
 only sharpens the bounds: results are exact. Each task returns at most k rows a query.
@@ -72,7 +72,7 @@ class Block:
                 self.floor[i] = np.partition(scores, -k)[-k]
 
     def search(self, batches: Iterator[tuple[np.ndarray, np.ndarray]]):
-        """The best of a run of vectors by descending length: (query id, id, score) arrays."""
+        """The best of a run of vectors in any order: (query id, id, score) arrays."""
         floor = self.floor.copy()
         held = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)) for _ in self.ids]
         for ids, x in batches:
@@ -83,7 +83,7 @@ class Block:
                 slack = 1e-9 * self.length * length.max(initial=0) + 1e-6  # of the floating-point bounds
                 live = np.flatnonzero(self.length * length.max(initial=0) + slack >= floor)
                 if not len(live):
-                    return self._out(held)
+                    continue  # not the end: a file of longer vectors may follow in this task
                 z = z @ self.rotation
                 for j in live:
                     rows = np.flatnonzero(length * self.length[j] + slack[j] >= floor[j])

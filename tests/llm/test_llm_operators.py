@@ -287,6 +287,29 @@ def test_top_k_exact(spark):
     assert [tuple(r) for r in inner_product.top_k(df.where("vec_id in (7, 8)"), F.col("vec_id") % 7 == 0).collect()] == brute_top([r for r in rows if r[0] in (7, 8)], 7)
 
 
+def test_top_k_reads_on_after_a_file_of_short_vectors(spark):
+    """Heavy-tailed lengths, the short vectors first, many files in one task."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(20_000, 8)) * (rng.pareto(0.7, size=(20_000, 1)) + 0.01)
+    v = np.floor(1024 * np.clip(x, -2000, 2000)).astype(np.int64)
+    v = v[np.argsort((v.astype(float) ** 2).sum(axis=1))]
+    ids = np.arange(len(v))
+    block = inner_product.Block(ids[-5:], v[-5:], np.eye(8), (ids[10_000:12_000], v[10_000:12_000]), 10)
+    query, found, score = block.search((ids[lo : lo + 3000], v[lo : lo + 3000]) for lo in range(0, len(v), 3000))
+    for q in ids[-5:]:
+        want = sorted(((-int(v[i] @ v[q]), int(i)) for i in ids if i != q))[:10]
+        assert sorted((-int(s), int(i)) for s, i in zip(score[query == q], found[query == q])) == want
+    rows = [(i, e.tolist()) for i, e in enumerate(np.clip(x, -2000, 2000))]
+    spark.conf.set("spark.sql.files.minPartitionNum", 1)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        got = inner_product.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 1000 == 0, seeds=10)
+        assert sorted(tuple(r) for r in got.collect()) == brute_top(rows, 1000)
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 # ---- chat format
 
 
