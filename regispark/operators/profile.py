@@ -8,12 +8,14 @@ join). Results are long-form DataFrames; nothing is collected inside an operator
 
 from __future__ import annotations
 
+import uuid
 from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .._util import as_list, fresh, quote
+from ..session import ensure_checkpoint_dir
 
 # Probabilities of the group profile: 5 % .. 95 % by 5, then 99 %.
 PROFILE_PROBS = [round(p / 100, 2) for p in range(5, 100, 5)] + [0.99]
@@ -52,12 +54,21 @@ def _cell(lo: int, hi: int) -> Column:
     return F.when(F.col("__v") > F.col("__cuts")[mid], _cell(mid + 1, hi)).otherwise(_cell(lo, mid))
 
 
+def _fixed(df: DataFrame) -> DataFrame:
+    """``df`` written once below ``spark.checkpoint.dir``: a sketch depends on the order its parts
+    are merged in, so one computed again may differ from the one already used."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/cuts-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _exact_core(df: DataFrame, keys: list, c: str, probs) -> DataFrame:
     """Rows (keys..., prob, value, n, sum, min, max) for exact discrete quantiles.
 
     Bracket and refine, every pass reading the keys and the value only:
 
-    1. a sketch per group proposes two cuts around each wanted rank;
+    1. a sketch per group proposes two cuts around each wanted rank; they are fixed once, by
+       broadcast or as Parquet, so the next two passes place every row in the same cell;
     2. the rows of each cell between cuts are counted (one map-side aggregate of at most
        2 x probs + 2 rows per group), which tells in which cell each rank lies and its
        place there, whatever the error of the sketch;
@@ -78,6 +89,8 @@ def _exact_core(df: DataFrame, keys: list, c: str, probs) -> DataFrame:
         few = len(rows) <= MAX_BROADCAST_GROUPS
         if few:
             cuts = F.broadcast(df.sparkSession.createDataFrame(rows, cuts.schema))
+        else:
+            cuts = _fixed(cuts)
         gs = [f"__g{i}" for i in range(len(ks))]
         placed = base.join(cuts.toDF(*gs, "__cuts"), _same_keys(ks, gs)).drop(*gs)
     else:

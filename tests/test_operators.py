@@ -164,6 +164,21 @@ def test_exact_quantiles_hot_group_matches_brute_force(spark, monkeypatch, accur
     assert {r.g: r.p50 for r in prof}["hot"] == got[("hot", 0.5)]
 
 
+def test_exact_quantiles_of_many_groups_use_one_set_of_cuts(spark, monkeypatch):
+    """Too many groups to broadcast, one of them hot and spread over many partitions."""
+    monkeypatch.setattr(A, "MAX_BROADCAST_GROUPS", 5)
+    monkeypatch.setattr(A, "BRACKET_ACCURACY", 20)
+    data = [("hot", (i * 7919) % 4001) for i in range(4001)] + [(f"g{i % 30}", i) for i in range(300)] + [(None, 3), ("none", None)]
+    df = spark.createDataFrame(data, "g string, x long").repartition(16)
+    out = A.exact_quantiles_long(df, "g", "x", [0.25, 0.5, 0.9])
+    assert "percentile_approx" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r.g, r.prob): r.value for r in out.collect()}
+    assert len(got) == 3 * 32
+    for g in {k for k, _ in data} - {"none"}:
+        vals = sorted(x for k, x in data if k == g)
+        assert all(got[(g, p)] == vals[math.ceil(p * len(vals)) - 1] for p in (0.25, 0.5, 0.9)), g
+
+
 def test_exact_quantiles_of_other_types_and_odd_values(spark):
     import datetime
     from decimal import Decimal
