@@ -50,7 +50,8 @@ def gear_hashes(data: np.ndarray, gear: np.ndarray) -> np.ndarray:
 def cuts(texts: list[bytes], gear: np.ndarray):
     """(bytes, chunk starts, chunk ends, text index, start and end in the text itself) of a
     block. Chunks are cut from the A-Z-lowered bytes with white space folded to one blank, so
-    a passage set in other lines is the same passage; the last two give the original offsets."""
+    a passage set in other lines is the same passage; the last two give the original offsets,
+    where a chunk reaches to the next one's start: white space folded at a cut parts no passage."""
     # zero bytes between texts, twice the window: neither a hash nor the gap rule sees a neighbour
     pad = b"\0" * (2 * WINDOW)
     raw = np.frombuffer((pad + pad.join(texts) + pad).translate(_FOLDED), dtype=np.uint8)
@@ -72,7 +73,10 @@ def cuts(texts: list[bytes], gear: np.ndarray):
     text = np.searchsorted(first, start, side="right") - 1
     # an empty text begins where the next one does
     end = np.minimum(np.append(start[1:], len(data)), (first + size)[text])
-    return data, start, end, text, kept[start] - begins[text], kept[end - 1] + 1 - begins[text]
+    here, there = kept[start] - begins[text], kept[end - 1] + 1 - begins[text]
+    inner = np.flatnonzero(text[1:] == text[:-1])
+    there[inner] = here[inner + 1]
+    return data, start, end, text, here, there
 
 
 def _chunker():

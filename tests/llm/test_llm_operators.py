@@ -142,6 +142,21 @@ def test_repeated_passages_survive_insertions(spark):
     assert cut[0] == rows[0][1] and len(cut[3]) < len(rows[3][1]) - 300 and cut[50] == rows[6][1]
 
 
+@pytest.mark.parametrize("gap", ["  ", "\n\n", " \n\t  "])
+def test_repeated_passages_hold_together_over_runs_of_white_space(spark, gap):
+    rows = []
+    for d in range(20):  # passages 0 to 9, each in two documents
+        shared = passage(d // 2, 50).replace(" ", gap if d % 2 else " ")
+        rows.append((d, f"{passage(500 + d, 30)}{gap}{shared}{gap}{passage(600 + d, 30)}", "en", "s", 0))
+    got = substring_dedup.repeated_passages(docs(spark, rows)).collect()
+    assert sorted(r.doc_id for r in got) == list(range(20))
+    words = {r.doc_id: r.n_words for r in got}
+    texts = {r[0]: r[1].encode() for r in rows}
+    for r in got:
+        assert words[r.doc_id] == words[r.doc_id ^ 1] and r.holder == r.doc_id & ~1
+        assert " ".join(texts[r.doc_id][r.start : r.end].decode().split()) in passage(r.doc_id // 2, 50)
+
+
 def test_chunks_cover_every_text():
     texts = [b"", "é".encode() * 400, EN.encode(), b"  a \n\n b  ", b"aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa" * 40, LONG.encode()]
     data, start, end, text, here, there = substring_dedup.cuts(texts, substring_dedup.gear_table())
