@@ -16,7 +16,10 @@ at most ``max_edits`` per word of the item counts as contaminated.
 
 The benchmark is read in blocks of ``block_items`` items, each broadcast on its own (its
 size is bounded by the block, whatever the benchmark's); every block reads the documents
-once. Items too short to fill a walk are also looked up as whole word sequences.
+once. Recall does not rest on the walks: each item is also cut into one piece more than it
+may have edits, and as an edit spoils at most one piece, every copy within the bound holds a
+piece as it is. So short items, and items whose rare words all stand at the end, are found
+whatever their walks read. Frequent pieces cost verifications, at least one per place and item.
 
 Defined results: a null or wordless text or item matches nothing; repeated items report
 each item_id; every document row is judged by itself; texts are read whole.
@@ -131,12 +134,21 @@ class Index:
         keys = np.concatenate(keys or [none.astype(np.uint64)])
         order = np.argsort(keys, kind="stable")
         self.keys, self.items, self.phases = keys[order], np.concatenate(items_ or [none])[order], np.concatenate(phases or [none])[order]
-        # short items: the whole sequence, by length
-        self.whole: dict[int, dict[int, list[int]]] = {}
-        longest = max(at[-1] for at, _ in sampler.walks) + 1
+        # one piece more than edits: one of them stands unedited in every copy
+        pieces: dict[int, list[tuple[int, int, int]]] = {}
         for i, w in enumerate(self.words):
-            if len(w) <= longest:
-                self.whole.setdefault(len(w), {}).setdefault(int(sequence_hashes(w, len(w))[0]), []).append(i)
+            parts = min(int(max_edits * len(w)) + 1, len(w))
+            bounds = [len(w) * p // parts for p in range(parts + 1)]
+            for lo, hi in zip(bounds, bounds[1:]):
+                pieces.setdefault(hi - lo, []).append((int(sequence_hashes(w[lo:hi], hi - lo)[0]), i, lo))
+        self.pieces = {}
+        for length, found in pieces.items():
+            found.sort()
+            key = np.array([f[0] for f in found], dtype=np.uint64)
+            mask = np.uint64((1 << max(16, (16 * len(key)).bit_length())) - 1)
+            flags = np.zeros(int(mask) + 1, dtype=bool)
+            flags[(key & mask).astype(np.int64)] = True
+            self.pieces[length] = (mask, flags, key, np.array([f[1] for f in found]), np.array([f[2] for f in found]))
 
     def _phases(self) -> list[np.ndarray]:
         """The phases of each item: those whose first word stands in few items, and at
@@ -167,11 +179,13 @@ class Index:
             for j in first(hi > lo):
                 for x in range(lo[j], hi[j]):
                     out.add((int(self.items[x]), int(start[j]) - int(self.phases[x])))
-        for length, known in self.whole.items():
+        for length, (mask, flags, keys, items, offsets) in self.pieces.items():
             if len(symbols) >= length:
                 h = sequence_hashes(symbols, length)
-                for j in first(np.isin(h, np.fromiter(known, dtype=np.uint64, count=len(known)))):
-                    out.update((i, int(j)) for i in known[int(h[j])])
+                at = first(flags[(h & mask).astype(np.int64)])
+                lo, hi = np.searchsorted(keys, h[at], "left"), np.searchsorted(keys, h[at], "right")
+                for j in first(hi > lo):
+                    out.update(zip(items[lo[j] : hi[j]].tolist(), (at[j] - offsets[lo[j] : hi[j]]).tolist()))
         return out
 
     def matches(self, symbols: np.ndarray, doc: np.ndarray) -> dict[tuple[int, int], tuple[int, int, int]]:

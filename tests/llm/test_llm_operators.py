@@ -261,6 +261,23 @@ def test_contamination_recall_under_edits(spark):
     assert all(r.doc_id == r.item_id for r in got) and len(got) >= 57
 
 
+@pytest.mark.parametrize("kind", ["short", "template"])
+def test_contamination_recall_of_short_and_template_items_is_whole(spark, kind):
+    """As many edits as the bound allows, spread over the item."""
+    rng = np.random.default_rng(9)
+    items = [(i, passage(i, 5 + i % 8) if kind == "short" else f"{passage(7000, 20)} {passage(i, 6)}") for i in range(80)]
+    rows = []
+    for i, text in items:
+        w = text.split()
+        slack = int(0.2 * len(w))
+        at = rng.choice(len(w), slack, replace=False) if kind == "short" else [3, 10, 20, 22, 24][:slack]
+        for p in sorted(at, reverse=True):
+            [lambda: w.__setitem__(p, f"e{p}"), lambda: w.pop(p), lambda: w.insert(p, "new")][int(rng.integers(3)) if kind == "short" else 0]()
+        rows += [(i, f"{passage(900 + i, 40)}. {' '.join(w)} {passage(1500 + i, 40)}", "en", "s", 0), (1000 + i, f"{passage(3000 + i, 9)} {text}", "en", "s", 0)]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert {(i + d, i) for i, _ in items for d in (0, 1000)} <= got
+
+
 def test_edit_distance():
     a, t = np.array([1, 2, 3, 4]), np.array([9, 1, 2, 7, 3, 4, 8])
     assert decontaminate.edit_distance(a, t) == (1, 1, 6) and decontaminate.edit_distance(a, np.array([5, 1, 2, 3, 4]))[0] == 0
