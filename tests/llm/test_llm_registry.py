@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "conversations"):
+    for t in ("documents", "embeddings", "pages", "conversations", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = queries.QUERIES[name](spark, SF)
     got, want = [tuple(r) for r in df.collect()], con.execute(queries.ORACLE_SQL[name])
@@ -25,7 +25,7 @@ def test_query_equals_sql(spark, name):
 
 def test_all_registered():
     names = entry.queries()
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13 and "pipeline" in names
 
 
 def test_pipeline_stages_take_effect(spark):
