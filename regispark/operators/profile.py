@@ -8,14 +8,12 @@ join). Results are long-form DataFrames; nothing is collected inside an operator
 
 from __future__ import annotations
 
-import uuid
-from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .._util import as_list, fresh, quote
-from ..session import ensure_checkpoint_dir
+from .selection import selected
 
 # Probabilities of the group profile: 5 % .. 95 % by 5, then 99 %.
 PROFILE_PROBS = [round(p / 100, 2) for p in range(5, 100, 5)] + [0.99]
@@ -35,108 +33,17 @@ def _c(name: str) -> Column:
     return F.col(quote(name))
 
 
-#: Brackets of the exact quantiles: accuracy of the sketch that proposes them, and how far (in
-#: sketch errors) they reach around a wanted rank.
-BRACKET_ACCURACY, BRACKET_REACH = 10_000, 1.5
-#: Groups up to this many have their brackets broadcast (an array of 2 x probs values each).
-MAX_BROADCAST_GROUPS = 10_000
-
-
-def _same_keys(a: list[str], b: list[str]) -> Column:
-    return reduce(lambda x, y: x & y, [F.col(i).eqNullSafe(F.col(j)) for i, j in zip(a, b)])
-
-
-def _cell(lo: int, hi: int) -> Column:
-    """The number of cuts below the value, between ``lo`` and ``hi``: log2 comparisons a row."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(F.col("__v") > F.col("__cuts")[mid], _cell(mid + 1, hi)).otherwise(_cell(lo, mid))
-
-
-def _fixed(df: DataFrame) -> DataFrame:
-    """``df`` written once below ``spark.checkpoint.dir``: a sketch depends on the order its parts
-    are merged in, so one computed again may differ from the one already used."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/cuts-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _exact_core(df: DataFrame, keys: list, c: str, probs) -> DataFrame:
-    """Rows (keys..., prob, value, n, sum, min, max) for exact discrete quantiles.
-
-    Bracket and refine, every pass reading the keys and the value only:
-
-    1. a sketch per group proposes two cuts around each wanted rank; they are fixed once, by
-       broadcast or as Parquet, so the next two passes place every row in the same cell;
-    2. the rows of each cell between cuts are counted (one map-side aggregate of at most
-       2 x probs + 2 rows per group), which tells in which cell each rank lies and its
-       place there, whatever the error of the sketch;
-    3. only the rows of those cells are aggregated by value and numbered, about 3 in 10,000
-       rows per rank. A run of one hot value is one row by then.
-
-    No row is shuffled or sorted as such. ``prob`` is NULL on one carrier row per group, so
-    groups whose values are all NULL still appear; group statistics ride along on every row."""
-    ks = [f"__k{i}" for i in range(len(keys))]
-    base = df.select(*[_c(k).alias(a) for k, a in zip(keys, ks)], _c(c).alias("__v"))
-    reach = BRACKET_REACH / BRACKET_ACCURACY
-    at = sorted({min(1.0, max(0.0, float(p) + s * reach)) for p in probs for s in (-1, 1)})
-    sketch = F.percentile_approx("__v", at, BRACKET_ACCURACY).alias("__cuts")
-    few = True
-    if ks:
-        cuts = base.groupBy(*ks).agg(sketch)
-        rows = cuts.limit(MAX_BROADCAST_GROUPS + 1).collect()
-        few = len(rows) <= MAX_BROADCAST_GROUPS
-        if few:
-            cuts = F.broadcast(df.sparkSession.createDataFrame(rows, cuts.schema))
-        else:
-            cuts = _fixed(cuts)
-        gs = [f"__g{i}" for i in range(len(ks))]
-        placed = base.join(cuts.toDF(*gs, "__cuts"), _same_keys(ks, gs)).drop(*gs)
-    else:
-        placed = base.withColumn("__cuts", base.agg(sketch).scalar())
-    cell = F.when(F.col("__v").isNotNull(), _cell(0, len(at)))
-    placed = placed.select(*ks, "__v", cell.alias("__cell"))
-
-    grp = Window.partitionBy(*(ks or [F.lit(0)]))
-    counts = placed.groupBy(*ks, "__cell").agg(
-        F.count("__v").alias("__cnt"), F.sum("__v").alias("__sum"), F.min("__v").alias("__min"), F.max("__v").alias("__max"))
-    counts = counts.withColumns({
-        "__end": F.sum("__cnt").over(grp.orderBy(F.asc_nulls_first("__cell"))), "__n": F.sum("__cnt").over(grp),
-        "__gsum": F.sum("__sum").over(grp), "__gmin": F.min("__min").over(grp), "__gmax": F.max("__max").over(grp),
-        "__first": F.row_number().over(grp.orderBy(F.asc_nulls_first("__cell")))})
-    pv = F.array(*[F.lit(Decimal(str(p))).cast("decimal(20,18)") for p in probs], F.lit(None).cast("decimal(20,18)"))
-    rank = F.greatest(F.ceil(F.col("__p") * F.col("__n")).cast("long"), F.lit(1))
-    targets = counts.withColumn("__p", F.explode(pv)).withColumn("__local", rank - (F.col("__end") - F.col("__cnt")))
-    stats = ["__n", "__gsum", "__gmin", "__gmax"]
-    carrier = targets.filter("__p is null and __first = 1").select(*ks, "__p", F.lit(None).cast(base.schema["__v"].dataType).alias("__v"), *stats)
-    targets = targets.filter("__p is not null and __local between 1 and __cnt").select(*ks, "__cell", "__p", "__local", *stats)
-
-    ts = [f"__t{i}" for i in range(len(ks))]
-    wanted = targets.select(*ks, "__cell").distinct().toDF(*ts, "__tcell")
-    same = _same_keys([*ks, "__cell"], [*ts, "__tcell"])
-    values = placed.join(F.broadcast(wanted) if few else wanted, same, "left_semi").groupBy(*ks, "__cell", "__v").agg(
-        F.count(F.lit(1)).alias("__cnt"))
-    last = F.sum("__cnt").over(Window.partitionBy(*ks, "__cell").orderBy("__v"))
-    values = values.withColumn("__last", last)
-    named = targets.toDF(*ts, "__tcell", *targets.columns[len(ks) + 1:])
-    found = values.join(F.broadcast(named) if few else named,
-                        same & (F.col("__local") <= F.col("__last")) & (F.col("__local") > F.col("__last") - F.col("__cnt")))
-    out = found.select(*ks, "__p", "__v", *stats).union(carrier)
-    return out.select(*[F.col(a).alias(k) for a, k in zip(ks, keys)], F.col("__p").cast("double").alias("prob"),
-                      F.col("__v").alias("value"), F.col("__n").alias("n"), F.col("__gsum").alias("sum"),
-                      F.col("__gmin").alias("min"), F.col("__gmax").alias("max"))
-
-
 def exact_quantiles_long(df: DataFrame, by, c: str, probs) -> DataFrame:
     """Exact discrete quantiles (inverted CDF: the ceil(p * n)-th smallest non-NULL value, as
-    SQL ``percentile_disc``/``quantile_disc``) per group, as rows (by..., prob, value), by
-    bracket and refine (:func:`_exact_core`): no row shuffle, no value list per group, and
-    a hot group or a hot value is counted before any shuffle.
+    SQL ``percentile_disc``/``quantile_disc``) per group, as rows (by..., prob, value; fresh
+    names where a key has one of these), by selection in rounds
+    (:mod:`regispark.operators.selection`): one read of the input, no row shuffle, no value
+    list per group, and a hot group or a hot value is counted before any shuffle.
     """
     keys = as_list(by)
-    rows = _exact_core(df, keys, c, probs)
-    return rows.filter(F.col("prob").isNotNull()).select(*[_c(k) for k in keys], "prob", "value")
+    rows = selected(df, keys, c, probs).filter("p is not null and n > 0")
+    return rows.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keys)], F.col("p").cast("double").alias(fresh(keys, "prob")),
+                       F.col("value").alias(fresh(keys, "value")))
 
 
 def pct_name(p: float) -> str:
@@ -179,16 +86,17 @@ def group_profile(df: DataFrame, by, c: str, probs=PROFILE_PROBS, accuracy: int
     """A3: per group count, mean, min, percentiles, max.
 
     Default: one aggregate with a bounded-memory ``percentile_approx`` sketch per group
-    (relative rank error 1/accuracy). ``exact=True``: exact discrete percentiles through
-    :func:`exact_quantiles_long` (bracket and refine), with the statistics of the same pass."""
+    (relative rank error 1/accuracy). ``exact=True``: exact discrete percentiles by selection
+    in rounds, with the statistics of its first pass; a statistic gets a fresh name where a
+    key has its name."""
     keys = as_list(by)
     if exact:
-        rows = _exact_core(df, keys, c, probs)
-        out = rows.groupBy(*[_c(k) for k in keys]).agg(
-            F.max("n").alias("n"), F.max("sum").alias("__sum"), F.max("min").alias("min"), F.max("max").alias("max"),
-            *[F.max(F.when(F.col("prob") == float(p), F.col("value"))).alias(pct_name(p)) for p in probs])
-        out = out.withColumn("mean", F.when(F.col("n") > 0, F.col("__sum") / F.col("n")))
-        return out.select(*[_c(k) for k in keys], "n", "mean", "min", *[pct_name(p) for p in probs], "max")
+        ks = [f"k{i}" for i in range(len(keys))]
+        out = selected(df, keys, c, probs).groupBy(*ks).agg(
+            *[F.expr(f"max({x}) AS {x}") for x in ("n", "total", "least", "most")],
+            *[F.expr(f"max(CASE WHEN CAST(p AS DOUBLE) = CAST({float(p)!r} AS DOUBLE) THEN value END) AS q{i}") for i, p in enumerate(probs)])
+        stats = {"n": "n", "mean": "CASE WHEN n > 0 THEN total / n END", "min": "least", **{pct_name(p): f"q{i}" for i, p in enumerate(probs)}, "max": "most"}
+        return out.selectExpr(*[f"{a} AS {quote(k)}" for a, k in zip(ks, keys)], *[f"{v} AS {quote(fresh(keys, s))}" for s, v in stats.items()])
     q = fresh(df.columns, "__q")
     agg = df.groupBy(*[_c(k) for k in keys]).agg(
         F.count(_c(c)).alias("n"),
@@ -205,7 +113,7 @@ def quantiles(df: DataFrame, c: str, probs, accuracy: int = DEFAULT_ACCURACY, ex
     """A4: global quantiles as (prob, value) rows.
 
     Default: one distributed sketch aggregate. ``exact=True`` (relative error 0): exact
-    discrete quantiles by bracket and refine."""
+    discrete quantiles by selection in rounds."""
     probs = list(probs)
     if exact:
         return exact_quantiles_long(df, [], c, probs)
@@ -222,8 +130,8 @@ def filtered_mean(df: DataFrame, c: str, lo, hi, digits: int = 2) -> DataFrame:
 def summary_long(df: DataFrame, cols, accuracy: int = DEFAULT_ACCURACY, exact: bool = False) -> DataFrame:
     """Count, mean, stddev, min, 25/50/75 %, max per column, long form.
 
-    Default: one aggregate with sketches. ``exact=True``: quartiles from an exact
-    bracket and refine per column (then joined to the one-pass moments)."""
+    Default: one aggregate with sketches. ``exact=True``: exact quartiles per
+    column (then joined to the one-pass moments)."""
     cols = as_list(cols)
     if exact:
         moments = describe_long(df, cols)
@@ -277,7 +185,7 @@ def duplicate_audit(df: DataFrame, cols=None) -> DataFrame:
     (equal to ``count()`` vs ``dropDuplicates().count()``; NULLs group together)."""
     cols = as_list(cols) or df.columns
     g = df.groupBy(*[_c(c) for c in cols]).agg(F.count(F.lit(1)).alias("__n"))
-    return g.agg(F.sum("__n").alias("rows"), F.count(F.lit(1)).alias("distinct_rows")) \
+    return g.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("distinct_rows")) \
         .withColumn("duplicate_rows", F.col("rows") - F.col("distinct_rows"))
 
 
@@ -327,18 +235,26 @@ def five_number(df: DataFrame, c: str, accuracy: int = DEFAULT_ACCURACY) -> Data
         .select("min", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"), F.col("__q")[2].alias("q3"), "max")
 
 
+def corr_or_null(a: Column, b: Column) -> Column:
+    """Pearson correlation over complete pairs; NULL, not an error, where one is constant."""
+    both = a.isNotNull() & b.isNotNull()
+    x, y = F.when(both, a), F.when(both, b)
+    return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x)) * F.sqrt(F.var_pop(y)))
+
+
 def corr_matrix(df: DataFrame, cols, nulls: str = "pairwise") -> DataFrame:
     """Pearson matrix in long form (column_a, column_b, corr) from ONE aggregate.
 
     ``pairwise``: a pair with a NULL is skipped (``corr``). ``zero``: NULL counts as 0, the
-    behaviour of ``DataFrame.stat.corr`` on nullable columns.
+    behaviour of ``DataFrame.stat.corr`` on nullable columns. A constant column correlates
+    with nothing: NULL.
     """
     cols = as_list(cols)
     if nulls not in ("pairwise", "zero"):
         raise ValueError("nulls must be 'pairwise' or 'zero'")
     val = (lambda c: F.coalesce(_c(c).cast("double"), F.lit(0.0))) if nulls == "zero" else (lambda c: _c(c).cast("double"))
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    wide = df.agg(F.lit(1).alias("__one"), *[F.corr(val(cols[i]), val(cols[j])).alias(f"r{i}_{j}") for i, j in pairs])
+    wide = df.agg(F.lit(1).alias("__one"), *[corr_or_null(val(cols[i]), val(cols[j])).alias(f"r{i}_{j}") for i, j in pairs])
     items = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -54,3 +55,13 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def written(df, name: str = "written"):
+    """``df`` written once as Parquet below ``spark.checkpoint.dir`` and read back: later steps
+    read the files, never the lineage, so a result that depends on the order of merges (a
+    sketch) or is dear to compute is the same for all of them and survives lost executors."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -4,7 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from regispark.operators import joins as J, profile as A, quality as D, projection as P, filters as FL
+from regispark.operators import joins as J, profile as A, quality as D, projection as P, selection as Q, filters as FL
 from conftest import rows
 
 
@@ -135,15 +135,14 @@ def test_hash_split_is_layout_independent(spark):
     assert sorted(r[0] for r in tr1.collect()) == sorted(r[0] for r in tr2.collect())
 
 
-@pytest.mark.parametrize("accuracy, groups", [(10_000, 10_000), (50, 10_000), (50, 1), (2, 10_000)])
-def test_exact_quantiles_hot_group_matches_brute_force(spark, monkeypatch, accuracy, groups):
+@pytest.mark.parametrize("accuracy, reach, values, refine", [
+    (10_000, 1.5, 10**6, 64), (50, 1.5, 10**6, 64), (2, 0.0, 10**6, 64), (50, 1.5, 20, 4), (2, 0.0, 1, 2)])
+def test_exact_quantiles_hot_group_matches_brute_force(spark, monkeypatch, accuracy, reach, values, refine):
     import random
 
-    # coarse brackets, brackets that miss the rank, and brackets joined instead of broadcast
-    monkeypatch.setattr(A, "BRACKET_ACCURACY", accuracy)
-    monkeypatch.setattr(A, "MAX_BROADCAST_GROUPS", groups)
-    if accuracy == 2:
-        monkeypatch.setattr(A, "BRACKET_REACH", 0.0)
+    # coarse cuts, cuts that miss the rank, and cells that take several rounds
+    for name, v in (("ACCURACY", accuracy), ("REACH", reach), ("CELL_VALUES", values), ("REFINE", refine)):
+        monkeypatch.setattr(Q, name, v)
 
     rnd = random.Random(11)
     data = [("hot", float(rnd.randint(0, 500))) for _ in range(3000)] + \
@@ -164,19 +163,38 @@ def test_exact_quantiles_hot_group_matches_brute_force(spark, monkeypatch, accur
     assert {r.g: r.p50 for r in prof}["hot"] == got[("hot", 0.5)]
 
 
-def test_exact_quantiles_of_many_groups_use_one_set_of_cuts(spark, monkeypatch):
-    """Too many groups to broadcast, one of them hot and spread over many partitions."""
-    monkeypatch.setattr(A, "MAX_BROADCAST_GROUPS", 5)
-    monkeypatch.setattr(A, "BRACKET_ACCURACY", 20)
+def test_exact_quantiles_of_many_groups_and_clashing_names(spark, monkeypatch):
+    """A hot group over many partitions among many small ones; keys named as the results."""
+    monkeypatch.setattr(Q, "ACCURACY", 20)
     data = [("hot", (i * 7919) % 4001) for i in range(4001)] + [(f"g{i % 30}", i) for i in range(300)] + [(None, 3), ("none", None)]
-    df = spark.createDataFrame(data, "g string, x long").repartition(16)
-    out = A.exact_quantiles_long(df, "g", "x", [0.25, 0.5, 0.9])
+    names = ["prob", "value", "n", "sum", "min", "max", "k0", "v", "cuts", "rank"]
+    df = spark.createDataFrame(data, "g string, x long").repartition(16).select(*[F.col("g").alias(n) for n in names], "x")
+    out = A.exact_quantiles_long(df, ["prob", "value"], "x", [0.25, 0.5, 0.9])
     assert "percentile_approx" not in out._jdf.queryExecution().optimizedPlan().toString()
-    got = {(r.g, r.prob): r.value for r in out.collect()}
+    assert out.columns == ["prob", "value", "prob_1", "value_1"]
+    got = {(r["prob"], r["prob_1"]): r["value_1"] for r in out.collect()}
     assert len(got) == 3 * 32
+    prof = A.group_profile(df, names, "x", [0.25, 0.5, 0.9], exact=True)
+    assert prof.columns == [*names, "n_1", "mean", "min_1", "p25", "p50", "p90", "max_1"]
+    wide = {r["cuts"]: r for r in prof.collect()}
+    assert len(wide) == 33 and wide["none"]["n_1"] == 0
     for g in {k for k, _ in data} - {"none"}:
         vals = sorted(x for k, x in data if k == g)
-        assert all(got[(g, p)] == vals[math.ceil(p * len(vals)) - 1] for p in (0.25, 0.5, 0.9)), g
+        want = [vals[math.ceil(p * len(vals)) - 1] for p in (0.25, 0.5, 0.9)]
+        assert [got[(g, p)] for p in (0.25, 0.5, 0.9)] == want == [wide[g][c] for c in ("p25", "p50", "p90")], g
+        assert (wide[g]["n_1"], wide[g]["min_1"], wide[g]["max_1"]) == (len(vals), vals[0], vals[-1])
+
+
+def test_exact_quantiles_read_the_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(5000).select((F.col("id") % 3).alias("g"), "id").mapInArrow(count, "g long, id long")
+    assert A.group_profile(df, "g", "id", [0.1, 0.5], exact=True).count() == 3 and seen.value == 5000
 
 
 def test_exact_quantiles_of_other_types_and_odd_values(spark):
@@ -193,6 +211,11 @@ def test_exact_quantiles_of_other_types_and_odd_values(spark):
 
     assert median("x") == 5.0 and math.isnan(median("x", 1.0))  # NaN sorts last
     assert median("big", 0.75) == 2**53 + 1 and median("d") == Decimal("2.20")
+    assert median("t") == datetime.date(2020, 1, 1) and median("t", 0.9) == datetime.date(2021, 1, 1)
+    days = A.group_profile(df, ["d"], "t", [0.5], exact=True).where("d is null").first()
+    assert days.n == 1 and days.mean is None and days.p50 == days.max == datetime.date(2019, 1, 1)
+    with pytest.raises(TypeError, match="numbers, dates or times"):
+        A.quantiles(df.select(F.lit("a").alias("s")), "s", [0.5], exact=True)
     assert A.exact_quantiles_long(df.limit(0), [], "x", [0.5]).count() == 0
     assert A.exact_quantiles_long(df.select(F.lit(None).cast("double").alias("x")), [], "x", [0.5]).count() == 0
 
@@ -271,3 +294,11 @@ def test_bucket_binary_search_matches_tree(spark, monkeypatch):
     import bisect
     flat = [b[0] for b in bounds]
     assert all(r.b == bisect.bisect_right(flat, r.k) for r in big)
+
+
+def test_audit_and_correlation_of_degenerate_tables(spark):
+    df = spark.createDataFrame([(1.0, 5.0, None), (2.0, 5.0, None), (4.0, 5.0, 1.0)], "a double, c double, n double")
+    assert A.duplicate_audit(df.limit(0)).first() == (0, 0, 0)
+    got = {(r.column_a, r.column_b): r.corr for r in A.corr_matrix(df, ["a", "c", "n"]).collect()}
+    assert got["a", "a"] == 1.0 and got["a", "c"] is None and got["a", "n"] is None
+    assert {r.corr for r in A.corr_matrix(df.limit(0), ["a", "c"]).collect()} == {1.0, None}
