@@ -8,16 +8,20 @@ Feature names are read from the ``ml_attr`` metadata that ``VectorAssembler`` /
 
 from __future__ import annotations
 
+import math
 from contextlib import contextmanager
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import (ChiSqSelector, RFormula, StringIndexer, UnivariateFeatureSelector,
-                                VarianceThresholdSelector, VectorAssembler, VectorSlicer)
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.ml.feature import (RFormula, StringIndexer, UnivariateFeatureSelector, VarianceThresholdSelector, VectorAssembler,
+                                VectorSlicer)
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .._util import as_list, quote, spread_for_iterations
+from . import linear
 from .projection import split_columns
+from .tails import with_p_value
 
 
 def vector_names(df: DataFrame, vector_col: str = "features") -> list[str]:
@@ -152,25 +156,42 @@ def variance_select(df: DataFrame, numeric, threshold: float = 0.5) -> DataFrame
     return df.sparkSession.createDataFrame([(n,) for n in chosen], "feature string")
 
 
+def contingency(df: DataFrame, label: str, categorical) -> DataFrame:
+    """(feature, category, class, n): the contingency tables of all features against the label
+    from one scan and one map-side aggregate. Rows whose label or category is NULL are left
+    out of the feature's table."""
+    held = [F.struct(F.lit(c).alias("feature"), F.col(quote(c)).cast("string").alias("category")) for c in as_list(categorical)]
+    cells = df.where(F.col(quote(label)).isNotNull()).select(F.col(quote(label)).cast("string").alias("class"), F.inline(F.array(*held)))
+    return cells.where("category is not null").groupBy("feature", "category", "class").agg(F.count(F.lit(1)).alias("n"))
+
+
+def chi_square_statistics(df: DataFrame, label: str, categorical) -> DataFrame:
+    """(feature, statistic, dof) of the independence test of every feature against the label,
+    in plain aggregates over the contingency tables. A feature or label of one value has 0
+    degrees of freedom and no statistic; a feature without rows is not listed."""
+    n = F.col("n").cast("double")
+    cells = contingency(df, label, categorical).withColumns({
+        "row": F.sum(n).over(Window.partitionBy("feature", "category")), "col": F.sum(n).over(Window.partitionBy("feature", "class"))})
+    out = cells.groupBy("feature").agg(
+        F.sum(n).alias("total"), F.sum(n * n / (F.col("row") * F.col("col"))).alias("fit"),
+        ((F.count_distinct("category") - 1) * (F.count_distinct("class") - 1)).alias("dof"))
+    return out.select("feature", F.when(F.col("dof") > 0, F.greatest(F.col("total") * (F.col("fit") - 1), F.lit(0.0))).alias("statistic"), "dof")
+
+
 def chisq_select(df: DataFrame, label: str, categorical, top: int = 4) -> DataFrame:
-    """Chi-square selector (top-N) over indexed categorical features and label."""
-    data, names = _prepared(df, label, categorical, [], index_label=True)
-    model = ChiSqSelector(featuresCol="features", labelCol="label", outputCol="selected",
-                          numTopFeatures=top).fit(data)
-    return df.sparkSession.createDataFrame([(names[i],) for i in model.selectedFeatures], "feature string")
+    """The ``top`` categorical features by the chi-square test, as (feature, rank), the most
+    dependent first. They are ranked by the normal score of the p-value (the cube root of
+    statistic by degrees of freedom), which does not underflow as p-values of many rows do."""
+    a = F.lit(2.0) / (9 * F.col("dof"))
+    score = (F.cbrt(F.col("statistic") / F.col("dof")) - (1 - a)) / F.sqrt(a)
+    best = chi_square_statistics(df, label, categorical).where("dof > 0").orderBy(score.desc(), "feature").limit(top)
+    return best.select("feature", (F.row_number().over(Window.orderBy(score.desc(), "feature")) - 1).cast("int").alias("rank"))
 
 
 def chi_square_test(df: DataFrame, label: str, categorical, alpha: float = 0.05) -> DataFrame:
-    """Chi-square independence test of each categorical feature against the label."""
-    from pyspark.ml.stat import ChiSquareTest
-
-    data, names = _prepared(df, label, categorical, [], index_label=True)
-    res = ChiSquareTest.test(data, "features", "label", flatten=True)
-    out = res.select(F.col("featureIndex").alias("i"), F.col("pValue").alias("p_value"),
-                     F.col("degreesOfFreedom").alias("dof"), F.col("statistic"))
-    lookup = df.sparkSession.createDataFrame(list(enumerate(names)), "i int, feature string")
-    return out.join(F.broadcast(lookup), "i").select("feature", "statistic", "dof", "p_value",
-                                                     (F.col("p_value") < alpha).alias("dependent"))
+    """Chi-square independence test of each categorical feature against the label:
+    (feature, statistic, dof, p_value, dependent)."""
+    return with_p_value(chi_square_statistics(df, label, categorical), "chi2", "statistic", "dof").withColumn("dependent", F.col("p_value") < alpha)
 
 
 def rformula(df: DataFrame, formula: str, handle_invalid: str = "keep") -> DataFrame:
@@ -180,8 +201,10 @@ def rformula(df: DataFrame, formula: str, handle_invalid: str = "keep") -> DataF
 
 
 def rformula_rf_rmse(df: DataFrame, formula: str, train_fraction: float = 0.75, seed: int = 1234,
-                     num_trees: int = 20, max_bins: int = 32, split_by=None) -> DataFrame:
-    """RFormula + random forest; test RMSE and per-slot importances (names from metadata)."""
+                     num_trees: int = 20, max_bins: int | None = None, split_by=None) -> DataFrame:
+    """RFormula + random forest; test RMSE and per-slot importances (names from metadata).
+    The split is by a hash of ``split_by`` (all columns unless given), whatever the layout;
+    ``max_bins`` is at least 32 and the largest category count unless given."""
     from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.regression import RandomForestRegressor
 
@@ -189,7 +212,8 @@ def rformula_rf_rmse(df: DataFrame, formula: str, train_fraction: float = 0.75,
 
     data = rformula(df, formula)
     names = vector_names(data)
-    train, test = split_train_test(data, train_fraction, seed, split_by)
+    train, test = split_train_test(data, train_fraction, seed, split_by or df.columns)
+    max_bins = max_bins or max(32, most_categories(data))
     with iterative_input(train) as rows:
         model = RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=num_trees, maxBins=max_bins,
                                       seed=seed).fit(rows)
@@ -206,18 +230,53 @@ def vector_slice(df: DataFrame, indices, vector_col: str = "features", out: str
     return VectorSlicer(inputCol=vector_col, outputCol=out, indices=list(indices)).transform(df)
 
 
-def kfold_rmse(df: DataFrame, formula: str, folds: int = 3, seed: int = 42, reg_params=(0.0,),
-               parallelism: int = 1) -> DataFrame:
-    """L15 (k-fold): cross-validated RMSE of a linear model over a small grid of regParam."""
-    from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.regression import LinearRegression
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-
-    data = rformula(df, formula)
-    lr = LinearRegression(featuresCol="features", labelCol="label")
-    grid = ParamGridBuilder().addGrid(lr.regParam, list(reg_params)).build()
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=RegressionEvaluator(metricName="rmse"),
-                        numFolds=folds, seed=seed, parallelism=parallelism)
-    model = cv.fit(data)
-    rows = [(float(p[lr.regParam]), float(m)) for p, m in zip(grid, model.avgMetrics)]
+def hash_fold(columns, folds: int, seed: int = 42) -> Column:
+    """A row's fold, 0 to ``folds`` - 1, from the MD5 of ``columns``: it depends on the row alone,
+    not on the layout, and rows equal in these columns share it."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(quote(c)).cast("string") for c in as_list(columns)])
+    return F.pmod(F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long"), F.lit(folds)).cast("int")
+
+
+def formula_parts(df: DataFrame, formula: str) -> tuple[str, list[str]] | None:
+    """Label and columns of a formula that is a plain sum of columns; None for any other."""
+    label, _, right = (x.strip() for x in formula.partition("~"))
+    terms = [t.strip() for t in right.split("+")]
+    if terms == ["."]:
+        terms = [c for c in df.columns if c != label]
+    return (label, terms) if label in df.columns and all(t in df.columns for t in terms) else None
+
+
+def kfold_rmse(df: DataFrame, formula: str, folds: int = 3, seed: int = 42, reg_params=(0.0,), by=None) -> DataFrame:
+    """L15 (k-fold): cross-validated RMSE of a linear model for each ridge parameter, as
+    (reg_param, rmse), the mean over folds of the root mean squared error.
+
+    Rows are dealt to folds by a hash of the columns ``by`` (all columns unless given). The
+    moments per fold, one scan and one aggregate, are sufficient: a training set's are the
+    total less its fold's, and every parameter is solved from them. The penalty is Spark ML's:
+    on features scaled to unit variance, with the label scaled too. Formulas other than a sum
+    of columns go through RFormula and its dense slots. A fold without rows is left out."""
+    fold = hash_fold(by or df.columns, folds, seed)
+    parts = formula_parts(df, formula)
+    if parts is None:
+        from pyspark.ml.functions import vector_to_array
+
+        dense = rformula(df, formula)
+        names = [f"slot{i}" for i in range(len(vector_names(dense)))]
+        slots = vector_to_array("features")
+        df = dense.select(F.col("label").alias("y"), *[slots[i].alias(c) for i, c in enumerate(names)], fold.alias("fold"))
+        parts, fold = ("y", names), F.col("fold")
+    per_fold = linear.moments(df, *parts, by=fold, reference="rare")
+    rows = []
+    for lam in reg_params:
+        errors = []
+        for g, test in per_fold.items():
+            others = [m for h, m in per_fold.items() if h != g]
+            if not others:
+                continue
+            train = linear.merged(others)
+            deviation = math.sqrt(train.cross[-1, -1] / train.n)
+            scaled = lam / deviation if deviation > 0 else 0.0
+            model = linear.fit(train, scaled * np.diag(train.cross)[:-1])
+            errors.append(math.sqrt(model.squared_error(test) / test.n))
+        rows.append((float(lam), sum(errors) / len(errors) if errors else None))
     return df.sparkSession.createDataFrame(rows, "reg_param double, rmse double")

@@ -54,12 +54,9 @@ def sample_rows(df: DataFrame, fraction: float, seed: int) -> DataFrame:
 def split_train_test(df: DataFrame, fraction: float = 0.75, seed: int = 1234, by=None) -> tuple[DataFrame, DataFrame]:
     """train/test split.
 
-    Without ``by``: ``randomSplit`` (depends on partition layout). With ``by``: a hash of
-    the key columns and the seed decides, so the split is the same for any layout/rerun.
+    A hash of the columns ``by`` (all columns unless given) and the seed decides, so the split
+    is the same for any layout and rerun; rows equal in these columns go the same way.
     """
-    if not by:
-        train, test = df.randomSplit([fraction, 1 - fraction], seed)
-        return train, test
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(quote(c)) for c in as_list(by)]), F.lit(10_000))
+    bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(quote(c)) for c in as_list(by) or df.columns]), F.lit(10_000))
     cut = int(round(fraction * 10_000))
     return df.filter(bucket < cut), df.filter(bucket >= cut)

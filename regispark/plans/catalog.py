@@ -9,6 +9,8 @@ value hash.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import functions as X
@@ -726,12 +728,61 @@ def union_shards(spark, d):
 # ---------------------------------------------------------------------------
 # Feature statistics (L6, L7, L10) with closed-form SQL twins
 # ---------------------------------------------------------------------------
+def ols_sql(base: str, xs: list[str], y: str, by: str = "0", scale: str = "1") -> str:
+    """DuckDB CTEs ``ols_*`` ending in ``ols``: per ``by`` as g, n, means m1.. and my, population
+    (co)variances s1_1.. s1_y.. syy and the coefficients b0, b1.. of y ~ xs, by elimination on
+    the centred normal equations whose diagonal is multiplied by ``scale``."""
+    k = len(xs)
+    terms = [f"avg({x}) AS m{i}" for i, x in enumerate(xs, 1)]
+    terms += [f"covar_pop({xs[i - 1]}, {xs[j - 1]}) AS s{i}_{j}" for i in range(1, k + 1) for j in range(i, k + 1)]
+    terms += [f"covar_pop({x}, {y}) AS s{i}_y" for i, x in enumerate(xs, 1)]
+    start = [f"s{min(i, j)}_{max(i, j)}" + (f" * ({scale})" if i == j else "") + f" AS a{i}_{j}" for i in range(1, k + 1) for j in range(1, k + 1)]
+    ctes = [f"ols_0 AS (SELECT *, {', '.join(start)}, {', '.join(f's{i}_y AS a{i}_y' for i in range(1, k + 1))} FROM ("
+            f"SELECT {by} AS g, count(*) AS n, avg({y}) AS my, var_pop({y}) AS syy, {', '.join(terms)} FROM {base} GROUP BY ALL))"]
+    for q in range(1, k + 1):
+        new = [f"a{i}_{j} - a{i}_{q} * a{q}_{j} / a{q}_{q} AS a{i}_{j}" for i in range(1, k + 1) if i != q for j in [*range(1, k + 1), "y"]]
+        ctes.append(f"ols_{q} AS (SELECT * REPLACE ({', '.join(new)}) FROM ols_{q - 1})" if new else f"ols_{q} AS (SELECT * FROM ols_{q - 1})")
+    slopes = ", ".join(f"a{i}_y / a{i}_{i} AS b{i}" for i in range(1, k + 1))
+    return ", ".join([*ctes, f"ols AS (SELECT *, my{''.join(f' - b{i} * m{i}' for i in range(1, k + 1))} AS b0 FROM (SELECT *, {slopes} FROM ols_{k}))"])
+
+
+_TRAITS = ["l_linestatus", "o_orderstatus", "o_orderpriority", "half", "quarter", "part_class"]
+_TRAITS_SQL = """t AS (SELECT l_returnflag, l_linestatus, o_orderstatus, o_orderpriority, CASE WHEN month(l_shipdate) < 7 THEN 'H1' ELSE 'H2' END AS half,
+       CAST(quarter(o_orderdate) AS VARCHAR) AS quarter, CAST(l_partkey % 7 AS VARCHAR) AS part_class
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+
+def _traits(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus", "l_partkey", "l_shipdate")
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus", "o_orderpriority", "o_orderdate")
+    return li.join(o, "l_orderkey").select(
+        "l_returnflag", "l_linestatus", "o_orderstatus", "o_orderpriority", F.when(F.month("l_shipdate") < 7, "H1").otherwise("H2").alias("half"),
+        F.quarter("o_orderdate").cast("string").alias("quarter"), (F.col("l_partkey") % 7).cast("string").alias("part_class"))
+
+
+def _chi_sql(features: list[str], label: str) -> str:
+    """CTE ``x``: (feature, statistic, dof) of each feature of ``t`` against ``label``."""
+    one = """SELECT '{c}' AS feature, sum(n * n / (ra * rb)) * max(total) - max(total) AS statistic,
+        (count(DISTINCT a) - 1) * (count(DISTINCT b) - 1) AS dof FROM (
+        SELECT a, b, CAST(n AS DOUBLE) AS n, CAST(sum(n) OVER (PARTITION BY a) AS DOUBLE) AS ra, CAST(sum(n) OVER (PARTITION BY b) AS DOUBLE) AS rb,
+               CAST(sum(n) OVER () AS DOUBLE) AS total
+        FROM (SELECT {c} AS a, {label} AS b, count(*) AS n FROM t WHERE {c} IS NOT NULL AND {label} IS NOT NULL GROUP BY 1, 2))"""
+    return "x AS (" + " UNION ALL ".join(one.format(c=c, label=label) for c in features) + ")"
+
+
+@register("chi_square_features", f"WITH {_TRAITS_SQL}, {_chi_sql(_TRAITS, 'l_returnflag')} SELECT feature, round(statistic, 4) AS statistic, dof FROM x")
+def chi_square_features(spark, d):
+    """All categoricals against the label from one scan; the tails are tested in tests/test_stats.py."""
+    r = L.chi_square_test(_traits(spark, d), "l_returnflag", _TRAITS)
+    return r.select("feature", _r("statistic", 4).alias("statistic"), "dof")
+
+
 @register("chi_square", """
 WITH t AS (SELECT l_returnflag AS a, l_linestatus AS b, count(*) AS o FROM lineitem GROUP BY 1, 2),
 ra AS (SELECT a, sum(o) AS na FROM t GROUP BY 1), rb AS (SELECT b, sum(o) AS nb FROM t GROUP BY 1),
 n AS (SELECT sum(o) AS n FROM t),
 g AS (SELECT ra.a, rb.b, ra.na * rb.nb / n.n AS e, COALESCE(t.o, 0) AS o FROM ra, rb, n LEFT JOIN t ON t.a = ra.a AND t.b = rb.b)
-SELECT 'l_returnflag_index' AS feature, round(sum((o - e) * (o - e) / e), 6) AS statistic,
+SELECT 'l_returnflag' AS feature, round(sum((o - e) * (o - e) / e), 6) AS statistic,
        ((SELECT count(*) FROM ra) - 1) * ((SELECT count(*) FROM rb) - 1) AS dof FROM g
 """)
 def chi_square(spark, d):
@@ -814,6 +865,33 @@ def breusch_pagan(spark, d):
     return out.select("n", _r("lm", 4).alias("lm"), "dof")
 
 
+_DUMMIES = ["CAST(l_returnflag = 'N' AS DOUBLE)", "CAST(l_returnflag = 'R' AS DOUBLE)", "CAST(l_linestatus = 'O' AS DOUBLE)", "l_discount"]
+
+
+@register("breusch_pagan_categorical", f"""
+WITH f AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a FROM lineitem),
+r AS (SELECT l_returnflag, l_linestatus, l_discount, l_extendedprice - (f.a + f.b * l_quantity) AS e FROM lineitem, f),
+{ols_sql("r", _DUMMIES, "e * e")}
+SELECT n, round(n * (b1 * s1_y + b2 * s2_y + b3 * s3_y + b4 * s4_y) / syy, 4) AS lm, 4 AS dof FROM ols
+""")
+def breusch_pagan_categorical(spark, d):
+    """Two string regressors, by level, and a number."""
+    res = T.residuals(table(spark, d, "lineitem"), "l_extendedprice", ["l_quantity"], "e", keep=["l_returnflag", "l_linestatus", "l_discount"])
+    out = T.breusch_pagan(res, "e", ["l_returnflag", "l_linestatus", "l_discount"])
+    return out.select("n", _r("lm", 4).alias("lm"), "dof")
+
+
+@register("vif_degenerate", """
+SELECT 'l_quantity' AS column, CAST('Infinity' AS DOUBLE) AS vif UNION ALL SELECT 'twice', CAST('Infinity' AS DOUBLE)
+UNION ALL SELECT 'same', CASE WHEN count(*) < 0 THEN 0.0::DOUBLE END FROM lineitem
+UNION ALL SELECT 'l_discount', round(1 / (1 - power(corr(l_quantity, l_discount), 2)), 6) FROM lineitem
+""")
+def vif_degenerate(spark, d):
+    """A column, a linear function of it, a constant, and one that depends on neither."""
+    li = table(spark, d, "lineitem").withColumns({"twice": 2 * F.col("l_quantity") + 1, "same": F.lit(7.0)})
+    return T.vif(li, ["l_quantity", "twice", "same", "l_discount"]).withColumn("vif", F.when(F.col("vif") < float("inf"), _r("vif")).otherwise(F.col("vif")))
+
+
 @register("breusch_godfrey", """
 WITH f AS (SELECT regr_slope(value, user_id) AS b, regr_intercept(value, user_id) AS a FROM events),
 r AS (SELECT event_id, CAST(user_id AS DOUBLE) AS x, value - (f.a + f.b * user_id) AS e FROM events, f),
@@ -893,10 +971,23 @@ def univariate_selector_numeric(spark, d):
     return L.univariate_select(_model_frame(spark, d), "l_extendedprice", _SELECT_FROM, top=2)
 
 
-@register("linear_importance")
+def _index_sql(c: str) -> str:
+    """The index of each value of ``c``, the most frequent first, as a table (v, i)."""
+    return f"(SELECT {c} AS v, CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS DOUBLE) AS i FROM lineitem GROUP BY 1)"
+
+
+_IMPORTANCE = ["l_returnflag_index", "l_linestatus_index", "l_quantity", "l_discount", "l_tax"]
+
+
+@register("linear_importance", f"""
+WITH r AS (SELECT a.i AS l_returnflag_index, b.i AS l_linestatus_index, l_quantity, l_discount, l_tax, l_extendedprice
+           FROM lineitem JOIN {_index_sql("l_returnflag")} a ON a.v = l_returnflag JOIN {_index_sql("l_linestatus")} b ON b.v = l_linestatus),
+{ols_sql("r", _IMPORTANCE, "l_extendedprice")}
+""" + " UNION ALL ".join(f"SELECT '{c}' AS feature, round(b{i}, 2) AS coefficient FROM ols" for i, c in enumerate(_IMPORTANCE, 1)))
 def linear_importance(spark, d):
-    return L.linear_importance(_model_frame(spark, d), "l_extendedprice", ["l_returnflag", "l_linestatus"],
-                               ["l_quantity", "l_discount", "l_tax"], threshold=None)
+    out = L.linear_importance(_model_frame(spark, d), "l_extendedprice", ["l_returnflag", "l_linestatus"],
+                              ["l_quantity", "l_discount", "l_tax"], threshold=None)
+    return out.withColumn("coefficient", _r("coefficient", 2))
 
 
 @register("logistic_importance")
@@ -925,9 +1016,11 @@ def vector_slice(spark, d):
     return kept.select("label", *[F.col("v")[j].alias(f"slot_{i}") for j, i in enumerate((0, 1, 3))])
 
 
-@register("chisq_selector")
+@register("chisq_selector", f"""WITH {_TRAITS_SQL}, {_chi_sql(_TRAITS, 'l_returnflag')},
+s AS (SELECT feature, (cbrt(statistic / dof) - (1 - 2 / (9.0 * dof))) / sqrt(2 / (9.0 * dof)) AS score FROM x)
+SELECT feature, CAST(row_number() OVER (ORDER BY score DESC) - 1 AS INTEGER) AS rank FROM s ORDER BY score DESC LIMIT 2""")
 def chisq_selector(spark, d):
-    return L.chisq_select(_model_frame(spark, d), "l_linestatus", ["l_returnflag"], top=1)
+    return L.chisq_select(_traits(spark, d), "l_returnflag", _TRAITS, top=2)
 
 
 @register("univariate_selector", _top_features_sql(" UNION ALL ".join(
@@ -947,10 +1040,24 @@ def variance_selector(spark, d):
     return L.variance_select(_model_frame(spark, d), _VARYING, 0.5)
 
 
-@register("kfold_rmse")
+_FOLD = "CAST('0x' || substr(md5('42|' || l_orderkey || '|' || l_linenumber), 1, 15) AS BIGINT) % 3"
+_RIDGE = (0.0, 0.1, 1000.0)
+
+
+def _kfold_sql(lam: float) -> str:
+    error = "l_extendedprice - b0 - b1 * l_quantity - b2 * l_discount - b3 * l_tax"
+    return f"""(WITH f AS (SELECT *, {_FOLD} AS fold FROM lineitem), r AS (SELECT f.*, t.k FROM f JOIN range(3) t(k) ON f.fold <> t.k),
+        {ols_sql("r", ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", "k", f"1 + {lam!r} / sqrt(syy)")}
+        SELECT CAST({lam!r} AS DOUBLE) AS reg_param, round(avg(rmse), 4) AS rmse FROM (
+            SELECT g, sqrt(avg(power({error}, 2))) AS rmse FROM f JOIN ols ON f.fold = ols.g GROUP BY g))"""
+
+
+@register("kfold_rmse", " UNION ALL ".join(f"SELECT * FROM {_kfold_sql(lam)}" for lam in _RIDGE))
 def kfold_rmse(spark, d):
-    return L.kfold_rmse(_model_frame(spark, d), "l_extendedprice ~ l_quantity + l_discount + l_tax", folds=3,
-                        reg_params=(0.0, 0.1), parallelism=2)
+    """Every parameter from one scan; folds by a hash of the line's key."""
+    out = L.kfold_rmse(table(spark, d, "lineitem"), "l_extendedprice ~ l_quantity + l_discount + l_tax", folds=3, reg_params=_RIDGE,
+                       by=["l_orderkey", "l_linenumber"])
+    return out.withColumn("rmse", _r("rmse", 4))
 
 
 # the normal equations of three centred features, solved by the adjugate of their 3 x 3 matrix
@@ -985,9 +1092,17 @@ def linear_diagnostics(spark, d):
         {c: _r(c, digits.get(c, 4)) for c in ("coefficient", "t_value", "r2", "r2_adj", "mse", "rmse", "mae", "f_value")})
 
 
-@register("ks_normal")
+@register("ks_normal", f"""
+WITH m AS (SELECT count(value) AS n, avg(value) AS mean, stddev_samp(value) AS sd FROM events),
+c AS (SELECT value AS x, count(*) AS m FROM events WHERE value IS NOT NULL GROUP BY 1),
+z AS (SELECT m.n, c.m, (c.x - m.mean) / m.sd AS z, sum(c.m) OVER (ORDER BY c.x) - c.m AS before FROM c, m),
+f AS (SELECT *, {re.sub(r"(?<=[0-9])D", "::DOUBLE", T.normal_cdf_sql("z"))} AS f FROM z)
+SELECT m.n, round(mean, 6) AS mean, round(sd, 6) AS stddev, round((SELECT max(greatest(f - before / n, (before + m) / n - f)) FROM f), 8) AS statistic FROM m
+""")
 def ks_normal(spark, d):
-    return T.ks_normal(table(spark, d, "events"), "value")
+    """All but the p-value, which is held against the published table (tests/test_stats.py)."""
+    out = T.ks_normal(table(spark, d, "events"), "value")
+    return out.select("n", _r("mean").alias("mean"), _r("stddev").alias("stddev"), _r("statistic", 8).alias("statistic"))
 
 
 # ---------------------------------------------------------------------------
@@ -1371,7 +1486,7 @@ WITH t AS (SELECT CAST(toxic AS VARCHAR) AS a, CAST(quality AS VARCHAR) AS b, co
 ra AS (SELECT a, sum(o) AS na FROM t GROUP BY 1), rb AS (SELECT b, sum(o) AS nb FROM t GROUP BY 1),
 n AS (SELECT sum(o) AS n FROM t),
 g AS (SELECT ra.a, rb.b, ra.na * rb.nb / n.n AS e, COALESCE(t.o, 0) AS o FROM ra, rb, n LEFT JOIN t ON t.a = ra.a AND t.b = rb.b)
-SELECT 'toxic_index' AS feature, round(sum((o - e) * (o - e) / e), 6) AS statistic,
+SELECT 'toxic' AS feature, round(sum((o - e) * (o - e) / e), 6) AS statistic,
        ((SELECT count(*) FROM ra) - 1) * ((SELECT count(*) FROM rb) - 1) AS dof FROM g
 """)
 def labels_chi_square(spark, d):
