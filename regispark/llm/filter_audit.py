@@ -6,14 +6,17 @@ whole table, and the file stream reads it in micro-batches whose order is not th
 ids. So a keyed state holds, per text, the smallest id so far and whom it stands for. A
 smaller id that comes later retracts what the former one had added to the part counters
 (-1 without E, +1 with E) and takes its place; the sum of all changes does not depend on the
-order or number of the micro-batches.
+order or number of the micro-batches. Texts are kept in small buckets of their digest, about
+``BUCKET`` a bucket, since a call per text costs some milliseconds and one per bucket the same.
 
 Per micro-batch: each task measures its texts (words, capitals, a 256-bit digest) and drops
 them; labels join on the id; each task then adds up the rows of equal texts, so a text that
 a third of all rows share arrives as a few rows; rows above the least id of such a sum can
 never pass E and go by the state. The changes are added up per task and appended by the
 exactly-once file sink. Stream checkpoint, state and changes lie below
-``spark.checkpoint.dir``, so a lost executor repeats only its tasks.
+``spark.checkpoint.dir``, so a lost executor repeats only its tasks. The state store is the
+session's (``spark.sql.streaming.stateStore.providerClass``); Spark's default holds it on the
+executors' heaps, some 100 bytes a distinct text, RocksDB on their disks.
 
 The counters, at most 32 masks per part, then give every order of the five filters.
 
@@ -28,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import pickle
 import re
 import uuid
 from collections import defaultdict
@@ -48,8 +52,8 @@ FILTERS = "ABCDE"
 E_BIT = 1 << FILTERS.index("E")
 #: Distinct texts whose sums a task holds before it hands them on.
 HELD = 50_000
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Rows per state bucket, about.
+BUCKET = 2_000
 
 _CAPITALS = bytes(range(0x41, 0x5B))
 _NOT_CAPITALS = bytes(b for b in range(256) if b not in _CAPITALS)
@@ -113,38 +117,35 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _update(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The changes of the part counters that the new rows of one text make."""
+    """The changes of the part counters that the new rows of a bucket of texts make. The state
+    is a dictionary: text -> (least id, {(part, quality, toxic): rows that hold it})."""
     change: dict = defaultdict(int)
-    least, holders, mask = None, {}, 0
-    if state.exists:
-        least, mask, parts, qualities, toxics, counts = state.get
-        holders = dict(zip(zip(parts, qualities, toxics), counts))
+    texts = pickle.loads(state.get[0]) if state.exists else {}
     for frame in rows:
-        for doc_id, named, m, new, above in zip(*(frame[c] for c in ("doc_id", "named", "mask", "least", "above"))):
-            doc_id, mask = int(doc_id), int(m)
-            who = {(r["part"], r["quality"], r["toxic"]): r["n"] for r in new}
+        for text, doc_id, named, mask, new, above in zip(*(frame[c] for c in ("text_key", "doc_id", "named", "mask", "least", "above"))):
+            text, doc_id, mask = bytes(text), int(doc_id), int(mask)
+            who = {(r["part"], int(r["quality"]), int(r["toxic"])): int(r["n"]) for r in new}
             for r in above:
-                change[r["part"], mask | E_BIT, r["quality"], r["toxic"]] += r["n"]
+                change[r["part"], mask | E_BIT, int(r["quality"]), int(r["toxic"])] += int(r["n"])
             if not named:  # compared with nobody
                 for w, n in who.items():
                     change[w[0], mask, w[1], w[2]] += n
                 continue
-            if least is not None and doc_id > least:
+            least, holders = texts.get(text, (doc_id, {}))
+            if doc_id > least:
                 for w, n in who.items():
                     change[w[0], mask | E_BIT, w[1], w[2]] += n
                 continue
-            if least is not None and doc_id < least:  # retract the former holders
+            if doc_id < least:  # retract the former holders
                 for w, n in holders.items():
                     change[w[0], mask, w[1], w[2]] -= n
                     change[w[0], mask | E_BIT, w[1], w[2]] += n
                 holders = {}
-            least = doc_id
             for w, n in who.items():
                 holders[w] = holders.get(w, 0) + n
                 change[w[0], mask, w[1], w[2]] += n
-    if least is not None:
-        who = list(holders)
-        state.update((least, mask, [w[0] for w in who], [int(w[1]) for w in who], [int(w[2]) for w in who], [int(holders[w]) for w in who]))
+            texts[text] = (doc_id, holders)
+    state.update((pickle.dumps(texts, pickle.HIGHEST_PROTOCOL),))
     out = [(*w, n) for w, n in change.items() if n]
     if out:
         yield pd.DataFrame(out, columns=["part", "mask", "quality", "toxic", "n"])
@@ -182,20 +183,12 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, part: str = "sou
     labelled = spread.join(known, ["doc_id", "spread"], "left").select(
         "doc_id", "part", "text_key", "mask", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("quality", "toxic")))
     who = "array<struct<part:string,quality:int,toxic:int,n:bigint>>"
-    by_text = labelled.mapInArrow(_add_up, f"text_key binary, doc_id long, named boolean, mask int, least {who}, above {who}").groupBy("text_key")
-    changes = by_text.applyInPandasWithState(
-        _update, _CHANGE, "least long, mask int, parts array<string>, qualities array<int>, toxics array<int>, counts array<bigint>",
-        "append", GroupStateTimeout.NoTimeout)
+    by_text = labelled.mapInArrow(_add_up, f"text_key binary, doc_id long, named boolean, mask int, least {who}, above {who}")
+    bucket = F.pmod(F.xxhash64("text_key"), F.lit(max(1, static.count() // BUCKET)))
+    changes = by_text.withColumn("bucket", bucket).groupBy("bucket").applyInPandasWithState(_update, _CHANGE, "texts binary", "append", GroupStateTimeout.NoTimeout)
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/audit-{uuid.uuid4().hex}"
-    writer = changes.mapInArrow(_sum_up, _CHANGE).writeStream.format("parquet").option("path", f"{base}/changes").option(
-        "checkpointLocation", f"{base}/stream").outputMode("append").trigger(availableNow=True)
-    provider = spark.conf.get(_PROVIDER)
-    if provider.endswith("HDFSBackedStateStoreProvider"):  # Spark's default, which holds all state on the heap
-        spark.conf.set(_PROVIDER, _ROCKSDB)
-    try:
-        query = writer.start()  # takes a copy of the settings
-    finally:
-        spark.conf.set(_PROVIDER, provider)
+    query = changes.mapInArrow(_sum_up, _CHANGE).writeStream.format("parquet").option("path", f"{base}/changes").option(
+        "checkpointLocation", f"{base}/stream").outputMode("append").trigger(availableNow=True).start()
     query.awaitTermination()
     written = spark.read.schema(_CHANGE).parquet(f"{base}/changes")
     return written.groupBy("part", "mask", "quality", "toxic").agg(F.sum("n").alias("n")).where("n <> 0")
