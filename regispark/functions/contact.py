@@ -6,6 +6,7 @@ from pyspark.sql import Column, functions as F
 
 from .._util import ColumnOrName, col
 from .decode import literal_map
+from .rewrite import rewrite_all
 
 from ..fixed_values import EMAIL_PATTERN, HOME_AREA, LANDLINE, MOBILE, PROVIDER_PATTERN, SPECIAL  # noqa: F401
 
@@ -33,27 +34,25 @@ def email_valid(c: ColumnOrName) -> Column:
 def rewrite_words(c: ColumnOrName, mapping: dict, mode: str = "domain_only") -> Column:
     """Rewrite dictionary words inside an e-mail/free text.
 
-    ``compat``: every key is applied in dictionary order as a whole-word
-    ``regexp_replace`` on the lower-cased keys/values, each step seeing the previous step's
-    output; a word ends where no ASCII letter, digit or underscore follows. Expressed as one higher-order ``aggregate`` fold over an
-    array of (pattern, replacement) pairs, so the expression tree stays flat however long
-    the dictionary is (nesting hundreds of calls overflows the analyser's stack).
+    ``compat``: every key is applied in dictionary order, as a literal whole word, on the
+    lower-cased keys/values, each step seeing the previous step's output; a word ends where no
+    ASCII letter, digit or underscore follows. One pass over the words
+    (:mod:`regispark.functions.rewrite`), however long the dictionary is.
     ``domain_only``: only the provider token (between ``@`` and the next ``.``) is looked up
     once and replaced; local part and top-level domain are left alone.
     """
     c = col(c)
     if mode == "compat":
-        pairs = F.array(*[
-            F.struct(F.lit(rf"(?<![A-Za-z0-9_]){k.lower()}(?![A-Za-z0-9_])").alias("p"), F.lit(str(v).lower()).alias("r"))
-            for k, v in mapping.items()
-        ])
-        return F.aggregate(pairs, c, lambda acc, x: F.regexp_replace(acc, x["p"], x["r"]))
+        return rewrite_all(c, mapping)
     if mode == "domain_only":
-        lowered = literal_map({k.upper(): str(v).lower() for k, v in mapping.items()})
+        if not mapping:
+            return c
+        upper = {k.upper(): str(v).lower() for k, v in mapping.items()}
+        lowered = literal_map(upper)
         shape = r"^([^@]*@)([^.@]+)(\..*)$"
         token = F.regexp_extract(c, shape, 2)
         rebuilt = F.concat(F.regexp_extract(c, shape, 1),
-                           F.coalesce(lowered[F.upper(token)], token),
+                           F.when(F.upper(token).isin(list(upper)), lowered[F.upper(token)]).otherwise(token),
                            F.regexp_extract(c, shape, 3))
         return F.when(c.rlike(shape), rebuilt).otherwise(c)
     raise ValueError(f"unknown mode {mode!r}")

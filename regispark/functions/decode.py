@@ -49,9 +49,17 @@ def replace_values(df: DataFrame, c: str, mapping: dict) -> DataFrame:
 
     Equivalent to ``df.replace(mapping, subset=[c])``: every value is looked up once in the
     original dictionary, so chains (A->B, B->C) are not followed. Large dictionaries are
-    joined as a broadcast table instead of a long CASE chain.
+    joined as a broadcast table instead of a long CASE chain. An empty one changes nothing. A
+    DataFrame (first column key, second value, keys unique) is joined after a size check.
     """
-    mapping = {k: v for k, v in mapping.items()}
+    if isinstance(mapping, DataFrame):
+        from ..operators.joins import lookup
+
+        k, v = fresh(df.columns, "__rv_key"), fresh(df.columns, "__rv_val")
+        out = lookup(df.withColumn(k, F.col(c)), mapping.toDF(k, v), k)
+        return out.withColumn(c, F.coalesce(F.col(v), F.col(c))).drop(v)
+    if not mapping:
+        return df
     if len(mapping) <= INLINE_MAP_MAX:
         return df.withColumn(c, F.coalesce(literal_map(mapping)[F.col(c)], F.col(c)))
     spark = df.sparkSession

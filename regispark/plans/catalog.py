@@ -347,20 +347,24 @@ def email_valid(spark, d):
     return _addresses(spark, d).select("doc_id", X.email_valid("address").alias("valid_email"))
 
 
-# Word rewrite dictionary for the free-text check (order matters: sequential semantics).
-WORD_FIX = {"the": "teh", "teh": "the_x", "and": "n", "of": "off", "off": "of_x"}
+# Word rewrite dictionary for the free-text check: the misspellings of frequent words by rule,
+# chains and keys with a separator among them. Order matters (sequential semantics).
+WORD_FIX = X.typo_dictionary(["THAT", "WITH", "WHICH", "FROM", "THIS", "THERE", "PEOPLE", "ABOUT", "NICHT", "EINE", "WERDEN", "POUR", "DANS",
+                              "CETTE", "TODO", "COMO", "SOBRE", "CUANDO", "BETWEEN", "ANOTHER"], {
+    "THE": "teh", "TEH": "the_x", "AND": "n", "OF": "off", "OFF": "of_x", "OF THE": "never", "IN A": "inna", "N": "and-so", "DE LA": "dela", "IS": "it's"})
 
 
 def _rewrite_sql(col: str) -> str:
-    expr = col
-    for k, v in WORD_FIX.items():
-        expr = f"regexp_replace({expr}, '\\b{k}\\b', '{v}', 'g')"
-    return expr
+    """The rules one after the other."""
+    lines = [f"t0 AS (SELECT doc_id, {col} AS t FROM documents)"]
+    for i, (k, v) in enumerate(WORD_FIX.items()):
+        k, v = k.lower(), v.lower().replace("'", "''")
+        hit = f"regexp_replace(t, '\\b{k}\\b', '{v}', 'g')"
+        lines.append(f"t{i + 1} AS MATERIALIZED (SELECT doc_id, CASE WHEN contains(t, '{k}') THEN {hit} ELSE t END AS t FROM t{i})")
+    return f"WITH {', '.join(lines)} SELECT doc_id, t AS rewritten FROM t{len(WORD_FIX)}"
 
 
-@register("word_rewrite", f"""
-SELECT doc_id, {_rewrite_sql('text')} AS rewritten FROM documents
-""")
+@register("word_rewrite", _rewrite_sql("text"))
 def word_rewrite(spark, d):
     return table(spark, d, "documents").select("doc_id", X.rewrite_words("text", WORD_FIX, "compat").alias("rewritten"))
 

@@ -52,6 +52,45 @@ def test_rewrite_words_modes(spark):
     assert one(spark, X.rewrite_words("v", mapping, "compat"), None) is None
 
 
+def fold(text, mapping):
+    """The rules one after the other, as literals."""
+    import re
+    for k, v in mapping.items():
+        text = re.sub(rf"(?<![A-Za-z0-9_]){re.escape(k.lower())}(?![A-Za-z0-9_])", lambda _: v.lower(), text) if k else text
+    return text
+
+
+def test_rewrite_in_one_pass_equals_the_rules_one_after_the_other(spark):
+    import random
+
+    rnd = random.Random(4)
+    parts = ["a", "b", "c", "ab", "a-b", "b c", "c++", "-a", "a.", "", "a b-c", "$1", "x\\y", "é", "b-a"]
+    seps = [" ", "-", ".", "++", "  ", "-a-", "é"]
+    for trial in range(25):
+        mapping = {rnd.choice(parts): rnd.choice(parts) for _ in range(rnd.randint(0, 9))}
+        texts = ["".join(rnd.choice(parts) + rnd.choice(seps) for _ in range(rnd.randint(0, 7))) for _ in range(60)] + [None, ""]
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, v string").coalesce(1)
+        got = {r.i: r.o for r in df.select("i", X.rewrite_words("v", mapping, "compat").alias("o")).collect()}
+        assert got == {i: None if t is None else fold(t, mapping) for i, t in enumerate(texts)}, mapping
+
+
+def test_rewrite_steps_gather_independent_rules():
+    from regispark.functions.rewrite import steps
+
+    rules = {"g-mail": "gmail", "gmial": "gmail", "hotmial": "hotmail", "hot mail": "hotmail", "yaho": "yahoo"}
+    assert [(k, len(p)) for k, p in steps(rules)] == [("words", 3), ("literal", 2)]
+    assert [k for k, _ in steps({"a-b": "c", "c": "d", "++": "x", "e": "f"})] == ["literal", "words", "literal", "words"]
+    assert steps({"a": "b", "b": "c", "c": "a"}) == [("words", [("a", "a"), ("b", "a"), ("c", "a")])] and steps({}) == [] and steps({"a": "A"}) == []
+
+
+def test_empty_and_tabular_dictionaries(spark):
+    df = spark.createDataFrame([("GMIAL", "x@gmial.com"), (None, None)], "p string, e string")
+    assert X.replace_values(df, "p", {}).collect() == df.collect()
+    assert df.select(X.rewrite_words("e", {}, "domain_only")).first()[0] == "x@gmial.com"
+    table = spark.createDataFrame([("GMIAL", "GMAIL")], "typo string, name string")
+    assert [r.p for r in X.replace_values(df, "p", table).collect()] == ["GMAIL", None]
+
+
 def test_rewrite_words_long_dictionary_does_not_overflow(spark):
     mapping = typo_dictionary(["GMAIL", "HOTMAIL", "OUTLOOK", "YAHOO", "ICLOUD", "PROTONMAIL", "ROCKETMAIL",
                                "FACEBOOK", "SERCOMTEL", "VELOXMAIL", "WINDOWSLIVE", "UNOCHAPECO", "ZIPMAIL",
