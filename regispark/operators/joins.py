@@ -122,45 +122,62 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     return b.join(s, cond, how).drop(b[salt]).drop(s[salt])
 
 
-def hot_keys(df: DataFrame, key: str, min_share: float = 0.01, max_keys: int = 100) -> list:
-    """Keys holding at least ``min_share`` of the rows (at most ``max_keys``, so the list
-    brought back is bounded). One aggregate with partial aggregation + a top-k."""
-    total = df.select(F.count(F.lit(1))).scalar()
-    top = df.filter(F.col(quote(key)).isNotNull()).groupBy(quote(key)).agg(F.count(F.lit(1)).alias("__n")) \
-        .filter(F.col("__n") >= total * F.lit(min_share)).orderBy(F.desc("__n")).limit(max_keys)
-    return [r[0] for r in top.select(quote(key)).collect()]
+#: Rows of one key that a task should join at most.
+ROWS_PER_TASK = 2_000_000
+#: Keys the heavy-hitter sketch follows, at least and at most.
+TRACKED = (1_000, 1_000_000)
 
 
-def skew_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, how: str = "inner",
-              salt_buckets: int = 16, keys=None, min_share: float = 0.01) -> DataFrame:
-    """Equi-join that splits only the hot keys of ``big`` over ``salt_buckets`` tasks.
+def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> list[tuple]:
+    """(key, tasks) of the keys of more than ``rows_per_task`` rows, and how many tasks they need.
+
+    One pass over the key column with a mergeable heavy-hitter sketch: no shuffle of keys, no
+    full count. The sketch follows eight times as many keys as can be hot at all, so none of
+    them is missed below its bound of a million; the list has at most rows / ``rows_per_task`` entries."""
+    present = df.select(F.col(quote(key)).alias("k")).where("k is not null")
+    rows = present.count()
+    if rows <= rows_per_task:
+        return []
+    tracked = min(TRACKED[1], max(TRACKED[0], 8 * rows // rows_per_task))
+    top = present.agg(F.expr(f"approx_top_k(k, {tracked}, {tracked})").alias("top")).first().top
+    return [(r["item"], -(-r["count"] // rows_per_task)) for r in top if r["count"] > rows_per_task]
+
 
-    Hot keys (given, or found by :func:`hot_keys`) get a row-hash salt on ``big`` and their
-    ``small`` rows are replicated once per salt; all other keys keep salt 0 and are joined
-    as usual, so replication is limited to the few hot keys' partner rows. NULL keys of
-    ``big``, which match nothing, are spread too. Only inner and left joins can be salted."""
+def skew_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, how: str = "inner",
+              salt_buckets: int = 16, keys=None, rows_per_task: int = ROWS_PER_TASK, hot_from: DataFrame | None = None) -> DataFrame:
+    """Equi-join that splits only the hot keys of ``big``.
+
+    Hot keys are given as ``keys`` (each then takes ``salt_buckets`` tasks) or found by
+    :func:`hot_keys` in ``hot_from`` (``big`` unless given; the raw key column of a costly flow
+    saves running it twice), each taking one task per ``rows_per_task`` rows. They get a row-hash
+    salt on ``big`` and their ``small`` rows are replicated once per salt; all other keys keep
+    salt 0 and are joined as usual. NULL keys of ``big``, which match nothing, are spread over
+    ``salt_buckets`` tasks. Only inner and left joins can be salted."""
     _check_salted(how)
-    hot = list(keys) if keys is not None else hot_keys(big, big_key, min_share)
-    salt = fresh(big.columns + small.columns, "__salt")
-    is_hot_b = F.col(quote(big_key)).isNull() | (F.col(quote(big_key)).isin(hot) if hot else F.lit(False))
-    is_hot_s = F.col(quote(small_key)).isin(hot) if hot else F.lit(False)
-    b = big.withColumn(salt, F.when(is_hot_b, F.pmod(F.xxhash64(*[F.col(quote(c)) for c in big.columns]),
-                                                     F.lit(salt_buckets))).otherwise(F.lit(0)).cast("long"))
-    s = small.withColumn(salt, F.explode(F.when(is_hot_s, F.sequence(F.lit(0).cast("long"),
-                                                                     F.lit(salt_buckets - 1).cast("long")))
-                                         .otherwise(F.array(F.lit(0).cast("long")))))
+    found = [(k, salt_buckets) for k in keys] if keys is not None else hot_keys(big if hot_from is None else hot_from, big_key, rows_per_task)
+    names = big.columns + small.columns
+    salt, hot, tasks = fresh(names, "__salt"), fresh(names, "__hot"), fresh(names, "__tasks")
+    kind = big.schema[big_key].dataType.simpleString()
+    table = F.broadcast(big.sparkSession.createDataFrame([(k, int(n)) for k, n in found], f"`{hot}` {kind}, `{tasks}` int"))
+    spread = F.when(F.col(quote(big_key)).isNull(), F.lit(salt_buckets)).otherwise(F.coalesce(tasks, F.lit(1)))
+    row = F.xxhash64(*[F.col(quote(c)) for c in big.columns])
+    b = big.join(table, F.col(quote(big_key)) == F.col(hot), "left").withColumn(salt, F.pmod(row, spread)).drop(hot, tasks)
+    s = small.join(table, F.col(quote(small_key)) == F.col(hot), "left").withColumn(
+        salt, F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(tasks, F.lit(1)).cast("long") - 1))).drop(hot, tasks)
     cond = (b[big_key] == s[small_key]) & (b[salt] == s[salt])
     return b.join(s, cond, how).drop(b[salt]).drop(s[salt])
 
 
 def join_companies(companies: DataFrame, establishments: DataFrame, company_key: str = "CNPJ",
                    establishment_key: str = "CNPJ_BASICO", how: str = "inner",
-                   salt_buckets: int | None = None) -> DataFrame:
+                   salt_buckets: int | None = None, rows_per_task: int = ROWS_PER_TASK,
+                   hot_from: DataFrame | None = None) -> DataFrame:
     """Company (one row per key) x establishments (1:N), keeping both keys.
 
     Default is a shuffle join left to AQE (skew splitting on). ``salt_buckets`` splits the
-    hot company keys (those holding >= 1 % of establishments) explicitly over that many
-    tasks, replicating only those companies' rows.
+    hot company keys (those of more than ``rows_per_task`` establishments, found in
+    ``hot_from`` or the establishments) explicitly, replicating only those companies' rows,
+    and spreads NULL keys over that many tasks.
     """
     if salt_buckets:
         kinds = {"inner": (False, False), "left": (True, False), "left_outer": (True, False), "right": (False, True),
@@ -170,7 +187,7 @@ def join_companies(companies: DataFrame, establishments: DataFrame, company_key:
         keep_companies, keep_establishments = kinds[how]
         # establishments are the salted side; companies without any come from an anti join
         out = skew_join(establishments, companies, establishment_key, company_key,
-                        "left" if keep_establishments else "inner", salt_buckets)
+                        "left" if keep_establishments else "inner", salt_buckets, None, rows_per_task, hot_from)
         out = out.select(*[companies[c] for c in companies.columns], *[establishments[c] for c in establishments.columns])
         if keep_companies:
             used = establishments.select(F.col(quote(establishment_key)).alias("__used")).distinct()

@@ -126,14 +126,21 @@ def fact_join(spark, d):
 
 
 @register("fact_join_salted", """
-SELECT o.o_orderkey, l.l_orderkey, l.l_linenumber, o.o_orderstatus, l.l_quantity
-FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
+WITH l AS (SELECT CASE WHEN l_partkey % 3 = 0 THEN 1 ELSE l_orderkey END AS l_orderkey, l_partkey, l_linenumber, l_quantity FROM lineitem)
+SELECT o.o_orderkey, l.l_orderkey, l.l_partkey, l.l_linenumber, o.o_orderstatus, l.l_quantity
+FROM orders o JOIN l ON o.o_orderkey = l.l_orderkey
 """)
 def fact_join_salted(spark, d):
+    """A third of the lines belong to one order, which is joined by several tasks."""
     o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
-    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    return J.join_companies(o, li, "o_orderkey", "l_orderkey", salt_buckets=8).select(
-        "o_orderkey", "l_orderkey", "l_linenumber", "o_orderstatus", "l_quantity")
+    key = F.when(F.col("l_partkey") % 3 == 0, F.lit(1).cast("long")).otherwise(F.col("l_orderkey"))
+    li = table(spark, d, "lineitem").select(key.alias("l_orderkey"), "l_partkey", "l_linenumber", "l_quantity")
+    return J.join_companies(o, li, "o_orderkey", "l_orderkey", salt_buckets=8, rows_per_task=HOT_ROWS).select(
+        "o_orderkey", "l_orderkey", "l_partkey", "l_linenumber", "o_orderstatus", "l_quantity")
+
+
+#: Rows per task of the salted query, low enough for the hot order of the test tables to be hot.
+HOT_ROWS = 500
 
 
 _RANGES_SQL = " UNION ALL ".join(
@@ -1717,7 +1724,8 @@ def final_table_flow(spark, d):
     """Q6: sole traders x their establishments (hot companies split by the skew join)."""
     from .registry import final_table
 
-    f = final_table(sole_traders_flow(spark, d), establishments_flow(spark, d), salt_buckets=8)
+    raw = establishment_rows(spark, d).select("CNPJ_BASICO")
+    f = final_table(sole_traders_flow(spark, d), establishments_flow(spark, d), salt_buckets=8, hot_from=raw)
     return f.select("CNPJ", "NOME_EMPRESA", "NM_PORTE", "CPF_CRIPTOGRAFADO", "PRIMEIRO_NOME", "CLASSIFICACAO",
                     "CNPJ_BASICO", "CNPJ_ORDEM", "NM_SIT_CADASTRAL", "NM_MATRIZ_FILIAL", "MUNICIPIO", "PROVEDOR",
                     "VALID_EMAIL")

@@ -34,8 +34,9 @@ def treat_modelling_table(df: DataFrame, municipalities: DataFrame, provider_map
     mun = municipality_table(municipalities, compat_accents).select(
         F.col("UF").alias("__m_uf"), F.col("NOME_MUNICIPIO").alias("__m_name"),
         F.col("LATITUDE").try_cast("float").alias("__m_lat"), F.col("LONGITUDE").try_cast("float").alias("__m_lon"))
-    df = df.join(J.maybe_broadcast(mun), (F.col("UF") == F.col("__m_uf")) & (F.col("MUNICIPIO") == F.col("__m_name")),
-                 "left")
+    df = df.withColumns({"__m_uf": F.col("UF"), "__m_name": F.col("MUNICIPIO")})
+    keys = ["__m_uf", "__m_name"]
+    df = df.join(F.broadcast(mun), keys, "left") if J.fits_broadcast(mun) else J.spread_null_left_join(df, mun, keys)
     df = df.withColumns({"LAT": F.coalesce("LAT", "__m_lat"), "LON": F.coalesce("LON", "__m_lon")}) \
         .drop("__m_uf", "__m_name", "__m_lat", "__m_lon")
     df = df.filter(F.col("DDD1").isin(list(valid_area_codes)))

@@ -16,8 +16,6 @@ from ..operators import joins as J
 from ..operators.profile import dedupe_on
 from .geocode import geo_fallback
 
-EMAIL_REWRITE_MODES = ("domain_only", "compat")
-
 
 def process_establishments(df: DataFrame, motivos: DataFrame, cnaes: DataFrame, municipios: DataFrame,
                            paises: DataFrame, provider_map: dict, rewrite_mode: str = "domain_only",
@@ -143,7 +141,10 @@ def override_classification(df: DataFrame, name: str = "JOSE", from_class: str =
     return X.override_when(df, cond, "CLASSIFICACAO", to_class)
 
 
-def final_table(sole_traders: DataFrame, establishments: DataFrame, salt_buckets: int | None = None) -> DataFrame:
-    """Q6: sole traders x their establishments (inner, 1:N), with the name override."""
-    j = J.join_companies(sole_traders, establishments, "CNPJ", "CNPJ_BASICO", "inner", salt_buckets)
+def final_table(sole_traders: DataFrame, establishments: DataFrame, salt_buckets: int | None = None,
+                rows_per_task: int = J.ROWS_PER_TASK, hot_from: DataFrame | None = None) -> DataFrame:
+    """Q6: sole traders x their establishments (inner, 1:N), with the name override. Hot
+    companies are sought in ``hot_from`` (the raw drop's CNPJ_BASICO), so that the
+    establishment flow runs once."""
+    j = J.join_companies(sole_traders, establishments, "CNPJ", "CNPJ_BASICO", "inner", salt_buckets, rows_per_task, hot_from)
     return override_classification(j)

@@ -258,8 +258,9 @@ def test_exact_profile_keeps_all_null_groups(spark):
 def test_skew_join_splits_only_hot_keys(spark):
     big = spark.createDataFrame([(1, i) for i in range(300)] + [(k, 1000 + k) for k in range(2, 40)], "k int, i int")
     small = spark.createDataFrame([(k, f"s{k}") for k in range(1, 45)], "k2 int, s string")
-    assert J.hot_keys(big, "k", min_share=0.2) == [1]
-    a = sorted(rows(J.skew_join(big, small, "k", "k2", "inner", 8, min_share=0.2), "k", "i", "s"))
+    assert J.hot_keys(big, "k", rows_per_task=100) == [(1, 3)] and J.hot_keys(big, "k") == []
+    assert J.hot_keys(big.select(F.lit(None).cast("int").alias("k")), "k", 0) == []
+    a = sorted(rows(J.skew_join(big, small, "k", "k2", "inner", 8, rows_per_task=100), "k", "i", "s"))
     b = sorted(rows(big.join(small, big.k == small.k2), "k", "i", "s"))
     assert a == b and len(a) == 338
     left = J.skew_join(big, small, "k", "k2", "left", 8, keys=[1])
@@ -302,3 +303,18 @@ def test_audit_and_correlation_of_degenerate_tables(spark):
     got = {(r.column_a, r.column_b): r.corr for r in A.corr_matrix(df, ["a", "c", "n"]).collect()}
     assert got["a", "a"] == 1.0 and got["a", "c"] is None and got["a", "n"] is None
     assert {r.corr for r in A.corr_matrix(df.limit(0), ["a", "c"]).collect()} == {1.0, None}
+
+
+def test_salted_query_joins_its_hot_key_in_several_tasks(spark):
+    from regispark.plans import catalog
+
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = catalog.fact_join_salted(spark, "/root/testdata/sf0.001")
+        tasks = out.where("o_orderkey = 1").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert len(tasks) > 2 and sum(r["count"] for r in tasks) > 1500
