@@ -14,8 +14,9 @@ The loss mask covers the texts of ``loss_role``. ``loss_spans`` gives them as 0-
 the turns, so a long conversation costs no more per turn than a short one.
 
 Defined results: a null text or role is empty; turns are ordered by turn (null first), then
-by role and text as written; repeated rows are repeated turns; a null conv_id is one
-conversation. A conversation becomes one string, so it has to fit a row.
+by role and text as given; repeated rows are repeated turns; a null conv_id is one
+conversation, and a conversation -1 of the data takes the probe's turns too. A conversation
+becomes one string, so it has to fit a row. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -63,8 +64,8 @@ def format_conversations(conversations: DataFrame, loss_role: str = "assistant")
     checked = checked.withColumns({"r": F.when(F.col("plain"), role).otherwise(escape(role)), "t": F.when(F.col("plain"), text).otherwise(escape(text))})
     checked = checked.withColumn("t", F.when(F.col("plain") | _reads_back(role, text, F.col("r"), F.col("t")), F.col("t")).otherwise(
         F.raise_error(F.lit("a turn does not read back"))))
-    turns = checked.select("conv_id", "turn", "r", "t", (role == loss_role).alias("loss"))
-    before = Window.partitionBy("conv_id").orderBy("turn", "r", "t")
+    turns = checked.select("conv_id", "turn", "role", "text", "r", "t", (role == loss_role).alias("loss"))
+    before = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     ahead = len("<s>[INST][/INST]")
     turns = turns.withColumn("n", F.row_number().over(before)).withColumn("start", F.coalesce(
         F.sum(F.length("r") + F.length("t") + ahead + len("</s>")).over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -83,14 +84,25 @@ def parse(formatted: Column) -> Column:
     return F.transform(F.arrays_zip(texts(1).alias("role"), texts(2).alias("text")), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
 
 
-def digests(formatted: DataFrame, loss_role: str = "assistant") -> DataFrame:
-    """Counts and digests of what the formatted strings read back as."""
-    out = formatted.withColumn("turns", parse(F.col("formatted")))
-    said = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
-    loss = F.concat_ws("", F.transform(F.filter("turns", lambda t: t["role"] == loss_role), lambda t: t["text"]))
-    return out.select(
-        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
-        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+def digests(formatted: DataFrame) -> DataFrame:
+    """Counts and digests of what the formatted strings (conv_id, formatted, loss_spans) read
+    back as. The loss columns are cut out of the string by the mask: a span that starts at no
+    turn's text, or has another length, shows in them."""
+    ahead = len("<s>[INST][/INST]")
+    turns = formatted.select("conv_id", F.length("formatted").cast("long").alias("chars"),
+                             F.posexplode(F.regexp_extract_all("formatted", F.lit(TURN), F.lit(0))).alias("n", "w"))
+    before = Window.partitionBy("conv_id").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    turns = turns.withColumn("head", F.length(F.regexp_extract("w", TURN, 1)) + ahead).withColumn(
+        "start", (F.coalesce(F.sum(F.length("w")).over(before), F.lit(0)) + F.col("head")).cast("long"))
+    mask = formatted.select(F.col("conv_id").alias("of"), F.explode("loss_spans").alias("s")).select("of", F.col("s.start").alias("at"), F.col("s.length").alias("length"))
+    read = turns.join(mask, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("start") == F.col("at")), "left")
+    role, text = (unescape(F.regexp_extract("w", TURN, g)) for g in (1, 2))
+    loss = unescape(F.substring("w", F.col("head") + 1, F.col("length").cast("int")))
+    whole = read.groupBy("conv_id").agg(F.max("chars").alias("formatted_chars"), F.sort_array(F.collect_list(F.struct(
+        "n", F.concat(role, F.lit("\n"), text, F.lit("\n")).alias("said"), F.coalesce(loss, F.lit("")).alias("loss")))).alias("turns"))
+    said, loss = (F.concat_ws("", F.col(f"turns.{c}")) for c in ("said", "loss"))
+    return whole.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+                        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars")
 
 
 PROBE = "</s>[INST] ok [/INST]"

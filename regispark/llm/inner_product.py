@@ -9,10 +9,12 @@ product of the residual lengths bound each score from above; only vectors that r
 threshold get the exact integer product. The rotation is fitted on a bounded sample and
 only sharpens the bounds: results are exact. Each task returns at most k rows a query.
 
-Components are floor(1024 * x), limited to +-2**26 so that sums fit a long. Defined
-results: vectors null or holding null or non-finite components, and null ids, take no part;
-missing components of a shorter vector are 0; repeated rows of an id ask once and may all
-be found; a query never finds its own id; ties go to the smaller id.
+Components are floor(1024 * x). Where lengths allow a score beyond a long, products are
+taken in whole numbers of any size; a score that does not fit a long, or a component beyond
+2**52, raises an error. Defined results: vectors null or holding null or non-finite
+components, and null ids, take no part; missing components of a shorter vector are 0;
+repeated rows of an id ask once, by the least of their vectors, and may all be found; a query
+never finds its own id; ties go to the smaller id.
 """
 
 from __future__ import annotations
@@ -25,7 +27,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from regispark.llm.common import bounded_sample, partitions, staged
 
-MOST = 1 << 26
+#: Components from here on raise an error.
+MOST = 1 << 52
 #: Leading axes whose partial sums are taken, one after the other.
 AXES = (8, 24)
 CHUNK = 2048
@@ -35,7 +38,8 @@ def as_integers(vectors: DataFrame) -> DataFrame:
     """(vec_id, v, length) of the vectors that take part."""
     x = F.transform("embedding", lambda e: e.cast("double"))
     good = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf")))
-    v = F.transform(x, lambda e: F.floor(F.greatest(F.least(e * 1024, F.lit(float(MOST))), F.lit(float(-MOST)))).cast("long"))
+    v = F.transform(x, lambda e: F.when(F.abs(e) < float(MOST), F.floor(e * 1024)).otherwise(
+        F.raise_error(F.lit("a component is too large for a score of type long")).cast("long")))
     rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(good)
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
     return rows.withColumn("length", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, e: a + e.cast("double") * e.cast("double"))))
@@ -52,6 +56,16 @@ def matrix(column: pa.Array, dims: int) -> np.ndarray:
     return out
 
 
+def products(y: np.ndarray, q: np.ndarray, wide: bool) -> np.ndarray:
+    """Inner products of the rows of ``y`` with ``q``, exact; ``wide``: they may pass a long on the way."""
+    if not wide:
+        return y @ q
+    out = [sum(a * b for a, b in zip(row, q.tolist())) for row in y.tolist()]
+    if any(not -(1 << 63) < s < 1 << 63 for s in out):
+        raise OverflowError("a score does not fit a long")
+    return np.array(out, dtype=np.int64)
+
+
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
@@ -59,15 +73,15 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 class Block:
     """A block of queries with their bounds."""
 
-    def __init__(self, ids: np.ndarray, q: np.ndarray, rotation: np.ndarray, longest: tuple[np.ndarray, np.ndarray], k: int):
-        self.ids, self.q, self.rotation, self.k = ids, q, rotation, k
+    def __init__(self, ids: np.ndarray, q: np.ndarray, rotation: np.ndarray, longest: tuple[np.ndarray, np.ndarray], k: int, wide: bool):
+        self.ids, self.q, self.rotation, self.k, self.wide = ids, q, rotation, k, wide
         self.length = np.sqrt((q.astype(float) ** 2).sum(axis=1))
         self.rotated = q.astype(float) @ rotation
         self.rest = [np.sqrt((self.rotated[:, a:] ** 2).sum(axis=1)) for a in AXES]
         seed_ids, seeds = longest
         self.floor = np.full(len(ids), -np.inf)
         for i in range(len(ids)):
-            scores = seeds[seed_ids != ids[i]] @ q[i]
+            scores = products(seeds[seed_ids != ids[i]], q[i], wide)
             if len(scores) >= k:
                 self.floor[i] = np.partition(scores, -k)[-k]
 
@@ -91,8 +105,8 @@ class Block:
                         tail = np.sqrt((z[rows, a:] ** 2).sum(axis=1))
                         rows = rows[z[rows, :a] @ self.rotated[j, :a] + tail * rest[j] + slack[j] >= floor[j]]
                     rows = rows[part[rows] != self.ids[j]]
-                    scores = y[rows] @ self.q[j]
-                    keep = scores >= floor[j]
+                    scores = products(y[rows], self.q[j], self.wide)
+                    keep = scores.astype(float) >= floor[j]  # rounded as the floor was
                     if keep.any():
                         s, i = np.concatenate([held[j][0], scores[keep]]), np.concatenate([held[j][1], part[rows[keep]]])
                         top = best(s, i, self.k)
@@ -113,8 +127,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, block: int = 4096,
     schema = "query_id long, vec_id long, score long"
     ordered = as_integers(vectors).repartitionByRange(partitions(spark), F.desc("length"), "vec_id").sortWithinPartitions(F.desc("length"), "vec_id")
     rows = staged(ordered)
-    dims = rows.agg(F.coalesce(F.max(F.size("v")), F.lit(0))).first()[0]
-    asked = rows.where(is_query).select("vec_id", "v").dropDuplicates(["vec_id"])
+    dims, longest_of_all = rows.agg(F.coalesce(F.max(F.size("v")), F.lit(0)), F.coalesce(F.max("length"), F.lit(0.0))).first()
+    wide = longest_of_all**2 * (1 + 1e-6) >= 2.0**63
+    asked = rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
     n_blocks = -(-asked.count() // block)
 
     def fetched(df):
@@ -136,7 +151,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, block: int = 4096,
         ids, q = fetched(asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)) == b))
         if not len(ids):
             continue
-        shared = spark.sparkContext.broadcast(Block(ids, q, rotation, longest, k))
+        shared = spark.sparkContext.broadcast(Block(ids, q, rotation, longest, k, wide))
 
         def search(batches, shared=shared):
             out = shared.value.search((x.column("vec_id").to_numpy().astype(np.int64), matrix(x.column("v"), dims)) for x in batches)

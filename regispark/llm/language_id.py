@@ -6,12 +6,14 @@ only (all else is a blank), over the whole text. A prediction is a table lookup
 per trigram, so long texts stream through numpy in blocks; nothing but the text enters it.
 
 The classifier is fitted on at most ``max_rows`` labelled rows, equally many of each
-language where there are enough, chosen by a hash of the id. Only their sparse trigram
-counts reach the driver. Families one against the rest, then every pair inside a family, by
+language where there are enough and one of each at least, chosen by a hash of the id; more
+languages than rows raise an error. Only their sparse trigram counts reach the driver. Families one against the rest, then every pair inside a family, by
 stochastic subgradient steps on the hinge loss in a fixed order: refits agree.
 
 Defined results: null text or no letter: ``und``, score 0; no labelled row at all: ``und``
-for every text; a language code without a known family belongs to ``other``.
+for every text; a language code without a known family belongs to ``other``; of languages or
+families that tie, the first in alphabetical order is predicted. The result columns take
+fresh names where the caller says so; other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from regispark._util import fresh
 from regispark.llm.common import blocks, slices, strings
 
 #: Language families by ISO 639-1 code.
@@ -150,21 +153,23 @@ class Model:
         return [self.langs[i] for i in lang], score
 
 
-def fit(labelled: DataFrame, max_rows: int = 2000, max_langs: int = 200) -> Model:
-    """A model of ``labelled`` (doc_id, text, lang), fitted on at most ``max_rows`` rows of
-    the ``max_langs`` most frequent languages."""
+def fit(labelled: DataFrame, max_rows: int = 2000) -> Model:
+    """A model of ``labelled`` (doc_id, text, lang), fitted on at most ``max_rows`` rows, of
+    every language that has a text with a letter."""
     labelled = labelled.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    labelled = labelled.where("lang is not null and text is not null")
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+    labelled = labelled.where("lang is not null").where(F.col("text").rlike(r"\p{L}"))
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("count"), F.min(draw).alias("least")).limit(max_rows + 1).collect()
     if not counts:
         return Model([], np.zeros((0, 1 << BITS)), np.zeros(0, dtype=int))
+    if len(counts) > max_rows:
+        raise ValueError(f"more than max_rows = {max_rows} languages")
     share = max(1, max_rows // len(counts))
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    chosen = None
-    for row in counts:
-        part = (F.col("lang") == row["lang"]) & (draw < int((1 << 30) * min(1.0, share / row["count"])))
-        chosen = part if chosen is None else chosen | part
-    sample = labelled.where(chosen).where(F.col("text").rlike(r"\p{L}")).orderBy(draw, "doc_id", "text").limit(max_rows)
+    cuts = [(r["lang"], r["least"], max(r["least"], int((1 << 30) * min(1.0, share / r["count"])))) for r in counts]
+    table = F.broadcast(labelled.sparkSession.createDataFrame(cuts, "of string, least long, cut long"))
+    drawn = labelled.join(table, F.col("lang") == F.col("of")).withColumn("draw", draw).where("draw <= cut")
+    # the first of each language, then by the share of its language's draws that comes before
+    sample = drawn.orderBy(F.when(F.col("draw") == F.col("least"), -1.0).otherwise(F.col("draw") / F.col("cut")), "draw", "doc_id", "text").limit(max_rows)
     rows = sample.select("lang", "text").mapInArrow(_counter(), "lang string, grams binary, counts binary").collect()
     langs = sorted({r["lang"] for r in rows})
     x = np.zeros((len(rows), 1 << BITS), dtype=np.float32)
@@ -174,36 +179,27 @@ def fit(labelled: DataFrame, max_rows: int = 2000, max_langs: int = 200) -> Mode
     return Model(langs, x, np.array([langs.index(r["lang"]) for r in rows], dtype=int))
 
 
-def _predictor(shared):
-    def predict(batches: Iterator[pa.RecordBatch]):
-        model = shared.value
+def identify(docs: DataFrame, model: Model, lang_pred: str = "lang_pred", score: str = "score") -> DataFrame:
+    """The rows and columns of ``docs`` with the predicted language and its score (0 to 1) as
+    columns of these names; columns that had them are replaced."""
+    docs = docs.drop(lang_pred, score)
+    lettered = fresh(docs.columns, "lettered")
+    work = docs.withColumn(lettered, F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False)))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = [*docs.columns, lang_pred, score]
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             texts = strings(batch)
-            lettered = np.array(batch.column("lettered__").to_pylist(), dtype=bool)
-            lang, score = np.full(len(texts), "und", dtype=object), np.zeros(len(texts))
-            rows = np.flatnonzero(lettered)
+            lang, sure = np.full(len(texts), "und", dtype=object), np.zeros(len(texts))
+            rows = np.flatnonzero(np.array(batch.column(batch.num_columns - 1).to_pylist(), dtype=bool))
             for lo, hi in blocks([texts[i] for i in rows]):
                 part = rows[lo:hi]
-                lang[part], score[part] = model.predict([texts[i] for i in part])
-            yield batch, lang, score
-
-    return predict
-
-
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows and columns of ``docs`` with ``lang_pred`` and ``score`` (0 to 1); columns of
-    those names are replaced."""
-    docs = docs.drop("lang_pred", "score")
-    work = docs.withColumn("lettered__", F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False)))
-    predict = _predictor(docs.sparkSession.sparkContext.broadcast(model))
-    names = [*docs.columns, "lang_pred", "score"]
-
-    def apply(batches):
-        for batch, lang, score in predict(batches):
+                lang[part], sure[part] = shared.value.predict([texts[i] for i in part])
             columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(lang.tolist(), pa.string()), pa.array(score)], names=names)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(lang.tolist(), pa.string()), pa.array(sure)], names=names)
 
-    schema = docs.withColumns({"lang_pred": F.lit("").cast("string"), "score": F.lit(0.0)}).schema
+    schema = docs.withColumns({lang_pred: F.lit("").cast("string"), score: F.lit(0.0)}).schema
     return work.mapInArrow(apply, schema)
 
 

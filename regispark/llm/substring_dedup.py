@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from regispark._util import fresh
 from regispark.llm.common import LOWER, Hasher, blocks, encoded, mix64, slices, staged, word_table
 
 #: Bytes the rolling hash sees, candidates per 2**32 hash values, least distance of cuts.
@@ -123,14 +124,15 @@ def repeated_passages(docs: DataFrame, min_words: int = 20) -> DataFrame:
 
 def without_repeats(docs: DataFrame, min_words: int = 20) -> DataFrame:
     """``docs`` with the later copies of repeated passages cut out of ``text``."""
+    hidden = fresh(docs.columns, "spans")
     spans = repeated_passages(docs, min_words).where("not first").groupBy("doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans__"))
+        F.sort_array(F.collect_list(F.struct("start", "end"))).alias(hidden))
     work = docs.join(spans, "doc_id", "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             out = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans__").to_pylist()):
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column(hidden).to_pylist()):
                 if spans:
                     data, at, kept = text.encode(), 0, []
                     for s in spans:
@@ -139,7 +141,7 @@ def without_repeats(docs: DataFrame, min_words: int = 20) -> DataFrame:
                     text = b"".join([*kept, data[at:]]).decode("utf-8", "replace")
                 out.append(text)
             i = batch.schema.get_field_index("text")
-            yield batch.set_column(i, "text", pa.array(out, batch.schema.field(i).type)).drop_columns(["spans__"])
+            yield batch.set_column(i, "text", pa.array(out, batch.schema.field(i).type)).drop_columns([hidden])
 
-    schema = work.drop("spans__").schema
+    schema = work.drop(hidden).schema
     return work.mapInArrow(cut, schema).select(docs.columns)
