@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from regispark._util import fresh
 from regispark.llm import decontaminate, language_id, mixing, near_dedup, secret_scan
 from regispark.llm.common import staged, table
 
@@ -18,10 +19,10 @@ LEAST_SCORE = 0.25
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in no recognised language go; the rest stay as they are."""
-    model = language_id.fit(docs)
-    kept = language_id.identify(docs, model).where(f"lang_pred <> 'und' and score >= {LEAST_SCORE}")
-    return kept.select(docs.columns)
+    """Documents in no recognised language go; the rest stay as they are, whatever columns they have."""
+    lang, score = fresh(docs.columns, "lang_pred"), fresh(docs.columns, "score")
+    judged = language_id.identify(docs, language_id.fit(docs), lang, score)
+    return judged.where((F.col(lang) != "und") & (F.col(score) >= LEAST_SCORE)).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
