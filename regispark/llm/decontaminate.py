@@ -4,25 +4,32 @@ Symbols are A-Z-lowered words (runs of ASCII letters and digits and of non-ASCII
 characters), so punctuation, case and line breaks do not hide a passage. A CGK walk reads
 a string through a random walk: at step j it emits the symbol under its pointer and moves
 on by a random bit drawn from (j, symbol); strings at a small edit distance fall into step
-again and emit strings at a small Hamming distance. A repetition samples some positions
-of one walk (the first always) and its key is the symbols emitted there.
-
-Each item is embedded at every phase that begins with a word rare among the items, and
-the documents at every such word, so a window of the item's size is found at any phase
-whose samples survive the edits. A window drops out as soon as its samples so far are
-no beginning of an item's key, so most windows take two or three steps. Candidates are
-verified by the exact word edit distance of the item to the best window of the document;
-at most ``max_edits`` per word of the item counts as contaminated.
-
-The benchmark is read in blocks of ``block_items`` items, each broadcast on its own (its
-size is bounded by the block, whatever the benchmark's); every block reads the documents
-once. Recall does not rest on the walks: each item is also cut into one piece more than it
-may have edits, and as an edit spoils at most one piece, every copy within the bound holds a
-piece as it is. So short items, and items whose rare words all stand at the end, are found
-whatever their walks read. Frequent pieces cost verifications, at least one per place and item.
+again and emit strings at a small Hamming distance. A repetition samples some positions of
+one walk and its key is the symbols emitted there.
+
+An item is embedded from each of its phases to its end, rounded down to the next window size
+of :data:`WINDOWS` (a walk of three steps for two words, so that it ends inside the item):
+the whole item from its first phase on, what is left of it, half at least, from later ones. Phases
+are the words rare among the items and some evenly spaced ones. A document is embedded at every word
+that begins a phase, in each window size. Two positions of a window's samples stand at its
+beginning, so that most windows drop out after a few steps as no beginning of an item's key;
+the others are spread over the whole window. The walks' keys alone propose candidates.
+
+The number of repetitions follows from ``target``: copies of a bounded sample of the block's items
+with as many random edits as the bound allows are sought, and repetitions are added until
+that share of them is found among short, middling and long items alike. An item none of
+whose walks ends inside it is looked up by its first word.
+
+Candidates are verified by the exact word edit distance of the item to the best window of the
+document; at most ``max_edits`` per word of the item counts as contaminated, so nothing else
+is ever reported. Verbatim copies are always proposed; of copies edited up to the bound a
+share of 1 - ``target`` may be missed. The benchmark is read in blocks of ``block_items``
+items, each broadcast on its own (its size is bounded by the block, whatever the benchmark's);
+every block reads the documents once.
 
 Defined results: a null or wordless text or item matches nothing; repeated items report
-each item_id; every document row is judged by itself; texts are read whole.
+each item_id; every document row is judged by itself; texts are read whole; other columns
+pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -35,31 +42,42 @@ from pyspark.sql import DataFrame, functions as F
 
 from regispark.llm.common import Hasher, blocks, encoded, mix64, slices, word_table, words
 
-#: A word found in more than this share of the items starts no walk, but each item keeps
-#: at least so many phases.
-COMMON, MIN_PHASES = 0.02, 6
+#: A word found in more than this share of the items starts no walk of its own, but each item
+#: has at least so many phases, evenly spaced.
+COMMON, SPACED_PHASES = 0.02, 8
+#: Window sizes in words; the walk takes three steps for two words. The smallest serves items
+#: of fewer than 2 * ``WINDOWS[1]`` words only.
+WINDOWS = (3, 4, 8, 16, 32)
+#: Items and edited copies of each that the repetitions are counted on, and the most of these.
+TRIAL_ITEMS, TRIAL_COPIES, MOST_REPETITIONS = 60, 4, 24
 
 
 class Sampler:
-    """The walks and sampled positions of all repetitions, fixed by the seed."""
+    """The walks and sampled positions of all repetitions and window sizes, fixed by the seed."""
 
-    def __init__(self, repetitions: int, samples: int, steps: int, seed: int):
+    def __init__(self, samples: int, seed: int, repetitions: int = MOST_REPETITIONS):
         rng = np.random.default_rng(seed)
-        self.samples = samples
         self.walks = []
         for _ in range(repetitions):
-            at = [0, *sorted(rng.choice(np.arange(1, steps), samples - 1, replace=False).tolist())]
-            self.walks.append((at, rng.integers(1, 2**63, at[-1] + 1, dtype=np.uint64)))
+            salts = rng.integers(1, 2**63, WINDOWS[-1] * 3 // 2, dtype=np.uint64)
+            at = []
+            for words_ in WINDOWS:
+                steps = words_ * 3 // 2
+                near = int(rng.integers(1, min(4, steps)))
+                rest = [x for x in range(1, steps) if x != near]
+                far = rng.choice(rest, min(samples - 2, len(rest)), replace=False).tolist()
+                at.append([0, *sorted([near, *far])])
+            self.walks.append((salts, at))
 
     def moves(self, symbols: np.ndarray, salt: np.uint64) -> np.ndarray:
         return (((symbols ^ salt) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(63)).astype(np.int64)
 
-    def keys(self, symbols: np.ndarray, walk: int, alive=None, rows: np.ndarray | None = None):
-        """(start, key) of the windows that survive. ``alive(level, keys)`` says which keys
-        may still become one of an item's; windows that leave ``symbols`` are dropped."""
-        at, salts = self.walks[walk]
-        start = np.arange(len(symbols)) if rows is None else rows
-        pointer, key = start.copy(), np.full(len(start), np.uint64(walk + 1))
+    def keys(self, symbols: np.ndarray, walk: int, size: int, rows: np.ndarray, alive=None):
+        """(start, key) of the windows of size ``WINDOWS[size]`` at ``rows`` that survive.
+        ``alive(level, keys)`` says which keys may still become one of an item's; windows
+        that leave ``symbols`` are dropped."""
+        salts, at = self.walks[walk][0], self.walks[walk][1][size]
+        start, pointer, key = rows, rows.copy(), np.full(len(rows), np.uint64((walk + 1) * len(WINDOWS) + size))
         level = 0
         for step in range(at[-1] + 1):
             inside = pointer < len(symbols)
@@ -75,6 +93,21 @@ class Sampler:
             pointer = pointer + self.moves(seen, salts[step])
         return start, key
 
+    def item_keys(self, item: np.ndarray, phases: np.ndarray, walk: int, note=None):
+        """(size, phases, keys) for each window size of an item's phases."""
+        left = len(item) - phases
+        size = np.searchsorted(WINDOWS, left, side="right") - 1
+        out = []
+        for c in range(len(WINDOWS)):
+            rows = phases[size == c]
+            if len(item) < 2 * WINDOWS[1] and c == 0:
+                rows = phases[left >= WINDOWS[0]]  # besides their larger windows
+            elif c == 0:
+                rows = rows[:0]
+            if len(rows):
+                out.append((c, *self.keys(item, walk, c, rows, None if note is None else (lambda level, key, c=c: note(c, level, key)))))
+        return out
+
 
 def edit_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """Least word edit distance of ``item`` to a window of ``text``: (distance, start, end),
@@ -102,7 +135,7 @@ def edit_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
 class Index:
     """Keys of a block of items, as sorted arrays, and the items' words."""
 
-    def __init__(self, items: list[tuple[int | None, bytes]], sampler: Sampler, max_edits: float):
+    def __init__(self, items: list[tuple[int | None, bytes]], sampler: Sampler, max_edits: float, target: float):
         hasher, flags = Hasher(), word_table("alnum")
         self.sampler, self.max_edits = sampler, max_edits
         self.ids, self.words = [], []
@@ -111,81 +144,107 @@ class Index:
             if len(h):
                 self.ids.append(item_id)
                 self.words.append(h)
+        phases = self._phases()
+        self.repetitions = self._repetitions(phases, target)
         # flags by the low bits of a key, some 16 for every key
-        self.mask = np.uint64((1 << max(16, (16 * len(sampler.walks) * sum(map(len, self.words))).bit_length())) - 1)
-        self.levels = [np.zeros(int(self.mask) + 1, dtype=bool) for _ in range(sampler.samples)]
-        keys, items_, phases = [], [], []
-        self.starts = np.zeros(int(self.mask) + 1, dtype=bool)
-        rare = self._phases()
-
-        def note(level, key):
-            if level < len(self.levels):
-                self.levels[level][(key & self.mask).astype(np.int64)] = True
+        self.mask = np.uint64((1 << max(16, (16 * self.repetitions * sum(map(len, phases))).bit_length())) - 1)
+        noted: dict[tuple[int, int], list[np.ndarray]] = {}
+        begun: dict[int, list[np.ndarray]] = {}
+        keys, items_, starts = [], [], []
+
+        def note(size, level, key):
+            noted.setdefault((size, level), []).append(key)
             return slice(None)
 
+        alone: dict[int, list[int]] = {}
         for i, w in enumerate(self.words):
-            for walk in range(len(sampler.walks)):
-                start, key = sampler.keys(w, walk, note, rare[i])
-                keys.append(key)
-                phases.append(start)
-                items_.append(np.full(len(key), i))
-            self.starts[(w[rare[i]] & self.mask).astype(np.int64)] = True
+            have = 0
+            for walk in range(self.repetitions):
+                for c, start, key in sampler.item_keys(w, phases[i], walk, note):
+                    keys.append(key)
+                    starts.append(start)
+                    items_.append(np.full(len(key), i))
+                    begun.setdefault(c, []).append(w[start])
+                    have += len(key)
+            if not have:
+                alone.setdefault(int(w[0]), []).append(i)
+        self.alone = alone
+        self.flags = {at: self._flagged(found) for at, found in noted.items()}
+        self.begins = {c: self._flagged(found) for c, found in begun.items()}
         none = np.zeros(0, dtype=np.int64)
         keys = np.concatenate(keys or [none.astype(np.uint64)])
         order = np.argsort(keys, kind="stable")
-        self.keys, self.items, self.phases = keys[order], np.concatenate(items_ or [none])[order], np.concatenate(phases or [none])[order]
-        # one piece more than edits: one of them stands unedited in every copy
-        pieces: dict[int, list[tuple[int, int, int]]] = {}
-        for i, w in enumerate(self.words):
-            parts = min(int(max_edits * len(w)) + 1, len(w))
-            bounds = [len(w) * p // parts for p in range(parts + 1)]
-            for lo, hi in zip(bounds, bounds[1:]):
-                pieces.setdefault(hi - lo, []).append((int(sequence_hashes(w[lo:hi], hi - lo)[0]), i, lo))
-        self.pieces = {}
-        for length, found in pieces.items():
-            found.sort()
-            key = np.array([f[0] for f in found], dtype=np.uint64)
-            mask = np.uint64((1 << max(16, (16 * len(key)).bit_length())) - 1)
-            flags = np.zeros(int(mask) + 1, dtype=bool)
-            flags[(key & mask).astype(np.int64)] = True
-            self.pieces[length] = (mask, flags, key, np.array([f[1] for f in found]), np.array([f[2] for f in found]))
+        self.keys, self.items, self.starts = keys[order], np.concatenate(items_ or [none])[order], np.concatenate(starts or [none])[order]
+
+    def _flagged(self, found: list[np.ndarray]) -> np.ndarray:
+        """A bit for each value of the low bits of a key, set where there is such a key."""
+        bits = np.zeros(int(self.mask) + 1, dtype=bool)
+        for keys in found:
+            bits[(keys & self.mask).astype(np.int64)] = True
+        return np.packbits(bits, bitorder="little")
+
+    def _has(self, flags: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        low = (keys & self.mask).astype(np.int64)
+        return (flags[low >> 3] >> (low & 7).astype(np.uint8)) & 1 == 1
 
     def _phases(self) -> list[np.ndarray]:
-        """The phases of each item: those whose first word stands in few items, and at
-        least the ``MIN_PHASES`` rarest; walks from common words would start everywhere."""
+        """The phases of each item: the words that stand in few items, and ``SPACED_PHASES``
+        evenly spaced ones; walks from common words would start everywhere."""
         once = np.concatenate([np.unique(w) for w in self.words] or [np.zeros(0, dtype=np.uint64)])
         known, df = np.unique(once, return_counts=True)
         out = []
         for w in self.words:
-            f = df[np.searchsorted(known, w)]
-            order = np.argsort(f, kind="stable")
-            n = max(MIN_PHASES, int((f <= max(1, COMMON * len(self.words))).sum()))
-            out.append(np.sort(order[:n]))
+            rare = np.flatnonzero(df[np.searchsorted(known, w)] <= max(1, COMMON * len(self.words)))
+            reach = len(w) - len(w) // 2 + 1  # windows of half the item at least
+            spaced = np.arange(0, reach, max(1, reach // SPACED_PHASES))
+            out.append(np.union1d(rare[rare < reach], spaced))
         return out
 
-    def alive(self, level: int, key: np.ndarray):
-        if level >= len(self.levels):
-            return slice(None)
-        return self.levels[level][(key & self.mask).astype(np.int64)]
+    def _repetitions(self, phases: list[np.ndarray], target: float) -> int:
+        """The least number of repetitions that finds the share ``target`` of edited copies of a
+        sample of the items, of those of fewer than 10, fewer than 25 and more words each."""
+        rng = np.random.default_rng(23)
+        trials = []
+        for i in range(0, len(self.words), max(1, len(self.words) // TRIAL_ITEMS)):
+            w = self.words[i]
+            slack = int(self.max_edits * len(w))
+            for _ in range(TRIAL_COPIES if slack else 0):
+                copy = w.tolist()
+                for _ in range(slack):
+                    at, kind, new = int(rng.integers(len(copy))), int(rng.integers(3)), int(rng.integers(2**62))
+                    copy[at : at + (kind != 1)] = [new] if kind < 2 else []
+                around = rng.integers(2**62, size=2 * WINDOWS[-1], dtype=np.uint64)
+                trials.append((i, 0 if len(w) < 10 else 1 if len(w) < 25 else 2, np.concatenate([around[: WINDOWS[-1]], np.array(copy, dtype=np.uint64), around[WINDOWS[-1] :]])))
+        found = np.zeros(len(trials), dtype=bool)
+        group = np.array([g for _, g, _ in trials], dtype=int)
+        for walk in range(len(self.sampler.walks)):
+            for t in np.flatnonzero(~found):
+                i, _, text = trials[t]
+                rows = np.arange(len(text))
+                found[t] = any(np.isin(self.sampler.keys(text, walk, c, rows)[1], key).any()
+                               for c, _, key in self.sampler.item_keys(self.words[i], phases[i], walk))
+            if walk and all(found[group == g].mean() >= target for g in np.unique(group)):
+                return walk + 1
+        return len(self.sampler.walks)
 
     def candidates(self, symbols: np.ndarray) -> set[tuple[int, int]]:
         """(item, word where it would start) for the words of a block of documents."""
         out = set()
-        first = np.flatnonzero
-        rows = first(self.starts[(symbols & self.mask).astype(np.int64)])
-        for walk in range(len(self.sampler.walks)):
-            start, key = self.sampler.keys(symbols, walk, self.alive, rows)
-            lo, hi = np.searchsorted(self.keys, key, "left"), np.searchsorted(self.keys, key, "right")
-            for j in first(hi > lo):
-                for x in range(lo[j], hi[j]):
-                    out.add((int(self.items[x]), int(start[j]) - int(self.phases[x])))
-        for length, (mask, flags, keys, items, offsets) in self.pieces.items():
-            if len(symbols) >= length:
-                h = sequence_hashes(symbols, length)
-                at = first(flags[(h & mask).astype(np.int64)])
-                lo, hi = np.searchsorted(keys, h[at], "left"), np.searchsorted(keys, h[at], "right")
-                for j in first(hi > lo):
-                    out.update(zip(items[lo[j] : hi[j]].tolist(), (at[j] - offsets[lo[j] : hi[j]]).tolist()))
+        for c, begins in self.begins.items():
+            rows = np.flatnonzero(self._has(begins, symbols))
+
+            def alive(level, key, c=c):
+                return self._has(self.flags[c, level], key) if (c, level) in self.flags else np.zeros(len(key), dtype=bool)
+
+            for walk in range(self.repetitions):
+                start, key = self.sampler.keys(symbols, walk, c, rows, alive)
+                lo, hi = np.searchsorted(self.keys, key, "left"), np.searchsorted(self.keys, key, "right")
+                for j in np.flatnonzero(hi > lo):
+                    out.update(zip(self.items[lo[j] : hi[j]].tolist(), (start[j] - self.starts[lo[j] : hi[j]]).tolist()))
+        if self.alone:
+            first = np.array(sorted(self.alone), dtype=np.uint64)
+            for j in np.flatnonzero(np.isin(symbols, first)):
+                out.update((i, int(j)) for i in self.alone[int(symbols[j])])
         return out
 
     def matches(self, symbols: np.ndarray, doc: np.ndarray) -> dict[tuple[int, int], tuple[int, int, int]]:
@@ -218,20 +277,13 @@ class Index:
         return best
 
 
-def sequence_hashes(symbols: np.ndarray, length: int) -> np.ndarray:
-    out = np.full(len(symbols) - length + 1, np.uint64(length))
-    for j in range(length):
-        out = mix64(out * np.uint64(0xD6E8FEB86659FD93) + symbols[j : len(symbols) - length + 1 + j])
-    return out
-
-
 def _indexes(benchmark: DataFrame, block_items: int, settings: dict):
     """A broadcast index for each block of items; the driver holds one block at a time."""
-    sampler = Sampler(settings["repetitions"], settings["samples"], settings["steps"], settings["seed"])
+    sampler = Sampler(settings["samples"], settings["seed"])
     context, block = benchmark.sparkSession.sparkContext, []
 
     def index():
-        return context.broadcast(Index(block, sampler, settings["max_edits"]))
+        return context.broadcast(Index(block, sampler, settings["max_edits"], settings["target"]))
 
     for row in benchmark.select("item_id", F.col("text").cast("string")).where("text is not null").toLocalIterator():
         block.append((row[0], row[1].encode("utf-8", "surrogatepass")))
@@ -242,7 +294,7 @@ def _indexes(benchmark: DataFrame, block_items: int, settings: dict):
         yield index()
 
 
-SETTINGS = {"repetitions": 4, "samples": 7, "steps": 14, "seed": 11, "max_edits": 0.2}
+SETTINGS = {"target": 0.995, "samples": 6, "seed": 11, "max_edits": 0.2}
 
 
 def _batches(batches: Iterator[pa.RecordBatch], index: Index):

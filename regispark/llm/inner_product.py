@@ -73,7 +73,7 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 class Block:
     """A block of queries with their bounds."""
 
-    def __init__(self, ids: np.ndarray, q: np.ndarray, rotation: np.ndarray, longest: tuple[np.ndarray, np.ndarray], k: int, wide: bool):
+    def __init__(self, ids: np.ndarray, q: np.ndarray, rotation: np.ndarray, longest: tuple[np.ndarray, np.ndarray], k: int, wide: bool = False):
         self.ids, self.q, self.rotation, self.k, self.wide = ids, q, rotation, k, wide
         self.length = np.sqrt((q.astype(float) ** 2).sum(axis=1))
         self.rotated = q.astype(float) @ rotation

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from regispark.llm import chat_format, common, inner_product, language_id, secret_scan, substring_dedup
+from regispark.llm import chat_format, common, decontaminate, inner_product, language_id, secret_scan, substring_dedup
 
 SMALL = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
@@ -175,3 +175,68 @@ def test_pipeline_stages_keep_the_callers_columns(spark):
     for name, stage in corpus_pipeline.STAGES:
         none = common.staged(stage(spark, none, SMALL))
         assert none.count() == 0
+
+
+# ---- decontamination
+
+
+def least_distance(item, text):
+    """Word edit distance of ``item`` to the best window of ``text``, cell by cell."""
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(item, 1):
+        new = [i]
+        for j, b in enumerate(text, 1):
+            new.append(min(row[j - 1] + (a != b), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+def alnum_words(text):
+    import re
+    return re.findall(r"[A-Za-z0-9\u0080-\U0010ffff]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text))
+
+
+def test_contamination_matches_brute_force_both_ways(spark):
+    """Every pair of a document and an item: copies with up to twice the edits that count."""
+    rng = np.random.default_rng(31)
+    vocabulary = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(rng.choice(vocabulary, int(rng.integers(5, 60))))) for i in range(50)]
+    rows = []
+    for d in range(150):
+        i, text = items[d % 50]
+        w = text.split()
+        for _ in range(int(rng.integers(0, int(0.4 * len(w)) + 1))):
+            p = int(rng.integers(len(w)))
+            [lambda: w.__setitem__(p, f"e{p}"), lambda: w.pop(p), lambda: w.insert(p, "new")][int(rng.integers(3))]()
+        around = [" ".join(rng.choice(vocabulary, int(rng.integers(0, 60)))) for _ in range(2)]
+        rows.append((d, f"{around[0]} {' '.join(w)}. {around[1]}", "en", "s", 0))
+    want = {}
+    for d, text, *_ in rows:
+        for i, item in items:
+            a = alnum_words(item)
+            distance = least_distance(a, alnum_words(text))
+            if distance <= int(0.2 * len(a)):
+                want[d, i] = distance
+    found = decontaminate.contaminated(spark.createDataFrame(rows, DOC), spark.createDataFrame(items, "item_id long, text string"), block_items=17)
+    got = {(r.doc_id, r.item_id): r.distance for r in found.collect()}
+    assert all(got[k] == want.get(k) for k in got) and len(got) >= 0.95 * len(want) > 60
+
+
+@pytest.mark.parametrize("kind", ["short", "template", "long"])
+def test_walks_reach_the_target_recall(spark, kind):
+    """Edited up to the bound, all kinds of edits at random places; the walks alone propose."""
+    rng = np.random.default_rng(77)
+
+    def made(seed, n):
+        return " ".join(f"p{x}" for x in np.random.default_rng(seed).integers(0, 5000, n))
+
+    items = [(i, {"short": made(i, 5 + i % 8), "template": f"{made(9000, 20)} {made(i, 6)}", "long": made(i, 30 + i % 20)}[kind]) for i in range(120)]
+    rows = []
+    for i, text in items:
+        w = text.split()
+        for _ in range(int(0.2 * len(w))):
+            p = int(rng.integers(len(w)))
+            [lambda: w.__setitem__(p, f"e{p}"), lambda: w.pop(p), lambda: w.insert(p, "new")][int(rng.integers(3))]()
+        rows += [(i, f"{made(20_000 + i, 40)} {' '.join(w)} {made(30_000 + i, 40)}", "en", "s", 0), (1000 + i, f"{made(40_000 + i, 9)} {text}", "en", "s", 0)]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(spark.createDataFrame(rows, DOC), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert sum((i, i) in got for i, _ in items) >= 0.95 * len(items) and all((1000 + i, i) in got for i, _ in items)
