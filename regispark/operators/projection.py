@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .._util import quote
+from .._util import fresh, quote
 
 
 def select_as(df: DataFrame, mapping: dict | list) -> DataFrame:
@@ -99,15 +99,15 @@ def global_row_number(df: DataFrame, order_cols, name: str = "row_number", num_p
 
     cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tb = "__tb"
+    tb, bucket, place, before = (fresh([*df.columns, name], c) for c in ("__tb", "__bucket", "__pos", "__before"))
     base = df.withColumn(tb, tiebreak(df))
     order = [F.col(quote(c)) for c in cols] + [F.col(tb)]
-    b, nb = with_buckets(base, order, n)
-    pos = F.row_number().over(Window.partitionBy("__bucket").orderBy(*order))
-    numbered = b.repartitionByRange(nb, "__bucket").withColumn("__pos", pos)
-    counts = b.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__cnt"))  # partial agg, tiny shuffle
-    offsets = counts.withColumn("__before", F.coalesce(
-        F.sum("__cnt").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    b, nb = with_buckets(base, order, n, bucket)
+    pos = F.row_number().over(Window.partitionBy(bucket).orderBy(*order))
+    numbered = b.repartitionByRange(nb, bucket).withColumn(place, pos)
+    counts = b.groupBy(bucket).agg(F.count(F.lit(1)).alias("rows"))  # partial agg, tiny shuffle
+    offsets = counts.select(bucket, F.coalesce(
+        F.sum("rows").over(Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(before))
     # one row per bucket: the broadcast is bounded by the bucket count
-    j = numbered.join(F.broadcast(offsets.select("__bucket", "__before")), "__bucket")
-    return j.withColumn(name, F.col("__before") + F.col("__pos")).drop("__bucket", "__pos", "__before", tb)
+    j = numbered.join(F.broadcast(offsets), bucket)
+    return j.withColumn(name, F.col(before) + F.col(place)).drop(bucket, place, before, tb)

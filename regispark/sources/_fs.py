@@ -7,6 +7,8 @@ import os
 
 
 def _split(path: str):
+    if path.startswith("file:/") and not path.startswith("file://"):  # as Spark writes local paths
+        return None, path[len("file:"):]
     if "://" in path:
         from pyarrow import fs
 

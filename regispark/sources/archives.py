@@ -1,13 +1,17 @@
-"""Zip archive sources.
-
-* :func:`read_zip` — archives -> typed rows. ``binaryFile`` loads each archive as one
-  task; ``mapInPandas`` only inflates members into text lines; Spark's own ``from_csv``
-  parses them (JVM-side). ``binaryFile`` holds an archive in memory (2 GB cap), so large
-  drops go through :func:`extract_archives` + the typed delimited scan instead.
-* :func:`extract_archives` — one task per archive streams members to a target directory
-  in chunks and returns a manifest (archive, member, target, bytes, status, error), with
-  optional member filter and canonical ``{prefix}{digits}.csv`` renaming. A corrupt archive
-  yields an error row; the others are still extracted.
+"""Zip archive sources (S8-S11), a member at a time.
+
+A first job reads the central directories, by range reads at the end of each archive, and
+lists the members; the list is as long as that of any scan's files. A second one gives every
+member a task of its own, which seeks to it and inflates it as a stream. No archive or member
+is ever held in memory, none has a size limit, and one archive of many members is read by as
+many tasks.
+
+* :func:`read_zip` — members -> typed rows; Python only inflates them into text lines, which
+  Spark's own ``from_csv`` parses (JVM-side).
+* :func:`extract_archives` — streams members to a target directory in chunks and returns a
+  manifest (archive, member, target, bytes, status, error), with optional member filter and
+  canonical ``{prefix}{digits}.csv`` renaming. A corrupt archive or member yields an error
+  row; the others are still extracted.
 """
 
 from __future__ import annotations
@@ -39,47 +43,91 @@ def canonical_name(archive: str, member: str) -> str:
     return f"{m.group(1)}{m.group(2)}.csv" if m else os.path.basename(member)
 
 
+_LISTED = "archive string, place int, member string, size long, error string"
+_TASKS = "number long, archive string, place int, member string, target string"
+
+
+def _members(spark: SparkSession, paths: list[str], member_regex: str | None) -> list:
+    """(archive, place, member, size, error) of every file in the archives that matches, in
+    order; an archive that cannot be read is a row with an error."""
+    def listed(batches):
+        rx = re.compile(member_regex) if member_regex else None
+        for pdf in batches:
+            rows = []
+            for archive in pdf["archive"]:
+                try:
+                    with open_random_access(archive) as raw, zipfile.ZipFile(raw) as zf:
+                        rows += [(archive, i, m.filename, m.file_size, None) for i, m in enumerate(zf.infolist())
+                                 if not m.is_dir() and (rx is None or rx.search(m.filename))]
+                except ARCHIVE_ERRORS as exc:
+                    rows.append((archive, None, None, None, f"{type(exc).__name__}: {exc}"))
+            yield pd.DataFrame(rows, columns=["archive", "place", "member", "size", "error"])
+
+    if not paths:
+        return []
+    df = spark.createDataFrame([(p,) for p in paths], "archive string").repartition(len(paths))
+    return sorted(df.mapInPandas(listed, _LISTED).collect(), key=lambda r: (r.archive, -1 if r.place is None else r.place))
+
+
+def _one_each(spark: SparkSession, rows: list[tuple], tasks: int | None = None) -> DataFrame:
+    """The members as rows, each in a task of its own (or dealt to ``tasks``)."""
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], _TASKS)
+    return df.repartitionByRange(tasks or max(1, len(rows)), "number")
+
+
+def _opened(archive: str, place: int):
+    """The open archive, and the member at ``place`` of its directory."""
+    raw = open_random_access(archive)
+    try:
+        zf = zipfile.ZipFile(raw)
+        return raw, zf, zf.infolist()[int(place)]
+    except BaseException:
+        raw.close()
+        raise
+
+
 def read_zip(spark: SparkSession, pattern: str, schema: T.StructType, encoding: str = "ISO-8859-1",
              sep: str = ";", member_regex: str | None = None, with_errors: bool = False) -> DataFrame:
     """Every member of every archive matching ``pattern`` as typed rows (+ archive, member).
 
     A damaged or encrypted archive, or bytes that the charset lacks, fail the job;
     ``with_errors=True`` reads the others instead, and adds an ``error`` column with one row
-    per failure (data columns NULL)."""
+    per failure (data columns NULL). The archives are listed when this is called."""
     enc = spark_charset(encoding)
-    raw = spark.read.format("binaryFile").load(pattern).select("path", "content")
-
-    def members(path, content, rx):
-        with zipfile.ZipFile(io.BytesIO(content)) as zf:
-            for info in zf.infolist():
-                if info.is_dir() or (rx and not rx.search(info.filename)):
-                    continue
-                with zf.open(info) as fh:
-                    buf = []
-                    for line in io.TextIOWrapper(fh, encoding=enc, newline=""):
-                        line = line.rstrip("\r\n")
-                        if line:
-                            buf.append(line)
-                        if len(buf) >= 10_000:
-                            yield info.filename, buf
-                            buf = []
-                    if buf:
-                        yield info.filename, buf
+    paths = [r.path for r in spark.read.format("binaryFile").load(pattern).select("path").collect()]
+    found = _members(spark, sorted(paths), member_regex)
+    bad = [r for r in found if r.error]
+    if bad and not with_errors:
+        raise ValueError(f"{bad[0].archive}: {bad[0].error}")
+
+    def frame(archive, member, line, error=None):
+        return pd.DataFrame({"archive": archive, "member": member, "line": line, "error": error}, dtype="object")
 
     def inflate(batches):
-        rx = re.compile(member_regex) if member_regex else None
         for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
+            for archive, place, member in zip(pdf["archive"], pdf["place"], pdf["member"]):
                 try:
-                    for member, buf in members(path, content, rx):
-                        yield pd.DataFrame({"archive": path, "member": member, "line": buf, "error": None})
+                    raw, zf, info = _opened(archive, place)
+                    with raw, zf, zf.open(info) as fh:
+                        buf = []
+                        for line in io.TextIOWrapper(fh, encoding=enc, newline=""):
+                            line = line.rstrip("\r\n")
+                            if line:
+                                buf.append(line)
+                            if len(buf) >= 10_000:
+                                yield frame(archive, member, buf)
+                                buf = []
+                        if buf:
+                            yield frame(archive, member, buf)
                 except ARCHIVE_ERRORS as exc:
                     if not with_errors:
-                        raise ValueError(f"{path}: {type(exc).__name__}: {exc}") from exc
-                    yield pd.DataFrame({"archive": [path], "member": [None], "line": [None],
-                                        "error": [f"{type(exc).__name__}: {exc}"]})
+                        raise ValueError(f"{archive}: {type(exc).__name__}: {exc}") from exc
+                    yield frame([archive], [member], [None], [f"{type(exc).__name__}: {exc}"])
 
-    lines = raw.mapInPandas(inflate, "archive string, member string, line string, error string")
+    members = _one_each(spark, [(r.archive, r.place, r.member, None) for r in found if not r.error])
+    lines = members.mapInPandas(inflate, "archive string, member string, line string, error string")
+    if bad:
+        lines = lines.union(spark.createDataFrame([(r.archive, None, None, r.error) for r in bad], lines.schema))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     parsed = lines.select("archive", "member", "error",
                           F.from_csv("line", ddl, {"sep": sep, "quote": '"', "escape": '"'}).alias("__r"))
@@ -101,7 +149,8 @@ def _member_path(name: str) -> str:
 
 def extract_archives(spark: SparkSession, paths, target: str, member_filter: str | None = None,
                      rename: bool = False, first_only: bool = False, tasks: int | None = None) -> DataFrame:
-    """Extract archives (one task each) into ``target``; returns the manifest.
+    """Extract archives (one task per member, or ``tasks`` in all) into ``target``;
+    returns the manifest.
 
     ``member_filter``: regex a member name must match; ``first_only``: stop after the
     first matching member per archive. Members keep their path below a folder of their
@@ -110,49 +159,52 @@ def extract_archives(spark: SparkSession, paths, target: str, member_filter: str
     archives of the same name get a checksum of their path, and members of one archive whose
     paths coincide are error rows. ``target`` must be a directory every executor can write: a shared mount or a
     filesystem URI (``hdfs://``, ``s3://``, ``gs://``, ``file://``), never a machine-local folder on
-    a cluster. The manifest is lazy, and each action on it extracts anew: write it once.
+    a cluster. The archives are listed when this is called. The manifest is lazy, and each
+    action on it extracts anew: write it once.
     """
     paths = list(dict.fromkeys(paths))
-    df = spark.createDataFrame(list(zip(paths, _slots(paths))), "archive string, slot string")
-    df = df.repartition(tasks or max(1, len(paths)))
+    slots = dict(zip(paths, _slots(paths)))
 
-    def place(archive, slot, m, number):
+    def place(archive, slot, member, number):
         if not rename:
-            return f"{slot}/{_member_path(m.filename)}"
-        name = canonical_name(archive, m.filename)
+            return f"{slot}/{_member_path(member)}"
+        name = canonical_name(archive, member)
         stem, ext = os.path.splitext(name)
         mark = slot[len(os.path.splitext(os.path.basename(archive))[0]):]
         return f"{stem}{mark}{'' if number == 1 else f'-{number}'}{ext}"
 
+    listed: dict[str, list] = {p: [] for p in paths}
+    for r in _members(spark, paths, member_filter):
+        listed[r.archive].append(r)
+    wanted, manifest = [], []
+    for archive, rows in listed.items():
+        taken = set()
+        if not rows:
+            manifest.append((archive, None, None, 0, "no_member", None))
+        for number, r in enumerate(rows[:1] if first_only else rows, 1):
+            if r.error:
+                manifest.append((archive, None, None, 0, "error", r.error))
+                continue
+            out = target.rstrip("/") + "/" + place(archive, slots[archive], r.member, number)
+            if out.lower() in taken:
+                manifest.append((archive, r.member, out, 0, "error", "another member has this target"))
+                continue
+            taken.add(out.lower())
+            wanted.append((archive, r.place, r.member, out))
+
     def extract(batches):
-        rx = re.compile(member_filter) if member_filter else None
         for pdf in batches:
             rows = []
-            for archive, slot in zip(pdf["archive"], pdf["slot"]):
+            for archive, at, member, out in zip(pdf["archive"], pdf["place"], pdf["member"], pdf["target"]):
                 try:
-                    with open_random_access(archive) as raw_fh, zipfile.ZipFile(raw_fh) as zf:
-                        members = [m for m in zf.infolist() if not m.is_dir() and (rx is None or rx.search(m.filename))]
-                        if first_only:
-                            members = members[:1]
-                        if not members:
-                            rows.append((archive, None, None, 0, "no_member", None))
-                        taken = set()
-                        for number, m in enumerate(members, 1):
-                            out = target.rstrip("/") + "/" + place(archive, slot, m, number)
-                            if out.lower() in taken:
-                                rows.append((archive, m.filename, out, 0, "error", "another member has this target"))
-                                continue
-                            taken.add(out.lower())
-                            tmp = out + ".part"
-                            try:
-                                with zf.open(m) as src, open_output(tmp) as dst:
-                                    shutil.copyfileobj(src, dst, CHUNK)
-                                move(tmp, out)
-                                rows.append((archive, m.filename, out, int(m.file_size), "ok", None))
-                            except ARCHIVE_ERRORS as exc:
-                                rows.append((archive, m.filename, None, 0, "error", f"{type(exc).__name__}: {exc}"))
+                    raw, zf, info = _opened(archive, at)
+                    with raw, zf, zf.open(info) as src, open_output(out + ".part") as dst:
+                        shutil.copyfileobj(src, dst, CHUNK)
+                    move(out + ".part", out)
+                    rows.append((archive, member, out, int(info.file_size), "ok", None))
                 except ARCHIVE_ERRORS as exc:
-                    rows.append((archive, None, None, 0, "error", f"{type(exc).__name__}: {exc}"))
+                    rows.append((archive, member, None, 0, "error", f"{type(exc).__name__}: {exc}"))
             yield pd.DataFrame(rows, columns=["archive", "member", "target", "bytes", "status", "error"])
 
-    return df.mapInPandas(extract, MANIFEST)
+    extracted = _one_each(spark, wanted, tasks).mapInPandas(extract, MANIFEST)
+    return extracted.union(spark.createDataFrame(manifest, MANIFEST)) if manifest else extracted

@@ -318,3 +318,10 @@ def test_salted_query_joins_its_hot_key_in_several_tasks(spark):
         for k, v in saved.items():
             spark.conf.set(k, v)
     assert len(tasks) > 2 and sum(r["count"] for r in tasks) > 1500
+
+
+def test_row_numbers_leave_columns_of_any_name(spark):
+    df = spark.createDataFrame([(i, f"b{i}", -i) for i in range(50)], "x int, __bucket string, __pos int").withColumns({"__tb": F.lit("t"), "__before": F.lit("w")})
+    out = P.global_row_number(df, "x")
+    assert out.columns == [*df.columns, "row_number"]
+    assert {(r["x"], r["__bucket"], r["__pos"], r["__tb"], r["__before"], r["row_number"]) for r in out.collect()} == {(i, f"b{i}", -i, "t", "w", i + 1) for i in range(50)}

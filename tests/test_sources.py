@@ -198,3 +198,41 @@ def test_write_table_uses_its_name(spark):
     sinks.write_table(spark.range(5), "rs_named_table", fmt="parquet")
     assert spark.table("rs_named_table").count() == 5
     spark.sql("DROP TABLE rs_named_table")
+
+
+def test_members_of_one_archive_are_read_by_a_task_each(spark, tmp_path):
+    """Range reads: three members in three tasks, of an archive with 6 MB of other bytes."""
+    import random
+    import zipfile
+
+    from pyspark.sql import functions as F, types as T
+
+    arc = tmp_path / "Parts0.zip"
+    with zipfile.ZipFile(arc, "w", zipfile.ZIP_DEFLATED) as zf:
+        zf.writestr("noise.bin", random.Random(1).randbytes(6 << 20))
+        for i in range(3):
+            zf.writestr(f"part{i}.csv", "".join(f"{i};{j}\n" for j in range(1000 * (i + 1))))
+        zf.writestr("dir/", "")
+    schema = T.StructType().add("p", T.IntegerType()).add("j", T.IntegerType())
+    df = archives.read_zip(spark, str(arc), schema, member_regex=r"csv$").withColumn("task", F.spark_partition_id())
+    got = {r.member: (r.n, r.tasks, r.task) for r in df.groupBy("member").agg(
+        F.count("j").alias("n"), F.count_distinct("task").alias("tasks"), F.min("task").alias("task")).collect()}
+    assert {m: g[:2] for m, g in got.items()} == {f"part{i}.csv": (1000 * (i + 1), 1) for i in range(3)}
+    assert len({g[2] for g in got.values()}) == 3
+    man = archives.extract_archives(spark, [str(arc)], str(tmp_path / "out"), member_filter=r"csv$")
+    assert man.withColumn("task", F.spark_partition_id()).select("task").distinct().count() == 3
+    assert {r.bytes for r in man.collect()} == {(tmp_path / "out" / "Parts0" / f"part{i}.csv").stat().st_size for i in range(3)}
+
+
+def test_archives_without_members_or_files(spark, tmp_path):
+    import zipfile
+
+    from pyspark.sql import types as T
+
+    with zipfile.ZipFile(tmp_path / "Empty0.zip", "w") as zf:
+        zf.writestr("other.txt", "x")
+    schema = T.StructType().add("p", T.IntegerType())
+    assert archives.read_zip(spark, str(tmp_path / "*.zip"), schema, member_regex=r"csv$").count() == 0
+    man = archives.extract_archives(spark, [str(tmp_path / "Empty0.zip")], str(tmp_path / "o"), member_filter=r"csv$").collect()
+    assert [(r.status, r.bytes) for r in man] == [("no_member", 0)]
+    assert archives.extract_archives(spark, [], str(tmp_path / "o")).count() == 0
