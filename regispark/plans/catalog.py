@@ -10,6 +10,7 @@ value hash.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -17,6 +18,9 @@ from .. import functions as X
 from ..operators import features as L, joins as J, profile as A, projection as P, quality as D, stats as T
 from ..operators.filters import phone_shape
 from ..fixed_values import STREET_TYPE_EXACT, STREET_TYPE_PATTERNS, VALID_AREA_CODES
+from ..schemas import dataset_schema
+from ..session import ensure_checkpoint_dir
+from ..sources import archives, delimited, encoding, sinks
 from ..sources.seeds import HOME_AREA_MOBILE_RANGES, expand_ranges
 from .eda import CAPITAL_PROBS, eda_tables
 from .geocode import geo_fallback
@@ -1869,3 +1873,125 @@ def global_row_number(spark, d):
     """Contiguous row numbers in key order without a single-partition window."""
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
     return P.global_row_number(o, "o_orderkey", "row_number")
+
+
+# ---------------------------------------------------------------------------
+# Sources and sinks: test tables written as drops below the checkpoint folder and read back
+# ---------------------------------------------------------------------------
+_QUOTED = {"sep": ";", "quoteAll": True, "escape": '"', "encoding": "ISO-8859-1"}
+_REASON_SQL = """SELECT CAST(p_partkey AS VARCHAR) AS COD_MOTIVO, p_name || '; "São Ç" ' || CAST(p_partkey AS VARCHAR) AS NM_MOTIVO FROM part"""
+
+
+def _folder(spark) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/drop-{uuid.uuid4().hex}"
+
+
+def reason_rows(spark, d) -> DataFrame:
+    """Code-table-shaped rows whose labels hold separators, quotes and accents."""
+    code = F.col("p_partkey").cast("string")
+    return table(spark, d, "part").select(code.alias("COD_MOTIVO"), F.concat("p_name", F.lit('; "São Ç" '), code).alias("NM_MOTIVO"))
+
+
+@register("source_delimited", _REASON_SQL)
+def source_delimited(spark, d):
+    """K1 -> S1, S2: a headerless, quoted ISO-8859-1 drop under its dataset path."""
+    base = _folder(spark)
+    sinks.save_data(reason_rows(spark, d), delimited.dataset_paths("motivos", base), 4, "csv", options=_QUOTED)
+    return delimited.read_dataset(spark, "motivos", base)
+
+
+@register("source_mixed_encodings", _REASON_SQL)
+def source_mixed_encodings(spark, d):
+    """Files of two encodings, detected by a job and read with a reader each."""
+    base, rows = _folder(spark), reason_rows(spark, d)
+    odd = F.pmod(F.col("COD_MOTIVO").cast("long"), F.lit(2)) == 1
+    sinks.save_data(rows.where(odd), base, 2, "csv", options=_QUOTED)
+    sinks.save_data(rows.where(~odd), base, 3, "csv", "append", options=_QUOTED | {"encoding": "UTF-8"})
+    files = [r.path for r in spark.read.format("binaryFile").load(f"{base}/*.csv").select("path").collect()]
+    found = encoding.detect_encodings(spark, files).collect()
+    return delimited.read_mixed(spark, "motivos", {r.path: r.encoding for r in found})
+
+
+@register("source_header_csv", "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment FROM customer")
+def source_header_csv(spark, d):
+    """A header CSV, gzipped, every column a string."""
+    path = _folder(spark)
+    sinks.save_data(table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment"), path, 3, "csv",
+                    options={"header": True, "compression": "gzip", "sep": "|"})
+    return delimited.read_header_csv(spark, path, "|")
+
+
+@register("source_names", """SELECT upper(p_name) AS first_name, CASE WHEN p_partkey % 2 = 0 THEN 'F' ELSE 'M' END AS classification,
+       p_partkey / 7.0::DOUBLE AS ratio, CASE WHEN p_partkey % 7 <> 0 THEN p_brand || '|' || p_type END AS alternative_names FROM part""")
+def source_names(spark, d):
+    """The first-name dictionary as a gzipped header CSV of doubles and NULLs."""
+    path, p = _folder(spark), table(spark, d, "part")
+    shaped = {"first_name": F.upper("p_name"), "classification": F.when(F.col("p_partkey") % 2 == 0, "F").otherwise("M"),
+              "ratio": F.col("p_partkey") / F.lit(7.0), "alternative_names": F.when(F.col("p_partkey") % 7 != 0, F.concat("p_brand", F.lit("|"), "p_type"))}
+    columns = [shaped[f.name].alias(f.name) if f.name in shaped else F.lit(None).cast(f.dataType).alias(f.name) for f in delimited.NAMES.fields]
+    sinks.save_data(p.select(*columns), path, 2, "csv", options={"header": True, "compression": "gzip"})
+    return delimited.read_names(spark, path).select(*shaped)
+
+
+def _zipped(spark, d) -> str:
+    """Zip archives below a fresh folder, one per partition, of two headerless members each."""
+    import zipfile
+
+    import pandas as pd
+
+    from ..sources._fs import open_output
+
+    base = _folder(spark)
+    shards = max(3, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = reason_rows(spark, d).repartition(shards, "COD_MOTIVO").withColumn("shard", F.spark_partition_id())
+
+    def write(batches):
+        lines: dict = {}
+        for pdf in batches:
+            for shard, code, name in zip(pdf["shard"], pdf["COD_MOTIVO"], pdf["NM_MOTIVO"]):
+                quoted = name.replace('"', '""')
+                lines.setdefault((shard, int(code) % 2), []).append(f'"{code}";"{quoted}"\n')
+        for shard in sorted({s for s, _ in lines}):
+            with open_output(f"{base}/Motivos{shard}.zip") as raw, zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as zf:
+                for part in sorted(p for s, p in lines if s == shard):
+                    zf.writestr(f"F{part}.MOTICSV", "".join(lines[shard, part]).encode("iso-8859-1"))
+                zf.writestr("readme.txt", "not a member that matches")
+            yield pd.DataFrame({"path": [f"{base}/Motivos{shard}.zip"]})
+
+    rows.mapInPandas(write, "path string").collect()
+    return base
+
+
+@register("source_zip", _REASON_SQL)
+def source_zip(spark, d):
+    """Typed rows out of zip archives, a task per member."""
+    return archives.read_zip(spark, f"{_zipped(spark, d)}/*.zip", dataset_schema("motivos"), member_regex="CSV$").drop("archive", "member")
+
+
+@register("source_extracted", _REASON_SQL)
+def source_extracted(spark, d):
+    """Matching members extracted under canonical names, then scanned."""
+    base = _zipped(spark, d)
+    zips = [r.path for r in spark.read.format("binaryFile").load(f"{base}/*.zip").select("path").collect()]
+    done = archives.extract_archives(spark, zips, f"{base}/out", member_filter="CSV$", rename=True).where("status = 'ok'").select("target").collect()
+    return delimited.read_dataset(spark, "motivos", paths=[r.target for r in done])
+
+
+@register("sink_round_trip", """SELECT 'motivos' AS dataset, count(*) AS n, count(DISTINCT p_name) AS labels FROM part
+UNION ALL SELECT 'naturezas', count(*), count(DISTINCT n_name) FROM nation""")
+def sink_round_trip(spark, d):
+    """Datasets loaded through a sink, overwritten in place, read as a SQL model."""
+    base, out = _folder(spark), []
+    kinds = table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("COD_NAT_JURICA"), F.col("n_name").alias("NAT_JURICA"))
+    sinks.save_data(reason_rows(spark, d), delimited.dataset_paths("motivos", base), 2, "csv", options=_QUOTED)
+    sinks.save_data(kinds, delimited.dataset_paths("naturezas", base), 1, "csv", options=_QUOTED)
+    loaded = sinks.load_all(spark, ["Motivos", "naturezas", "MOTIVOS"], base,
+                            lambda df, name: sinks.write_table(df, name, "parquet", {"path": f"{base}/tables/{name}"}))
+    for name in loaded:
+        path = f"{base}/tables/{name}"
+        with sinks.pinned(delimited.read_parquet(spark, path)) as df:
+            label = df.columns[1]
+            sinks.save_data(df.withColumn(label, F.regexp_replace(label, ';.*$', "")), path, 3, overwrite_source=True)
+        delimited.read_parquet(spark, path, [label]).withColumnRenamed(label, "label").createOrReplaceTempView(f"rs_sink_{name}")
+        out.append(sinks.materialize(spark, f"SELECT '{name}' AS dataset, count(*) AS n, count(DISTINCT label) AS labels FROM rs_sink_{name}", f"rs_model_{name}"))
+    return A.union_all(out)

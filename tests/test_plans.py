@@ -27,6 +27,8 @@ def test_filters_reach_the_scan(spark):
 def test_sql_expressible_plans_stay_in_the_jvm(spark, name):
     if name.startswith("op") and not name.startswith(("op1_", "op7_")):
         pytest.skip("training-data operators that work on Arrow batches by design")
+    if name == "source_zip":
+        pytest.skip("zip members are inflated in Python; their lines are parsed in the JVM")
     p = plan(E.queries()[name](spark, SF))
     assert not any(node in p for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "PythonMapInArrow"))
 
