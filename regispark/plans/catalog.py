@@ -215,8 +215,8 @@ FROM customer c LEFT JOIN l1 ON c.c_custkey = l1.k LEFT JOIN l2 ON c.c_nationkey
 def geo_fallback_q(spark, d):
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
     o = table(spark, d, "orders")
-    l1 = o.filter(F.col("o_orderstatus") == "F").groupBy("o_custkey").agg(
-        (F.max("o_totalprice") / 10000.0).alias("lat"), (F.count(F.lit(1)) * 1.0).alias("lon"))
+    done = F.col("o_orderstatus") == "F"
+    l1 = o.groupBy("o_custkey").agg((F.max(F.when(done, F.col("o_totalprice"))) / 10000.0).alias("lat"), (F.count_if(done) * 1.0).alias("lon"))
     l2 = table(spark, d, "supplier").groupBy("s_nationkey").agg(
         (F.min("s_acctbal") / 100.0).alias("lat"), (F.count(F.lit(1)) * 1.0).alias("lon"))
     l3 = table(spark, d, "nation").select("n_nationkey", (F.col("n_regionkey") * 10.0).alias("lat"),
@@ -514,8 +514,9 @@ _MISS_SQL = """FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_mktsegmen
 
 def _orders_segment(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    c = table(spark, d, "customer").filter(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING")) \
-        .select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_acctbal", "c_mktsegment")
+    known = F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING")
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"),
+                                           *[F.when(known, F.col(x)).alias(x) for x in ("c_name", "c_acctbal", "c_mktsegment")])
     return J.lookup(o, c, "o_custkey", drop_key=False)
 
 
@@ -645,13 +646,15 @@ def filtered_mean(spark, d):
 
 def _customer_orders(spark, d):
     c = table(spark, d, "customer")
-    o = table(spark, d, "orders").filter(F.col("o_orderstatus") == "P") \
-        .select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice", "o_orderpriority")
+    partial = F.col("o_orderstatus") == "P"
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), *[
+        F.when(partial, F.col(x)).alias(x) for x in ("o_orderkey", "o_totalprice", "o_orderpriority")])
     return c.join(o, "c_custkey", "left")
 
 
 _CO_SQL = """(SELECT c.*, o.o_orderkey, o.o_totalprice, o.o_orderpriority FROM customer c
-    LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'P') o ON c.c_custkey = o.o_custkey)"""
+    LEFT JOIN (SELECT o_custkey, CASE WHEN o_orderstatus = 'P' THEN o_orderkey END AS o_orderkey, CASE WHEN o_orderstatus = 'P' THEN o_totalprice END AS o_totalprice,
+               CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END AS o_orderpriority FROM orders) o ON c.c_custkey = o.o_custkey)"""
 _CO_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "o_orderkey", "o_totalprice",
             "o_orderpriority"]
 
@@ -716,8 +719,7 @@ UNION ALL SELECT 'zero' AS mode, round(corr(COALESCE(a, 0), COALESCE(b, 0)), 6)
 """)
 def corr_matrix_zero(spark, d):
     o = table(spark, d, "orders").select("o_custkey", F.col("o_totalprice").alias("a"))
-    c = table(spark, d, "customer").filter(F.col("c_mktsegment") == "BUILDING") \
-        .select(F.col("c_custkey").alias("o_custkey"), F.col("c_acctbal").alias("b"))
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_acctbal")).alias("b"))
     t = o.join(c, "o_custkey", "left")
     pick = lambda m: A.corr_matrix(t, ["a", "b"], m).filter((F.col("column_a") == "a") & (F.col("column_b") == "b")) \
         .select(F.lit(m).alias("mode"), _r("corr").alias("corr"))
@@ -1216,7 +1218,7 @@ LEFT JOIN dict d2 ON d2.k = upper(regexp_extract(VALID0, '^([^@]*@)([^.@]+)(\\..
 def establishments_flow(spark, d):
     rows = establishment_rows(spark, d)
     region, nation = table(spark, d, "region"), table(spark, d, "nation")
-    motivos = region.filter(F.col("r_regionkey") < 3).select(F.col("r_regionkey").cast("string").alias("COD_MOTIVO"),
+    motivos = region.select(F.when(F.col("r_regionkey") < 3, F.col("r_regionkey").cast("string")).alias("COD_MOTIVO"),
                                                              F.col("r_name").alias("NM_MOTIVO"))
     cnaes = nation.select(F.col("n_nationkey").cast("string").alias("COD_CNAE"),
                           F.concat(F.lit("CNAE "), "n_name").alias("CNAE"))
@@ -1465,7 +1467,7 @@ def sql_model(spark, d):
         "paises": region.select(F.col("r_regionkey").cast("string").alias("COD_PAIS"), F.col("r_name").alias("NM_PAIS")),
         "cnaes": nation.select(F.col("n_nationkey").cast("string").alias("COD_CNAE"),
                                F.concat(F.lit("CNAE "), "n_name").alias("CNAE")),
-        "motivos": region.filter(F.col("r_regionkey") < 3).select(F.col("r_regionkey").cast("string").alias("COD_MOTIVO"),
+        "motivos": region.select(F.when(F.col("r_regionkey") < 3, F.col("r_regionkey").cast("string")).alias("COD_MOTIVO"),
                                                                   F.col("r_name").alias("NM_MOTIVO")),
         "dicionario_provedores": spark.createDataFrame([(p,) for p in FLOW_PROVIDERS], "PROVEDOR_VALIDO string"),
     }
@@ -1788,8 +1790,8 @@ def model_rows(spark, d) -> DataFrame:
 
 def municipality_rows(spark, d) -> DataFrame:
     """Municipality attributes: state by name, accented municipality names, coordinates."""
-    n = table(spark, d, "nation").filter(F.col("n_nationkey") < 20)
-    return n.select(_pick(_STATE_NAMES, F.col("n_nationkey")).alias("UF"),
+    n = table(spark, d, "nation")  # the last ones have no state, so that some look-ups miss
+    return n.select(F.when(F.col("n_nationkey") < 20, _pick(_STATE_NAMES, F.col("n_nationkey"))).alias("UF"),
                     F.regexp_replace("n_name", "A", "Á").alias("NOME_MUNICIPIO"),
                     (-F.col("n_nationkey")).cast("string").alias("LATITUDE"),
                     (F.col("n_regionkey") * 10).cast("string").alias("LONGITUDE"))
