@@ -134,3 +134,12 @@ MODEL_FILL = {"TIPO_LOUGRADOURO": "SI", "MUNICIPIO": "SI", "UF": "SI", "TIPO_TEL
         "PRODUTO_INTERNO_BRUTO_PER_CAPITA_A_PREOS_CORRENTES_R_100": 0, "SEXO_PROB": "SI",
         "NOME_FANTASIA": "NAO_INFORMADO"}
 MODEL_FILTERS = {"NM_QUALIFICACAO": "Empresário", "NAT_JURICA": "Empresário (Individual)", "NM_MATRIZ_FILIAL": "MATRIZ"}
+# Columns of the tax-regime, sole-trader and partner tables, in order.
+SIMPLES_COLUMNS = ["CNPJ_BASICO", "OPÇAO_PELO_MEI", "DT_OPCAO_MEI", "DT_EXCLUSAO_MEI", "OPCAO_PELO_SIMPLES",
+                   "DT_OPCAO_SIMPLES", "DT_EXCLUSAO_SIMPLES"]
+MEI_COLUMNS = ["CNPJ", "NOME_EMPRESA", "CAP_SOCIAL", "NM_PORTE", "NAT_JURICA", "ENTE_FEDERATIVO", "NM_QUALIFICACAO",
+               "CPF_CRIPTOGRAFADO", "CPF_LEN", "PROBABILIDADE_DE_SER_CPF", "PRIMEIRO_NOME"]
+PARTNER_COLUMNS = ["CNPJ_BASICO", "NOME_SOCIO_RAZAO_SOCIAL", "CNPJ_CPF_SOCIO", "REPRESENTANTE_LEGAL",
+                   "NOME_REPRESENTANTE", "NM_PAIS", "NM_FAIXA_ETARIA", "NM_IDENTIFICADOR_SOCIO",
+                   "NM_QUALIFICACAO_REPRESENTANTE_LEGAL", "NM_QUALIFICAÇAO_SOCIO", "DT_ENTRADA_SOCIEDADE",
+                   "PRIMEIRO_NOME"]

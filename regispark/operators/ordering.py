@@ -1,7 +1,7 @@
 """Deterministic range buckets for distributed ordered computations.
 
 Several operators need "position in a global order" without a single-partition window
-(row numbers, exact quantiles). They cut the order into ``n`` ranges (buckets) so that a
+(row numbers, lags). They cut the order into ``n`` ranges (buckets) so that a
 row's global position is the number of rows in earlier buckets plus its position inside
 its own bucket. Bucket bounds come from a fixed-seed sample of the order key (at most
 ``per_bucket`` sampled keys per bucket are brought back, so the collected list is

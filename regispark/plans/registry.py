@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .. import functions as X
+from ..fixed_values import MEI_COLUMNS, PARTNER_COLUMNS
 from ..operators import joins as J
 from ..operators.profile import dedupe_on
 from .geocode import geo_fallback
@@ -63,10 +64,6 @@ def process_companies(df: DataFrame, naturezas: DataFrame, qualificacoes: DataFr
     return df.drop("CPF")
 
 
-SIMPLES_COLUMNS = ["CNPJ_BASICO", "OPÇAO_PELO_MEI", "DT_OPCAO_MEI", "DT_EXCLUSAO_MEI", "OPCAO_PELO_SIMPLES",
-                   "DT_OPCAO_SIMPLES", "DT_EXCLUSAO_SIMPLES"]
-
-
 def process_simples(df: DataFrame) -> DataFrame:
     """Q3: tax-regime table with parsed dates (7 columns)."""
     return df.select(
@@ -98,10 +95,6 @@ def classify_name(df: DataFrame, names: DataFrame, name_col: str, fallback: bool
     return J.spread_null_left_join(df, d, [out_col])
 
 
-MEI_COLUMNS = ["CNPJ", "NOME_EMPRESA", "CAP_SOCIAL", "NM_PORTE", "NAT_JURICA", "ENTE_FEDERATIVO", "NM_QUALIFICACAO",
-               "CPF_CRIPTOGRAFADO", "CPF_LEN", "PROBABILIDADE_DE_SER_CPF", "PRIMEIRO_NOME"]
-
-
 def process_sole_traders(df: DataFrame, naturezas: DataFrame, qualificacoes: DataFrame, names: DataFrame,
                          token_key: str, token_mode: str = "aes-ecb") -> DataFrame:
     """Q4: companies whose name carries an individual's id, classified by first name."""
@@ -114,12 +107,6 @@ def process_sole_traders(df: DataFrame, naturezas: DataFrame, qualificacoes: Dat
                     F.col("classification").alias("CLASSIFICACAO"))
 
 
-PARTNER_COLUMNS = ["CNPJ_BASICO", "NOME_SOCIO_RAZAO_SOCIAL", "CNPJ_CPF_SOCIO", "REPRESENTANTE_LEGAL",
-                   "NOME_REPRESENTANTE", "NM_PAIS", "NM_FAIXA_ETARIA", "NM_IDENTIFICADOR_SOCIO",
-                   "NM_QUALIFICACAO_REPRESENTANTE_LEGAL", "NM_QUALIFICAÇAO_SOCIO", "DT_ENTRADA_SOCIEDADE",
-                   "PRIMEIRO_NOME"]
-
-
 def process_partners(df: DataFrame, paises: DataFrame, qualificacoes: DataFrame, names: DataFrame) -> DataFrame:
     """Q5: partners with country, age band, partner type, both qualification roles,
     entry date and first-name classification."""
