@@ -12,8 +12,10 @@ never shuffled.
 Labelled findings are a table (value, before, after, path, label) of the caller's, or the
 default ones below: made by rule from published credential shapes against look-alikes
 (checksums, commit and object ids, card and phone numbers, addresses, placeholders, words).
-The transition and dictionary tables come from a bounded sample of ordinary words; both
-bounds are parameters and belong to the classifier's fit.
+Transitions are counted over every word of all documents, and the dictionary is the most
+frequent of them by exact counts; its size is a parameter of the classifier, since in the
+whole vocabulary the letters of every secret would be words. Only the counts of character
+pairs and the dictionary reach the driver.
 
 Defined results: null or empty texts hold nothing; offsets are code points; overlapping
 candidates are one finding, the first and longest; a text is read whole.
@@ -35,7 +37,7 @@ from pyspark.ml.linalg import DenseVector
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regispark._util import fresh
-from regispark.llm.common import bounded_sample, slices, strings
+from regispark.llm.common import slices, staged, strings
 from regispark.session import ensure_checkpoint_dir
 
 #: Words that name a secret, or say that a value is none.
@@ -89,17 +91,12 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
 
 
 class Language:
-    """Character transitions and a dictionary, from ordinary words."""
-
-    def __init__(self, words: Counter, dictionary: int = 20_000):
-        counts = np.ones((128, 128))
-        for w, n in words.items():
-            codes = [min(ord(c), 127) for c in f" {w.lower()} "]
-            for a, b in zip(codes, codes[1:]):
-                counts[a, b] += n
+    """Character transitions, from the counts of ``transitions_of``, and a dictionary."""
+
+    def __init__(self, pairs: np.ndarray, dictionary: list[str]):
+        counts = 1.0 + pairs
         self.surprise = -np.log2(counts / counts.sum(axis=1, keepdims=True))
-        letters = [(w, n) for w, n in words.items() if len(w) >= 3 and w.isalpha()]
-        self.known = {w.lower() for w, _ in sorted(letters, key=lambda x: (-x[1], x[0]))[:dictionary]}
+        self.known = set(dictionary)
 
     def transitions(self, value: str) -> float:
         codes = np.minimum(np.frombuffer(f" {value.lower()} ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32), 127)
@@ -255,22 +252,44 @@ class Model:
         return [(s, e, kind, float(p)) for (s, e, kind), p in zip(found, self.forest.score(x)) if p >= least]
 
 
-def ordinary_words(docs: DataFrame, sample_docs: int = 1000) -> Counter:
-    """Words of letters of ``sample_docs`` documents, those of the least hash."""
-    sample = bounded_sample(docs, "doc_id", sample_docs).select(F.col("text").cast("string").alias("text")).where("text is not null")
-    words = sample.select(F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z]{2,24}"), F.lit(0))).alias("w"))
-    rows = words.groupBy(F.lower("w").alias("w")).count().orderBy(F.desc("count"), "w").limit(50_000).collect()
-    return Counter({r["w"]: r["count"] for r in rows})
-
-
-def train(spark: SparkSession, words: Counter, findings=None, max_findings: int = 20_000, trees: int = 20, depth: int = 7) -> Model:
-    """A model from labelled ``findings``, a DataFrame (value, before, after, path, label) of
-    which at most ``max_findings`` are used, or the default ones."""
+def ordinary_words(docs: DataFrame) -> DataFrame:
+    """(w, n): every word of letters of all documents, lower-cased, and its count; staged, since
+    ``train`` reads it several times."""
+    texts = docs.select(F.col("text").cast("string").alias("text")).where("text is not null")
+    words = texts.select(F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z]{2,24}"), F.lit(0))).alias("w"))
+    return staged(words.groupBy(F.lower("w").alias("w")).agg(F.count(F.lit(1)).alias("n")))
+
+
+def transitions_of(words: DataFrame) -> np.ndarray:
+    """How often each character follows another in ``words`` (w, n), a blank before and after
+    each: 128 by 128, all beyond ASCII as 127."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(128 * 128, dtype=np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                held = strings(batch, "w")
+                codes = np.minimum(np.frombuffer(f" {' '.join(held)} ".encode("utf-32-le"), dtype=np.uint32), 127).astype(np.int64)
+                np.add.at(total, codes[:-1] * 128 + codes[1:], np.repeat(batch.column("n").to_numpy(), [len(w) + 1 for w in held]))
+        pairs = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs, pa.int64()), pa.array(total[pairs], pa.int64())], names=["pair", "n"])
+
+    pairs = np.zeros(128 * 128)
+    for pair, n in words.select("w", "n").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n")).collect():
+        pairs[pair] = n
+    return pairs.reshape(128, 128)
+
+
+def train(spark: SparkSession, words: DataFrame, findings=None, max_findings: int = 20_000, trees: int = 20, depth: int = 7, dictionary: int = 20_000) -> Model:
+    """A model from the ``words`` (w, n) of ``ordinary_words``, whose ``dictionary`` most frequent
+    of three letters and more are the dictionary, and from labelled ``findings``, a DataFrame
+    (value, before, after, path, label) of which at most ``max_findings`` are used, or the
+    default ones."""
+    order = [F.desc("n"), "w"]
+    language = Language(transitions_of(words), [r["w"] for r in words.where(F.length("w") >= 3).orderBy(*order).limit(dictionary).collect()])
     if findings is None:
-        rows = default_findings(ordinary=[w for w, _ in sorted(words.items(), key=lambda x: (-x[1], x[0]))[:2000]])
+        rows = default_findings(ordinary=[r["w"] for r in words.orderBy(*order).limit(2000).collect()])
     else:
         rows = [tuple(r) for r in findings.select("value", "before", "after", "path", "label").orderBy(F.xxhash64("value", "before")).limit(max_findings).collect()]
-    language = Language(words)
     kinds = [next((k for s, e, k in candidates(b + v + a) if s <= len(b) < e), "run") for v, b, a, _, _ in rows]
     data = [(DenseVector(features(language, v, b, a, p or "", k)), float(y)) for (v, b, a, p, y), k in zip(rows, kinds)]
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=7, featureSubsetStrategy="sqrt")

@@ -2,7 +2,7 @@
 
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -435,6 +435,25 @@ def test_private_keys_and_unquoted_secrets_are_found(spark):
     assert far[0][1:] != far[1][1:]
 
 
+def test_words_and_transitions_come_from_all_documents(spark):
+    """1,500 documents and 56,000 words: more than any sample or list of either would hold."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = [a + b + c + d for a in letters for b in letters for c in letters[:20] for d in letters[:5]][:56_000]
+    texts = [" ".join(word[i::1500]) + f" Common{letters[i % 26]} ABCDEFGHIJKLMNOPQRSTUVWXYZ x1y ÄÖz" for i in range(1500)] + ["", None]
+    words = secret_scan.ordinary_words(docs(spark, [(i if i % 9 else None, t, "en", "a", 0) for i, t in enumerate(texts)]))
+    want = Counter(w.lower() for t in texts for w in re.findall("[A-Za-z]{2,24}", t or ""))
+    assert {r.w: r.n for r in words.collect()} == want
+    pairs = Counter()
+    for w, n in want.items():
+        for a, b in zip(f" {w}", f"{w} "):
+            pairs[ord(a), ord(b)] += n
+    got = secret_scan.transitions_of(words)
+    assert {(int(a), int(b)): int(got[a, b]) for a, b in zip(*np.nonzero(got))} == pairs
+    top = sorted((w for w in want if len(w) >= 3), key=lambda w: (-want[w], w))
+    language = secret_scan.train(spark, words, trees=1, depth=1, dictionary=40).language
+    assert language.known == set(top[:40]) and np.allclose(language.surprise, -np.log2((1 + got) / (1 + got).sum(axis=1, keepdims=True)))
+
+
 def test_forest_arrays_score_as_spark_does(spark, tmp_path):
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.linalg import DenseVector
