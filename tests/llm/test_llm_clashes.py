@@ -177,6 +177,18 @@ def test_pipeline_stages_keep_the_callers_columns(spark):
         assert none.count() == 0
 
 
+def test_the_secrets_stage_learns_from_every_document(spark, monkeypatch):
+    """1,200 documents, each with a word of its own; the stage's model is trained on all of them."""
+    given, trained = [], secret_scan.train
+    monkeypatch.setattr(secret_scan, "train", lambda spark, words, *rest: (given.append(words), trained(spark, words, *rest))[1])
+    own = ["own" + "".join("abcdefghij"[int(c)] for c in f"{i:04}") for i in range(1200)]
+    rows = [(i, f'{w} common token = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b" end', "en", "a", 0) for i, w in enumerate(own)] + [(None, "common", "en", "a", 0), (1300, None, "en", "a", 0)]
+    got = corpus_pipeline.secrets(spark, spark.createDataFrame(rows, DOC), SMALL).collect()
+    assert sorted((r.text or "", r.n_chars or 0) for r in got) == sorted([("", 0), ("common", 6)] + [(t, len(t)) for t in (f'{w} common token = "[SECRET]" end' for w in own)])
+    counted = {r.w: r.n for r in given[0].collect()}
+    assert len(given) == 1 and all(counted[w] == 1 for w in own) and counted["common"] == 1201 and counted["token"] == 1200
+
+
 # ---- decontamination
 
 
