@@ -12,6 +12,7 @@ never shuffled.
 Labelled findings are a table (value, before, after, path, label) of the caller's, or the
 default ones below: made by rule from published credential shapes against look-alikes
 (checksums, commit and object ids, card and phone numbers, addresses, placeholders, words).
+The forest is fitted on every one of them; their features are computed in tasks.
 Transitions are counted over every word of all documents, and the dictionary is the most
 frequent of them by exact counts; its size is a parameter of the classifier, since in the
 whole vocabulary the letters of every secret would be words. Only the counts of character
@@ -33,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.linalg import DenseVector
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regispark._util import fresh
@@ -47,6 +48,9 @@ PATHS = ["doc", "example", "fixture", "mock", "sample", "test"]
 PLAIN = ["required", "optional", "default", "string", "invalid", "missing", "expired", "changed", "disabled", "unknown", "undefined", "incorrect", "generated", "stored", "rotated"]
 PREFIXES = ["AKIA", "ASIA", "AIza", "eyJ", "ghp_", "gho_", "glpat-", "hf_", "sk-", "sk_live_", "xoxb-", "xoxp-"]
 
+#: Labelled findings that one task of the forest's fit holds.
+FIT_ROWS = 20_000
+
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_=\-])[A-Za-z0-9+/_=\-]{16,}")
 _ASSIGNED = re.compile(r"""(?i)(?:passwd|password|pwd|secret|token|api_?key|access_?key)["']?\s*[:=]\s*["']([^"'\s]{6,})["']""")
 _UNQUOTED = re.compile(r"""(?i)(?:passwd|password|pwd|secret|token|api_?key|access_?key)["']?[ \t]*(?::=|=>|={1,3}|:)[ \t]*([^"'\s]{6,})""")
@@ -279,21 +283,41 @@ def transitions_of(words: DataFrame) -> np.ndarray:
     return pairs.reshape(128, 128)
 
 
-def train(spark: SparkSession, words: DataFrame, findings=None, max_findings: int = 20_000, trees: int = 20, depth: int = 7, dictionary: int = 20_000) -> Model:
+def judged(findings: DataFrame, language: Language) -> DataFrame:
+    """(features, label) of labelled findings (value, before, after, path, label), computed where the rows are."""
+    shared = findings.sparkSession.sparkContext.broadcast(language)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            rows = list(zip(*(strings(batch, c) for c in ("value", "before", "after", "path"))))
+            kinds = [next((k for s, e, k in candidates(b + v + a) if s <= len(b) < e), "run") for v, b, a, _ in rows]
+            x = [features(shared.value, *row, kind) for row, kind in zip(rows, kinds)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column("label")], names=["features", "label"])
+
+    columns = [F.col(c).cast("string").alias(c) for c in ("value", "before", "after", "path")]
+    return findings.select(*columns, F.col("label").cast("double").alias("label")).mapInArrow(measure, "features array<double>, label double")
+
+
+def train(spark: SparkSession, words: DataFrame, findings=None, max_findings: int | None = None, trees: int = 20, depth: int = 7, dictionary: int = 20_000) -> Model:
     """A model from the ``words`` (w, n) of ``ordinary_words``, whose ``dictionary`` most frequent
-    of three letters and more are the dictionary, and from labelled ``findings``, a DataFrame
-    (value, before, after, path, label) of which at most ``max_findings`` are used, or the
-    default ones."""
+    of three letters and more are the dictionary, and from all labelled ``findings``, a DataFrame
+    (value, before, after, path, label), or the default ones. Only a caller that sets
+    ``max_findings`` gets a model of at most so many. Refits agree however the rows are laid out."""
     order = [F.desc("n"), "w"]
     language = Language(transitions_of(words), [r["w"] for r in words.where(F.length("w") >= 3).orderBy(*order).limit(dictionary).collect()])
+    whole = findings is not None and max_findings is None
     if findings is None:
         rows = default_findings(ordinary=[r["w"] for r in words.orderBy(*order).limit(2000).collect()])
+        findings = spark.createDataFrame(rows, "value string, before string, after string, path string, label int").coalesce(1)
+    elif max_findings is not None:
+        findings = findings.orderBy(F.xxhash64("value", "before")).limit(max_findings)
+    data = staged(judged(findings, language))
+    if whole:  # rows of equal hash and order are equal: the forest draws by position in a partition
+        data = data.repartition(-(-data.count() // FIT_ROWS) or 1, "features", "label").sortWithinPartitions("features", "label")
     else:
-        rows = [tuple(r) for r in findings.select("value", "before", "after", "path", "label").orderBy(F.xxhash64("value", "before")).limit(max_findings).collect()]
-    kinds = [next((k for s, e, k in candidates(b + v + a) if s <= len(b) < e), "run") for v, b, a, _, _ in rows]
-    data = [(DenseVector(features(language, v, b, a, p or "", k)), float(y)) for (v, b, a, p, y), k in zip(rows, kinds)]
+        data = data.coalesce(1)
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=7, featureSubsetStrategy="sqrt")
-    fitted = forest.fit(spark.createDataFrame(data, ["features", "label"]).coalesce(1))
+    fitted = forest.fit(data.select(array_to_vector("features").alias("features"), "label"))
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/forest-{uuid.uuid4().hex}"
     fitted.save(path)
     nodes = spark.read.parquet(f"{path}/data")
